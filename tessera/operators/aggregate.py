@@ -149,7 +149,7 @@ def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
         return m
 
     one = df.agg(*[F.count_if(missing(c)).cast("bigint").alias(c) for c in cols])
-    long = one.unpivot([], cols, "column", "n_missing")
+    long = one.unpivot([], cols, "column_name", "n_missing")
     return long.withColumn("any_missing", F.col("n_missing") > 0)
 
 
