@@ -12,6 +12,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def _betacf(a: float, b: float, x: float) -> float:
@@ -82,13 +83,13 @@ def t_quantile(p: float, df: float) -> float:
     return (lo + hi) / 2
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _t_p_udf(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([None if (pd.isna(a) or pd.isna(b)) else t_two_sided(float(a), float(b))
                       for a, b in zip(t, df)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _f_p_udf(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
     return pd.Series([None if (pd.isna(a) or pd.isna(b) or pd.isna(c)) else f_upper(float(a), float(b), float(c))
                       for a, b, c in zip(f, d1, d2)], dtype="float64")
