@@ -12,11 +12,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.scalar import clamp0, to_day
-from tessera.operators.ordered import period_number
 
 GAS_TYPES = ("U", "P")      # fixed values: tank types that hold gas
 DIESEL_TYPES = ("D",)       # fixed values: tank types that hold diesel
@@ -24,7 +23,7 @@ BAND_EDGES = (15000, 25000, 40000)  # fixed values: right-closed volume bands
 
 
 def daily_consumption(readings: DataFrame, tanks: DataFrame, purchases: DataFrame,
-                      sites: DataFrame, by: str = "calendar") -> DataFrame:
+                      sites: DataFrame, by: str = "calendar", position: str = "ts") -> DataFrame:
     """Consumption per (day, site) for gas and diesel.
 
     unit delta = first level - last level of the tank that day (by timestamp);
@@ -33,36 +32,39 @@ def daily_consumption(readings: DataFrame, tanks: DataFrame, purchases: DataFram
     kept (a day without site rows gives one row with NULL site); site name
     attached.
 
-    Plan: one aggregation to (day, tank) with ``min_by/max_by``, one to
-    (day, site) with both fuels as conditional sums (instead of two group-bys
-    and a join), purchases reduced to (day, site) the same way, then joins on
-    (day, site). The calendar of reading days is one row per day (broadcast).
+    Plan: one aggregation to (day, tank) with ``min_by/max_by`` (map-side
+    combined, no sort of a tank's readings), one to (day, site) with both
+    fuels as conditional sums (instead of two group-bys and a join), purchases
+    reduced to (day, site) the same way, one join on (day, site). The
+    calendar of reading days is one row per day and is broadcast; the day
+    numbers are attached after aggregation, never to raw readings.
     """
-    r = (readings.where(F.col("fuel_level").isNotNull())
-         .join(tanks, "tank_id", "left")
-         .withColumn("day", to_day("ts")))
-    r = period_number(r, "day", by=by, position="ts" if by != "calendar" else None)
-    cal = r.select("date_number", "day").distinct()
-
-    unit = (r.where(F.col("location").isNotNull())
-            .groupBy("date_number", "day", "tank_id", "location", "tank_type")
+    lv = readings.where(F.col("fuel_level").isNotNull()).withColumn("day", to_day("ts"))
+    # calendar: one row per reading day (bounded by the calendar span) -> broadcast
+    cal = reading_calendar(lv, by=by, position=position)
+
+    unit = (lv.join(tanks, "tank_id", "left")
+            .where(F.col("location").isNotNull())
+            .groupBy("day", "tank_id", "location", "tank_type")
             .agg((F.min_by("fuel_level", "ts") - F.max_by("fuel_level", "ts")).alias("delta")))
     is_gas = F.col("tank_type").isin(*GAS_TYPES)
     is_dsl = F.col("tank_type").isin(*DIESEL_TYPES)
-    site = (unit.groupBy("date_number", "location")
+    site = (unit.groupBy("day", "location")
             .agg(F.sum(F.when(is_gas, F.col("delta"))).alias("gas_consumption"),
                  F.sum(F.when(is_dsl, F.col("delta"))).alias("diesel_consumption"),
                  F.count_if(is_gas).alias("_n_gas"), F.count_if(is_dsl).alias("_n_dsl")))
 
-    p = (purchases.join(F.broadcast(cal), purchases["invoice_date"] == cal["day"], "inner")
+    # purchases on reading days only (semi join with the broadcast calendar)
+    p = (purchases.withColumnRenamed("invoice_date", "day")
+         .join(F.broadcast(cal.select("day")), "day", "left_semi")
          .where(F.col("location").isNotNull())
-         .groupBy("date_number", "location")
+         .groupBy("day", "location")
          .agg(F.sum(F.when(F.col("fuel_type") == "G", F.col("amount"))).alias("gas_purchased"),
               F.sum(F.when(F.col("fuel_type") == "D", F.col("amount"))).alias("diesel_purchased")))
 
     j = (site.where(F.col("_n_gas") > 0)
-         .join(p, ["date_number", "location"], "left")
-         .select("date_number", "location", "gas_consumption",
+         .join(p, ["day", "location"], "left")
+         .select("day", "location", "gas_consumption",
                  F.coalesce("gas_purchased", F.lit(0.0)).alias("gas_purchased"),
                  F.when(F.col("_n_dsl") > 0, F.col("diesel_consumption")).alias("diesel_consumption"),
                  F.when(F.col("_n_dsl") > 0, F.coalesce("diesel_purchased", F.lit(0.0))).alias("diesel_purchased")))
@@ -70,12 +72,27 @@ def daily_consumption(readings: DataFrame, tanks: DataFrame, purchases: DataFram
         "gas_total": clamp0(F.col("gas_consumption") + F.col("gas_purchased")),
         "diesel_total": clamp0(F.col("diesel_consumption") + F.col("diesel_purchased")),
     })
-    full = j.join(F.broadcast(cal), "date_number", "full_outer")
+    # outer join with the calendar without shuffling j on the day key (only
+    # calendar-many keys): inner broadcast join, plus the days with no site row
+    with_days = j.join(F.broadcast(cal), "day", "inner")
+    empty_days = cal.join(j.select("day").distinct(), "day", "left_anti")
+    full = with_days.unionByName(empty_days, allowMissingColumns=True)
     return (full.join(sites, "location", "left")
             .select("date_number", "day", "location", "site_name", "gas_consumption", "gas_purchased",
                     "gas_total", "diesel_consumption", "diesel_purchased", "diesel_total"))
 
 
+def reading_calendar(levels: DataFrame, by: str = "calendar", position: str = "ts") -> DataFrame:
+    """Day numbers 1, 2, ... of the reading days (``by="calendar"``: in date
+    order; ``by="appearance"``: in order of each day's first ``position``,
+    e.g. a file row number, as numbering days by first appearance does)."""
+    if by == "calendar":
+        days = levels.select("day").distinct()
+        return days.select("day", F.dense_rank().over(Window.orderBy("day")).cast("int").alias("date_number"))
+    days = levels.groupBy("day").agg(F.min(position).alias("_first"))
+    return days.select("day", F.row_number().over(Window.orderBy("_first", "day")).cast("int").alias("date_number"))
+
+
 def site_mix(daily: DataFrame) -> DataFrame:
     """Totals per site and the share of gas and diesel."""
     t = (daily.where(F.col("location").isNotNull() & F.col("site_name").isNotNull())
