@@ -95,7 +95,7 @@ def a20_score_summary(spark, sf):
 
 QUERIES = {k: v for k, v in globals().items() if k[:1] == "a" and k[1:2].isdigit() and callable(v)}
 
-_SUMMARY = """select '{c}' as column, min({c})::double as min, quantile_cont({c}, 0.25)::double as q1,
+_SUMMARY = """select '{c}' as column_name, min({c})::double as min, quantile_cont({c}, 0.25)::double as q1,
   quantile_cont({c}, 0.5)::double as median, avg({c})::double as mean, quantile_cont({c}, 0.75)::double as q3,
   max({c})::double as max, cast(count(*) filter (where {c} is null) as bigint) as n_missing from {t}"""
 

@@ -2,9 +2,9 @@
 
 All grouped operators are single hash aggregations (partial aggregation on
 the map side, so a key holding a third of the rows is pre-reduced in every
-task before the shuffle). Exact quantiles use ``percentile`` (a value -> count
-map per group, merged map-side); pass ``accuracy=`` to switch to the
-sketch-based ``percentile_approx`` for continuous columns at very large scale.
+task before the shuffle). Exact quantiles use distributed prefix sums over (group, value, count)
+tables (``rank.quantiles``), so no task holds a whole group's values; pass
+``accuracy=`` to use the ``percentile_approx`` sketch instead.
 """
 
 from __future__ import annotations
@@ -169,19 +169,32 @@ def _q(c: Column, q, accuracy: int | None) -> Column:
 def summary(df: DataFrame, cols: Sequence[str], accuracy: int | None = None) -> DataFrame:
     """Per numeric column min, Q1, median, mean, Q3, max and number
     missing (R ``summary``; quantiles type 7 = linear interpolation).
-    One aggregation over all columns, then a small unpivot."""
+    Moments come from one aggregation over all columns; quartiles from the
+    exact distributed quantiles of ``rank.quantiles`` (or the
+    ``percentile_approx`` sketch when ``accuracy`` is given)."""
+    from tessera.operators.rank import quantile_values
+
     aggs = []
     for c in cols:
         v = F.col(c).cast("double")
-        aggs += [F.min(v).alias(f"{c}__min"), _q(v, 0.25, accuracy).alias(f"{c}__q1"),
-                 _q(v, 0.5, accuracy).alias(f"{c}__median"), F.avg(v).alias(f"{c}__mean"),
-                 _q(v, 0.75, accuracy).alias(f"{c}__q3"), F.max(v).alias(f"{c}__max"),
+        aggs += [F.min(v).alias(f"{c}__min"), F.avg(v).alias(f"{c}__mean"), F.max(v).alias(f"{c}__max"),
                  F.count_if(v.isNull()).cast("bigint").alias(f"{c}__n_missing")]
+        if accuracy:
+            aggs += [_q(v, 0.25, accuracy).alias(f"{c}__q1"), _q(v, 0.5, accuracy).alias(f"{c}__median"),
+                     _q(v, 0.75, accuracy).alias(f"{c}__q3")]
     one = df.agg(*aggs)
-    stats = ["min", "q1", "median", "mean", "q3", "max", "n_missing"]
-    parts = [one.select(F.lit(c).alias("column"),
-                        *[F.col(f"{c}__{s}").cast("double" if s != "n_missing" else "bigint").alias(s)
-                          for s in stats]) for c in cols]
+    parts = []
+    for c in cols:
+        base = one.select(F.lit(c).alias("column_name"), *[F.col(f"{c}__{s}").alias(s) for s in
+                                                          ("min", "mean", "max", "n_missing")],
+                          *([F.col(f"{c}__{s}").alias(s) for s in ("q1", "median", "q3")] if accuracy else []))
+        if not accuracy:
+            q1, med, q3 = quantile_values(df, c, [0.25, 0.5, 0.75])
+            base = base.withColumns({"q1": F.lit(q1).cast("double"), "median": F.lit(med).cast("double"),
+                                     "q3": F.lit(q3).cast("double")})
+        parts.append(base.select("column_name", F.col("min").cast("double").alias("min"), "q1", "median",
+                                 F.col("mean").cast("double").alias("mean"), "q3",
+                                 F.col("max").cast("double").alias("max"), "n_missing"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -192,14 +205,19 @@ def box_stats(df: DataFrame, keys: Sequence[str], value: str, accuracy: int | No
     """Box-plot numbers per group: quartiles, whiskers at the last data
     point inside 1.5 IQR of the box, and the count of points outside.
 
-    Two passes: quartiles per group (one row per group), joined back to the
-    rows (AQE broadcasts it when measured small), then conditional min/max/count.
+    Two passes: exact quartiles per group (distributed prefix sums, one row
+    per group), joined back to the rows, then conditional min/max/count.
     """
+    from tessera.operators.rank import quantiles
+
     keys = list(keys)
     v = F.col(value)
     base = df.where(v.isNotNull())
-    q = base.groupBy(*keys).agg(_q(v, 0.25, accuracy).alias("q1"), _q(v, 0.5, accuracy).alias("median"),
-                                _q(v, 0.75, accuracy).alias("q3"))
+    if accuracy:
+        q = base.groupBy(*keys).agg(_q(v, 0.25, accuracy).alias("q1"), _q(v, 0.5, accuracy).alias("median"),
+                                    _q(v, 0.75, accuracy).alias("q3"))
+    else:
+        q = quantiles(base, value, [0.25, 0.5, 0.75], by=keys, names=["q1", "median", "q3"])
     q = q.withColumns({"lo_fence": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")),
                        "hi_fence": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))})
     j = base.join(q, keys, "inner")

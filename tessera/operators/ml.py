@@ -2,12 +2,10 @@
 
 Scale notes
 -----------
-* ``row_index`` numbers rows exactly in key order without a single-partition
-  window: approximate quantiles of the key give ~equal range buckets
-  (``Bucketizer``, a binary search on the JVM), rows are numbered inside each
-  bucket by a window partitioned by bucket, and bucket offsets come from a
-  table of one count per bucket. The split (M5), the stratified folds (M10)
-  and SMOTE's copy counts (M4) are built on it.
+* ``rank.row_index`` numbers rows exactly in key order without a
+  single-partition window (range buckets + per-bucket windows + bucket
+  offsets). The split (M5), the stratified folds (M10) and SMOTE's copy
+  counts (M4) are built on it.
 * k-nearest-neighbour search (M1, M4) broadcasts a bounded chunk of query
   rows (rows with gaps / minority rows); every donor partition computes its
   distances to the chunk in numpy (``mapInPandas``) and emits only its k best
@@ -25,12 +23,14 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import PCA, Bucketizer, StandardScaler, VectorAssembler
+from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.operators.rank import row_index  # noqa: F401  (exact distributed row numbers)
+
 CHUNK_ROWS = 20_000   # query rows broadcast per k-NN pass
 DONOR_BLOCK = 256     # donor rows per distance block (CHUNK_ROWS x DONOR_BLOCK doubles per array)
 
@@ -38,24 +38,6 @@ DONOR_BLOCK = 256     # donor rows per distance block (CHUNK_ROWS x DONOR_BLOCK
 # ------------------------------------------------------------ row numbering
 
 
-def row_index(df: DataFrame, key: str, by: Sequence[str] = (), out: str = "idx", buckets: int = 256) -> DataFrame:
-    """Exact 0-based row number in ascending ``key`` order (per ``by`` group).
-    ``key`` must be numeric and unique within a group."""
-    by = list(by)
-    kd = F.col(key).cast("double")
-    qs = df.agg(F.percentile_approx(kd, [i / buckets for i in range(1, buckets)], 10000).alias("q")).first()["q"]
-    splits = [-math.inf] + sorted({float(q) for q in (qs or []) if q is not None}) + [math.inf]
-    b = Bucketizer(splits=splits, inputCol="_kd", outputCol="_b").transform(df.withColumn("_kd", kd))
-    counts = b.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    wo = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*by, "_b", F.coalesce(F.sum("_n").over(wo), F.lit(0)).alias("_off"))
-    w = Window.partitionBy(*by, "_b").orderBy(key)
-    numbered = b.withColumn("_r", F.row_number().over(w) - 1)
-    # offsets: one row per (group, bucket) -- bounded by buckets x groups
-    return (numbered.join(F.broadcast(offsets), by + ["_b"])
-            .withColumn(out, (F.col("_off") + F.col("_r")).cast("bigint")).drop("_kd", "_b", "_r", "_off"))
-
-
 def hash_key(id_col: str, seed: int, *extra) -> F.Column:
     """Seeded pseudo-random long per row, stable under re-partitioning."""
     return F.xxhash64(F.col(id_col), F.lit(seed), *[F.lit(e) for e in extra])

@@ -146,33 +146,45 @@ def quantile_groups(df: DataFrame, by, c: str, n: int = 10, method: str = "ntile
     """N groups of ``c`` within each period, 1 = lowest; missing ``c`` gets
     no group.
 
-    ``method="ntile"``: ``ntile(n)`` (first groups take the extra rows).
-    ``method="rank"``: ``floor(r * n / (m + 1)) + 1`` with r the average rank
-    over ties and m the non-missing count of the period (PROC RANK GROUPS=n).
-    ``tiebreak`` columns make ``ntile`` deterministic among equal values.
+    ``method="ntile"``: as SQL ``ntile(n)`` over ``c`` then ``tiebreak`` (the
+    first m mod n groups take one extra row). ``method="rank"``:
+    ``floor(r * n / (m + 1)) + 1`` with r the average rank over ties and m the
+    non-missing count of the period (PROC RANK GROUPS=n).
+
+    Ranks come from distributed prefix sums (``rank.row_index`` /
+    ``rank.prefix_sum``), not a window partitioned by period, so a period
+    holding a third of the table is still ranked by many tasks.
     """
+    from tessera.operators.rank import ntile_from_index, prefix_sum, row_index
+
     by = _list(by)
     v = F.col(c)
-    have = df.where(v.isNotNull())
-    miss = df.where(v.isNull()).withColumn(out, F.lit(None).cast("int"))
+    have = df.where(v.isNotNull() & ~F.isnan(v.cast("double")))
+    miss = df.where(v.isNull() | F.isnan(v.cast("double"))).withColumn(out, F.lit(None).cast("int"))
+    counts = have.groupBy(*by).agg(F.count(F.lit(1)).alias("_m"))
     if method == "ntile":
-        w = Window.partitionBy(*by).orderBy(v, *tiebreak)
-        res = have.withColumn(out, F.ntile(n).over(w).cast("int"))
+        idx = row_index(have, [c, *tiebreak], by=by, out="_i")
+        res = idx.join(counts, by).withColumn(out, ntile_from_index(F.col("_i"), F.col("_m"), n)).drop("_i", "_m")
     else:
-        w = Window.partitionBy(*by).orderBy(v)
-        ties = Window.partitionBy(*by, c)
-        cnt = Window.partitionBy(*by)
-        r = F.rank().over(w) + (F.count(F.lit(1)).over(ties) - 1) / 2.0
-        res = have.withColumn(out, (F.floor(r * n / (F.count(F.lit(1)).over(cnt) + 1)) + 1).cast("int"))
+        ties = have.groupBy(*by, c).agg(F.count(F.lit(1)).alias("_t"))
+        before = prefix_sum(ties, [c], "_t", by, out="_lt")
+        r = F.col("_lt") + (F.col("_t") + 1) / 2.0
+        grp = before.join(counts, by).select(*by, c, (F.floor(r * n / (F.col("_m") + 1)) + 1).cast("int").alias(out))
+        res = have.join(grp, by + [c])
     return res.unionByName(miss)
 
 
 def winsorize(df: DataFrame, by, c: str, p: float = 0.01, out: str | None = None,
               accuracy: int | None = None) -> DataFrame:
-    """Clip ``c`` per period to its p and 1-p quantiles (one row of
-    bounds per period, joined back)."""
+    """Clip ``c`` per period to its p and 1-p quantiles (exact, from
+    distributed prefix sums; one row of bounds per period, joined back)."""
+    from tessera.operators.rank import quantiles
+
     by = _list(by)
-    q = (F.percentile_approx(c, [p, 1 - p], accuracy) if accuracy else F.percentile(c, F.array(F.lit(p), F.lit(1 - p))))
-    b = df.groupBy(*by).agg(q.alias("_q")).select(*by, F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi"))
+    if accuracy:
+        q = F.percentile_approx(c, [p, 1 - p], accuracy)
+        b = df.groupBy(*by).agg(q.alias("_q")).select(*by, F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi"))
+    else:
+        b = quantiles(df, c, [p, 1 - p], by=by, names=["_lo", "_hi"])
     j = df.join(b, by, "left")
     return j.withColumn(out or f"{c}_w", F.least(F.greatest(F.col(c), F.col("_lo")), F.col("_hi"))).drop("_lo", "_hi")

@@ -213,11 +213,11 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], residual_quantiles: bool = Tru
         for r in rows[1:]:
             if r["estimate"] is not None:
                 fitted = fitted + F.lit(r["estimate"]) * F.col(r["term"])
-        res = d.select((F.col(y) - fitted).alias("e")).agg(
-            F.min("e").alias("resid_min"), F.percentile("e", 0.25).alias("resid_q1"),
-            F.percentile("e", 0.5).alias("resid_median"), F.percentile("e", 0.75).alias("resid_q3"),
-            F.max("e").alias("resid_max")).first().asDict()
-        summ.update(res)
+        from tessera.operators.rank import quantile_values
+
+        e = d.select((F.col(y) - fitted).alias("e"))
+        qv = quantile_values(e, "e", [0.0, 0.25, 0.5, 0.75, 1.0])
+        summ.update(dict(zip(["resid_min", "resid_q1", "resid_median", "resid_q3", "resid_max"], qv)))
     summary = spark.createDataFrame(pd.DataFrame([summ]))
     return OlsResult(coef, summary)
 

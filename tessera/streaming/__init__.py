@@ -1,0 +1,7 @@
+"""Streaming.
+
+The analyses this library rebuilds have no stream, watermark, late data or
+per-key state, so no streaming operator is provided. The batch operators are
+plain DataFrame -> DataFrame functions and can be applied inside a
+``foreachBatch`` of a Structured Streaming query if needed.
+"""
