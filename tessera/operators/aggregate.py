@@ -169,36 +169,25 @@ def _q(c: Column, q, accuracy: int | None) -> Column:
 def summary(df: DataFrame, cols: Sequence[str], accuracy: int | None = None) -> DataFrame:
     """Per numeric column min, Q1, median, mean, Q3, max and number
     missing (R ``summary``; quantiles type 7 = linear interpolation).
-    Moments come from one aggregation over all columns; quartiles from the
-    exact distributed quantiles of ``rank.quantiles`` (or the
-    ``percentile_approx`` sketch when ``accuracy`` is given)."""
-    from tessera.operators.rank import quantile_values
 
-    aggs = []
-    for c in cols:
-        v = F.col(c).cast("double")
-        aggs += [F.min(v).alias(f"{c}__min"), F.avg(v).alias(f"{c}__mean"), F.max(v).alias(f"{c}__max"),
-                 F.count_if(v.isNull()).cast("bigint").alias(f"{c}__n_missing")]
-        if accuracy:
-            aggs += [_q(v, 0.25, accuracy).alias(f"{c}__q1"), _q(v, 0.5, accuracy).alias(f"{c}__median"),
-                     _q(v, 0.75, accuracy).alias(f"{c}__q3")]
-    one = df.agg(*aggs)
-    parts = []
-    for c in cols:
-        base = one.select(F.lit(c).alias("column_name"), *[F.col(f"{c}__{s}").alias(s) for s in
-                                                          ("min", "mean", "max", "n_missing")],
-                          *([F.col(f"{c}__{s}").alias(s) for s in ("q1", "median", "q3")] if accuracy else []))
-        if not accuracy:
-            q1, med, q3 = quantile_values(df, c, [0.25, 0.5, 0.75])
-            base = base.withColumns({"q1": F.lit(q1).cast("double"), "median": F.lit(med).cast("double"),
-                                     "q3": F.lit(q3).cast("double")})
-        parts.append(base.select("column_name", F.col("min").cast("double").alias("min"), "q1", "median",
-                                 F.col("mean").cast("double").alias("mean"), "q3",
-                                 F.col("max").cast("double").alias("max"), "n_missing"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    The columns are stacked into (column_name, value) pairs (a narrow
+    ``unpivot``), so one grouped aggregation gives the moments of every column
+    and one run of the exact distributed quantiles (``rank.quantiles``, by
+    column name) gives every quartile. ``accuracy`` switches the quartiles to
+    the ``percentile_approx`` sketch."""
+    from tessera.operators.rank import quantiles
+
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], list(cols), "column_name", "value")
+    v = F.col("value")
+    mom = long.groupBy("column_name").agg(
+        F.min(v).alias("min"), F.avg(v).alias("mean"), F.max(v).alias("max"),
+        F.count_if(v.isNull()).cast("bigint").alias("n_missing"),
+        *([_q(v, 0.25, accuracy).alias("q1"), _q(v, 0.5, accuracy).alias("median"),
+           _q(v, 0.75, accuracy).alias("q3")] if accuracy else []))
+    if not accuracy:
+        q = quantiles(long, "value", [0.25, 0.5, 0.75], by=["column_name"], names=["q1", "median", "q3"])
+        mom = mom.join(q, "column_name", "left")
+    return mom.select("column_name", "min", "q1", "median", "mean", "q3", "max", "n_missing")
 
 
 def box_stats(df: DataFrame, keys: Sequence[str], value: str, accuracy: int | None = None) -> DataFrame:

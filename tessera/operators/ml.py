@@ -271,7 +271,7 @@ def fit_logistic(train: DataFrame, cols: Sequence[str], label: str, C: float = 1
     standardisation. Returns the fitted ``pyspark.ml`` model."""
     n = train.count()
     lr = LogisticRegression(featuresCol="features", labelCol=label, regParam=1.0 / (C * n), elasticNetParam=0.0,
-                            standardization=False, maxIter=max_iter, tol=1e-8)
+                            standardization=False, maxIter=max_iter, tol=1e-6)
     return lr.fit(assemble(train, cols).withColumn(label, F.col(label).cast("double")))
 
 
@@ -323,12 +323,13 @@ def cross_validate(df: DataFrame, id_col: str, cols: Sequence[str], label: str,
     """K-fold cross-validated accuracy (stratified, unshuffled folds):
     one distributed fit per fold; output per-fold accuracy plus the mean and
     the population std (as numpy's ``std``)."""
-    f = stratified_folds(df, id_col, label, k)
+    f = stratified_folds(df, id_col, label, k).persist()   # read by k fits and k evaluations
     rows = []
     for i in range(k):
         model = fit_logistic(f.where(F.col("fold") != i), cols, label, C)
         acc = accuracy(predict(model, f.where(F.col("fold") == i), cols), label).first()
         rows.append((i, float(acc["accuracy"]), int(acc["n"])))
+    f.unpersist()
     accs = np.array([r[1] for r in rows])
     per = df.sparkSession.createDataFrame(rows, "fold int, accuracy double, n long")
     return per.withColumns({"mean_accuracy": F.lit(float(accs.mean())), "std_accuracy": F.lit(float(accs.std()))})

@@ -46,20 +46,24 @@ def corr_matrix(df: DataFrame, vars_: Sequence[str], with_: Sequence[str] | None
     is None), pairwise-complete, as a long table (var, with_var, r, n) plus the
     simple statistics of ``var`` (mean, std, n_var over its non-missing values).
     One aggregation computes every pair."""
+    square = with_ is None
     with_ = list(with_ or vars_)
     aggs, pairs = [], []
     for i, v in enumerate(vars_):
         for j, w in enumerate(with_):
+            pairs.append((i, j, v, w))
+            if square and j < i:
+                continue            # r and n are symmetric: computed once per unordered pair
             xm, ym = _pair(v, w)
             aggs += [_r(xm, ym).alias(f"r_{i}_{j}"), F.count(xm).cast("bigint").alias(f"n_{i}_{j}")]
-            pairs.append((i, j, v, w))
     for i, v in enumerate(vars_):
         c = F.col(v).cast("double")
         aggs += [F.avg(c).alias(f"m_{i}"), F.stddev_samp(c).alias(f"s_{i}"), F.count(c).cast("bigint").alias(f"c_{i}")]
     one = df.agg(*aggs)
     rows = F.explode(F.array(*[
-        F.struct(F.lit(v).alias("var"), F.lit(w).alias("with_var"), F.col(f"r_{i}_{j}").alias("r"),
-                 F.col(f"n_{i}_{j}").alias("n"), F.col(f"m_{i}").alias("mean_var"),
+        F.struct(F.lit(v).alias("var"), F.lit(w).alias("with_var"),
+                 F.col(f"r_{min(i, j)}_{max(i, j)}" if square else f"r_{i}_{j}").alias("r"),
+                 F.col(f"n_{min(i, j)}_{max(i, j)}" if square else f"n_{i}_{j}").alias("n"), F.col(f"m_{i}").alias("mean_var"),
                  F.col(f"s_{i}").alias("std_var"), F.col(f"c_{i}").alias("n_var"))
         for i, j, v, w in pairs]))
     return one.select(rows.alias("_p")).select("_p.*")
@@ -105,6 +109,29 @@ def beta_gap(slope: Column | str) -> Column:
 # ------------------------------------------------------------ multiple OLS
 
 
+def _moment_aggs(y: str, xs: Sequence[str]) -> list[Column]:
+    """n, means and co-moments (covar_pop: one-pass, numerically stable)."""
+    p = len(xs)
+    aggs = [F.count(F.lit(1)).alias("_n"), F.avg(y).alias(f"_m_{y}")]
+    aggs += [F.avg(x).alias(f"_m_{x}") for x in xs]
+    aggs += [F.var_pop(y).alias("_yy")]
+    aggs += [F.covar_pop(xs[i], y).alias(f"_xy_{i}") for i in range(p)]
+    aggs += [F.covar_pop(xs[i], xs[j]).alias(f"_xx_{i}_{j}") for i in range(p) for j in range(i, p)]
+    return aggs
+
+
+def _moments_from_row(r, y: str, xs: Sequence[str], n: float):
+    p = len(xs)
+    g = (lambda k: r[k] if r[k] is not None else 0.0)
+    means = np.array([g(f"_m_{c}") for c in [y, *xs]], dtype=float)
+    sxx = np.zeros((p, p))
+    for i in range(p):
+        for j in range(i, p):
+            sxx[i, j] = sxx[j, i] = g(f"_xx_{i}_{j}") * n
+    sxy = np.array([g(f"_xy_{i}") * n for i in range(p)])
+    return means, sxx, sxy, float(g("_yy") * n)
+
+
 def _solve(n: float, means: np.ndarray, sxx: np.ndarray, sxy: np.ndarray, syy: float,
            names: Sequence[str], tol: float = 1e-7) -> tuple[list[dict], dict]:
     """Solve a centred least-squares system; aliased terms (exactly
@@ -183,29 +210,21 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], residual_quantiles: bool = Tru
     """Multiple regression with an R ``lm`` style summary.
 
     Incomplete rows are dropped; repeated regressors are used once; exactly
-    collinear regressors are reported with NULL estimates. Pass 1: means and n
-    (one row). Pass 2: centred cross-products (one row, p(p+1)/2 + p + 1 sums).
-    Solve on the driver (p x p). Pass 3 (optional): residual quantiles.
+    collinear regressors are reported with NULL estimates. One aggregation
+    gives n, the means and the centred cross-products (Spark's numerically
+    stable ``covar_pop`` times n; p(p+1)/2 + p + 1 of them). Solve on the
+    driver (p x p). Pass 3 (optional): residual quantiles.
     """
     spark = df.sparkSession
     xs = _dedupe(xs)
     cols = [y] + xs
-    d = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).na.drop("any")
-    m = d.agg(F.count(F.lit(1)).alias("_n"), *[F.avg(c).alias(c) for c in cols]).first()
-    n = float(m["_n"])
-    means = np.array([m[c] if m[c] is not None else 0.0 for c in cols], dtype=float)
-    cen = {c: F.col(c) - F.lit(float(means[i])) for i, c in enumerate(cols)}
+    # the model frame feeds the moments and the residual pass: keep it for both
+    d = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).na.drop("any").persist()
     p = len(xs)
-    aggs = [F.sum(cen[y] * cen[y]).alias("syy")]
-    aggs += [F.sum(cen[xs[i]] * cen[y]).alias(f"xy_{i}") for i in range(p)]
-    aggs += [F.sum(cen[xs[i]] * cen[xs[j]]).alias(f"xx_{i}_{j}") for i in range(p) for j in range(i, p)]
-    s = d.agg(*aggs).first()
-    sxx = np.zeros((p, p))
-    for i in range(p):
-        for j in range(i, p):
-            sxx[i, j] = sxx[j, i] = s[f"xx_{i}_{j}"] or 0.0
-    sxy = np.array([s[f"xy_{i}"] or 0.0 for i in range(p)])
-    rows, summ = _solve(n, means, sxx, sxy, float(s["syy"] or 0.0), xs)
+    s = d.agg(*_moment_aggs(y, xs)).first()
+    n = float(s["_n"] or 0)
+    means, sxx, sxy, syy = _moments_from_row(s, y, xs, n)
+    rows, summ = _solve(n, means, sxx, sxy, syy, xs)
     coef_schema = "term string, estimate double, std_error double, t_value double, p_value double"
     coef = spark.createDataFrame(pd.DataFrame(rows), coef_schema)
     if residual_quantiles:
@@ -219,14 +238,15 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], residual_quantiles: bool = Tru
         qv = quantile_values(e, "e", [0.0, 0.25, 0.5, 0.75, 1.0])
         summ.update(dict(zip(["resid_min", "resid_q1", "resid_median", "resid_q3", "resid_max"], qv)))
     summary = spark.createDataFrame(pd.DataFrame([summ]))
+    d.unpersist()
     return OlsResult(coef, summary)
 
 
 def ols_multi_by(df: DataFrame, keys: Sequence[str], y: str, xs: Sequence[str]) -> DataFrame:
     """Multiple regression per group (e.g. a factor model per portfolio).
 
-    Two distributed aggregations reduce each group to its means and centred
-    cross-products (map-side combined, so a huge group costs one row); the
+    One grouped aggregation reduces each group to n, means and co-moments
+    (``covar_pop``, combined map-side, so a huge group costs one row); the
     p x p solve runs in ``mapInPandas`` over those one-row-per-group records.
     Output: keys, term, estimate, std_error, t_value, p_value, r2, n.
     """
@@ -234,15 +254,8 @@ def ols_multi_by(df: DataFrame, keys: Sequence[str], y: str, xs: Sequence[str])
     xs = _dedupe(xs)
     cols = [y] + xs
     d = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols]).na.drop("any", subset=cols)
-    mean = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.avg(c).alias(f"_m_{c}") for c in cols])
-    j = d.join(mean, keys, "inner")
-    cen = {c: F.col(c) - F.col(f"_m_{c}") for c in cols}
     p = len(xs)
-    aggs = [F.first("_n").alias("_n")] + [F.first(f"_m_{c}").alias(f"_m_{c}") for c in cols]
-    aggs += [F.sum(cen[y] * cen[y]).alias("syy")]
-    aggs += [F.sum(cen[xs[i]] * cen[y]).alias(f"xy_{i}") for i in range(p)]
-    aggs += [F.sum(cen[xs[i]] * cen[xs[j]]).alias(f"xx_{i}_{j}") for i in range(p) for j in range(i, p)]
-    suff = j.groupBy(*keys).agg(*aggs)
+    suff = d.groupBy(*keys).agg(*_moment_aggs(y, xs))
     key_fields = [f for f in suff.schema.fields if f.name in keys]
     out_schema = T.StructType(key_fields + [
         T.StructField("term", T.StringType()), T.StructField("estimate", T.DoubleType()),
@@ -254,13 +267,9 @@ def ols_multi_by(df: DataFrame, keys: Sequence[str], y: str, xs: Sequence[str])
         for pdf in batches:
             out = []
             for _, r in pdf.iterrows():
-                sxx = np.zeros((p, p))
-                for a in range(p):
-                    for b in range(a, p):
-                        sxx[a, b] = sxx[b, a] = r[f"xx_{a}_{b}"]
-                sxy = np.array([r[f"xy_{a}"] for a in range(p)])
-                means = np.array([r[f"_m_{c}"] for c in cols])
-                rows, summ = _solve(float(r["_n"]), means, sxx, sxy, float(r["syy"]), xs)
+                n = float(r["_n"])
+                means, sxx, sxy, syy = _moments_from_row(r, y, xs, n)
+                rows, summ = _solve(n, means, sxx, sxy, syy, xs)
                 for row in rows:
                     rec = {k: r[k] for k in keys}
                     rec.update(row)

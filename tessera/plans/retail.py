@@ -49,7 +49,7 @@ def elasticity(wide: DataFrame, own: str, rivals: Sequence[str], years: Sequence
     The own-price elasticity is the coefficient of ``ln_p_{own}``. Returns
     ``{"coefficients": long table with a model column, "summary": one row per model}``.
     """
-    d = add_model_terms(wide, [own, *rivals], year_col, years)
+    d = add_model_terms(wide, [own, *rivals], year_col, years).persist()   # read by 4 models
     specs = {
         "m1": (f"units_{own}", [f"price_{own}"]),
         "m2": (f"ln_q_{own}", [f"ln_p_{own}"]),
@@ -66,6 +66,7 @@ def elasticity(wide: DataFrame, own: str, rivals: Sequence[str], years: Sequence
         s = res.summary.withColumn("model", F.lit(name))
         coefs = c if coefs is None else coefs.unionByName(c)
         sums = s if sums is None else sums.unionByName(s, allowMissingColumns=True)
+    d.unpersist()   # the results are small tables built from the fitted values
     return {"coefficients": coefs, "summary": sums}
 
 
