@@ -1,19 +1,76 @@
 """Windows and ordered time series W1-W13.
 
-Every window is partitioned by the entity, so rows of one entity are sorted
-inside one task and entities spread over the cluster; nothing orders the
-whole table in one partition. Where a per-entity result can be had from a
-hash aggregation instead of a sort (first-row flag, period numbers), that
-form is used because it is combined map-side and immune to a hot entity.
+Windows are partitioned by the entity, so entities spread over the cluster
+and nothing orders the whole table in one partition. A hot entity (say a
+third of all rows) would still be sorted by one task, so above
+``ROWS_PER_CHUNK`` rows the lag and forward-fill operators split every
+entity's rows into ranges of the first order column (global quantile
+boundaries, ``Bucketizer``), run the window per (entity, range), and carry
+values across range boundaries through small per-(entity, range) tables
+joined on positions -- exact, and no task sorts more than about one range.
+Where a per-entity result can be had from a hash aggregation instead of a
+sort (first-row flag, period numbers), that form is used.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+ROWS_PER_CHUNK = 2_000_000
+MAX_CHUNKS = 16384
+
+
+def _order_number(df: DataFrame, col: str) -> Column:
+    dt = dict(df.dtypes).get(col, "double")
+    if dt == "date":
+        return F.unix_date(F.col(col)).cast("double")
+    if dt.startswith("timestamp"):
+        return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
+    return F.col(col).cast("double")
+
+
+def _chunked(df: DataFrame, order: list, rows_per_chunk: int | None = None) -> DataFrame | None:
+    """Add ``_chunk`` (range of the first order column) when the table is big
+    enough for one entity to overflow a task; None for small tables."""
+    per = rows_per_chunk or ROWS_PER_CHUNK
+    n = df.count()
+    if n <= per:
+        return None
+    b = int(min(MAX_CHUNKS, math.ceil(n / per)))
+    key = _order_number(df, order[0])
+    qs = df.agg(F.percentile_approx(key, [i / b for i in range(1, b)], max(10000, 20 * b))).first()[0]
+    splits = [-math.inf] + sorted({float(q) for q in (qs or []) if q is not None and not math.isnan(q)}) + [math.inf]
+    return Bucketizer(splits=splits, inputCol="_ck", outputCol="_chunk", handleInvalid="keep").transform(
+        df.withColumn("_ck", F.coalesce(key, F.lit(-math.inf)))).drop("_ck")
+
+
+def _positions(d: DataFrame, entity: list, order: list) -> DataFrame:
+    """Row number in chunk (_rn), chunk size (_cnt) and the global 0-based
+    position of the row inside its entity (_g)."""
+    keys = entity + ["_chunk"]
+    w = Window.partitionBy(*keys).orderBy(*order)
+    d = d.withColumns({"_rn": F.row_number().over(w), "_cnt": F.count(F.lit(1)).over(Window.partitionBy(*keys))})
+    sizes = d.groupBy(*keys).agg(F.max("_cnt").alias("_size"))     # one row per (entity, chunk)
+    wo = Window.partitionBy(*entity).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    off = sizes.select(*keys, F.coalesce(F.sum("_size").over(wo), F.lit(0)).alias("_off"))
+    return d.join(off, keys).withColumn("_g", F.col("_off") + F.col("_rn") - 1).drop("_off")
+
+
+def _lag_chunked(d: DataFrame, entity: list, order: list, c: str, n: int, out: str) -> DataFrame:
+    keys = entity + ["_chunk"]
+    w = Window.partitionBy(*keys).orderBy(*order)
+    d = _positions(d.withColumn(out, F.lag(F.col(c), n).over(w)), entity, order)
+    tails = d.where(F.col("_rn") > F.col("_cnt") - n).select(*entity, F.col("_g").alias("_tg"), F.col(c).alias("_tv"))
+    need = (F.col("_rn") <= n) & (F.col("_g") >= n)      # the lagged row lies in an earlier chunk
+    fixed = (d.where(need).withColumn("_tg", F.col("_g") - n).join(tails, entity + ["_tg"], "left")
+             .withColumn(out, F.col("_tv")).drop("_tg", "_tv"))
+    return d.where(~need).unionByName(fixed).drop("_rn", "_cnt", "_g", "_chunk")
+
 
 def _w(entity: Sequence[str], order: Sequence[str]):
     return Window.partitionBy(*entity).orderBy(*order)
@@ -39,7 +96,11 @@ def lag_by(df: DataFrame, entity, order, c: str, n: int = 1, out: str | None = N
     entity, order = _list(entity), _list(order)
     out = out or f"{c}_lag{n}"
     src = df.where(where) if (where is not None and when == "before") else df
-    res = src.withColumn(out, F.lag(F.col(c), n).over(_w(entity, order)))
+    ch = _chunked(src, order)
+    if ch is None:
+        res = src.withColumn(out, F.lag(F.col(c), n).over(_w(entity, order)))
+    else:
+        res = _lag_chunked(ch, entity, order, c, n, out)
     if not reset:
         if n != 1:
             raise ValueError("reset=False supports n=1")
@@ -72,15 +133,35 @@ def ffill(df: DataFrame, entity, order, c: str, first=None, out: str | None = No
     """
     entity, order = _list(entity), _list(order)
     out = out or f"{c}_filled"
-    w = _w(entity, order)
-    v = F.col(c)
+    ch = _chunked(df, order)
+    if ch is None:
+        w = _w(entity, order)
+        v = F.col(c)
+        if first is not None:
+            v = F.when(F.row_number().over(w) == 1, F.lit(first)).otherwise(v)
+            df = df.withColumn("_v", v)
+            v = F.col("_v")
+        filled = F.last(v, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+        res = df.withColumn(out, filled)
+        return res.drop("_v") if first is not None else res
+    return _ffill_chunked(ch, entity, order, c, first, out)
+
+
+def _ffill_chunked(d: DataFrame, entity: list, order: list, c: str, first, out: str) -> DataFrame:
+    keys = entity + ["_chunk"]
+    w = Window.partitionBy(*keys).orderBy(*order)
     if first is not None:
-        v = F.when(F.row_number().over(w) == 1, F.lit(first)).otherwise(v)
-        df = df.withColumn("_v", v)
-        v = F.col("_v")
-    filled = F.last(v, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    res = df.withColumn(out, filled)
-    return res.drop("_v") if first is not None else res
+        d = _positions(d, entity, order)
+        d = d.withColumn("_v", F.when(F.col("_g") == 0, F.lit(first)).otherwise(F.col(c))).drop("_rn", "_cnt", "_g")
+    else:
+        d = d.withColumn("_v", F.col(c))
+    d = d.withColumn("_local", F.last("_v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    ord_struct = F.struct(*[F.col(o) for o in order])
+    last_in_chunk = d.groupBy(*keys).agg(F.max_by(F.col("_v"), F.when(F.col("_v").isNotNull(), ord_struct)).alias("_cl"))
+    wc = Window.partitionBy(*entity).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last_in_chunk.select(*keys, F.last("_cl", ignorenulls=True).over(wc).alias("_carry"))
+    return (d.join(carry, keys).withColumn(out, F.coalesce(F.col("_local"), F.col("_carry")))
+            .drop("_v", "_local", "_carry", "_chunk"))
 
 
 def status_effective(df: DataFrame, entity, order, c: str, default="in",
@@ -90,15 +171,17 @@ def status_effective(df: DataFrame, entity, order, c: str, default="in",
     value; the first row gets ``default``."""
     entity, order = _list(entity), _list(order)
     f = ffill(df, entity, order, c, first=default, out="_filled")
-    return (f.withColumn(out, F.coalesce(F.lag("_filled").over(_w(entity, order)), F.lit(default)))
+    f = lag_by(f, entity, order, "_filled", 1, out="_prev_filled")
+    return (f.withColumn(out, F.coalesce(F.col("_prev_filled"), F.lit(default))).drop("_prev_filled")
             .withColumnRenamed("_filled", f"{c}_filled"))
 
 
 def log_return(df: DataFrame, entity, order, c: str, out: str | None = None) -> DataFrame:
     """ln(c / previous c) within entity; non-positive ratio or missing -> NULL."""
     entity, order = _list(entity), _list(order)
-    ratio = F.try_divide(F.col(c).cast("double"), F.lag(c).over(_w(entity, order)).cast("double"))
-    return df.withColumn(out or f"{c}_logret", F.when(ratio > 0, F.ln(ratio)))
+    d = lag_by(df, entity, order, c, out="_prev")
+    ratio = F.try_divide(F.col(c).cast("double"), F.col("_prev").cast("double"))
+    return d.withColumn(out or f"{c}_logret", F.when(ratio > 0, F.ln(ratio))).drop("_prev")
 
 
 def lagged_growth(df: DataFrame, entity, order, c: str, base: str = "later",
@@ -106,8 +189,7 @@ def lagged_growth(df: DataFrame, entity, order, c: str, base: str = "later",
     """Growth from the two previous rows, ``(l1 - l2) / l1`` (as written,
     ``base="later"``) or ``(l1 - l2) / l2`` (``base="older"``)."""
     entity, order = _list(entity), _list(order)
-    w = _w(entity, order)
-    df = df.withColumns({f"{c}_l1": F.lag(c, 1).over(w), f"{c}_l2": F.lag(c, 2).over(w)})
+    df = lag_by(lag_by(df, entity, order, c, 1, out=f"{c}_l1"), entity, order, c, 2, out=f"{c}_l2")
     l1, l2 = F.col(f"{c}_l1").cast("double"), F.col(f"{c}_l2").cast("double")
     return df.withColumn(out, F.try_divide(l1 - l2, l1 if base == "later" else l2))
 
