@@ -170,7 +170,7 @@ def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence) -> DataFra
     When all directions agree it is one hash aggregation with ``min_by`` /
     ``max_by`` over a struct, which is combined map-side, so a key holding a
     third of the rows costs no more than any other key. Mixed directions use
-    ``row_number`` over a window.
+    the salted two-stage ``top_k_per_group``.
     """
     spec = _order_spec(order)
     key = list(key)
@@ -181,9 +181,34 @@ def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence) -> DataFra
         pick = F.min_by(payload, ordkey) if dirs.pop() else F.max_by(payload, ordkey)
         return (df.groupBy(*key).agg(pick.alias("_row"))
                 .select(*key, "_row.*").select(*df.columns))
+    return top_k_per_group(df, key, order, 1).drop("rank")
+
+
+SALTS = 1024
+
+
+def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence, k: int,
+                    rank_col: str = "rank", salts: int = SALTS) -> DataFrame:
+    """The first ``k`` rows per group by ``order`` (items are names, ascending,
+    or ``(name, ascending)``; end with a unique column for a defined result),
+    with their rank 1..k.
+
+    Two windows instead of one: rows are spread over ``salts`` sub-groups by a
+    hash of the row, each sub-group keeps its own top k, and the final top k
+    per group is taken over at most k x salts survivors. A group holding a
+    third of the table is therefore ranked by many tasks, and the result is
+    the same as a single window per group."""
     from pyspark.sql import Window
-    w = Window.partitionBy(*key).orderBy(*[F.col(c).asc() if a else F.col(c).desc() for c, a in spec])
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+
+    spec = _order_spec(order)
+    group = list(group)
+    ords = [F.col(c).asc() if a else F.col(c).desc() for c, a in spec]
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts))
+    s1 = Window.partitionBy(*group, "_salt").orderBy(*ords)
+    part = df.withColumn("_salt", salt).withColumn("_r1", F.row_number().over(s1)).where(F.col("_r1") <= k)
+    s2 = Window.partitionBy(*group).orderBy(*ords)
+    return (part.withColumn(rank_col, F.row_number().over(s2)).where(F.col(rank_col) <= k)
+            .drop("_salt", "_r1"))
 
 
 def duplicate_count(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -9,9 +9,11 @@ jobs evaluate, check and rank plans as Spark joins and aggregations.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.frame import top_k_per_group
+
 PRICE = 8            # fixed value: unit price of every product
 BOX_MIN, BOX_MAX = 4, 7   # fixed values: products per box
 PRODUCT_CAP = 80000  # fixed value: units of one product over all segments
@@ -65,8 +67,8 @@ def score_bundles(candidates: DataFrame, profit: DataFrame, k: int = 3) -> DataF
     s = (candidates.join(profit.select("product", "segment", "profit"), "product")
          .groupBy("bundle", "segment").agg(F.sum("profit").alias("profit"),
                                            F.count(F.lit(1)).cast("bigint").alias("n_products")))
-    w = Window.partitionBy("segment").orderBy(F.col("profit").desc(), F.col("bundle"))
-    return s.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    # top k per segment in two salted stages (a segment may hold most candidates)
+    return top_k_per_group(s, ["segment"], [("profit", False), ("bundle", True)], k)
 
 
 def plan_report(x: DataFrame, y: DataFrame, names: DataFrame | None = None) -> DataFrame:
