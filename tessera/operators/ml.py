@@ -174,7 +174,12 @@ def knn_impute(df: DataFrame, id_col: str, cols: Sequence[str], k: int = 5) -> D
 def mode_impute(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """M2: fill missing values with the column's most frequent value (ties:
     lowest value). The modes are scalar subqueries (one value each)."""
-    modes = {c: df.where(F.col(c).isNotNull()).select(F.mode(c, True)).scalar() for c in cols}
+    modes = {}
+    for c in cols:
+        # counts per value (distributed, map-side combined), then the most
+        # frequent value, lowest on ties, as a scalar subquery
+        counts = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
+        modes[c] = counts.select(F.min_by(F.col(c), F.struct(-F.col("_n"), F.col(c)))).scalar()
     return df.withColumns({c: F.coalesce(F.col(c), modes[c]) for c in cols})
 
 

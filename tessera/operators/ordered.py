@@ -116,9 +116,19 @@ def _carry_previous_entity(df: DataFrame, entity: list, order: list, c: str, out
     ord_struct = F.struct(*[F.col(o) for o in order])
     per = df.groupBy(*entity).agg(F.max_by(F.col(c), ord_struct).alias("_last"),
                                   F.min(ord_struct).alias("_first"))
-    # one row per entity; the un-partitioned window runs on that small table
-    prev = per.select(*entity, "_first",
-                      F.lag("_last").over(Window.orderBy(*entity)).alias("_prev_last"))
+    numeric = len(entity) == 1 and dict(df.dtypes)[entity[0]] in ("int", "bigint", "smallint", "tinyint", "double",
+                                                                  "float")
+    if numeric:
+        # exact entity rank from distributed prefix sums, then "previous" is an equi-join
+        from tessera.operators.rank import row_index
+
+        ranked = row_index(per, entity, out="_ei")
+        prev = ranked.join(ranked.select((F.col("_ei") + 1).alias("_ei"), F.col("_last").alias("_prev_last")),
+                           "_ei", "left").select(*entity, "_first", "_prev_last")
+    else:
+        # one row per entity; the un-partitioned window runs on that entity table
+        prev = per.select(*entity, "_first",
+                          F.lag("_last").over(Window.orderBy(*entity)).alias("_prev_last"))
     j = df.withColumn("_first", ord_struct).join(prev, entity + ["_first"], "left")
     # only an entity's first row matches (and its in-entity lag is NULL)
     return j.withColumn(out, F.coalesce(F.col(out), F.col("_prev_last"))).drop("_first", "_prev_last")
