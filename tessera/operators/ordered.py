@@ -61,7 +61,8 @@ def _positions(d: DataFrame, entity: list, order: list) -> DataFrame:
     return d.join(off, keys).withColumn("_g", F.col("_off") + F.col("_rn") - 1).drop("_off")
 
 
-def _lag_chunked(d: DataFrame, entity: list, order: list, c: str, n: int, out: str) -> DataFrame:
+def _lag_chunked(d: DataFrame, entity: list, order: list, c: str, n: int, out: str,
+                 drop_chunk: bool = True) -> DataFrame:
     keys = entity + ["_chunk"]
     w = Window.partitionBy(*keys).orderBy(*order)
     d = _positions(d.withColumn(out, F.lag(F.col(c), n).over(w)), entity, order)
@@ -69,7 +70,8 @@ def _lag_chunked(d: DataFrame, entity: list, order: list, c: str, n: int, out: s
     need = (F.col("_rn") <= n) & (F.col("_g") >= n)      # the lagged row lies in an earlier chunk
     fixed = (d.where(need).withColumn("_tg", F.col("_g") - n).join(tails, entity + ["_tg"], "left")
              .withColumn(out, F.col("_tv")).drop("_tg", "_tv"))
-    return d.where(~need).unionByName(fixed).drop("_rn", "_cnt", "_g", "_chunk")
+    res = d.where(~need).unionByName(fixed).drop("_rn", "_cnt", "_g")
+    return res.drop("_chunk") if drop_chunk else res
 
 
 def _w(entity: Sequence[str], order: Sequence[str]):
@@ -80,6 +82,21 @@ def _list(x) -> list:
     return [x] if isinstance(x, (str, Column)) else list(x)
 
 
+def lags(df: DataFrame, entity, order, specs: Sequence[tuple[str, int, str]]) -> DataFrame:
+    """Several lags ``(column, n, out)`` within entity in one pass: one
+    chunking decision, and below the threshold one window (one sort)."""
+    entity, order = _list(entity), _list(order)
+    ch = _chunked(df, order)
+    if ch is None:
+        w = _w(entity, order)
+        return df.withColumns({out: F.lag(F.col(c), n).over(w) for c, n, out in specs})
+    # chunked: keep the range column across the lags, drop it at the end
+    keep = ch
+    for c, n, out in specs:
+        keep = _lag_chunked(keep, entity, order, c, n, out, drop_chunk=False)
+    return keep.drop("_chunk")
+
+
 def lag_by(df: DataFrame, entity, order, c: str, n: int = 1, out: str | None = None,
            reset: bool = True, where: Column | None = None, when: str = "before") -> DataFrame:
     """Previous-row value of ``c`` within each entity.
@@ -199,7 +216,7 @@ def lagged_growth(df: DataFrame, entity, order, c: str, base: str = "later",
     """Growth from the two previous rows, ``(l1 - l2) / l1`` (as written,
     ``base="later"``) or ``(l1 - l2) / l2`` (``base="older"``)."""
     entity, order = _list(entity), _list(order)
-    df = lag_by(lag_by(df, entity, order, c, 1, out=f"{c}_l1"), entity, order, c, 2, out=f"{c}_l2")
+    df = lags(df, entity, order, [(c, 1, f"{c}_l1"), (c, 2, f"{c}_l2")])
     l1, l2 = F.col(f"{c}_l1").cast("double"), F.col(f"{c}_l2").cast("double")
     return df.withColumn(out, F.try_divide(l1 - l2, l1 if base == "later" else l2))
 

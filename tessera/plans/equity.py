@@ -58,9 +58,8 @@ def return_panel(df: DataFrame, year_range: tuple[int, int] | None = None, where
         d = d.where(F.col("y").between(*year_range))
     if where is not None:
         d = d.where(where)
-    d = O.lag_by(d, "entity", ["y", "m"], mv, out="mvlag")
-    if tmv:
-        d = O.lag_by(d, "entity", ["y", "m"], tmv, out="tmvlag")
+    specs = [(mv, 1, "mvlag")] + ([(tmv, 1, "tmvlag")] if tmv else [])
+    d = O.lags(d, "entity", ["y", "m"], specs)
     return d.withColumns({"date": make_day("y", "m", 28), "yearr": rebalance_year("y", "m")})
 
 
