@@ -25,11 +25,20 @@ ROWS_PER_BUCKET = 2_000_000
 MIN_BUCKETS, MAX_BUCKETS = 16, 16384
 
 
+def _grid(b: int) -> list[float]:
+    return [i / b for i in range(1, b)]
+
+
 def _buckets(df: DataFrame, first: str) -> tuple[DataFrame, int]:
     kd = F.col(first).cast("double")
-    n = df.count()
+    # one pass gives the row count and MIN_BUCKETS boundaries; a finer second
+    # pass runs only when the data needs more buckets
+    r = df.agg(F.count(F.lit(1)).alias("n"),
+               F.percentile_approx(kd, _grid(MIN_BUCKETS), 10000).alias("q")).first()
+    n, qs = r["n"], r["q"]
     b = int(min(MAX_BUCKETS, max(MIN_BUCKETS, math.ceil(n / ROWS_PER_BUCKET))))
-    qs = df.agg(F.percentile_approx(kd, [i / b for i in range(1, b)], max(10000, 20 * b)).alias("q")).first()["q"]
+    if b > MIN_BUCKETS:
+        qs = df.agg(F.percentile_approx(kd, _grid(b), max(10000, 20 * b)).alias("q")).first()["q"]
     splits = [-math.inf] + sorted({float(q) for q in (qs or []) if q is not None and not math.isnan(q)}) + [math.inf]
     out = Bucketizer(splits=splits, inputCol="_kd", outputCol="_b", handleInvalid="keep").transform(
         df.withColumn("_kd", kd)).drop("_kd")

@@ -205,3 +205,17 @@ def test_chunked_windows_equal_plain_windows(spark, monkeypatch, case):
     monkeypatch.setattr(O, "ROWS_PER_CHUNK", 400)
     chunked = sorted(map(tuple, fns[case]().collect()), key=str)
     assert plain == chunked
+
+
+def test_row_index_and_quantiles_with_many_buckets(spark, monkeypatch):
+    """Force the fine-bucket path (more buckets than the first pass gives)."""
+    from tessera.operators import rank as R
+
+    monkeypatch.setattr(R, "ROWS_PER_BUCKET", 100)
+    df = spark.range(0, 5000).withColumn("k", F.xxhash64("id", F.lit(3))).withColumn("g", F.col("id") % 3)
+    pa = R.row_index(df, "k", by=["g"], out="i").toPandas()
+    for g, sub in pa.groupby("g"):
+        assert sub.sort_values("k")["i"].tolist() == list(range(len(sub)))
+    vals = np.array(df.select(F.col("k").cast("double")).toPandas().iloc[:, 0])
+    got = R.quantile_values(df, "k", [0.1, 0.5, 0.9])
+    assert got == pytest.approx(np.quantile(vals, [0.1, 0.5, 0.9]), rel=1e-12)
