@@ -46,9 +46,9 @@ QUERIES = {k: v for k, v in globals().items() if k[:1] == "r" and k[1:2].isdigit
 
 ORACLE = {
     "r1_widen": """select cast(year(o_orderdate) as int) as year, cast(month(o_orderdate) as int) as month,
-  sum(o_totalprice) filter (where o_orderstatus = 'F') as F_o_totalprice, sum(1) filter (where o_orderstatus = 'F') as F_one,
-  sum(o_totalprice) filter (where o_orderstatus = 'O') as O_o_totalprice, sum(1) filter (where o_orderstatus = 'O') as O_one,
-  sum(o_totalprice) filter (where o_orderstatus = 'P') as P_o_totalprice, sum(1) filter (where o_orderstatus = 'P') as P_one
+  sum(o_totalprice) filter (where o_orderstatus = 'F') as F_o_totalprice, cast(sum(1) filter (where o_orderstatus = 'F') as bigint) as F_one,
+  sum(o_totalprice) filter (where o_orderstatus = 'O') as O_o_totalprice, cast(sum(1) filter (where o_orderstatus = 'O') as bigint) as O_one,
+  sum(o_totalprice) filter (where o_orderstatus = 'P') as P_o_totalprice, cast(sum(1) filter (where o_orderstatus = 'P') as bigint) as P_one
   from orders group by all""",
     "r2_entities_as_columns": """with per as (select cast(year(o_orderdate) as int) as year, r_name, sum(o_totalprice) as total
   from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey

@@ -110,9 +110,9 @@ union all select 'product_cap', cast(x.product as varchar), cast(sum(s.n) as big
   from v_plan_x x join v_plan_y y on x.box = y.box join v_segments s on s.segment = y.segment group by x.product""",
                         "v_plan_x", "v_plan_y", "v_segments"),
     "d27_score_bundles": W("""with c as (select p.p_brand as bundle, v.product from v_products v join part p on v.product = p.p_partkey),
-s as (select c.bundle, k.segment, sum(k.n * (8 - k.cost)) as profit, cast(count(*) as bigint) as n_products
+s as (select c.bundle, k.segment, cast(sum(k.n * (8 - k.cost)) as bigint) as profit, cast(count(*) as bigint) as n_products
   from c join v_cost k on c.product = k.product group by c.bundle, k.segment),
-r as (select *, row_number() over (partition by segment order by profit desc, bundle) as rank from s)
+r as (select *, cast(row_number() over (partition by segment order by profit desc, bundle) as int) as rank from s)
 select * from r where rank <= 3""", "v_products", "v_cost"),
     "d28_plan_report": W("""with i as (select x.box, string_agg(p.product_name, ', ' order by p.product_name) as products,
   cast(count(*) as bigint) as n_products from v_plan_x x left join v_products p on x.product = p.product group by x.box),
