@@ -68,13 +68,22 @@ def m8_accuracy(spark, sf):
     return M.accuracy(_rule(spark, sf), "label", "prediction")
 
 
+def _holdout(spark, d, cols):
+    """Balance the training split, fit, score the test split. ``d`` is read
+    by many jobs (split, SMOTE, the fit, the scoring), so it is kept in memory
+    for the evaluation and released before the one-row result is returned."""
+    d = d.persist()
+    train = M.smote(d.where(F.col("is_test") == 0).select("doc_id", "label", *cols), "doc_id", "label", cols,
+                    k=5, seed=SEED)
+    model = M.fit_logistic(train, cols, "label")
+    r = M.accuracy(M.predict(model, d.where(F.col("is_test") == 1), cols), "label").first()
+    d.unpersist()
+    return spark.createDataFrame([(r["accuracy"], r["n"])], "accuracy double, n long")
+
+
 def m8_holdout_accuracy(spark, sf):
     d = M.split(_prepared(spark, sf), "doc_id", 0.2, SEED)
-    cols = _features(d)
-    train = M.smote(d.where(F.col("is_test") == 0), "doc_id", "label", cols, k=5, seed=SEED)
-    model = M.fit_logistic(train, cols, "label")
-    pred = M.predict(model, d.where(F.col("is_test") == 1), cols)
-    return M.accuracy(pred, "label")
+    return _holdout(spark, d, _features(d))
 
 
 def m9_pca(spark, sf):
@@ -82,6 +91,29 @@ def m9_pca(spark, sf):
     return M.pca(e, "embedding", 5).select("vec_id", *[f"PCA_{i}" for i in range(1, 6)])
 
 
+def _pca_split(spark, sf, n=5):
+    """Split first, then PCA fitted on the training rows only and applied to all."""
+    d = M.split(_prepared(spark, sf), "doc_id", 0.2, SEED).persist()
+    cols = _features(d)
+    k = min(n, len(cols))
+    return M.pca(d, cols, k, fit_on=d.where(F.col("is_test") == 0)), [f"PCA_{i}" for i in range(1, k + 1)], d
+
+
+def m9_pca_holdout_accuracy(spark, sf):
+    d, pcs, split_rows = _pca_split(spark, sf)
+    out = _holdout(spark, d, pcs)
+    split_rows.unpersist()
+    return out
+
+
+def m11_cross_validate_pca(spark, sf):
+    d = _prepared(spark, sf)
+    cols = _features(d)
+    k = min(5, len(cols))
+    p = M.pca(d, cols, k)
+    return M.cross_validate(p, "doc_id", [f"PCA_{i}" for i in range(1, k + 1)], "label", 5)
+
+
 def m10_stratified_folds(spark, sf):
     return M.stratified_folds(V(spark, sf, "v_labelled"), "doc_id", "label", 5).select("doc_id", "label", "fold")
 

@@ -302,23 +302,28 @@ def accuracy(pred: DataFrame, label: str = "label", prediction: str = "predictio
                     F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
-def pca(df: DataFrame, cols: Sequence[str] | str, n: int = 5, prefix: str = "PCA_") -> DataFrame:
+def pca(df: DataFrame, cols: Sequence[str] | str, n: int = 5, prefix: str = "PCA_",
+        fit_on: DataFrame | None = None) -> DataFrame:
     """M9: principal components appended as ``PCA_1..n``. Inputs are centred
     first (``pyspark.ml`` PCA does not centre); each component's sign is
     fixed so its largest-magnitude loading is positive. ``cols`` is a list of
-    numeric columns or the name of one array/vector column."""
-    if isinstance(cols, str):
-        dtype = dict(df.dtypes)[cols]
-        vec = F.col(cols) if dtype == "vector" else array_to_vector(F.col(cols).cast("array<double>"))
-        d = df.withColumn("_x", vec)
-    else:
-        d = VectorAssembler(inputCols=list(cols), outputCol="_x").transform(df)
-    sc = StandardScaler(inputCol="_x", outputCol="_xc", withMean=True, withStd=False).fit(d)
-    dc = sc.transform(d)
-    model = PCA(k=n, inputCol="_xc", outputCol="_pc").fit(dc)
+    numeric columns or the name of one array/vector column. ``fit_on`` (e.g.
+    the training split) gives the rows the centring and the components are
+    fitted on; they are then applied to every row of ``df``."""
+    def vectors(d: DataFrame) -> DataFrame:
+        if isinstance(cols, str):
+            dtype = dict(d.dtypes)[cols]
+            vec = F.col(cols) if dtype == "vector" else array_to_vector(F.col(cols).cast("array<double>"))
+            return d.withColumn("_x", vec)
+        return VectorAssembler(inputCols=list(cols), outputCol="_x").transform(d)
+
+    d = vectors(df)
+    fit_rows = vectors(fit_on) if fit_on is not None else d
+    sc = StandardScaler(inputCol="_x", outputCol="_xc", withMean=True, withStd=False).fit(fit_rows)
+    model = PCA(k=n, inputCol="_xc", outputCol="_pc").fit(sc.transform(fit_rows))
     pc = model.pc.toArray()                       # p x n loadings (small)
     signs = [1.0 if pc[np.argmax(np.abs(pc[:, j])), j] >= 0 else -1.0 for j in range(n)]
-    out = model.transform(dc).withColumn("_a", vector_to_array("_pc"))
+    out = model.transform(sc.transform(d)).withColumn("_a", vector_to_array("_pc"))
     out = out.withColumns({f"{prefix}{j + 1}": F.col("_a")[j] * F.lit(signs[j]) for j in range(n)})
     return out.drop("_x", "_xc", "_pc", "_a")
 
