@@ -174,7 +174,8 @@ def ffill(df: DataFrame, entity, order, c: str, first=None, out: str | None = No
     return _ffill_chunked(ch, entity, order, c, first, out)
 
 
-def _ffill_chunked(d: DataFrame, entity: list, order: list, c: str, first, out: str) -> DataFrame:
+def _ffill_chunked(d: DataFrame, entity: list, order: list, c: str, first, out: str,
+                   drop_chunk: bool = True) -> DataFrame:
     keys = entity + ["_chunk"]
     w = Window.partitionBy(*keys).orderBy(*order)
     if first is not None:
@@ -187,8 +188,9 @@ def _ffill_chunked(d: DataFrame, entity: list, order: list, c: str, first, out:
     last_in_chunk = d.groupBy(*keys).agg(F.max_by(F.col("_v"), F.when(F.col("_v").isNotNull(), ord_struct)).alias("_cl"))
     wc = Window.partitionBy(*entity).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carry = last_in_chunk.select(*keys, F.last("_cl", ignorenulls=True).over(wc).alias("_carry"))
-    return (d.join(carry, keys).withColumn(out, F.coalesce(F.col("_local"), F.col("_carry")))
-            .drop("_v", "_local", "_carry", "_chunk"))
+    res = (d.join(carry, keys).withColumn(out, F.coalesce(F.col("_local"), F.col("_carry")))
+           .drop("_v", "_local", "_carry"))
+    return res.drop("_chunk") if drop_chunk else res
 
 
 def status_effective(df: DataFrame, entity, order, c: str, default="in",
@@ -197,8 +199,16 @@ def status_effective(df: DataFrame, entity, order, c: str, default="in",
     with the first row forced to ``default``, then the previous row's filled
     value; the first row gets ``default``."""
     entity, order = _list(entity), _list(order)
-    f = ffill(df, entity, order, c, first=default, out="_filled")
-    f = lag_by(f, entity, order, "_filled", 1, out="_prev_filled")
+    ch = _chunked(df, order)            # one decision for the fill and the lag
+    if ch is None:
+        w = _w(entity, order)
+        v = F.when(F.row_number().over(w) == 1, F.lit(default)).otherwise(F.col(c))
+        f = df.withColumn("_v", v).withColumn(
+            "_filled", F.last("_v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_v")
+        f = f.withColumn("_prev_filled", F.lag("_filled").over(w))
+    else:
+        f = _ffill_chunked(ch, entity, order, c, default, "_filled", drop_chunk=False)
+        f = _lag_chunked(f, entity, order, "_filled", 1, "_prev_filled")
     return (f.withColumn(out, F.coalesce(F.col("_prev_filled"), F.lit(default))).drop("_prev_filled")
             .withColumnRenamed("_filled", f"{c}_filled"))
 

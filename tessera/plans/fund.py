@@ -27,13 +27,20 @@ def fund_nav_panel(returns: DataFrame, navs: DataFrame, universe: DataFrame, res
     previous fund return - nav return. Lags are per fund (``reset=False``
     reproduces a lag that runs on across funds in (code, day) order)."""
     j = (returns.join(navs, ["fund_text", "d"], "left").where(F.col("nav").isNotNull())
-         .withColumn("code", to_number("fund_text")).drop("fund_text"))
-    j = O.lag_by(j, "code", "d", "nav", out="nav_lag", reset=reset)
+         .withColumns({"code": to_number("fund_text"), "fund_return": F.col("fund_return_pct") / 100})
+         .drop("fund_text"))
+    if reset:
+        # per-fund lags do not depend on which other funds are present, so both
+        # lags run in one pass before the (whole-fund) universe restriction
+        j = O.lags(j, "code", "d", [("nav", 1, "nav_lag"), ("fund_return", 1, "fund_return_lag")])
+        j = restrict_to(j, universe, ["code"])
+    else:
+        # a lag that runs on across funds sees the table as it is at each step
+        j = O.lag_by(j, "code", "d", "nav", out="nav_lag", reset=False)
+        j = restrict_to(j, universe, ["code"])
+        j = O.lag_by(j, "code", "d", "fund_return", out="fund_return_lag", reset=False)
     j = j.withColumn("nav_return", F.when(F.try_divide(F.col("nav"), F.col("nav_lag")) > 0,
                                           F.ln(F.try_divide(F.col("nav"), F.col("nav_lag")))))
-    j = restrict_to(j, universe, ["code"])
-    j = j.withColumn("fund_return", F.col("fund_return_pct") / 100)
-    j = O.lag_by(j, "code", "d", "fund_return", out="fund_return_lag", reset=reset)
     return j.select("code", "d", F.year("d").cast("int").alias("y"), F.month("d").cast("int").alias("m"),
                     "nav", "nav_lag", "nav_return", "fund_return", "fund_return_lag",
                     (F.col("fund_return_lag") - F.col("nav_return")).alias("tracking_error"))
