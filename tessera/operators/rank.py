@@ -29,11 +29,12 @@ def _grid(b: int) -> list[float]:
     return [i / b for i in range(1, b)]
 
 
-def _buckets(df: DataFrame, first: str) -> tuple[DataFrame, int]:
+def _buckets(df: DataFrame, first: str, weight: str | None = None) -> tuple[DataFrame, int, float | None]:
     kd = F.col(first).cast("double")
-    # one pass gives the row count and MIN_BUCKETS boundaries; a finer second
-    # pass runs only when the data needs more buckets
+    # one pass gives the row count (and total weight) and MIN_BUCKETS
+    # boundaries; a finer second pass runs only when the data needs more buckets
     r = df.agg(F.count(F.lit(1)).alias("n"),
+               (F.sum(weight) if weight else F.lit(None)).alias("w"),
                F.percentile_approx(kd, _grid(MIN_BUCKETS), 10000).alias("q")).first()
     n, qs = r["n"], r["q"]
     b = int(min(MAX_BUCKETS, max(MIN_BUCKETS, math.ceil(n / ROWS_PER_BUCKET))))
@@ -42,17 +43,24 @@ def _buckets(df: DataFrame, first: str) -> tuple[DataFrame, int]:
     splits = [-math.inf] + sorted({float(q) for q in (qs or []) if q is not None and not math.isnan(q)}) + [math.inf]
     out = Bucketizer(splits=splits, inputCol="_kd", outputCol="_b", handleInvalid="keep").transform(
         df.withColumn("_kd", kd)).drop("_kd")
-    return out, b
+    return out, b, r["w"]
 
 
 def prefix_sum(df: DataFrame, order: Sequence[str], weight: str | None = None, by: Sequence[str] = (),
                out: str = "prefix") -> DataFrame:
     """Exclusive running sum of ``weight`` (1 per row when None) in ascending
+    ``order`` within each ``by`` group (see ``_prefix_sum``)."""
+    return _prefix_sum(df, order, weight, by, out)[0]
+
+
+def _prefix_sum(df: DataFrame, order: Sequence[str], weight: str | None = None, by: Sequence[str] = (),
+                out: str = "prefix") -> tuple[DataFrame, float | None]:
+    """Exclusive running sum of ``weight`` (1 per row when None) in ascending
     ``order`` within each ``by`` group. ``order[0]`` must be numeric and not
     NULL; the full ``order`` must be unique within a group for a defined result
     (ties in ``order`` share no guarantee of sequence)."""
     order, by = list(order), list(by)
-    b, _ = _buckets(df, order[0])
+    b, _, total = _buckets(df, order[0], weight)
     w = F.col(weight) if weight else F.lit(1)
     b = b.withColumn("_pw", w.cast("bigint") if weight is None else w)
     totals = b.groupBy(*by, "_b").agg(F.sum("_pw").alias("_t"))
@@ -61,7 +69,7 @@ def prefix_sum(df: DataFrame, order: Sequence[str], weight: str | None = None, b
     wi = Window.partitionBy(*by, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = b.withColumn("_loc", F.coalesce(F.sum("_pw").over(wi), F.lit(0)))
     j = local.join(offsets if by else F.broadcast(offsets), by + ["_b"])
-    return j.withColumn(out, F.col("_off") + F.col("_loc")).drop("_b", "_pw", "_loc", "_off")
+    return j.withColumn(out, F.col("_off") + F.col("_loc")).drop("_b", "_pw", "_loc", "_off"), total
 
 
 def row_index(df: DataFrame, order: Sequence[str] | str, by: Sequence[str] = (), out: str = "idx") -> DataFrame:
@@ -85,9 +93,9 @@ def quantiles(df: DataFrame, c: str | Column, probs: Sequence[float], by: Sequen
     col = F.col(c) if isinstance(c, str) else c
     v = (df.select(*by, col.cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
          .groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_w")))
-    pre = prefix_sum(v, ["_v"], "_w", by, out="_lo")
+    pre, total = _prefix_sum(v, ["_v"], "_w", by, out="_lo")
     if not by:
-        vals = _pick_global(v, pre, probs)
+        vals = _pick_global(pre, total, probs)
         return df.sparkSession.createDataFrame([tuple(vals)], ", ".join(f"`{n}` double" for n in names))
     m = v.groupBy(*by).agg(F.sum("_w").alias("_m"))
     targets = m.select(*by, F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("_pi", "_p"), "_m")
@@ -106,10 +114,10 @@ def quantiles(df: DataFrame, c: str | Column, probs: Sequence[float], by: Sequen
     return per.groupBy(*by).agg(*[F.max(F.when(F.col("_pi") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)])
 
 
-def _pick_global(v: DataFrame, pre: DataFrame, probs: Sequence[float]) -> list:
+def _pick_global(pre: DataFrame, total, probs: Sequence[float]) -> list:
     """Order statistics of one whole column: the positions are literals from
-    one count, and only the <= 2 x len(probs) rows holding them are fetched."""
-    m = v.agg(F.sum("_w")).first()[0] or 0
+    the row count, and only the <= 2 x len(probs) rows holding them are fetched."""
+    m = int(total or 0)
     if m == 0:
         return [None] * len(probs)
     pos = {}
@@ -144,7 +152,8 @@ def quantile_values(df: DataFrame, c: str | Column, probs: Sequence[float]) -> l
     col = F.col(c) if isinstance(c, str) else c
     v = (df.select(col.cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
          .groupBy("_v").agg(F.count(F.lit(1)).alias("_w")))
-    return _pick_global(v, prefix_sum(v, ["_v"], "_w", [], out="_lo"), probs)
+    pre, total = _prefix_sum(v, ["_v"], "_w", [], out="_lo")
+    return _pick_global(pre, total, probs)
 
 
 def ntile_from_index(idx: Column, m: Column, n: int) -> Column:
