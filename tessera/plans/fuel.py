@@ -32,21 +32,27 @@ def daily_consumption(readings: DataFrame, tanks: DataFrame, purchases: DataFram
     kept (a day without site rows gives one row with NULL site); site name
     attached.
 
-    Plan: one aggregation to (day, tank) with ``min_by/max_by`` (map-side
-    combined, no sort of a tank's readings), one to (day, site) with both
-    fuels as conditional sums (instead of two group-bys and a join), purchases
-    reduced to (day, site) the same way, one join on (day, site). The
-    calendar of reading days is one row per day and is broadcast; the day
-    numbers are attached after aggregation, never to raw readings.
+    Plan: one aggregation of the raw readings to (day, tank) with
+    ``min_by/max_by`` (map-side combined, no sort of a tank's readings); the
+    calendar and the tank attributes are taken from / joined to that reduced
+    table, never to raw readings; one aggregation to (day, site) with both
+    fuels as conditional sums (instead of two group-bys and a join); purchases
+    reduced to (day, site) the same way; one join on (day, site). The
+    calendar has one row per day and is broadcast.
     """
     lv = readings.where(F.col("fuel_level").isNotNull()).withColumn("day", to_day("ts"))
+    # one pass over the readings: first-minus-last per (day, tank), map-side
+    # combined; the calendar and the tank attributes come after this reduction
+    per_tank = lv.groupBy("day", "tank_id").agg(
+        (F.min_by("fuel_level", "ts") - F.max_by("fuel_level", "ts")).alias("delta"),
+        F.min(position).alias("_first"))
     # calendar: one row per reading day (bounded by the calendar span) -> broadcast
-    cal = reading_calendar(lv, by=by, position=position)
+    cal = reading_calendar(per_tank.withColumnRenamed("_first", position), by=by, position=position)
 
-    unit = (lv.join(tanks, "tank_id", "left")
+    attrs = tanks.select("tank_id", "location", "tank_type").distinct()
+    unit = (per_tank.join(attrs, "tank_id", "left")
             .where(F.col("location").isNotNull())
-            .groupBy("day", "tank_id", "location", "tank_type")
-            .agg((F.min_by("fuel_level", "ts") - F.max_by("fuel_level", "ts")).alias("delta")))
+            .select("day", "tank_id", "location", "tank_type", "delta"))
     is_gas = F.col("tank_type").isin(*GAS_TYPES)
     is_dsl = F.col("tank_type").isin(*DIESEL_TYPES)
     site = (unit.groupBy("day", "location")

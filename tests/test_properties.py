@@ -154,7 +154,10 @@ def test_grouped_ols_matches_per_group_lstsq(spark):
         assert [est["(Intercept)"], est["a"], est["b"]] == pytest.approx(beta, rel=1e-9)
 
 
-@pytest.mark.parametrize("name", ["d1_daily_consumption", "o2_first_per_key", "w3_lag_no_reset", "d10_single_sort"])
+@pytest.mark.parametrize("name", ["d1_daily_consumption", "o2_first_per_key", "o2_first_per_key_mixed", "w3_lag_no_reset",
+                                  "d10_single_sort", "w12_quantile_groups_rank", "w13_winsorize", "a14_summary",
+                                  "a15_box_stats", "d7_status_timeline", "d13_fund_nav_panel", "j9_join_then_first",
+                                  "m10_stratified_folds", "m1_knn_impute", "d27_score_bundles"])
 def test_same_result_with_1_and_8_shuffle_partitions(spark, name):
     import __spark_entry__ as E
 
