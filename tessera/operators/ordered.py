@@ -36,15 +36,15 @@ def _order_number(df: DataFrame, col: str) -> Column:
 
 def _chunked(df: DataFrame, order: list, rows_per_chunk: int | None = None) -> DataFrame | None:
     """Add ``_chunk`` (range of the first order column) when the table is big
-    enough for one entity to overflow a task; None for small tables."""
+    enough for one entity to overflow a task; None for small tables. The row
+    count and the range boundaries come from one pass (``rank.range_splits``)."""
+    from tessera.operators.rank import range_splits
+
     per = rows_per_chunk or ROWS_PER_CHUNK
-    n = df.count()
+    key = _order_number(df, order[0])
+    splits, b, n, _ = range_splits(df, key, per, 1, MAX_CHUNKS)
     if n <= per:
         return None
-    b = int(min(MAX_CHUNKS, math.ceil(n / per)))
-    key = _order_number(df, order[0])
-    qs = df.agg(F.percentile_approx(key, [i / b for i in range(1, b)], max(10000, 20 * b))).first()[0]
-    splits = [-math.inf] + sorted({float(q) for q in (qs or []) if q is not None and not math.isnan(q)}) + [math.inf]
     return Bucketizer(splits=splits, inputCol="_ck", outputCol="_chunk", handleInvalid="keep").transform(
         df.withColumn("_ck", F.coalesce(key, F.lit(-math.inf)))).drop("_ck")
 

@@ -25,25 +25,41 @@ ROWS_PER_BUCKET = 2_000_000
 MIN_BUCKETS, MAX_BUCKETS = 16, 16384
 
 
+GRID = 256   # boundaries computed in the counting pass; reused when enough
+
+
 def _grid(b: int) -> list[float]:
     return [i / b for i in range(1, b)]
 
 
+def range_splits(df: DataFrame, key: Column, rows_per_bucket: int, min_b: int, max_b: int,
+                 extra: Column | None = None) -> tuple[list[float], int, int, object]:
+    """Range boundaries of ``key`` giving about ``rows_per_bucket`` rows each.
+
+    One pass returns the row count, an optional extra aggregate and GRID
+    approximate quantiles; a second pass runs only when more than GRID
+    buckets are needed. Returns (splits for ``Bucketizer``, bucket count,
+    row count, extra aggregate value)."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), (extra if extra is not None else F.lit(None)).alias("x"),
+               F.percentile_approx(key, _grid(GRID), 10000).alias("q")).first()
+    n = r["n"]
+    b = int(min(max_b, max(min_b, math.ceil(n / rows_per_bucket))))
+    if b <= GRID:
+        qs = r["q"] or []
+        qs = [qs[round(i * GRID / b) - 1] for i in range(1, b)] if qs else []
+    else:
+        qs = df.agg(F.percentile_approx(key, _grid(b), max(10000, 20 * b)).alias("q")).first()["q"] or []
+    splits = [-math.inf] + sorted({float(q) for q in qs if q is not None and not math.isnan(q)}) + [math.inf]
+    return splits, b, n, r["x"]
+
+
 def _buckets(df: DataFrame, first: str, weight: str | None = None) -> tuple[DataFrame, int, float | None]:
     kd = F.col(first).cast("double")
-    # one pass gives the row count (and total weight) and MIN_BUCKETS
-    # boundaries; a finer second pass runs only when the data needs more buckets
-    r = df.agg(F.count(F.lit(1)).alias("n"),
-               (F.sum(weight) if weight else F.lit(None)).alias("w"),
-               F.percentile_approx(kd, _grid(MIN_BUCKETS), 10000).alias("q")).first()
-    n, qs = r["n"], r["q"]
-    b = int(min(MAX_BUCKETS, max(MIN_BUCKETS, math.ceil(n / ROWS_PER_BUCKET))))
-    if b > MIN_BUCKETS:
-        qs = df.agg(F.percentile_approx(kd, _grid(b), max(10000, 20 * b)).alias("q")).first()["q"]
-    splits = [-math.inf] + sorted({float(q) for q in (qs or []) if q is not None and not math.isnan(q)}) + [math.inf]
+    splits, b, _, total = range_splits(df, kd, ROWS_PER_BUCKET, MIN_BUCKETS, MAX_BUCKETS,
+                                       F.sum(weight) if weight else None)
     out = Bucketizer(splits=splits, inputCol="_kd", outputCol="_b", handleInvalid="keep").transform(
         df.withColumn("_kd", kd)).drop("_kd")
-    return out, b, r["w"]
+    return out, b, total
 
 
 def prefix_sum(df: DataFrame, order: Sequence[str], weight: str | None = None, by: Sequence[str] = (),

@@ -210,11 +210,13 @@ def test_chunked_windows_equal_plain_windows(spark, monkeypatch, case):
     assert plain == chunked
 
 
-def test_row_index_and_quantiles_with_many_buckets(spark, monkeypatch):
-    """Force the fine-bucket path (more buckets than the first pass gives)."""
+@pytest.mark.parametrize("rows_per_bucket", [100, 10])
+def test_row_index_and_quantiles_with_many_buckets(spark, monkeypatch, rows_per_bucket):
+    """Force many buckets: 50 (boundaries reused from the counting pass) and
+    500 (more than the counting pass computes, so a second pass)."""
     from tessera.operators import rank as R
 
-    monkeypatch.setattr(R, "ROWS_PER_BUCKET", 100)
+    monkeypatch.setattr(R, "ROWS_PER_BUCKET", rows_per_bucket)
     df = spark.range(0, 5000).withColumn("k", F.xxhash64("id", F.lit(3))).withColumn("g", F.col("id") % 3)
     pa = R.row_index(df, "k", by=["g"], out="i").toPandas()
     for g, sub in pa.groupby("g"):
