@@ -78,11 +78,16 @@ def ratio_growth(stmt: DataFrame, floor: float = 10_000_000, base: str = "later"
             .select("entity", "y", "ratio", F.col("ratio_l1").alias("l1"), F.col("ratio_l2").alias("l2"), "g"))
 
 
-def single_sort(df: DataFrame, group: str, lo: int, hi: int, ret: str = "ret", weight: str = "mvlag") -> DataFrame:
+def single_sort(df: DataFrame, group: str, lo: int, hi: int, ret: str = "ret", weight: str = "mvlag",
+                where: Column | None = None) -> DataFrame:
     """Equal- and value-weighted portfolio returns per group and month
     within ``lo <= y*100+m <= hi``: ew = mean return, vw = sum(ret * w) /
-    sum(w) over rows with both present, n = rows. One aggregation."""
+    sum(w) over rows with both present, n = rows. One aggregation.
+    ``where`` is an explicit sample filter, e.g. ``F.col("decision") == "in"``
+    to leave out stocks under special treatment (from ``status_timeline``)."""
     d = df.where(yyyymm("y", "m").between(lo, hi) & F.col(group).isNotNull())
+    if where is not None:
+        d = d.where(where)
     both = F.col(ret).isNotNull() & F.col(weight).isNotNull()
     return d.groupBy(F.col(group).cast("string").alias("grp"), "y", "m").agg(
         F.avg(ret).alias("ew"),

@@ -23,14 +23,17 @@ BAND_EDGES = (15000, 25000, 40000)  # fixed values: right-closed volume bands
 
 
 def daily_consumption(readings: DataFrame, tanks: DataFrame, purchases: DataFrame,
-                      sites: DataFrame, by: str = "calendar", position: str = "ts") -> DataFrame:
+                      sites: DataFrame, by: str = "calendar", position: str = "ts",
+                      how: str = "left") -> DataFrame:
     """Consumption per (day, site) for gas and diesel.
 
     unit delta = first level - last level of the tank that day (by timestamp);
     fuel consumption = sum of unit deltas at the site; total = consumption +
     purchased (0 if none); negative or missing totals -> 0; every reading day
     kept (a day without site rows gives one row with NULL site); site name
-    attached.
+    attached. ``how="left"`` keeps the site-days that have gas readings (the
+    gas side left-joins diesel, as written); ``how="outer"`` also keeps
+    site-days with diesel readings only.
 
     Plan: one aggregation of the raw readings to (day, tank) with
     ``min_by/max_by`` (map-side combined, no sort of a tank's readings); the
@@ -68,10 +71,11 @@ def daily_consumption(readings: DataFrame, tanks: DataFrame, purchases: DataFram
          .agg(F.sum(F.when(F.col("fuel_type") == "G", F.col("amount"))).alias("gas_purchased"),
               F.sum(F.when(F.col("fuel_type") == "D", F.col("amount"))).alias("diesel_purchased")))
 
-    j = (site.where(F.col("_n_gas") > 0)
+    keep = (F.col("_n_gas") > 0) if how == "left" else ((F.col("_n_gas") > 0) | (F.col("_n_dsl") > 0))
+    j = (site.where(keep)
          .join(p, ["day", "location"], "left")
-         .select("day", "location", "gas_consumption",
-                 F.coalesce("gas_purchased", F.lit(0.0)).alias("gas_purchased"),
+         .select("day", "location", F.when(F.col("_n_gas") > 0, F.col("gas_consumption")).alias("gas_consumption"),
+                 F.when(F.col("_n_gas") > 0, F.coalesce("gas_purchased", F.lit(0.0))).alias("gas_purchased"),
                  F.when(F.col("_n_dsl") > 0, F.col("diesel_consumption")).alias("diesel_consumption"),
                  F.when(F.col("_n_dsl") > 0, F.coalesce("diesel_purchased", F.lit(0.0))).alias("diesel_purchased")))
     j = j.withColumns({

@@ -177,3 +177,73 @@ def test_daily_consumption_day_without_site_rows(spark):
     assert len(out) == 2
     assert out[0]["gas_total"] == 55.0 and out[0]["site_name"] == "North" and out[0]["diesel_total"] == 0.0
     assert out[1]["location"] is None and out[1]["date_number"] == 2
+
+
+def _fuel_inputs(spark):
+    readings = spark.createDataFrame([
+        (1, dt.datetime(2024, 1, 1, 8), 100.0), (1, dt.datetime(2024, 1, 1, 20), 60.0),
+        (2, dt.datetime(2024, 1, 1, 9), 80.0), (2, dt.datetime(2024, 1, 1, 21), 50.0)],
+        "tank_id long, ts timestamp, fuel_level double")
+    tanks = spark.createDataFrame([(1, 3, "U"), (2, 4, "D")], "tank_id long, location int, tank_type string")
+    purchases = spark.createDataFrame([], "invoice_id long, invoice_date date, location int, fuel_type string, "
+                                          "amount double, cost double")
+    sites = spark.createDataFrame([(3, "North"), (4, "South")], "location int, site_name string")
+    return readings, tanks, purchases, sites
+
+
+def test_daily_consumption_left_vs_outer_for_diesel_only_sites(spark):
+    left = fuel.daily_consumption(*_fuel_inputs(spark)).collect()
+    outer = fuel.daily_consumption(*_fuel_inputs(spark), how="outer").collect()
+    assert [r.location for r in left] == [3]              # as written: gas side left-joins diesel
+    got = {r.location: r for r in outer}
+    assert set(got) == {3, 4}
+    assert got[4].diesel_total == 30.0 and got[4].gas_consumption is None and got[4].gas_total == 0.0
+
+
+def test_single_sort_explicit_status_filter(spark):
+    df = spark.createDataFrame([(1, 2001, 1, 0.1, 10.0, "1", "in"), (2, 2001, 1, 0.3, 30.0, "1", "out")],
+                               "entity int, y int, m int, ret double, mvlag double, grp string, decision string")
+    all_rows = equity.single_sort(df, "grp", 200101, 200112).first()
+    kept = equity.single_sort(df, "grp", 200101, 200112, where=F.col("decision") == "in").first()
+    assert all_rows["n"] == 2 and kept["n"] == 1 and kept["ew"] == pytest.approx(0.1)
+
+
+def test_ratio_growth_older_base(spark):
+    df = spark.createDataFrame([(1, y, 12, 2e7 * (y - 2000), 1e7) for y in (2001, 2002, 2003)],
+                               "entity int, y int, m int, spend double, cap double")
+    assert equity.ratio_growth(df, floor=1e6, base="older").first()["g"] == pytest.approx((4.0 - 2.0) / 2.0)
+
+
+def test_check_plan_box_size_limits_and_segments(spark):
+    from tessera.plans import bundle
+
+    x = spark.createDataFrame([(i, 1) for i in range(3)] + [(i, 2) for i in range(3, 8)], "product int, box int")
+    y = spark.createDataFrame([("A", 1), ("A", 2), ("B", 2)], "segment string, box int")
+    seg = spark.createDataFrame([("A", 50000), ("B", 40000), ("C", 1)], "segment string, n long")
+    r = {(row.rule, row.key): (row.value, row.ok) for row in bundle.check_plan(x, y, seg).collect()}
+    assert r[("box_size", "1")] == (3, False) and r[("box_size", "2")] == (5, True)     # limits 4..7
+    assert r[("segment_boxes", "A")] == (2, False) and r[("segment_boxes", "C")] == (0, False)
+    assert r[("product_cap", "3")] == (90000, False)      # 50 000 + 40 000 > 80 000
+
+
+def test_knn_impute_writes_back_by_key(spark):
+    from tessera.operators import ml
+
+    df = spark.createDataFrame([(10, 1.0, 1.0), (20, 1.1, None), (30, 5.0, 5.0), (40, 1.2, 2.0)],
+                               "id long, a double, b double")
+    out = {r.id: r for r in ml.knn_impute(df.repartition(3), "id", ["a", "b"], k=2).collect()}
+    assert out[20].b == pytest.approx((1.0 + 2.0) / 2)    # two nearest by a: ids 10 and 40
+    assert out[30].b == 5.0 and out[10].a == 1.0           # observed cells untouched, rows keep their ids
+
+
+def test_pca_fitted_on_training_rows_only(spark):
+    from tessera.operators import ml
+
+    train = [(i, float(i), float(2 * i), 0) for i in range(20)]
+    test = [(100, 1000.0, -1000.0, 1)]
+    df = spark.createDataFrame(train + test, "id long, a double, b double, is_test int")
+    fit_train = ml.pca(df, ["a", "b"], 1, fit_on=df.where("is_test = 0")).where("is_test = 0")
+    only_train = ml.pca(df.where("is_test = 0"), ["a", "b"], 1)
+    a = sorted((r.id, round(r.PCA_1, 9)) for r in fit_train.collect())
+    b = sorted((r.id, round(r.PCA_1, 9)) for r in only_train.collect())
+    assert a == b                                          # the test row did not move the components
