@@ -37,7 +37,10 @@ def _order_number(df: DataFrame, col: str) -> Column:
 def _chunked(df: DataFrame, order: list, rows_per_chunk: int | None = None) -> DataFrame | None:
     """Add ``_chunk`` (range of the first order column) when the table is big
     enough for one entity to overflow a task; None for small tables. The row
-    count and the range boundaries come from one pass (``rank.range_splits``)."""
+    count and the range boundaries come from one pass (``rank.range_splits``).
+    Ranges are cut on the first order column only, so an entity splits into at
+    most as many ranges as that column has distinct values (e.g. years when
+    ordering by year, month)."""
     from tessera.operators.rank import range_splits
 
     per = rows_per_chunk or ROWS_PER_CHUNK
