@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from tessera.catalog.common import V, W, T
 from tessera.operators import stats as S
 
-LI_VARS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+LI_VARS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "net_price", "charge"]
+_NET = "l_extendedprice * (1 - l_discount)"
+_CHARGE = "l_extendedprice * (1 - l_discount) * (1 + l_tax)"
 
 
 def t1_corr_by(spark, sf):
@@ -15,7 +17,8 @@ def t1_corr_by(spark, sf):
 
 
 def t2_corr_matrix(spark, sf):
-    return S.corr_matrix(T(spark, sf, "lineitem"), LI_VARS)
+    li = T(spark, sf, "lineitem").withColumns({"net_price": F.expr(_NET), "charge": F.expr(_CHARGE)})
+    return S.corr_matrix(li, LI_VARS)
 
 
 def _brand_logs(spark, sf):
@@ -79,7 +82,8 @@ def _pairs_sql():
             parts.append(f"select '{v}' as var, '{w}' as with_var, {_r(v, w)} as r, cast(count(*) as bigint) as n, "
                          f"avg({v}) as mean_var, stddev_samp({v}) as std_var, cast(count({v}) as bigint) as n_var from lineitem "
                          f"where {v} is not null and {w} is not null")
-    return " union all ".join(parts)
+    return (f"with li as (select *, {_NET} as net_price, {_CHARGE} as charge from lineitem) "
+            + " union all ".join(parts).replace(" from lineitem ", " from li "))
 
 
 _OLS = """with r as (select * from v_returns join v_factors using (y, m)),
