@@ -333,13 +333,16 @@ def cross_validate(df: DataFrame, id_col: str, cols: Sequence[str], label: str,
     """K-fold cross-validated accuracy (stratified, unshuffled folds):
     one distributed fit per fold; output per-fold accuracy plus the mean and
     the population std (as numpy's ``std``)."""
-    f = stratified_folds(df, id_col, label, k).persist()   # read by k fits and k evaluations
+    from tessera.session import cut_lineage
+
+    # read by k fits and k evaluations: a reliable checkpoint in the shared
+    # checkpoint folder, so a lost executor costs a re-read, not the whole prep lineage
+    f = cut_lineage(stratified_folds(df, id_col, label, k))
     rows = []
     for i in range(k):
         model = fit_logistic(f.where(F.col("fold") != i), cols, label, C)
         acc = accuracy(predict(model, f.where(F.col("fold") == i), cols), label).first()
         rows.append((i, float(acc["accuracy"]), int(acc["n"])))
-    f.unpersist()
     accs = np.array([r[1] for r in rows])
     per = df.sparkSession.createDataFrame(rows, "fold int, accuracy double, n long")
     return per.withColumns({"mean_accuracy": F.lit(float(accs.mean())), "std_accuracy": F.lit(float(accs.std()))})
