@@ -11,7 +11,7 @@ one model, or in ``mapInPandas`` over one row per group for grouped models.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -109,20 +109,23 @@ def beta_gap(slope: Column | str) -> Column:
 # ------------------------------------------------------------ multiple OLS
 
 
-def _moment_aggs(y: str, xs: Sequence[str]) -> list[Column]:
-    """n, means and co-moments (covar_pop: one-pass, numerically stable)."""
+def _moment_aggs(y: str, xs: Sequence[str], mask: Column | None = None, prefix: str = "") -> list[Column]:
+    """n, means and co-moments (covar_pop: one-pass, numerically stable),
+    over the rows where ``mask`` holds (all rows when None)."""
     p = len(xs)
-    aggs = [F.count(F.lit(1)).alias("_n"), F.avg(y).alias(f"_m_{y}")]
-    aggs += [F.avg(x).alias(f"_m_{x}") for x in xs]
-    aggs += [F.var_pop(y).alias("_yy")]
-    aggs += [F.covar_pop(xs[i], y).alias(f"_xy_{i}") for i in range(p)]
-    aggs += [F.covar_pop(xs[i], xs[j]).alias(f"_xx_{i}_{j}") for i in range(p) for j in range(i, p)]
+    col = (lambda c: F.when(mask, F.col(c))) if mask is not None else F.col
+    aggs = [(F.count_if(mask) if mask is not None else F.count(F.lit(1))).alias(f"{prefix}_n"),
+            F.avg(col(y)).alias(f"{prefix}_m_{y}")]
+    aggs += [F.avg(col(x)).alias(f"{prefix}_m_{x}") for x in xs]
+    aggs += [F.var_pop(col(y)).alias(f"{prefix}_yy")]
+    aggs += [F.covar_pop(col(xs[i]), col(y)).alias(f"{prefix}_xy_{i}") for i in range(p)]
+    aggs += [F.covar_pop(col(xs[i]), col(xs[j])).alias(f"{prefix}_xx_{i}_{j}") for i in range(p) for j in range(i, p)]
     return aggs
 
 
-def _moments_from_row(r, y: str, xs: Sequence[str], n: float):
+def _moments_from_row(r, y: str, xs: Sequence[str], n: float, prefix: str = ""):
     p = len(xs)
-    g = (lambda k: r[k] if r[k] is not None else 0.0)
+    g = (lambda k: r[prefix + k] if r[prefix + k] is not None else 0.0)
     means = np.array([g(f"_m_{c}") for c in [y, *xs]], dtype=float)
     sxx = np.zeros((p, p))
     for i in range(p):
@@ -213,33 +216,69 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], residual_quantiles: bool = Tru
     collinear regressors are reported with NULL estimates. One aggregation
     gives n, the means and the centred cross-products (Spark's numerically
     stable ``covar_pop`` times n; p(p+1)/2 + p + 1 of them). Solve on the
-    driver (p x p). Pass 3 (optional): residual quantiles.
+    driver (p x p). Optional second step: exact residual quantiles.
     """
+    return ols_many(df, {"_": (y, xs)}, residual_quantiles)["_"]
+
+
+RESID_NAMES = ["resid_min", "resid_q1", "resid_median", "resid_q3", "resid_max"]
+
+
+def ols_many(df: DataFrame, specs: Mapping[str, tuple[str, Sequence[str]]],
+             residual_quantiles: bool = True) -> dict[str, OlsResult]:
+    """Several regressions on one table (e.g. nested models) in one pass.
+
+    Each model keeps its own complete cases through a row mask, so one
+    aggregation computes every model's moments; the residual quantiles of
+    all models come from one grouped run of the exact distributed quantiles.
+    Returns one ``OlsResult`` per model name."""
+    from tessera.operators.rank import quantiles
+
     spark = df.sparkSession
-    xs = _dedupe(xs)
-    cols = [y] + xs
-    # the model frame feeds the moments and the residual pass: keep it for both
-    d = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).na.drop("any").persist()
-    p = len(xs)
-    s = d.agg(*_moment_aggs(y, xs)).first()
-    n = float(s["_n"] or 0)
-    means, sxx, sxy, syy = _moments_from_row(s, y, xs, n)
-    rows, summ = _solve(n, means, sxx, sxy, syy, xs)
-    coef_schema = "term string, estimate double, std_error double, t_value double, p_value double"
-    coef = spark.createDataFrame(pd.DataFrame(rows), coef_schema)
+    specs = {k: (y, _dedupe(xs)) for k, (y, xs) in specs.items()}
+    cols = list(dict.fromkeys(c for y, xs in specs.values() for c in [y, *xs]))
+    # one complete-case flag per model, computed once as a column
+    flags = {}
+    for i, (name, (y, xs)) in enumerate(specs.items()):
+        mask = None
+        for c in [y, *xs]:
+            e = F.col(c).isNotNull() & ~F.isnan(F.col(c))
+            mask = e if mask is None else mask & e
+        flags[f"_mk{i}"] = mask
+    # read by the moments and by the residual pass: keep it for both
+    d = (df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+         .withColumns(flags).persist())
+    masks, aggs = {}, []
+    for i, (name, (y, xs)) in enumerate(specs.items()):
+        masks[name] = F.col(f"_mk{i}")
+        aggs += _moment_aggs(y, xs, masks[name], prefix=f"m{i}")
+    s = d.agg(*aggs).first()
+    fits = {}
+    for i, (name, (y, xs)) in enumerate(specs.items()):
+        n = float(s[f"m{i}_n"] or 0)
+        means, sxx, sxy, syy = _moments_from_row(s, y, xs, n, prefix=f"m{i}")
+        rows, summ = _solve(n, means, sxx, sxy, syy, xs)
+        summ.update({k: None for k in RESID_NAMES} if residual_quantiles else {})
+        fits[name] = (rows, summ)
     if residual_quantiles:
-        fitted = F.lit(rows[0]["estimate"] or 0.0)
-        for r in rows[1:]:
-            if r["estimate"] is not None:
-                fitted = fitted + F.lit(r["estimate"]) * F.col(r["term"])
-        from tessera.operators.rank import quantile_values
-
-        e = d.select((F.col(y) - fitted).alias("e"))
-        qv = quantile_values(e, "e", [0.0, 0.25, 0.5, 0.75, 1.0])
-        summ.update(dict(zip(["resid_min", "resid_q1", "resid_median", "resid_q3", "resid_max"], qv)))
-    summary = spark.createDataFrame(pd.DataFrame([summ]))
+        parts = []
+        for name, (y, xs) in specs.items():
+            rows = fits[name][0]
+            fitted = F.lit(rows[0]["estimate"] or 0.0)
+            for r in rows[1:]:
+                if r["estimate"] is not None:
+                    fitted = fitted + F.lit(r["estimate"]) * F.col(r["term"])
+            parts.append(F.struct(F.lit(name).alias("_model"), F.when(masks[name], F.col(y) - fitted).alias("_e")))
+        e = (d.select(F.explode(F.array(*parts)).alias("_r")).select("_r.*").where(F.col("_e").isNotNull()))
+        for r in quantiles(e, "_e", [0.0, 0.25, 0.5, 0.75, 1.0], by=["_model"], names=RESID_NAMES).collect():
+            fits[r["_model"]][1].update({k: r[k] for k in RESID_NAMES})
     d.unpersist()
-    return OlsResult(coef, summary)
+    coef_schema = "term string, estimate double, std_error double, t_value double, p_value double"
+    out = {}
+    for name, (rows, summ) in fits.items():
+        out[name] = OlsResult(spark.createDataFrame(pd.DataFrame(rows), coef_schema),
+                              spark.createDataFrame(pd.DataFrame([summ])))
+    return out
 
 
 def ols_multi_by(df: DataFrame, keys: Sequence[str], y: str, xs: Sequence[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.scalar import dummy, safe_ln
-from tessera.operators.stats import corr_test, ols
+from tessera.operators.stats import corr_test, ols_many
 
 
 def brand_panel(long: DataFrame, labels: Mapping[str, str], keys: Sequence[str] = ("y", "m")) -> DataFrame:
@@ -60,8 +60,9 @@ def elasticity(wide: DataFrame, own: str, rivals: Sequence[str], years: Sequence
                + [c for r in rivals for c in (f"prom_{r}_maj", f"prom_{r}_min")]),
     }
     coefs, sums = None, None
-    for name, (y, xs) in specs.items():
-        res = ols(d, y, xs)
+    fits = ols_many(d, specs)          # all four models from one pass over the data
+    for name in specs:
+        res = fits[name]
         c = res.coefficients.withColumn("model", F.lit(name))
         s = res.summary.withColumn("model", F.lit(name))
         coefs = c if coefs is None else coefs.unionByName(c)

@@ -224,3 +224,22 @@ def test_row_index_and_quantiles_with_many_buckets(spark, monkeypatch, rows_per_
     vals = np.array(df.select(F.col("k").cast("double")).toPandas().iloc[:, 0])
     got = R.quantile_values(df, "k", [0.1, 0.5, 0.9])
     assert got == pytest.approx(np.quantile(vals, [0.1, 0.5, 0.9]), rel=1e-12)
+
+
+def test_ols_many_masks_each_model_to_its_complete_rows(spark):
+    rng = np.random.default_rng(7)
+    n = 120
+    a, b = rng.normal(size=n), rng.normal(size=n)
+    y = 1 + 2 * a - b + rng.normal(scale=0.1, size=n)
+    b_obs = [None if i % 5 == 0 else float(v) for i, v in enumerate(b)]      # b missing on every 5th row
+    df = spark.createDataFrame([(float(t), float(u), v) for t, u, v in zip(y, a, b_obs)], "y double, a double, b double")
+    fits = S.ols_many(df, {"small": ("y", ["a"]), "big": ("y", ["a", "b"])})
+    keep = np.array([v is not None for v in b_obs])
+    for name, X, rows in [("small", a[:, None], np.ones(n, bool)), ("big", np.column_stack([a, b]), keep)]:
+        A = np.column_stack([np.ones(rows.sum()), X[rows]])
+        beta, *_ = np.linalg.lstsq(A, y[rows], rcond=None)
+        got = [r.estimate for r in fits[name].coefficients.collect()]
+        assert got == pytest.approx(beta, rel=1e-9)
+        resid = y[rows] - A @ beta
+        assert fits[name].summary.first()["resid_median"] == pytest.approx(float(np.median(resid)), abs=1e-9)
+        assert fits[name].summary.first()["n"] == int(rows.sum())
