@@ -45,17 +45,25 @@ def complete_entities(df: DataFrame, entity: Sequence[str], period: str,
     return df.join(full, entity, "left_semi")
 
 
+MAX_LEVELS = 1000
+
+
 def dummies(df: DataFrame, cols: Sequence[str], levels: dict | None = None, drop_base: dict | None = None,
-            sep: str = "_", keep_original: bool = False) -> DataFrame:
+            sep: str = "_", keep_original: bool = False, max_levels: int = MAX_LEVELS) -> DataFrame:
     """One 0/1 column per level (``{col}_{level}``); a missing value gives
-    all zeros. Levels are read once per column (a distinct list, bounded by
-    the column's cardinality) unless given; ``drop_base`` removes a base level."""
+    all zeros. Levels are read once per column unless given; at most
+    ``max_levels + 1`` distinct values are fetched, and a column with more
+    levels raises instead of producing a data-sized schema. ``drop_base``
+    removes a base level."""
     levels = dict(levels or {})
     out = df
     for c in cols:
         lv = levels.get(c)
         if lv is None:
-            lv = sorted(r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().collect())
+            got = df.select(c).where(F.col(c).isNotNull()).distinct().limit(max_levels + 1).collect()
+            if len(got) > max_levels:
+                raise ValueError(f"{c}: more than {max_levels} levels; pass levels= or encode another way")
+            lv = sorted(r[0] for r in got)
         if drop_base and c in drop_base:
             lv = [x for x in lv if x != drop_base[c]]
         out = out.withColumns({f"{c}{sep}{x}": F.when(F.col(c) == F.lit(x), 1).otherwise(0) for x in lv})
