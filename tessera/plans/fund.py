@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tessera.functions.scalar import abs_diff, flow_ratio, to_number
 from tessera.operators import ordered as O
 from tessera.operators.joins import flag_match, restrict_to
-from tessera.operators.stats import beta_gap, corr_matrix, ols_by
+from tessera.operators.stats import beta_gap, corr_matrix
 
 
 def fund_nav_panel(returns: DataFrame, navs: DataFrame, universe: DataFrame, reset: bool = True) -> DataFrame:
@@ -81,19 +81,23 @@ def yearly_returns(panel: DataFrame, index_monthly: DataFrame, fund_index: DataF
     return fy.join(pairs, "code").join(iy, ["index_code", "y"])
 
 
+def _slope_gap(y: str, x: str):
+    """abs(1 - slope) of the simple regression y ~ x (rows with both present)."""
+    return beta_gap(F.regr_slope(F.col(y).cast("double"), F.col(x).cast("double")))
+
+
 def tracking_error(yearly: DataFrame) -> DataFrame:
-    """Two tracking-error measures per fund, joined on the fund:
-    abs(1 - slope) of fund~index, fund~nav and nav~index regressions, and the
-    sample std of the three signed yearly differences."""
-    y = yearly
-    r1 = ols_by(y, ["code"], "yearly_fund_return", "idx_return").select("code", beta_gap("slope").alias("coef_gap_fund_index"))
-    r2 = ols_by(y, ["code"], "yearly_fund_return", "yearly_nav_return").select("code", beta_gap("slope").alias("coef_gap_fund_nav"))
-    r3 = ols_by(y, ["code"], "yearly_nav_return", "idx_return").select("code", beta_gap("slope").alias("coef_gap_nav_index"))
-    sd = y.groupBy("code").agg(
+    """Two tracking-error measures per fund: abs(1 - slope) of the
+    fund~index, fund~nav and nav~index regressions, and the sample std of the
+    three signed yearly differences -- all six in one grouped aggregation
+    (one pass over the yearly table, no joins between the measures)."""
+    return yearly.groupBy("code").agg(
+        _slope_gap("yearly_fund_return", "idx_return").alias("coef_gap_fund_index"),
+        _slope_gap("yearly_fund_return", "yearly_nav_return").alias("coef_gap_fund_nav"),
+        _slope_gap("yearly_nav_return", "idx_return").alias("coef_gap_nav_index"),
         F.stddev_samp(F.col("yearly_fund_return") - F.col("idx_return")).alias("fund_index_std"),
         F.stddev_samp(F.col("yearly_fund_return") - F.col("yearly_nav_return")).alias("fund_nav_std"),
         F.stddev_samp(F.col("yearly_nav_return") - F.col("idx_return")).alias("nav_index_std"))
-    return r1.join(r2, "code").join(r3, "code").join(sd, "code")
 
 
 TE_COLUMNS = ["coef_gap_fund_index", "coef_gap_nav_index", "coef_gap_fund_nav",
@@ -150,13 +154,14 @@ def factor_panel(panel: DataFrame, index: DataFrame, flags: DataFrame) -> DataFr
 
 def cross_section_gaps(panel: DataFrame, index: DataFrame, liq: DataFrame, universe: DataFrame) -> DataFrame:
     """Per month, three regressions across funds (fund~index,
-    fund~nav, nav~index), abs(1 - slope) each, joined on the month, then the
-    month's average liquidity (inner)."""
+    fund~nav, nav~index), abs(1 - slope) each -- one grouped aggregation --
+    then the month's average liquidity (inner)."""
     j = _monthly_sums(panel).join(_one_index(index), ["code", "y", "m"])
-    r1 = ols_by(j, ["y", "m"], "monthly_fund_return", "idx_return").select("y", "m", beta_gap("slope").alias("coef_gap_fund_index"))
-    r2 = ols_by(j, ["y", "m"], "monthly_fund_return", "monthly_nav_return").select("y", "m", beta_gap("slope").alias("coef_gap_fund_nav"))
-    r3 = ols_by(j, ["y", "m"], "monthly_nav_return", "idx_return").select("y", "m", beta_gap("slope").alias("coef_gap_nav_index"))
-    return r1.join(r2, ["y", "m"]).join(r3, ["y", "m"]).join(average_liquidity(liq, universe), ["y", "m"])
+    gaps = j.groupBy("y", "m").agg(
+        _slope_gap("monthly_fund_return", "idx_return").alias("coef_gap_fund_index"),
+        _slope_gap("monthly_fund_return", "monthly_nav_return").alias("coef_gap_fund_nav"),
+        _slope_gap("monthly_nav_return", "idx_return").alias("coef_gap_nav_index"))
+    return gaps.join(average_liquidity(liq, universe), ["y", "m"])
 
 
 def fund_month_differences(panel: DataFrame, index: DataFrame) -> DataFrame:
