@@ -45,28 +45,34 @@ def corr_matrix(df: DataFrame, vars_: Sequence[str], with_: Sequence[str] | None
     """Correlation matrix VAR x WITH (all pairs of ``vars_`` when ``with_``
     is None), pairwise-complete, as a long table (var, with_var, r, n) plus the
     simple statistics of ``var`` (mean, std, n_var over its non-missing values).
-    One aggregation computes every pair."""
-    square = with_ is None
+
+    Each row is exploded into one (pair, x, y) record per unordered pair and
+    one per variable, and a single aggregation grouped by the pair computes
+    everything: four aggregate functions instead of one per pair, so the
+    aggregation stays in generated code, and partial aggregation leaves one row
+    per pair per task before the (tiny) shuffle."""
+    spark = df.sparkSession
+    vars_ = list(vars_)
     with_ = list(with_ or vars_)
-    aggs, pairs = [], []
-    for i, v in enumerate(vars_):
-        for j, w in enumerate(with_):
-            pairs.append((i, j, v, w))
-            if square and j < i:
-                continue            # r and n are symmetric: computed once per unordered pair
-            xm, ym = _pair(v, w)
-            aggs += [_r(xm, ym).alias(f"r_{i}_{j}"), F.count(xm).cast("bigint").alias(f"n_{i}_{j}")]
-    for i, v in enumerate(vars_):
-        c = F.col(v).cast("double")
-        aggs += [F.avg(c).alias(f"m_{i}"), F.stddev_samp(c).alias(f"s_{i}"), F.count(c).cast("bigint").alias(f"c_{i}")]
-    one = df.agg(*aggs)
-    rows = F.explode(F.array(*[
-        F.struct(F.lit(v).alias("var"), F.lit(w).alias("with_var"),
-                 F.col(f"r_{min(i, j)}_{max(i, j)}" if square else f"r_{i}_{j}").alias("r"),
-                 F.col(f"n_{min(i, j)}_{max(i, j)}" if square else f"n_{i}_{j}").alias("n"), F.col(f"m_{i}").alias("mean_var"),
-                 F.col(f"s_{i}").alias("std_var"), F.col(f"c_{i}").alias("n_var"))
-        for i, j, v, w in pairs]))
-    return one.select(rows.alias("_p")).select("_p.*")
+    names = list(dict.fromkeys(vars_ + with_))
+    idx = {n: k for k, n in enumerate(names)}
+    pairs = sorted({tuple(sorted((idx[v], idx[w]))) for v in vars_ for w in with_})
+    recs = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(names[i]).cast("double").alias("x"),
+                     F.col(names[j]).cast("double").alias("y")) for i, j in pairs]
+    recs += [F.struct(F.lit(idx[v]).alias("i"), F.lit(-1).alias("j"), F.col(v).cast("double").alias("x"),
+                      F.col(v).cast("double").alias("y")) for v in vars_]
+    long = (df.select(F.explode(F.array(*recs)).alias("_p")).select("_p.*")
+            .where(F.col("x").isNotNull() & F.col("y").isNotNull()))
+    agg = long.groupBy("i", "j").agg(_r(F.col("x"), F.col("y")).alias("r"), F.count(F.lit(1)).cast("bigint").alias("n"),
+                                     F.avg("x").alias("_mean"), F.stddev_samp("x").alias("_std"))
+    pair_stats = agg.where(F.col("j") >= 0).select(F.col("i").alias("_a"), F.col("j").alias("_b"), "r", "n")
+    var_stats = agg.where(F.col("j") < 0).select(F.col("i").alias("_v"), F.col("_mean").alias("mean_var"),
+                                                 F.col("_std").alias("std_var"), F.col("n").alias("n_var"))
+    # the output grid (len(vars) x len(with) rows) joined to the per-pair results
+    grid = spark.createDataFrame([(v, w, idx[v], min(idx[v], idx[w]), max(idx[v], idx[w])) for v in vars_ for w in with_],
+                                 "var string, with_var string, _v int, _a int, _b int")
+    return (grid.join(pair_stats, ["_a", "_b"], "left").join(var_stats, "_v", "left")
+            .select("var", "with_var", "r", "n", "mean_var", "std_var", "n_var"))
 
 
 def corr_test(df: DataFrame, x: str, y: str, keys: Sequence[str] = (), conf: float = 0.95) -> DataFrame:
