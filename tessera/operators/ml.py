@@ -242,7 +242,11 @@ def smote(df: DataFrame, id_col: str, label: str, cols: Sequence[str], k: int =
     base = df.withColumn("synthetic", F.lit(0))
     if need <= 0 or n_min < 2:
         return base
-    mino = df.where(F.col(label) == minority).select(id_col, *cols)
+    from tessera.session import cut_lineage
+
+    # the minority rows are read by the k-NN pass, the copy numbering and the
+    # joins: write them once to the shared checkpoint folder and cut the lineage
+    mino = cut_lineage(df.where(F.col(label) == minority).select(id_col, *cols))
     nn = knn_search(mino, mino, id_col, cols, k, exclude_self=True).select(
         F.col("qid").alias(id_col), F.col("rank"), F.col("did"))
     per, rem = divmod(need, n_min)
