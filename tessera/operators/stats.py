@@ -230,6 +230,42 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], residual_quantiles: bool = Tru
 RESID_NAMES = ["resid_min", "resid_q1", "resid_median", "resid_q3", "resid_max"]
 
 
+def _pair_moments(d: DataFrame, specs: Mapping[str, tuple[str, Sequence[str]]], masks: Mapping[str, Column]):
+    """n, means and centred cross-products of every model in one pass.
+
+    Each row becomes one record per (model, variable pair) over the model's
+    complete cases; one grouped aggregation with four functions (count, two
+    means, ``covar_pop``) replaces one wide aggregation with hundreds of
+    functions, so the plan stays small and in generated code; partial
+    aggregation leaves one row per (model, pair) per task."""
+    recs = []
+    for name, (y, xs) in specs.items():
+        cols = [y, *xs]
+        for a in range(len(cols)):
+            for b in range(a, len(cols)):
+                recs.append(F.struct(F.lit(name).alias("model"), F.lit(a).alias("a"), F.lit(b).alias("b"),
+                                     F.when(masks[name], F.col(cols[a])).alias("u"),
+                                     F.when(masks[name], F.col(cols[b])).alias("v")))
+    long = d.select(F.explode(F.array(*recs)).alias("_r")).select("_r.*").where(F.col("u").isNotNull())
+    got = long.groupBy("model", "a", "b").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("u").alias("mu"), F.avg("v").alias("mv"),
+        F.covar_pop("u", "v").alias("c")).collect()        # (p+1)(p+2)/2 rows per model
+    by_model: dict = {}
+    for r in got:
+        by_model.setdefault(r["model"], {})[(r["a"], r["b"])] = r
+    out = {}
+    for name, (y, xs) in specs.items():
+        k = len(xs) + 1
+        cells = by_model.get(name, {})
+        n = float(cells[(0, 0)]["n"]) if (0, 0) in cells else 0.0
+        means = np.array([cells[(a, a)]["mu"] if (a, a) in cells else 0.0 for a in range(k)], dtype=float)
+        cov = np.zeros((k, k))
+        for (a, b), r in cells.items():
+            cov[a, b] = cov[b, a] = (r["c"] or 0.0) * n
+        out[name] = (n, means, cov[1:, 1:], cov[1:, 0], float(cov[0, 0]))
+    return out
+
+
 def ols_many(df: DataFrame, specs: Mapping[str, tuple[str, Sequence[str]]],
              residual_quantiles: bool = True) -> dict[str, OlsResult]:
     """Several regressions on one table (e.g. nested models) in one pass.
@@ -254,15 +290,11 @@ def ols_many(df: DataFrame, specs: Mapping[str, tuple[str, Sequence[str]]],
     # read by the moments and by the residual pass: keep it for both
     d = (df.select(*[F.col(c).cast("double").alias(c) for c in cols])
          .withColumns(flags).persist())
-    masks, aggs = {}, []
-    for i, (name, (y, xs)) in enumerate(specs.items()):
-        masks[name] = F.col(f"_mk{i}")
-        aggs += _moment_aggs(y, xs, masks[name], prefix=f"m{i}")
-    s = d.agg(*aggs).first()
+    masks = {name: F.col(f"_mk{i}") for i, name in enumerate(specs)}
+    moments = _pair_moments(d, specs, masks)
     fits = {}
     for i, (name, (y, xs)) in enumerate(specs.items()):
-        n = float(s[f"m{i}_n"] or 0)
-        means, sxx, sxy, syy = _moments_from_row(s, y, xs, n, prefix=f"m{i}")
+        n, means, sxx, sxy, syy = moments[name]
         rows, summ = _solve(n, means, sxx, sxy, syy, xs)
         summ.update({k: None for k in RESID_NAMES} if residual_quantiles else {})
         fits[name] = (rows, summ)

@@ -40,7 +40,7 @@ def add_model_terms(wide: DataFrame, labels: Sequence[str], year_col: str = "y",
     return wide.withColumns(cols)
 
 
-def elasticity(wide: DataFrame, own: str, rivals: Sequence[str], years: Sequence[int] = (),
+def elasticity(wide: DataFrame, own: str, rivals: Sequence[str], years: Sequence[int] | None = None,
                year_col: str = "y") -> dict[str, DataFrame]:
     """The four nested models, each as an ``OlsResult``-like pair.
 
@@ -48,8 +48,14 @@ def elasticity(wide: DataFrame, own: str, rivals: Sequence[str], years: Sequence
     m4: + year dummies, rivals' ln price and ln units, rivals' promotions.
     The own-price elasticity is the coefficient of ``ln_p_{own}``. Returns
     ``{"coefficients": long table with a model column, "summary": one row per model}``.
+    ``years=None`` uses every calendar year present (read from the cached model
+    frame, one value per year); with an intercept the last one is aliased, as
+    R reports it.
     """
-    d = add_model_terms(wide, [own, *rivals], year_col, years).persist()   # read by 4 models
+    wide = wide.persist()                  # read by the year list and by the four models
+    if years is None:
+        years = sorted(r[0] for r in wide.select(year_col).distinct().collect())
+    d = add_model_terms(wide, [own, *rivals], year_col, years)
     specs = {
         "m1": (f"units_{own}", [f"price_{own}"]),
         "m2": (f"ln_q_{own}", [f"ln_p_{own}"]),
@@ -67,7 +73,7 @@ def elasticity(wide: DataFrame, own: str, rivals: Sequence[str], years: Sequence
         s = res.summary.withColumn("model", F.lit(name))
         coefs = c if coefs is None else coefs.unionByName(c)
         sums = s if sums is None else sums.unionByName(s, allowMissingColumns=True)
-    d.unpersist()   # the results are small tables built from the fitted values
+    wide.unpersist()   # the results are small tables built from the fitted values
     return {"coefficients": coefs, "summary": sums}
 
 
