@@ -95,10 +95,22 @@ def _f_p_udf(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
                       for a, b, c in zip(f, d1, d2)], dtype="float64")
 
 
+def _ship() -> None:
+    from pyspark.sql import SparkSession
+
+    from tessera.session import ship_package
+
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        ship_package(spark)
+
+
 def t_pvalue(t: Column, df: Column) -> Column:
     """Two-sided p of a t statistic, for result rows (one per group)."""
+    _ship()
     return _t_p_udf(t.cast("double"), df.cast("double"))
 
 
 def f_pvalue(f: Column, d1: Column, d2: Column) -> Column:
+    _ship()
     return _f_p_udf(f.cast("double"), d1.cast("double"), d2.cast("double"))

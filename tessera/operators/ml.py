@@ -67,7 +67,10 @@ def _knn_chunk(donors: DataFrame, queries_pdf: pd.DataFrame, id_col: str, cols:
                targets: list[str] | None, exclude_self: bool) -> DataFrame:
     """For one broadcast chunk of query rows: each donor partition emits its k
     nearest donors per (query, target column). Output: qid, target, did, dist, value."""
+    from tessera.session import ship_package
+
     spark = donors.sparkSession
+    ship_package(spark)                # the distance pass runs in Python workers
     bq = spark.sparkContext.broadcast(queries_pdf)
     tgt = targets or ["_all"]
     schema = T.StructType([T.StructField("qid", T.LongType()), T.StructField("target", T.StringType()),

@@ -327,6 +327,9 @@ def ols_multi_by(df: DataFrame, keys: Sequence[str], y: str, xs: Sequence[str])
     p x p solve runs in ``mapInPandas`` over those one-row-per-group records.
     Output: keys, term, estimate, std_error, t_value, p_value, r2, n.
     """
+    from tessera.session import ship_package
+
+    ship_package(df.sparkSession)      # the per-group solve runs in Python workers
     keys = list(keys)
     xs = _dedupe(xs)
     cols = [y] + xs

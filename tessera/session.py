@@ -70,12 +70,42 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder (never machine-local
     on a cluster, because that folder is the cluster's shared one)."""
+    # the writers create the path; the base may be a URI (file:, hdfs:, s3a:, ...)
     base = ensure_checkpoint_dir(spark)
-    if "://" not in base:
-        os.makedirs(base, exist_ok=True)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tessera`` importable in Python workers (pandas UDFs,
+    ``mapInPandas``), as ``--py-files`` would: the package is zipped once per
+    driver process and added with ``SparkContext.addPyFile``, which serves it
+    to every executor. The zip is a driver-side artifact; executors never
+    read it from a local path."""
+    import zipfile
+
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    import tessera
+
+    pkg = os.path.dirname(os.path.abspath(tessera.__file__))
+    root = os.path.dirname(pkg)
+    path = os.path.join(tempfile.mkdtemp(prefix="tessera-pkg-"), "tessera.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for dirpath, dirs, files in os.walk(pkg):
+            dirs[:] = [d for d in dirs if d != "__pycache__"]
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss; never localCheckpoint)."""
     ensure_checkpoint_dir(df.sparkSession)

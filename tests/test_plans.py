@@ -65,3 +65,28 @@ def test_library_avoids(pattern):
                 if re.search(pattern, code):
                     hits.append(f)
     assert hits == []
+
+
+def test_python_worker_operators_run_from_any_directory(tmp_path):
+    """A plain session started outside the repo (as the driver may) must still
+    run the operators whose work happens in Python workers: the package is
+    shipped to the workers with addPyFile."""
+    import subprocess
+    import sys
+
+    script = tmp_path / "run.py"
+    script.write_text(
+        "import sys\n"
+        f"sys.path.insert(0, {ROOT!r})\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.sql.shuffle.partitions', '4')"
+        ".config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "import __spark_entry__ as E\n"
+        "q = E.queries()\n"
+        "for n in ['t3_corr_test_p', 't7_ols_multi_by', 'm4_smote']:\n"
+        "    print(n, q[n](spark, '/root/testdata/sf0.001').count())\n"
+        "spark.stop()\n")
+    out = subprocess.run([sys.executable, str(script)], cwd=str(tmp_path), capture_output=True, text=True,
+                         timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert "m4_smote" in out.stdout
