@@ -141,3 +141,16 @@ def ff3_alpha(port: DataFrame, factors: DataFrame, weight: str = "ew", spread_la
     j = port.join(factors, ["y", "m"])
     ex = F.when(F.col("grp") == spread_label, F.col(weight)).otherwise(F.col(weight) - F.col("rf"))
     return ols_multi_by(j.withColumn("ex_ret", ex), ["grp"], "ex_ret", ["mkt", "smb", "hml"])
+
+
+def factor_alphas(port: DataFrame, factors: DataFrame, weight: str = "ew", model: str = "capm") -> DataFrame:
+    """Portfolio performance per group for ``weight`` in ("ew", "vw"):
+    ``model="raw"`` mean return and t; ``"capm"`` alpha and beta on the market
+    excess return; ``"ff3"`` alpha and loadings on mkt, smb, hml."""
+    if model == "raw":
+        return raw_returns(port, weight)
+    if model == "capm":
+        return capm_alpha(port, factors, weight)
+    if model == "ff3":
+        return ff3_alpha(port, factors, weight)
+    raise ValueError(f"model must be raw, capm or ff3, not {model!r}")
