@@ -247,3 +247,16 @@ def test_pca_fitted_on_training_rows_only(spark):
     a = sorted((r.id, round(r.PCA_1, 9)) for r in fit_train.collect())
     b = sorted((r.id, round(r.PCA_1, 9)) for r in only_train.collect())
     assert a == b                                          # the test row did not move the components
+
+
+def test_factor_alphas_dispatch(spark):
+    port = spark.createDataFrame([("1", 2001, m, 0.01 * m, 0.02 * m) for m in range(1, 13)],
+                                 "grp string, y int, m int, ew double, vw double")
+    fac = spark.createDataFrame([(2001, m, 0.003 * m, 0.001, 0.002 * m, 0.0005) for m in range(1, 13)],
+                                "y int, m int, mkt double, smb double, hml double, rf double")
+    raw = equity.factor_alphas(port, fac, "ew", "raw").first()
+    assert raw["mean"] == pytest.approx(0.065) and raw["n"] == 12
+    capm = equity.factor_alphas(port, fac, "vw", "capm").first()
+    assert capm["n"] == 12 and capm["beta"] is not None
+    with pytest.raises(ValueError):
+        equity.factor_alphas(port, fac, "ew", "nope")
