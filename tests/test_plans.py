@@ -90,3 +90,19 @@ def test_python_worker_operators_run_from_any_directory(tmp_path):
                          timeout=600)
     assert out.returncode == 0, out.stderr[-2000:]
     assert "m4_smote" in out.stdout
+
+
+def test_bench_prints_one_json_line():
+    import json
+    import subprocess
+    import sys
+
+    env = dict(os.environ, BENCH_SF_DIR="/root/testdata/sf0.001", BENCH_CPUS="2",
+               BENCH_QUERIES="d1_daily_consumption,a16_histogram", BENCH_DRIVER_MEMORY="2g")
+    out = subprocess.run([sys.executable, os.path.join(ROOT, "bench.py")], env=env, capture_output=True,
+                         text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    line = [x for x in out.stdout.strip().splitlines() if x.startswith("{")][-1]
+    d = json.loads(line)
+    assert d["unit"] == "sec" and d["sf"] == 0.001 and set(d["queries"]) == {"d1_daily_consumption", "a16_histogram"}
+    assert d["value"] == pytest.approx(sum(d["queries"].values()), abs=0.01)
