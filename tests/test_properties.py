@@ -3,6 +3,7 @@
 and partition-count invariance."""
 
 import math
+import os
 
 import numpy as np
 import pytest
@@ -243,3 +244,34 @@ def test_ols_many_masks_each_model_to_its_complete_rows(spark):
         resid = y[rows] - A @ beta
         assert fits[name].summary.first()["resid_median"] == pytest.approx(float(np.median(resid)), abs=1e-9)
         assert fits[name].summary.first()["n"] == int(rows.sum())
+
+
+@pytest.mark.skipif(os.environ.get("TESSERA_ALL_INVARIANCE") != "1",
+                    reason="about 6 minutes; set TESSERA_ALL_INVARIANCE=1 (the default run checks 15 queries)")
+@pytest.mark.parametrize("name", sorted(__import__("__spark_entry__").queries()))
+def test_every_query_is_partition_invariant(spark, name):
+    """SURVEY section 5: the same rows with 1 and 8 shuffle partitions (floats
+    to 1e-9 relative), for every registered query on the smallest tables."""
+    import __spark_entry__ as E
+
+    q = E.queries()[name]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "1")
+        a = [tuple(r) for r in q(spark, SF_SMALL).collect()]
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        b = [tuple(r) for r in q(spark, SF_SMALL).collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+    def key(r):
+        return tuple(f"{x:.6g}" if isinstance(x, float) else str(x) for x in r)
+
+    a, b = sorted(a, key=key), sorted(b, key=key)
+    assert len(a) == len(b)
+    for ra, rb in zip(a, b):
+        for x, y in zip(ra, rb):
+            if isinstance(x, float) and isinstance(y, float):
+                assert (math.isnan(x) and math.isnan(y)) or y == pytest.approx(x, rel=1e-9, abs=1e-12)
+            else:
+                assert x == y
