@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, token_store
+from . import chat_format, packing, sharding, token_store, url_filters
+from .store import materialise
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -19,17 +20,51 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: (host, path, verdict): fixed values of the contract.
+HOST_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+def op3_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number in a page's path names the document it shows; its labels
+    (low quality or toxic) label the url for the rules to be mined."""
+    pages = _read(spark, sf_dir, "pages").select("page_id", "url")
+    number = F.regexp_extract(url_filters.path_of(F.col("url")), "/([0-9]{1,18})[^/]*/?$", 1)
+    labels = _read(spark, sf_dir, "labels").groupBy("doc_id").agg(
+        F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("block"))
+    labelled = pages.select("url", number.try_cast("long").alias("shown"))
+    labelled = labelled.join(labels, F.col("shown") == F.col("doc_id")).select("url", "block")
+    return url_filters.judge(pages, HOST_RULES, url_filters.mine_rules(labelled))
+
+
 def op4_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_store.write_shards(_read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), END_ID)
     return token_store.read_shards(manifest).withColumnRenamed("key", "doc_id")
 
 
+def op7_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.interleave(_read(spark, sf_dir, "documents"), 8)
+    return out.select("doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+                      F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op9_prefix_target_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", own), (-1, 1, "assistant", own)], table.schema)
+    segs = materialise(chat_format.segments(table.unionByName(more)), "chat-segments")
+    return chat_format.digests(segs, materialise(chat_format.examples(segs), "chat-examples"))
+
+
 def op10_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), END_ID)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_url_verdicts": op3_url_verdicts,
     "op4_token_shards": op4_token_shards,
+    "op7_interleaved_shards": op7_interleaved_shards,
+    "op9_prefix_target_chat": op9_prefix_target_chat,
     "op10_pack_sequences": op10_pack_sequences,
 }
 
