@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, packing, sharding, token_store, url_filters
+from . import chat_format, embedding_dedup, packing, quality_classifier, quality_rules, sharding, token_store, url_filters
 from .store import materialise
 
 TOKENIZER = "word_bpe_49k.json"
@@ -20,6 +20,19 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    forest = quality_classifier.learn(docs, _read(spark, sf_dir, "labels"))
+    scored = quality_classifier.score(docs, forest, keep=["doc_id"])
+    return scored.select("doc_id", quality_classifier.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    forest = quality_rules.learn(docs, _read(spark, sf_dir, "labels"))
+    return quality_rules.judge(docs, forest, keep=["doc_id"])
+
+
 #: (host, path, verdict): fixed values of the contract.
 HOST_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
@@ -48,6 +61,10 @@ def op7_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_pq_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_read(spark, sf_dir, "embeddings"))
+
+
 def op9_prefix_target_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     own = "</s>[INST] ok [/INST]"
@@ -61,9 +78,12 @@ def op10_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op2_quality_rules": op2_quality_rules,
     "op3_url_verdicts": op3_url_verdicts,
     "op4_token_shards": op4_token_shards,
     "op7_interleaved_shards": op7_interleaved_shards,
+    "op8_pq_near_duplicates": op8_pq_near_duplicates,
     "op9_prefix_target_chat": op9_prefix_target_chat,
     "op10_pack_sequences": op10_pack_sequences,
 }
