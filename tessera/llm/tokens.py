@@ -51,17 +51,45 @@ class Encoder:
         self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
         self.by_word = _word_local(json.loads(self.tok.to_str()))
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
+        self.tails = self._plain_tails() if self.by_word else {}
         self.cache: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _plain_tails(self) -> dict[str, bytes]:
+        """Ids of the punctuation marks that are parted from a word of a-z
+        before them; none if words of a-z are not left as they are."""
+        letters = "abcdefghijklmnopqrstuvwxyz"
+        pieces = lambda w: [p for p, _ in self.tok.pre_tokenizer.pre_tokenize_str(self.tok.normalizer.normalize_str(w))]
+        if pieces(letters) != [letters] or any(pieces(c + letters + c) != [c + letters + c] for c in letters):
+            return {}
+        return {p: self._ids([p])[0] for p in ".,;:!?" if pieces(letters + p) == [letters, p]}
+
+    def _ids_of_words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word. A word of a-z, with or without one of ``tails``
+        after it, goes to the tokenizer's model at once, since normalisation
+        and pre-tokenisation leave it as it is (tested when opened)."""
+        model, dtype, tails = self.tok.model.tokenize, self.dtype, self.tails
+        out: list[bytes | None] = []
+        for w in words:
+            core = w[:-1] if w[-1:] in tails else w
+            if tails and core.isascii() and core.isalpha():
+                ids = np.array([t.id for t in model(core)], dtype).tobytes()
+                out.append(ids if core is w else ids + tails[w[-1]])
+            else:
+                out.append(None)
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, ids in zip(rest, self._ids([words[i] for i in rest])):
+            out[i] = ids
+        return out
+
     def _word_ids(self, vocabulary: list[str]) -> list[bytes]:
         cache = self.cache
         # the tokenizer lower-cases; folding A-Z first is the same for a word that is all ASCII
         keys = [w.lower() if w.isascii() else w for w in vocabulary]
         fresh = list({k for k in keys if k not in cache})
-        new = dict(zip(fresh, self._ids(fresh)))
+        new = dict(zip(fresh, self._ids_of_words(fresh)))
         out = [cache[k] if k in cache else new[k] for k in keys]
         room = CACHED_WORDS - len(cache)
         if room > 0:

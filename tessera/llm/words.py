@@ -15,6 +15,8 @@ import xxhash
 
 SLICE_BYTES = 8 << 20
 
+_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _M1 = np.uint64(0xBF58476D1CE4E5B9)
 _M2 = np.uint64(0x94D049BB133111EB)
@@ -74,9 +76,8 @@ class Words:
 
 
 def split(texts: pa.Array, lower: bool = False) -> Words:
-    """Words of every text; ``lower`` lower-cases A-Z only."""
-    if lower:
-        texts = pc.ascii_lower(texts)
+    """Words of every text; ``lower`` lower-cases A-Z only (in the vocabulary,
+    which may then hold a word twice)."""
     lists = pc.ascii_split_whitespace(texts)
     bounds = np.asarray(lists.offsets).astype(np.int64)
     flat = lists.flatten()
@@ -89,6 +90,8 @@ def split(texts: pa.Array, lower: bool = False) -> Words:
         keep = codes != empty
         kept = np.concatenate([[0], np.cumsum(keep)])
         codes, bounds = codes[keep], kept[bounds]
+    if lower:
+        vocabulary = [w.lower() if w.isascii() else w.translate(_LOWER) for w in vocabulary]
     return Words(vocabulary, codes, bounds)
 
 
