@@ -5,11 +5,12 @@ codebooks of residual subspaces are fitted on a bounded sample; every class
 is indexed: it lives in the inverted list of its best centroid as a residual
 code and the norm of what the code leaves out. A vector x probes each list
 whose centroid c is close to its best one b: x.(b - c) <= margin * |b - c|.
-(A partner y at cosine >= t lies within s = sqrt(2 - 2t) of x, and y's list
-c can only differ from b if x.(b - c) <= (x - y).(b - c); margin = s would
-find every pair, and since the direction of x - y is not that of b - c in
-many dimensions, PROBE_SIGMAS * s / sqrt(dimensions), at most s, suffices; the tests
-and README measure recall.) In a list, distances to the codes come from
+If y's best centroid is c, x.(b - c) + y.(c - b) = (x - y).(b - c), so the
+smaller of the two terms is at most half of the right side, and either end
+may find the pair. |x - y| is at most s = sqrt(2 - 2t) for partners at cosine
+t; margin = s / 2 would find every pair. Since the direction of x - y is not
+that of b - c in many dimensions, PROBE_SIGMAS * s / sqrt(dimensions), at most
+s / 2, suffices; the tests and README measure recall. In a list, distances to the codes come from
 lookup tables (asymmetric); those that could reach the threshold, with the
 left-out norm as an exact bound, are ranked again by the exact cosine.
 
@@ -42,7 +43,7 @@ LIST_ROWS = 128
 MAX_LISTS = 4096
 SUBSPACES = 8
 CODES = 256
-PROBE_SIGMAS = 4.0
+PROBE_SIGMAS = 1.25
 BLOCK_ROWS = 2048
 
 
@@ -74,7 +75,7 @@ class Index:
         self.cuts = np.array_split(np.arange(d), min(SUBSPACES, d))
         self.books = [_kmeans(residual[:, c], min(CODES, len(sample)), 6, rng) for c in self.cuts]
         reach = (2 - 2 * threshold) ** 0.5
-        self.margin = min(reach, PROBE_SIGMAS * reach / d ** 0.5)
+        self.margin = min(reach / 2, PROBE_SIGMAS * reach / d ** 0.5)
         self.apart = np.sqrt(np.maximum(0, ((self.centres ** 2).sum(1)[:, None] + (self.centres ** 2).sum(1) - 2 * self.centres @ self.centres.T)))
 
     def home(self, x: np.ndarray) -> np.ndarray:
@@ -133,22 +134,17 @@ def _links(classes: DataFrame, threshold: float, dtype: np.dtype) -> DataFrame:
                 yield f.assign(home=home.astype("int32"), probes=probes)
 
     placed = materialise(classes.select("uid", "n", "raw").mapInPandas(assign, "uid long, n long, raw binary, home int, probes array<int>"), "vector-lists")
-    # two small tables with one row per list
-    members = {r["home"]: r["count"] for r in placed.groupBy("home").count().collect()}
-    asked = {r["list"]: r["count"] for r in placed.select(F.explode("probes").alias("list")).groupBy("list").count().collect()}
-
-    def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = []
-            for uid, n, raw, home, probes in frame.itertuples(index=False):
-                at, wide = -(-members[home] // BLOCK_ROWS), -(-asked.get(home, 1) // BLOCK_ROWS)
-                out += [(home, uid % at, j, True, uid, n, raw, home, probes) for j in range(wide)]
-                for p in probes:
-                    if p in members:
-                        at, wide = -(-members[p] // BLOCK_ROWS), -(-asked[p] // BLOCK_ROWS)
-                        out += [(int(p), i, uid % wide, False, uid, n, raw, home, None) for i in range(at)]
-            for i in range(0, len(out), 20_000):
-                yield pd.DataFrame(out[i:i + 20_000], columns=["list", "i", "j", "member", "uid", "n", "raw", "home", "probes"])
+    # blocks of each list: a table with one row per list, at most MAX_LISTS
+    probes = placed.select(F.explode("probes").alias("probed")).groupBy("probed").agg(F.count("*").alias("asked"))
+    lists = placed.groupBy(F.col("home").alias("list")).agg(F.count("*").alias("members")).join(probes, F.col("list") == F.col("probed"))
+    blocks = lambda n: F.expr(f"cast(({n} + {BLOCK_ROWS - 1}) div {BLOCK_ROWS} as int)")
+    lists = F.broadcast(materialise(lists.select("list", blocks("members").alias("at"), blocks("asked").alias("wide")), "vector-blocks"))
+    stored = placed.join(lists, F.col("home") == F.col("list")).select(
+        "list", F.pmod("uid", "at").cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("wide") - 1)).alias("j"), F.lit(True).alias("member"),
+        "uid", "n", "raw", "home", "probes")
+    asking = placed.select("uid", "n", "raw", "home", F.explode("probes").alias("probed")).join(lists, F.col("probed") == F.col("list")).select(
+        "list", F.explode(F.sequence(F.lit(0), F.col("at") - 1)).alias("i"), F.pmod("uid", "wide").cast("int").alias("j"), F.lit(False).alias("member"),
+        "uid", "n", "raw", "home", F.lit(None).cast("array<int>").alias("probes"))
 
     def search(key, frame: pd.DataFrame) -> pd.DataFrame:
         index = shared.value
@@ -183,8 +179,7 @@ def _links(classes: DataFrame, threshold: float, dtype: np.dtype) -> DataFrame:
         hit = (linked > 0) | (roots != uids)
         return pd.DataFrame({"uid": uids[hit], "linked": linked[hit], "root": roots[hit]})
 
-    dealt = placed.mapInPandas(deal, "list int, i int, j int, member boolean, uid long, n long, raw binary, home int, probes array<int>")
-    return dealt.groupBy("list", "i", "j").applyInPandas(search, "uid long, linked long, root long")
+    return stored.unionAll(asking).groupBy("list", "i", "j").applyInPandas(search, "uid long, linked long, root long")
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, key: str = "vec_id", vector: str = "embedding") -> DataFrame:

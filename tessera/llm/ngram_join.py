@@ -234,10 +234,9 @@ def join_sets(sets: list[np.ndarray], percent: int, sides: np.ndarray | None = N
     return root, out
 
 
-def similar(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row of ``docs``: key, n_shingles, class_id (the smallest id with
-    the same set), component_id (the smallest id reachable by links) and
-    n_links (other classes that its class links with)."""
+def _joined(docs: DataFrame, width: int, percent: int, key: str, text: str) -> DataFrame:
+    """Per row: id, hash (of the text), uid (a number of its own), n, class_id,
+    component (the node that names it; null without words), component_id, n_links."""
     spark: SparkSession = docs.sparkSession
     prepare(spark)
     prefix_share = PREFIX_SHARE
@@ -331,8 +330,29 @@ def similar(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, key: st
     ends = classes.join(joined, F.col("node") == F.col("_node"), "left").join(links, F.col("node") == F.col("_of"), "left")
     ends = ends.select("name", "class_id", F.coalesce("component", "node").alias("component"), F.coalesce("links", F.lit(0).cast("long")).alias("n_links"))
     least_ = ends.groupBy("component").agg(F.min("class_id").alias("component_id")).withColumnRenamed("component", "_component")
-    ends = ends.join(least_, F.col("component") == F.col("_component")).select(F.col("name").alias("_name"), "class_id", "component_id", "n_links")
-    out = signed.select("id", "name", "n").join(ends, (F.col("name") == F.col("_name")) & (F.col("n") > 0), "left")
-    return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("id")).alias("class_id"),
-                      F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
-                      F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+    ends = ends.join(least_, F.col("component") == F.col("_component")).select(F.col("name").alias("_name"), "class_id", "component", "component_id", "n_links")
+    out = signed.select("id", "hash", "uid", "name", "n").join(ends, (F.col("name") == F.col("_name")) & (F.col("n") > 0), "left")
+    own = lambda c: F.when(F.col("n") > 0, F.col(c)).otherwise(F.col("id")).alias(c)
+    return out.select("id", "hash", "uid", "n", own("class_id"), "component", own("component_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+
+
+def similar(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row of ``docs``: key, n_shingles, class_id (the smallest id with
+    the same set), component_id (the smallest id reachable by links) and
+    n_links (other classes that its class links with)."""
+    rows = _joined(docs, width, percent, key, text)
+    return rows.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), "class_id", "component_id", "n_links")
+
+
+def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each component, that of its smallest id (null
+    first); rows without a word are all kept."""
+    rows = _joined(docs, width, percent, key, text).where(F.col("component").isNotNull())
+    first = rows.groupBy("component").agg(F.min(F.struct("id", "hash")).alias("first"))
+    first = first.select(F.col("first.id").alias("_id"), F.col("first.hash").alias("_hash"))
+    wordless = F.coalesce(F.col(text), F.lit("")).rlike(r"^[\x20\x09-\x0D]*\z")
+    hashed = docs.where(~wordless).withColumn("_text_hash", F.xxhash64(text))
+    kept = hashed.join(first, (F.col("_text_hash") == F.col("_hash")) & F.col(key).eqNullSafe(F.col("_id")), "left_semi")
+    # the same id and text may stand in several rows
+    kept = kept.dropDuplicates([key, "_text_hash"])
+    return kept.select(*docs.columns).unionAll(docs.where(wordless))

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, embedding_dedup, ngram_join, packing, quality_classifier, quality_rules, sharding, token_store, url_filters
+from . import chat_format, embedding_dedup, mixing, ngram_join, packing, quality_classifier, quality_rules, sharding, token_store, url_filters
 from .store import materialise
 
 TOKENIZER = "word_bpe_49k.json"
@@ -58,6 +58,13 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar(_read(spark, sf_dir, "documents"), width=3, percent=90).select("doc_id", "n_shingles", "component_id")
 
 
+def op6_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domains are those that the labels name; held-out rows are not learned from."""
+    labels = _read(spark, sf_dir, "labels").where(~quality_classifier.held_out(F.col("doc_id")))
+    domains = labels.select("doc_id", mixing.domain_of(F.col("quality"), F.col("toxic")).alias("domain"))
+    return mixing.mix(_read(spark, sf_dir, "documents"), domains, keep=["doc_id"])
+
+
 def op7_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.interleave(_read(spark, sf_dir, "documents"), 8)
     return out.select("doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
@@ -87,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_verdicts": op3_url_verdicts,
     "op4_token_shards": op4_token_shards,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op6_soft_mixing": op6_soft_mixing,
     "op7_interleaved_shards": op7_interleaved_shards,
     "op8_pq_near_duplicates": op8_pq_near_duplicates,
     "op9_prefix_target_chat": op9_prefix_target_chat,
