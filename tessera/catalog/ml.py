@@ -152,8 +152,8 @@ from v_part_gaps v left join t1 on v.id = t1.qid left join t2 on v.id = t2.qid""
     "m8_accuracy": W("""select avg(case when label = (case when n_chars > 2000 then 1 else 0 end) then 1.0 else 0.0 end) as accuracy,
   cast(count(*) as bigint) as n from v_labelled""", "v_labelled"),
     "m10_stratified_folds": W("""
-with c as (select label, count(*) as n from v_labelled group by label),
-s as (select label, cast(n as bigint) as n, cast(coalesce(sum(n) over (order by label rows between unbounded preceding and 1 preceding), 0) as bigint) as st from c),
+with c as (select label, count(*) as n, min(doc_id) as f from v_labelled group by label),
+s as (select label, cast(n as bigint) as n, cast(coalesce(sum(n) over (order by f rows between unbounded preceding and 1 preceding), 0) as bigint) as st from c),
 a as (select s.label, f.f, (select count(*) from range(s.st, s.st + s.n) t(p) where p % 5 = f.f) as alloc
   from s, (select range as f from range(5)) f),
 cu as (select label, f, sum(alloc) over (partition by label order by f) as cum from a),

@@ -129,8 +129,10 @@ def drop_last(df: DataFrame, order: Sequence[str], n: int = 1) -> DataFrame:
 
     The n keys come from a top-n (per-partition top-k then merge; no global
     window), then a left-anti join removes them."""
+    from tessera.operators.joins import null_safe_join
+
     last = df.select(*order).orderBy(*[F.col(c).desc() for c in order]).limit(n)
-    return df.join(F.broadcast(last), list(order), "left_anti")
+    return null_safe_join(df, last, list(order), "left_anti")
 
 
 def slice_from(df: DataFrame, c: str, lo) -> DataFrame:
@@ -215,9 +217,9 @@ def duplicate_count(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
     """O3: rows minus distinct rows, in one aggregation."""
     cols = list(cols or df.columns)
     g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    return g.agg(F.sum(F.col("_n")).cast("bigint").alias("rows"),
+    return g.agg(F.coalesce(F.sum(F.col("_n")), F.lit(0)).cast("bigint").alias("rows"),
                  F.count(F.lit(1)).cast("bigint").alias("distinct_rows"),
-                 F.sum(F.col("_n") - 1).cast("bigint").alias("duplicates"))
+                 F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicates"))
 
 
 def dedup(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -93,10 +93,14 @@ def join_then_first(fine: DataFrame, coarse: DataFrame, on: Sequence[str],
     to one row per ``key`` and the coarse side to one row per join key (by
     ``coarse_order``; omit it when the coarse side is already unique). Each
     reduction is a ``min_by`` hash aggregation combined map-side, so the join
-    cannot fan out and its shuffle carries one row per key.
+    cannot fan out and its shuffle carries one row per key. Where ``on`` is not
+    part of ``key``, a key's rows may match or not, so for an inner join those
+    without a match are dropped (semi join) before the first one is taken.
     """
     from tessera.operators.frame import first_per_key
 
+    if how == "inner" and not set(on) <= set(key):
+        fine = fine.join(coarse.select(*on), list(on), "left_semi")
     f1 = first_per_key(fine, list(key), list(order))
     c1 = first_per_key(coarse, list(on), list(coarse_order)) if coarse_order else coarse
     return f1.join(c1, list(on), how)
@@ -125,13 +129,12 @@ def join_fill(a: DataFrame, b: DataFrame, on: Sequence[str], how: str = "left",
     return j.na.fill(fill, subset=cols)
 
 
-def broadcast_small(df: DataFrame) -> DataFrame:
-    """Hint for a side whose size is bounded by construction."""
-    return F.broadcast(df)
-
-
-def cond_and(*conds: Column) -> Column:
-    out = conds[0]
-    for c in conds[1:]:
-        out = out & c
-    return out
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which a NULL key matches a NULL key; the key columns come
+    from the left side. (Spark plans it as a hash or sort-merge join.)"""
+    on = list(on)
+    r = right.select(*[F.col(c).alias(f"_key_{c}") if c in on else F.col(c) for c in right.columns])
+    cond = F.lit(True)
+    for c in on:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_key_{c}"))
+    return left.join(r, cond, how).drop(*([] if how in ("left_semi", "left_anti") else [f"_key_{c}" for c in on]))

@@ -6,11 +6,11 @@ Scale notes
   single-partition window (range buckets + per-bucket windows + bucket
   offsets). The split (M5), the stratified folds (M10) and SMOTE's copy
   counts (M4) are built on it.
-* k-nearest-neighbour search (M1, M4) broadcasts a bounded chunk of query
-  rows (rows with gaps / minority rows); every donor partition computes its
-  distances to the chunk in numpy (``mapInPandas``) and emits only its k best
-  per query, so no pair table is shuffled. More query rows than one chunk are
-  handled exactly by more chunks (no cap, no sampling).
+* k-nearest-neighbour search (M1, M4) deals queries (rows with gaps /
+  minority rows) and donors into blocks of bounded size; each pair of blocks
+  is one cogrouped task that computes its distances in numpy and emits only
+  its k best per query, so no pair table is shuffled and nothing passes
+  through the driver (no cap, no sampling).
 * Model fitting uses ``pyspark.ml`` (distributed L-BFGS, PCA on a
   distributed covariance).
 """
@@ -31,8 +31,8 @@ from pyspark.sql import types as T
 
 from tessera.operators.rank import row_index  # noqa: F401  (exact distributed row numbers)
 
-CHUNK_ROWS = 20_000   # query rows broadcast per k-NN pass
-DONOR_BLOCK = 256     # donor rows per distance block (CHUNK_ROWS x DONOR_BLOCK doubles per array)
+CHUNK_ROWS = 10_000   # rows of a block of queries or donors in the k-NN search
+DONOR_BLOCK = 256     # donor rows per distance array (CHUNK_ROWS x DONOR_BLOCK doubles)
 
 
 # ------------------------------------------------------------ row numbering
@@ -63,90 +63,78 @@ def _nan_dist(q: np.ndarray, d: np.ndarray) -> np.ndarray:
     return dist
 
 
-def _knn_chunk(donors: DataFrame, queries_pdf: pd.DataFrame, id_col: str, cols: list[str], k: int,
-               targets: list[str] | None, exclude_self: bool) -> DataFrame:
-    """For one broadcast chunk of query rows: each donor partition emits its k
-    nearest donors per (query, target column). Output: qid, target, did, dist, value."""
-    from tessera.session import ship_package
-
-    spark = donors.sparkSession
-    ship_package(spark)                # the distance pass runs in Python workers
-    bq = spark.sparkContext.broadcast(queries_pdf)
-    tgt = targets or ["_all"]
-    schema = T.StructType([T.StructField("qid", T.LongType()), T.StructField("target", T.StringType()),
-                           T.StructField("did", T.LongType()), T.StructField("dist", T.DoubleType()),
-                           T.StructField("value", T.DoubleType())])
-
-    def run(batches):
-        qpdf = bq.value
-        qx = qpdf[cols].to_numpy(dtype=float)
-        qids = qpdf[id_col].to_numpy().astype(np.int64)
-        nq = len(qids)
-        # running top-k per (query, target) over every donor block of this partition
-        best = {t: (np.full((nq, k), np.inf), np.full((nq, k), -1, dtype=np.int64), np.full((nq, k), np.nan))
-                for t in tgt}
-        qmiss = {t: np.isnan(qpdf[t].to_numpy(dtype=float)) for t in tgt if t != "_all" and t in qpdf}
-        for pdf in batches:
-            for lo in range(0, len(pdf), DONOR_BLOCK):
-                blk = pdf.iloc[lo:lo + DONOR_BLOCK]
-                dids = blk[id_col].to_numpy().astype(np.int64)
-                dist = _nan_dist(qx, blk[cols].to_numpy(dtype=float))
-                if exclude_self:
-                    dist[qids[:, None] == dids[None, :]] = np.nan
-                for t in tgt:
-                    dd = dist.copy()
-                    if t != "_all":
-                        tv = blk[t].to_numpy(dtype=float)
-                        dd[:, np.isnan(tv)] = np.nan          # donors must have the target feature
-                        if t in qmiss:
-                            dd[~qmiss[t], :] = np.nan         # only rows missing it are filled
-                    else:
-                        tv = np.full(len(dids), np.nan)
-                    dd = np.where(np.isnan(dd), np.inf, dd)
-                    bd, bi, bv = best[t]
-                    cd = np.hstack([bd, dd])
-                    ci = np.hstack([bi, np.broadcast_to(dids, dd.shape)])
-                    cv = np.hstack([bv, np.broadcast_to(tv, dd.shape)])
-                    order = np.lexsort((ci, cd))[:, :k]
-                    best[t] = (np.take_along_axis(cd, order, 1), np.take_along_axis(ci, order, 1),
-                               np.take_along_axis(cv, order, 1))
-        out = []
-        for t in tgt:
-            bd, bi, bv = best[t]
-            qi, j = np.nonzero(np.isfinite(bd))
-            if qi.size:
-                out.append(pd.DataFrame({"qid": qids[qi], "target": t, "did": bi[qi, j], "dist": bd[qi, j],
-                                         "value": bv[qi, j]}))
-        if out:
-            yield pd.concat(out, ignore_index=True)
-
-    return donors.select(id_col, *[c for c in dict.fromkeys(cols + [t for t in tgt if t != "_all"])]).mapInPandas(run, schema)
+def _top_k(qx: np.ndarray, qids: np.ndarray, qmiss: dict, dx: np.ndarray, dids: np.ndarray, dvals: dict, targets: list[str], k: int,
+           exclude_self: bool) -> list[pd.DataFrame]:
+    """The k nearest of some donors for each of some queries and each target."""
+    if exclude_self:
+        same = qids[:, None] == dids[None, :]
+    best = {t: [] for t in targets}
+    for lo in range(0, len(dids), DONOR_BLOCK):
+        blk = slice(lo, lo + DONOR_BLOCK)
+        dist = _nan_dist(qx, dx[blk])
+        if exclude_self:
+            dist[same[:, blk]] = np.nan
+        for t in targets:
+            dd = dist.copy()
+            if t != "_all":
+                dd[:, np.isnan(dvals[t][blk])] = np.nan       # donors must have the target feature
+                dd[~qmiss[t], :] = np.nan                     # only rows missing it are filled
+            dd = np.where(np.isnan(dd), np.inf, dd)
+            # ids are sorted, so a stable sort breaks ties by the donor id
+            pick = np.argsort(dd, axis=1, kind="stable")[:, :k]
+            best[t].append((np.take_along_axis(dd, pick, 1), pick + lo))
+    out = []
+    for t in targets:
+        dist = np.hstack([d for d, _ in best[t]])
+        at = np.hstack([i for _, i in best[t]])
+        pick = np.argsort(dist, axis=1, kind="stable")[:, :k]
+        dist, at = np.take_along_axis(dist, pick, 1), np.take_along_axis(at, pick, 1)
+        q, j = np.nonzero(np.isfinite(dist))
+        value = dvals[t][at[q, j]] if t != "_all" else np.full(len(q), np.nan)
+        out.append(pd.DataFrame({"qid": qids[q], "target": t, "did": dids[at[q, j]], "dist": dist[q, j], "value": value}))
+    return out
 
 
 def knn_search(queries: DataFrame, donors: DataFrame, id_col: str, cols: Sequence[str], k: int = 5,
-               targets: Sequence[str] | None = None, exclude_self: bool = False) -> DataFrame:
+               targets: Sequence[str] | None = None, exclude_self: bool = False, by: str | None = None) -> DataFrame:
     """k nearest donors per query row (and per target column when given),
-    ties by (distance, donor id). Exact: partial top-k per donor partition,
-    then the final top-k per query over those candidates. Query rows are
-    processed in broadcast chunks of ``CHUNK_ROWS``."""
-    cols = list(cols)
-    n = queries.count()
-    n_chunks = max(1, math.ceil(n / CHUNK_ROWS))
-    qcols = list(dict.fromkeys([id_col, *cols, *(targets or [])]))
-    parts = []
-    for c in range(n_chunks):
-        chunk = queries.select(*qcols)
-        if n_chunks > 1:
-            chunk = chunk.where(F.pmod(F.xxhash64(id_col), F.lit(n_chunks)) == c)
-        qpdf = chunk.toPandas()   # bounded by CHUNK_ROWS rows
-        if qpdf.empty:
-            continue
-        parts.append(_knn_chunk(donors, qpdf, id_col, cols, k, list(targets) if targets else None, exclude_self))
-    if not parts:
-        return donors.sparkSession.createDataFrame([], "qid long, target string, did long, dist double, value double, rank int")
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
+    ties by (distance, donor id). Exact: queries and donors are dealt into
+    blocks by a hash of the id, each pair of blocks is one cogrouped task that
+    returns its k best per query, and the final top-k per query runs over
+    those. Nothing passes through the driver. ``by``: only donors with the
+    query's value of this column count."""
+    from tessera.session import ship_package
+
+    ship_package(donors.sparkSession)
+    cols, tgt = list(cols), list(targets) if targets else ["_all"]
+    need = list(dict.fromkeys([*cols, *(targets or [])]))
+    group = [by] if by else []
+    nq, nd = (max(1, math.ceil(d.count() / CHUNK_ROWS)) for d in (queries, donors))
+    read = lambda d: d.select(id_col, *group, *[F.col(c).cast("double").alias(c) for c in need])
+
+    def dealt(d, own, n_own, other, n_other):
+        d = read(d).withColumn(own, F.pmod(F.xxhash64(id_col), F.lit(n_own)).cast("int"))
+        return d.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))))
+
+    keys = [*group, "_q", "_d"]
+    q = dealt(queries, "_q", nq, "_d", nd).groupBy(*keys)
+    # other names on the donor side: queries and donors may be the same table
+    donors = dealt(donors, "_d", nd, "_q", nq)
+    named = donors.columns
+    d = donors.select(*[F.col(c).alias(f"donor_{c}") for c in named]).groupBy(*[f"donor_{c}" for c in keys])
+    id_type = dict(queries.dtypes)[id_col]
+    schema = f"qid {id_type}, target string, did {id_type}, dist double, value double"
+
+    def run(qf: pd.DataFrame, df: pd.DataFrame) -> pd.DataFrame:
+        frames = []
+        if not qf.empty and not df.empty:
+            df = df.set_axis(named, axis=1).sort_values(id_col)
+            frames = _top_k(
+                qf[cols].to_numpy(float), qf[id_col].to_numpy(), {t: np.isnan(qf[t].to_numpy(float)) for t in tgt if t != "_all"},
+                df[cols].to_numpy(float), df[id_col].to_numpy(), {t: df[t].to_numpy(float) for t in tgt if t != "_all"}, tgt, k, exclude_self)
+        return pd.concat(frames, ignore_index=True) if frames else pd.DataFrame({"qid": [], "target": [], "did": [], "dist": [], "value": []})
+
+    cand = q.cogroup(d).applyInPandas(run, schema)
     w = Window.partitionBy("qid", "target").orderBy("dist", "did")
     return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
@@ -157,16 +145,19 @@ def knn_impute(df: DataFrame, id_col: str, cols: Sequence[str], k: int = 5) -> D
     nan-Euclidean distance over features present in both; no eligible donor
     -> the column mean."""
     cols = list(cols)
+    # NaN counts as missing, as in the distances
+    num = {c: F.col(c).cast("double") for c in cols}
+    clean = df.withColumns({c: F.when(F.isnan(v), F.lit(None)).otherwise(v) for c, v in num.items()})
     any_gap = None
     for c in cols:
         e = F.col(c).isNull()
         any_gap = e if any_gap is None else any_gap | e
-    gaps = df.where(any_gap)
-    nn = knn_search(gaps, df, id_col, cols, k, targets=cols, exclude_self=True)
+    gaps = clean.where(any_gap)
+    nn = knn_search(gaps, clean, id_col, cols, k, targets=cols, exclude_self=True)
     fill = nn.groupBy("qid").pivot("target", cols).agg(F.avg("value"))
     fill = fill.select(F.col("qid").alias(id_col), *[F.col(c).alias(f"_fill_{c}") for c in cols])
-    means = df.agg(*[F.avg(c).alias(c) for c in cols]).first()
-    out = df.join(fill, id_col, "left")
+    means = clean.agg(*[F.avg(c).alias(c) for c in cols]).first()
+    out = clean.join(fill, id_col, "left")
     return out.select(*[F.coalesce(F.col(c), F.col(f"_fill_{c}"), F.lit(means[c])).alias(c) if c in cols else F.col(c)
                         for c in df.columns])
 
@@ -208,13 +199,14 @@ def split(df: DataFrame, id_col: str, test: float = 0.2, seed: int = 42, out: st
 
 
 def stratified_folds(df: DataFrame, id_col: str, label: str, k: int = 5, out: str = "fold") -> DataFrame:
-    """Unshuffled stratified k folds: labels sorted are dealt to folds
-    round-robin to get each class's fold sizes; within a class, rows in id
-    order fill fold 0, then fold 1, ... (contiguous blocks)."""
-    counts = sorted((r[0], r[1]) for r in df.groupBy(label).count().collect())   # one row per class
+    """Unshuffled stratified k folds: classes in order of their first
+    appearance (smallest id), dealt to folds round-robin to get each class's
+    fold sizes; within a class, rows in id order fill fold 0, then fold 1, ...
+    (contiguous blocks). A missing label is a class."""
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.min(id_col).alias("f")).orderBy("f").collect()   # one row per class
     bounds, start = {}, 0
-    for cls, n in counts:
-        # sorted labels dealt round-robin: class positions [start, start + n)
+    for cls, n, _ in counts:
+        # the classes dealt round-robin: class positions [start, start + n)
         alloc = [len(range(start + ((f - start) % k), start + n, k)) for f in range(k)]
         cum = list(np.cumsum(alloc))
         bounds[cls] = cum
@@ -224,38 +216,44 @@ def stratified_folds(df: DataFrame, id_col: str, label: str, k: int = 5, out: st
     for cls, cum in bounds.items():
         arr = F.array(*[F.lit(int(x)) for x in cum])
         f = F.size(F.filter(arr, lambda b: b <= F.col("_i")))
-        expr = F.when(F.col(label) == F.lit(cls), f) if expr is None else expr.when(F.col(label) == F.lit(cls), f)
-    return idx.withColumn(out, expr.cast("int")).drop("_i")
+        mine = F.col(label).eqNullSafe(F.lit(cls))
+        expr = F.when(mine, f) if expr is None else expr.when(mine, f)
+    return idx.withColumn(out, (expr if expr is not None else F.lit(None)).cast("int")).drop("_i")
 
 
 def smote(df: DataFrame, id_col: str, label: str, cols: Sequence[str], k: int = 5, seed: int = 42) -> DataFrame:
-    """M4: SMOTE oversampling of the minority class to the majority count.
+    """M4: SMOTE oversampling of every class to the largest class's count.
 
     Each synthetic row is x + u * (neighbour - x) with the neighbour one of x's
-    k nearest minority rows and u in [0, 1) -- both drawn from seeded hashes of
-    (id, copy), so the result does not depend on partitioning. Copies are
-    spread evenly over minority rows; the remainder goes to the rows first in
-    seeded-hash order (exact count via ``row_index``). Output: the original
-    rows plus synthetic rows (``synthetic`` = 1, ids negative)."""
-    cols = list(cols)
-    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
-    minority = min(counts, key=lambda c: (counts[c], c))
-    n_min, n_max = counts[minority], max(counts.values())
-    need = n_max - n_min
-    base = df.withColumn("synthetic", F.lit(0))
-    if need <= 0 or n_min < 2:
-        return base
+    k nearest rows of its class and u in [0, 1) -- both drawn from seeded
+    hashes of (id, copy), so the result does not depend on partitioning.
+    Copies are spread evenly over a class's rows; the remainder goes to the
+    rows first in seeded-hash order (exact count via ``row_index``). Output:
+    the original rows (``copy`` 0) and synthetic ones (``copy`` from 1, the id
+    of the row they start from; ``synthetic`` = 1). Raises where a class to be
+    raised has one row. Rows without a label are passed on."""
     from tessera.session import cut_lineage
 
-    # the minority rows are read by the k-NN pass, the copy numbering and the
+    cols = list(cols)
+    base = df.select(id_col, *cols, label, F.lit(0).alias("synthetic"), F.lit(0).alias("copy"))
+    counts = df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("_class")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = cut_lineage(counts)
+    largest = counts.agg(F.max("_n")).first()[0] or 0
+    lone = counts.where((F.col("_n") < 2) & (F.col("_n") < largest)).first()
+    if lone:
+        raise ValueError(f"class {lone['_class']!r} has one row: nothing to interpolate with")
+    # the rows to copy are read by the k-NN search, the copy numbering and the
     # joins: write them once to the shared checkpoint folder and cut the lineage
-    mino = cut_lineage(df.where(F.col(label) == minority).select(id_col, *cols))
-    nn = knn_search(mino, mino, id_col, cols, k, exclude_self=True).select(
+    few = counts.where(F.col("_n") < largest)
+    mino = df.select(id_col, *cols, label).join(few, F.col(label) == F.col("_class")).drop("_class")
+    mino = cut_lineage(mino)
+    nn = knn_search(mino, mino, id_col, cols, k, exclude_self=True, by=label).select(
         F.col("qid").alias(id_col), F.col("rank"), F.col("did"))
-    per, rem = divmod(need, n_min)
-    ranked = row_index(mino.withColumn("_h", hash_key(id_col, seed)), "_h", out="_i")
-    copies = ranked.withColumn("_c", F.lit(per) + (F.col("_i") < rem).cast("int")).where(F.col("_c") > 0)
-    ex = copies.select(id_col, *cols, F.explode(F.sequence(F.lit(0), F.col("_c") - 1)).alias("_copy"))
+    ranked = row_index(mino.withColumn("_h", hash_key(id_col, seed)), "_h", by=[label], out="_i")
+    wanted = F.lit(largest) - F.col("_n")
+    per = F.floor(wanted / F.col("_n"))
+    copies = ranked.withColumn("_c", (per + (F.col("_i") < wanted - per * F.col("_n")).cast("int")).cast("int")).where(F.col("_c") > 0)
+    ex = copies.select(id_col, *cols, label, F.explode(F.sequence(F.lit(0), F.col("_c") - 1)).alias("_copy"))
     n_nb = nn.groupBy(id_col).agg(F.max("rank").alias("_nn"))
     ex = ex.join(n_nb, id_col)
     pick = (F.pmod(hash_key(id_col, seed, 1) + F.col("_copy"), F.col("_nn")) + 1).cast("int")
@@ -264,10 +262,9 @@ def smote(df: DataFrame, id_col: str, label: str, cols: Sequence[str], k: int =
     nb = mino.select(F.col(id_col).alias("did"), *[F.col(c).alias(f"_nb_{c}") for c in cols])
     ex = ex.join(nb, "did")
     syn = ex.select(
-        (-(F.col(id_col) * F.lit(1_000_003) + F.col("_copy") + 1)).alias(id_col),
-        *[(F.col(c) + F.col("_u") * (F.col(f"_nb_{c}") - F.col(c))).alias(c) for c in cols],
-        F.lit(minority).alias(label), F.lit(1).alias("synthetic"))
-    return base.select(id_col, *cols, label, "synthetic").unionByName(syn)
+        id_col, *[(F.col(c) + F.col("_u") * (F.col(f"_nb_{c}") - F.col(c))).alias(c) for c in cols], label,
+        F.lit(1).alias("synthetic"), (F.col("_copy") + 1).cast("int").alias("copy"))
+    return base.unionByName(syn)
 
 
 # ------------------------------------------------------------------ models
@@ -294,12 +291,16 @@ def predict(model, df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def confusion(pred: DataFrame, label: str = "label", prediction: str = "prediction",
-              classes: Sequence[int] = (0, 1)) -> DataFrame:
+              classes: Sequence[int] | None = None) -> DataFrame:
     """M7: confusion matrix, rows = truth, one column per predicted class,
-    zero-filled."""
-    return (pred.groupBy(F.col(label).cast("int").alias("truth"))
-            .pivot(prediction, list(classes)).agg(F.count(F.lit(1)))
-            .na.fill(0)
+    zero-filled, a row also for classes that no row has. The classes are
+    all labels and predictions of the data and those given."""
+    pairs = pred.groupBy(F.col(label).cast("int").alias("truth"), F.col(prediction).cast("int").alias("guess")).agg(F.count(F.lit(1)).alias("n"))
+    seen = pairs.select(F.explode(F.array("truth", "guess")).alias("c")).where(F.col("c").isNotNull()).distinct()
+    classes = sorted({*(classes or []), *(r["c"] for r in seen.collect())})   # one row per class
+    grid = pred.sparkSession.createDataFrame([(c,) for c in classes], "truth int")
+    wide = pairs.groupBy("truth").pivot("guess", classes).agg(F.sum("n"))
+    return (grid.join(wide, "truth", "left").na.fill(0)
             .select("truth", *[F.col(str(c)).cast("bigint").alias(f"pred_{c}") for c in classes]))
 
 

@@ -1,55 +1,36 @@
 """Windows and ordered time series W1-W13.
 
-Windows are partitioned by the entity, so entities spread over the cluster
-and nothing orders the whole table in one partition. A hot entity (say a
-third of all rows) would still be sorted by one task, so above
-``ROWS_PER_CHUNK`` rows the lag and forward-fill operators split every
-entity's rows into ranges of the first order column (global quantile
-boundaries, ``Bucketizer``), run the window per (entity, range), and carry
-values across range boundaries through small per-(entity, range) tables
-joined on positions -- exact, and no task sorts more than about one range.
+Every operator is one window partitioned by the entity: entities spread over
+the cluster, nothing orders the whole table in one partition, and planning
+reads no data. An entity that holds a large share of all rows can be spread
+as well: with ``ranges=k`` the table is range-partitioned by (entity, order)
+into k ranges (Spark's sampled range partitioner over the whole order tuple,
+any types), written once to the shared checkpoint folder so that the ranges
+are the same wherever they are read, each range of an entity gets its own
+window, and values are carried across range boundaries through small
+per-(entity, range) tables joined on positions. Both forms give the same rows;
+NULL entities are an entity like others.
 Where a per-entity result can be had from a hash aggregation instead of a
 sort (first-row flag, period numbers), that form is used.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_CHUNK = 2_000_000
-MAX_CHUNKS = 16384
+from tessera.operators.joins import null_safe_join
 
 
-def _order_number(df: DataFrame, col: str) -> Column:
-    dt = dict(df.dtypes).get(col, "double")
-    if dt == "date":
-        return F.unix_date(F.col(col)).cast("double")
-    if dt.startswith("timestamp"):
-        return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
-    return F.col(col).cast("double")
-
-
-def _chunked(df: DataFrame, order: list, rows_per_chunk: int | None = None) -> DataFrame | None:
-    """Add ``_chunk`` (range of the first order column) when the table is big
-    enough for one entity to overflow a task; None for small tables. The row
-    count and the range boundaries come from one pass (``rank.range_splits``).
-    Ranges are cut on the first order column only, so an entity splits into at
-    most as many ranges as that column has distinct values (e.g. years when
-    ordering by year, month)."""
-    from tessera.operators.rank import range_splits
-
-    per = rows_per_chunk or ROWS_PER_CHUNK
-    key = _order_number(df, order[0])
-    splits, b, n, _ = range_splits(df, key, per, 1, MAX_CHUNKS)
-    if n <= per:
+def _ranged(df: DataFrame, entity: list, order: list, ranges: int | None) -> DataFrame | None:
+    """``df`` with ``_chunk``, the number of its range; None without ranges."""
+    if not ranges or ranges < 2:
         return None
-    return Bucketizer(splits=splits, inputCol="_ck", outputCol="_chunk", handleInvalid="keep").transform(
-        df.withColumn("_ck", F.coalesce(key, F.lit(-math.inf)))).drop("_ck")
+    from tessera.session import cut_lineage
+
+    return cut_lineage(df.repartitionByRange(ranges, *entity, *order).withColumn("_chunk", F.spark_partition_id()))
 
 
 def _positions(d: DataFrame, entity: list, order: list) -> DataFrame:
@@ -61,7 +42,7 @@ def _positions(d: DataFrame, entity: list, order: list) -> DataFrame:
     sizes = d.groupBy(*keys).agg(F.max("_cnt").alias("_size"))     # one row per (entity, chunk)
     wo = Window.partitionBy(*entity).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     off = sizes.select(*keys, F.coalesce(F.sum("_size").over(wo), F.lit(0)).alias("_off"))
-    return d.join(off, keys).withColumn("_g", F.col("_off") + F.col("_rn") - 1).drop("_off")
+    return null_safe_join(d, off, keys).withColumn("_g", F.col("_off") + F.col("_rn") - 1).drop("_off")
 
 
 def _lag_chunked(d: DataFrame, entity: list, order: list, c: str, n: int, out: str,
@@ -71,7 +52,7 @@ def _lag_chunked(d: DataFrame, entity: list, order: list, c: str, n: int, out: s
     d = _positions(d.withColumn(out, F.lag(F.col(c), n).over(w)), entity, order)
     tails = d.where(F.col("_rn") > F.col("_cnt") - n).select(*entity, F.col("_g").alias("_tg"), F.col(c).alias("_tv"))
     need = (F.col("_rn") <= n) & (F.col("_g") >= n)      # the lagged row lies in an earlier chunk
-    fixed = (d.where(need).withColumn("_tg", F.col("_g") - n).join(tails, entity + ["_tg"], "left")
+    fixed = (null_safe_join(d.where(need).withColumn("_tg", F.col("_g") - n), tails, entity + ["_tg"], "left")
              .withColumn(out, F.col("_tv")).drop("_tg", "_tv"))
     res = d.where(~need).unionByName(fixed).drop("_rn", "_cnt", "_g")
     return res.drop("_chunk") if drop_chunk else res
@@ -85,15 +66,15 @@ def _list(x) -> list:
     return [x] if isinstance(x, (str, Column)) else list(x)
 
 
-def lags(df: DataFrame, entity, order, specs: Sequence[tuple[str, int, str]]) -> DataFrame:
-    """Several lags ``(column, n, out)`` within entity in one pass: one
-    chunking decision, and below the threshold one window (one sort)."""
+def lags(df: DataFrame, entity, order, specs: Sequence[tuple[str, int, str]], ranges: int | None = None) -> DataFrame:
+    """Several lags ``(column, n, out)`` within entity in one pass (one window,
+    one sort; ``ranges``: see the module)."""
     entity, order = _list(entity), _list(order)
-    ch = _chunked(df, order)
+    ch = _ranged(df, entity, order, ranges)
     if ch is None:
         w = _w(entity, order)
         return df.withColumns({out: F.lag(F.col(c), n).over(w) for c, n, out in specs})
-    # chunked: keep the range column across the lags, drop it at the end
+    # keep the range column across the lags, drop it at the end
     keep = ch
     for c, n, out in specs:
         keep = _lag_chunked(keep, entity, order, c, n, out, drop_chunk=False)
@@ -101,7 +82,7 @@ def lags(df: DataFrame, entity, order, specs: Sequence[tuple[str, int, str]]) ->
 
 
 def lag_by(df: DataFrame, entity, order, c: str, n: int = 1, out: str | None = None,
-           reset: bool = True, where: Column | None = None, when: str = "before") -> DataFrame:
+           reset: bool = True, where: Column | None = None, when: str = "before", ranges: int | None = None) -> DataFrame:
     """Previous-row value of ``c`` within each entity.
 
     * ``n``: how many rows back (W2: the lag of a lag reset at the first row
@@ -116,7 +97,7 @@ def lag_by(df: DataFrame, entity, order, c: str, n: int = 1, out: str | None = N
     entity, order = _list(entity), _list(order)
     out = out or f"{c}_lag{n}"
     src = df.where(where) if (where is not None and when == "before") else df
-    ch = _chunked(src, order)
+    ch = _ranged(src, entity, order, ranges)
     if ch is None:
         res = src.withColumn(out, F.lag(F.col(c), n).over(_w(entity, order)))
     else:
@@ -136,25 +117,17 @@ def _carry_previous_entity(df: DataFrame, entity: list, order: list, c: str, out
     ord_struct = F.struct(*[F.col(o) for o in order])
     per = df.groupBy(*entity).agg(F.max_by(F.col(c), ord_struct).alias("_last"),
                                   F.min(ord_struct).alias("_first"))
-    numeric = len(entity) == 1 and dict(df.dtypes)[entity[0]] in ("int", "bigint", "smallint", "tinyint", "double",
-                                                                  "float")
-    if numeric:
-        # exact entity rank from distributed prefix sums, then "previous" is an equi-join
-        from tessera.operators.rank import row_index
-
-        ranked = row_index(per, entity, out="_ei")
-        prev = ranked.join(ranked.select((F.col("_ei") + 1).alias("_ei"), F.col("_last").alias("_prev_last")),
-                           "_ei", "left").select(*entity, "_first", "_prev_last")
-    else:
-        # one row per entity; the un-partitioned window runs on that entity table
-        prev = per.select(*entity, "_first",
-                          F.lag("_last").over(Window.orderBy(*entity)).alias("_prev_last"))
-    j = df.withColumn("_first", ord_struct).join(prev, entity + ["_first"], "left")
+    # the entity before, exactly and without one task for all entities: the
+    # one-row-per-entity table in ranges, the last value carried over
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranked = _ranged(per, entity, [], max(2, ranges))
+    prev = _lag_chunked(ranked, [], entity, "_last", 1, "_prev_last").select(*entity, "_first", "_prev_last")
+    j = null_safe_join(df.withColumn("_first", ord_struct), prev, entity + ["_first"], "left")
     # only an entity's first row matches (and its in-entity lag is NULL)
     return j.withColumn(out, F.coalesce(F.col(out), F.col("_prev_last"))).drop("_first", "_prev_last")
 
 
-def ffill(df: DataFrame, entity, order, c: str, first=None, out: str | None = None) -> DataFrame:
+def ffill(df: DataFrame, entity, order, c: str, first=None, out: str | None = None, ranges: int | None = None) -> DataFrame:
     """Forward fill of ``c`` within each entity.
 
     With ``first`` given (W4) the first row of each entity is forced to that
@@ -163,7 +136,7 @@ def ffill(df: DataFrame, entity, order, c: str, first=None, out: str | None = No
     """
     entity, order = _list(entity), _list(order)
     out = out or f"{c}_filled"
-    ch = _chunked(df, order)
+    ch = _ranged(df, entity, order, ranges)
     if ch is None:
         w = _w(entity, order)
         v = F.col(c)
@@ -191,18 +164,18 @@ def _ffill_chunked(d: DataFrame, entity: list, order: list, c: str, first, out:
     last_in_chunk = d.groupBy(*keys).agg(F.max_by(F.col("_v"), F.when(F.col("_v").isNotNull(), ord_struct)).alias("_cl"))
     wc = Window.partitionBy(*entity).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carry = last_in_chunk.select(*keys, F.last("_cl", ignorenulls=True).over(wc).alias("_carry"))
-    res = (d.join(carry, keys).withColumn(out, F.coalesce(F.col("_local"), F.col("_carry")))
+    res = (null_safe_join(d, carry, keys).withColumn(out, F.coalesce(F.col("_local"), F.col("_carry")))
            .drop("_v", "_local", "_carry"))
     return res.drop("_chunk") if drop_chunk else res
 
 
 def status_effective(df: DataFrame, entity, order, c: str, default="in",
-                     out: str = "decision") -> DataFrame:
+                     out: str = "decision", ranges: int | None = None) -> DataFrame:
     """Status that takes effect the period after a notice: forward fill
     with the first row forced to ``default``, then the previous row's filled
     value; the first row gets ``default``."""
     entity, order = _list(entity), _list(order)
-    ch = _chunked(df, order)            # one decision for the fill and the lag
+    ch = _ranged(df, entity, order, ranges)
     if ch is None:
         w = _w(entity, order)
         v = F.when(F.row_number().over(w) == 1, F.lit(default)).otherwise(F.col(c))
@@ -216,20 +189,20 @@ def status_effective(df: DataFrame, entity, order, c: str, default="in",
             .withColumnRenamed("_filled", f"{c}_filled"))
 
 
-def log_return(df: DataFrame, entity, order, c: str, out: str | None = None) -> DataFrame:
+def log_return(df: DataFrame, entity, order, c: str, out: str | None = None, ranges: int | None = None) -> DataFrame:
     """ln(c / previous c) within entity; non-positive ratio or missing -> NULL."""
     entity, order = _list(entity), _list(order)
-    d = lag_by(df, entity, order, c, out="_prev")
+    d = lag_by(df, entity, order, c, out="_prev", ranges=ranges)
     ratio = F.try_divide(F.col(c).cast("double"), F.col("_prev").cast("double"))
     return d.withColumn(out or f"{c}_logret", F.when(ratio > 0, F.ln(ratio))).drop("_prev")
 
 
 def lagged_growth(df: DataFrame, entity, order, c: str, base: str = "later",
-                  out: str = "growth") -> DataFrame:
+                  out: str = "growth", ranges: int | None = None) -> DataFrame:
     """Growth from the two previous rows, ``(l1 - l2) / l1`` (as written,
     ``base="later"``) or ``(l1 - l2) / l2`` (``base="older"``)."""
     entity, order = _list(entity), _list(order)
-    df = lags(df, entity, order, [(c, 1, f"{c}_l1"), (c, 2, f"{c}_l2")])
+    df = lags(df, entity, order, [(c, 1, f"{c}_l1"), (c, 2, f"{c}_l2")], ranges)
     l1, l2 = F.col(f"{c}_l1").cast("double"), F.col(f"{c}_l2").cast("double")
     return df.withColumn(out, F.try_divide(l1 - l2, l1 if base == "later" else l2))
 
@@ -241,8 +214,8 @@ def first_flag(df: DataFrame, entity, order, out: str = "first") -> DataFrame:
     entity, order = _list(entity), _list(order)
     ord_struct = F.struct(*[F.col(o) for o in order])
     firsts = df.groupBy(*entity).agg(F.min(ord_struct).alias("_first"))
-    j = df.withColumn("_k", ord_struct).join(firsts, entity, "left")
-    return j.withColumn(out, (F.col("_k") == F.col("_first")).cast("int")).drop("_k", "_first")
+    j = null_safe_join(df.withColumn("_k", ord_struct), firsts, entity, "left")
+    return j.withColumn(out, F.col("_k").eqNullSafe(F.col("_first")).cast("int")).drop("_k", "_first")
 
 
 def period_number(df: DataFrame, date: str, out: str = "date_number", by: str = "calendar",
@@ -251,8 +224,7 @@ def period_number(df: DataFrame, date: str, out: str = "date_number", by: str =
 
     ``by="calendar"``: in date order. ``by="appearance"``: in order of first
     appearance, given a ``position`` column (e.g. file row number). The ranking
-    runs on the table of distinct days only (bounded by the calendar span),
-    which is then broadcast to the rows.
+    runs on the table of distinct days only (bounded by the calendar span).
     """
     if by == "calendar":
         days = df.select(date).where(F.col(date).isNotNull()).distinct()
@@ -260,7 +232,7 @@ def period_number(df: DataFrame, date: str, out: str = "date_number", by: str =
     else:
         days = df.where(F.col(date).isNotNull()).groupBy(date).agg(F.min(position).alias("_pos"))
         ranked = days.select(date, F.row_number().over(Window.orderBy("_pos")).cast("int").alias(out))
-    return df.join(F.broadcast(ranked), date, "left")
+    return df.join(ranked, date, "left")
 
 
 def quantile_groups(df: DataFrame, by, c: str, n: int = 10, method: str = "ntile",
@@ -286,13 +258,13 @@ def quantile_groups(df: DataFrame, by, c: str, n: int = 10, method: str = "ntile
     counts = have.groupBy(*by).agg(F.count(F.lit(1)).alias("_m"))
     if method == "ntile":
         idx = row_index(have, [c, *tiebreak], by=by, out="_i")
-        res = idx.join(counts, by).withColumn(out, ntile_from_index(F.col("_i"), F.col("_m"), n)).drop("_i", "_m")
+        res = null_safe_join(idx, counts, by).withColumn(out, ntile_from_index(F.col("_i"), F.col("_m"), n)).drop("_i", "_m")
     else:
         ties = have.groupBy(*by, c).agg(F.count(F.lit(1)).alias("_t"))
         before = prefix_sum(ties, [c], "_t", by, out="_lt")
         r = F.col("_lt") + (F.col("_t") + 1) / 2.0
-        grp = before.join(counts, by).select(*by, c, (F.floor(r * n / (F.col("_m") + 1)) + 1).cast("int").alias(out))
-        res = have.join(grp, by + [c])
+        grp = null_safe_join(before, counts, by).select(*by, c, (F.floor(r * n / (F.col("_m") + 1)) + 1).cast("int").alias(out))
+        res = null_safe_join(have, grp, by + [c])
     return res.unionByName(miss)
 
 
@@ -308,5 +280,7 @@ def winsorize(df: DataFrame, by, c: str, p: float = 0.01, out: str | None = None
         b = df.groupBy(*by).agg(q.alias("_q")).select(*by, F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi"))
     else:
         b = quantiles(df, c, [p, 1 - p], by=by, names=["_lo", "_hi"])
-    j = df.join(b, by, "left")
-    return j.withColumn(out or f"{c}_w", F.least(F.greatest(F.col(c), F.col("_lo")), F.col("_hi"))).drop("_lo", "_hi")
+    j = null_safe_join(df, b, by, "left")
+    # least and greatest skip NULL: a missing value stays missing
+    clipped = F.when(F.col(c).isNotNull(), F.least(F.greatest(F.col(c), F.col("_lo")), F.col("_hi")))
+    return j.withColumn(out or f"{c}_w", clipped).drop("_lo", "_hi")

@@ -21,8 +21,10 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.joins import null_safe_join
+
 ROWS_PER_BUCKET = 2_000_000
-MIN_BUCKETS, MAX_BUCKETS = 16, 16384
+MIN_BUCKETS = 16
 
 
 GRID = 256   # boundaries computed in the counting pass; reused when enough
@@ -32,7 +34,7 @@ def _grid(b: int) -> list[float]:
     return [i / b for i in range(1, b)]
 
 
-def range_splits(df: DataFrame, key: Column, rows_per_bucket: int, min_b: int, max_b: int,
+def range_splits(df: DataFrame, key: Column, rows_per_bucket: int, min_b: int,
                  extra: Column | None = None) -> tuple[list[float], int, int, object]:
     """Range boundaries of ``key`` giving about ``rows_per_bucket`` rows each.
 
@@ -43,20 +45,21 @@ def range_splits(df: DataFrame, key: Column, rows_per_bucket: int, min_b: int, m
     r = df.agg(F.count(F.lit(1)).alias("n"), (extra if extra is not None else F.lit(None)).alias("x"),
                F.percentile_approx(key, _grid(GRID), 10000).alias("q")).first()
     n = r["n"]
-    b = int(min(max_b, max(min_b, math.ceil(n / rows_per_bucket))))
+    b = max(min_b, math.ceil(n / rows_per_bucket))
     if b <= GRID:
         qs = r["q"] or []
         qs = [qs[round(i * GRID / b) - 1] for i in range(1, b)] if qs else []
     else:
         qs = df.agg(F.percentile_approx(key, _grid(b), max(10000, 20 * b)).alias("q")).first()["q"] or []
-    splits = [-math.inf] + sorted({float(q) for q in qs if q is not None and not math.isnan(q)}) + [math.inf]
+    splits = [-math.inf] + sorted({float(q) for q in qs if q is not None and math.isfinite(q)}) + [math.inf]
     return splits, b, n, r["x"]
 
 
 def _buckets(df: DataFrame, first: str, weight: str | None = None) -> tuple[DataFrame, int, float | None]:
-    kd = F.col(first).cast("double")
-    splits, b, _, total = range_splits(df, kd, ROWS_PER_BUCKET, MIN_BUCKETS, MAX_BUCKETS,
-                                       F.sum(weight) if weight else None)
+    # as Spark sorts: NULL before all values, NaN behind them
+    v = F.col(first).cast("double")
+    kd = F.when(v.isNull(), F.lit(-math.inf)).when(F.isnan(v), F.lit(math.inf)).otherwise(v)
+    splits, b, _, total = range_splits(df, kd, ROWS_PER_BUCKET, MIN_BUCKETS, F.sum(weight) if weight else None)
     out = Bucketizer(splits=splits, inputCol="_kd", outputCol="_b", handleInvalid="keep").transform(
         df.withColumn("_kd", kd)).drop("_kd")
     return out, b, total
@@ -72,8 +75,8 @@ def prefix_sum(df: DataFrame, order: Sequence[str], weight: str | None = None, b
 def _prefix_sum(df: DataFrame, order: Sequence[str], weight: str | None = None, by: Sequence[str] = (),
                 out: str = "prefix") -> tuple[DataFrame, float | None]:
     """Exclusive running sum of ``weight`` (1 per row when None) in ascending
-    ``order`` within each ``by`` group. ``order[0]`` must be numeric and not
-    NULL; the full ``order`` must be unique within a group for a defined result
+    ``order`` within each ``by`` group. ``order[0]`` must be numeric (NULL sorts
+    first); NULL groups are groups; the full ``order`` must be unique within a group for a defined result
     (ties in ``order`` share no guarantee of sequence)."""
     order, by = list(order), list(by)
     b, _, total = _buckets(df, order[0], weight)
@@ -84,7 +87,7 @@ def _prefix_sum(df: DataFrame, order: Sequence[str], weight: str | None = None,
     offsets = totals.select(*by, "_b", F.coalesce(F.sum("_t").over(wo), F.lit(0)).alias("_off"))
     wi = Window.partitionBy(*by, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = b.withColumn("_loc", F.coalesce(F.sum("_pw").over(wi), F.lit(0)))
-    j = local.join(offsets if by else F.broadcast(offsets), by + ["_b"])
+    j = null_safe_join(local, offsets, by + ["_b"])
     return j.withColumn(out, F.col("_off") + F.col("_loc")).drop("_b", "_pw", "_loc", "_off"), total
 
 
@@ -121,7 +124,7 @@ def quantiles(df: DataFrame, c: str | Column, probs: Sequence[float], by: Sequen
     ks = targets.select(*by, "_pi", "_fr", F.explode(F.array(
         F.struct(F.lit(0).alias("_which"), F.col("_k0").alias("_k")),
         F.struct(F.lit(1).alias("_which"), F.col("_k1").alias("_k")))).alias("_t")).select(*by, "_pi", "_fr", "_t.*")
-    hit = ks.join(pre, by).where((F.col("_lo") <= F.col("_k")) & (F.col("_lo") + F.col("_w") > F.col("_k")))
+    hit = null_safe_join(ks, pre, by).where((F.col("_lo") <= F.col("_k")) & (F.col("_lo") + F.col("_w") > F.col("_k")))
     per = hit.groupBy(*by, "_pi").agg(
         F.max(F.when(F.col("_which") == 0, F.col("_v"))).alias("_a"),
         F.max(F.when(F.col("_which") == 1, F.col("_v"))).alias("_b"), F.first("_fr").alias("_fr"))

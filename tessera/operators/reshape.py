@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.joins import null_safe_join
+
 
 def widen(df: DataFrame, keys: Sequence[str], cat: str, values: Sequence, measures: Sequence[str],
           agg: str = "sum", fill=None) -> DataFrame:
@@ -35,14 +37,20 @@ def lengthen(df: DataFrame, ids: Sequence[str], cols: Sequence[str], var: str =
 
 
 def complete_entities(df: DataFrame, entity: Sequence[str], period: str,
-                      n_periods: int | None = None) -> DataFrame:
+                      n_periods: int | None = None, measure: str | None = None) -> DataFrame:
     """Keep only entities that have a row in every period (the number of
-    periods is all distinct periods of the table unless given)."""
+    periods is all distinct periods of the table unless given). With
+    ``measure``, a period counts for an entity only where the measure is
+    present (neither NULL nor NaN)."""
     entity = list(entity)
+    have = df
+    if measure is not None:
+        v = F.col(measure)
+        have = df.where(v.isNotNull() & ~F.isnan(v) if dict(df.dtypes)[measure] in ("double", "float") else v.isNotNull())
     need = n_periods if n_periods is not None else df.select(F.count_distinct(F.col(period))).scalar()
-    full = (df.groupBy(*entity).agg(F.count_distinct(F.col(period)).alias("_np"))
+    full = (have.groupBy(*entity).agg(F.count_distinct(F.col(period)).alias("_np"))
             .where(F.col("_np") == need).select(*entity))
-    return df.join(full, entity, "left_semi")
+    return null_safe_join(df, full, entity, "left_semi")
 
 
 MAX_LEVELS = 1000

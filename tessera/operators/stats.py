@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -78,17 +79,17 @@ def corr_matrix(df: DataFrame, vars_: Sequence[str], with_: Sequence[str] | None
 def corr_test(df: DataFrame, x: str, y: str, keys: Sequence[str] = (), conf: float = 0.95) -> DataFrame:
     """Correlation test as R's ``cor.test``: r, t = r sqrt(df / (1 - r^2)),
     df = n - 2, two-sided p, and the Fisher-z confidence interval."""
-    from tessera.functions.tails import t_quantile  # noqa: F401  (z is normal)
-
-    z = {0.95: 1.959963984540054, 0.99: 2.5758293035489004, 0.9: 1.6448536269514722}[conf]
+    z = NormalDist().inv_cdf((1 + conf) / 2)
     base = corr_by(df, keys, x, y)
     r, n = F.col("r"), F.col("n")
     dfree = (n - 2).cast("bigint")
-    t = r * F.sqrt(dfree / (1 - r * r))
+    # a perfect correlation: t is infinite and p is 0
+    left = 1 - r * r
+    t = F.when(left > 0, r * F.sqrt(F.try_divide(dfree, left))).when(left <= 0, F.signum(r) * F.lit(math.inf))
     zr = F.atanh(r)
     se = 1 / F.sqrt(n - 3)
     return (base.withColumns({"df": dfree, "t": t})
-            .withColumns({"p": t_pvalue(F.col("t"), F.col("df")),
+            .withColumns({"p": F.when(F.abs("t") == math.inf, F.lit(0.0)).otherwise(t_pvalue(F.col("t"), F.col("df"))),
                           "ci_lo": F.when(n > 3, F.tanh(zr - z * se)),
                           "ci_hi": F.when(n > 3, F.tanh(zr + z * se))}))
 
@@ -142,10 +143,18 @@ def _moments_from_row(r, y: str, xs: Sequence[str], n: float, prefix: str = ""):
 
 
 def _solve(n: float, means: np.ndarray, sxx: np.ndarray, sxy: np.ndarray, syy: float,
-           names: Sequence[str], tol: float = 1e-7) -> tuple[list[dict], dict]:
+           names: Sequence[str], tol: float = 1e-12) -> tuple[list[dict], dict]:
     """Solve a centred least-squares system; aliased terms (exactly
-    collinear with earlier ones) get NULL estimates, as R reports NA."""
+    collinear with earlier ones) get NULL estimates, as R reports NA.
+
+    Columns are scaled to unit length first. A column is aliased if the part
+    of its squared length that earlier columns leave is at most ``tol``: R's
+    limit is 1e-14 on the data; 1e-12 is what double-precision moments
+    can tell from zero."""
     p = len(names)
+    unit = np.sqrt(np.where(np.diag(sxx) > 0, np.diag(sxx), 1.0))
+    sxx, sxy = sxx / np.outer(unit, unit), sxy / unit
+    means = np.concatenate([means[:1], means[1:] / unit])
     keep: list[int] = []
     for j in range(p):
         if sxx[j, j] <= 0:
@@ -180,6 +189,7 @@ def _solve(n: float, means: np.ndarray, sxx: np.ndarray, sxy: np.ndarray, syy: f
     b0 = means[0] - (b @ mx[keep] if k else 0.0)
     mk = mx[keep] if k else np.zeros(0)
     se0 = math.sqrt(sigma2 * (1.0 / n + (mk @ inv @ mk if k else 0.0))) if dfr > 0 else np.nan
+    beta, se = beta / unit, se / unit
     rows = []
     for term, est, s in [("(Intercept)", b0, se0)] + list(zip(names, beta, se)):
         if np.isnan(est):

@@ -53,11 +53,12 @@ select lpad(cast(l_suppkey % 10 as varchar(6)), 6, '0') as fund_text, cast(l_shi
 from lineitem group by l_suppkey % 10, cast(l_shipdate as date)""",
     "v_index_monthly": """
 select cast(e.code as bigint) as code, f.y, f.m, f.mkt + e.code * 0.0001 as idx_return
-from v_factors f cross join (select distinct l_suppkey % 10 as code from lineitem) e""",
+from v_factors f join (select distinct l_suppkey % 10 as code, cast(year(l_shipdate) as int) as y, cast(month(l_shipdate) as int) as m from lineitem) e
+  on f.y = e.y and f.m = e.m""",
     "v_notices": """
 select o_orderkey as notice_id, o_custkey % 100 as entity, cast(o_orderdate as date) as notice_date,
   case o_orderpriority when '1-URGENT' then 'AB' when '5-LOW' then 'BA' else 'ZZ' end as chgtype
-from orders where o_orderkey % 5 = 0""",
+from orders""",
     "v_statements": """
 select o_custkey as entity, cast(year(o_orderdate) as int) as y, 12 as m,
   cast(sum(cast(o_totalprice as decimal(18,2))) as double) as spend, max(c_acctbal) + 2000 as cap
@@ -67,17 +68,19 @@ select p_brand as brand, cast(year(l_shipdate) as int) as y, cast(month(l_shipda
   cast(sum(cast(l_extendedprice as decimal(18,2))) as double) / cast(sum(cast(l_quantity as decimal(18,2))) as double) as price,
   cast(sum(cast(l_quantity as decimal(18,2))) as double) as units,
   cast(month(l_shipdate) % 3 as int) as sale
-from lineitem join part on l_partkey = p_partkey where p_brand in ('Brand#1','Brand#2','Brand#3')
+from lineitem join part on l_partkey = p_partkey
 group by p_brand, year(l_shipdate), month(l_shipdate)""",
     "v_products": """
-select p_partkey as product, p_name as product_name, p_size as base_cost from part where p_partkey <= 20""",
+select p_partkey as product, p_name as product_name, p_size as base_cost from part""",
     "v_segments": """
 select c_mktsegment as segment, cast(row_number() over (order by c_mktsegment) as int) as seg_no, count(*) as n from customer group by c_mktsegment""",
     "v_cost": """
 select p.product, s.segment, s.n, case when (p.product + s.seg_no) % 7 = 0 then 100 else p.base_cost end as cost
-from v_products p cross join v_segments s""",
+from v_products p
+join (select distinct l_partkey as product, c_mktsegment as segment from lineitem join orders on l_orderkey = o_orderkey
+  join customer on o_custkey = c_custkey) b on p.product = b.product join v_segments s on b.segment = s.segment""",
     "v_plan_x": """
-select product, cast(product % 3 + 1 as int) as box from v_products""",
+select product, cast(floor(product / 5.0) + 1 as int) as box from v_products""",
     "v_plan_y": """
 select segment, cast(seg_no % 3 + 1 as int) as box from v_segments""",
     "v_labelled": """

@@ -65,7 +65,7 @@ def daily_consumption(readings: DataFrame, tanks: DataFrame, purchases: DataFram
 
     # purchases on reading days only (semi join with the broadcast calendar)
     p = (purchases.withColumnRenamed("invoice_date", "day")
-         .join(F.broadcast(cal.select("day")), "day", "left_semi")
+         .join(cal.select("day"), "day", "left_semi")
          .where(F.col("location").isNotNull())
          .groupBy("day", "location")
          .agg(F.sum(F.when(F.col("fuel_type") == "G", F.col("amount"))).alias("gas_purchased"),
@@ -84,7 +84,7 @@ def daily_consumption(readings: DataFrame, tanks: DataFrame, purchases: DataFram
     })
     # outer join with the calendar without shuffling j on the day key (only
     # calendar-many keys): inner broadcast join, plus the days with no site row
-    with_days = j.join(F.broadcast(cal), "day", "inner")
+    with_days = j.join(cal, "day", "inner")
     empty_days = cal.join(j.select("day").distinct(), "day", "left_anti")
     full = with_days.unionByName(empty_days, allowMissingColumns=True)
     return (full.join(sites, "location", "left")

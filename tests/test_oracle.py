@@ -74,10 +74,14 @@ def test_query_matches_oracle(spark, duck, name):
     assert _same(_rows(df.columns, srows), _rows(dcols, cur.fetchall()))
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
+#: Those of the optional subpackage have tests of their own.
+REST = sorted(n for n in set(QUERIES) - set(ORACLE) if not n.startswith("op") and n != "pipeline")
+
+
+@pytest.mark.parametrize("name", REST)
 def test_rows_only_query_runs(spark, name):
     df = QUERIES[name](spark, SF_SMALL)
-    assert df.count() >= 0
+    assert df.count() > 0
     assert len(df.columns) > 0
 
 
