@@ -8,36 +8,30 @@ from tessera.catalog.common import T, V, W
 from tessera.plans import bundle as B
 from tessera.plans import retail as R
 
-LABELS = {"Brand#1": "own", "Brand#2": "r2", "Brand#3": "r3"}
-
-
-def _wide(spark, sf):
-    return R.brand_panel(V(spark, sf, "v_brand_month"), LABELS)
-
-
-def _elasticity(spark, sf):
-    return R.elasticity(_wide(spark, sf), "own", ["r2", "r3"])   # year dummies for every year present
+def _monthly(spark, sf):
+    return V(spark, sf, "v_brand_month")
 
 
 def d22_elasticity(spark, sf):
-    return _elasticity(spark, sf)["coefficients"]
+    return R.elasticity_by_brand(_monthly(spark, sf)).drop("r2", "n")
 
 
 def d22_elasticity_summary(spark, sf):
-    return _elasticity(spark, sf)["summary"]
+    fits = R.elasticity_by_brand(_monthly(spark, sf))
+    return fits.groupBy("brand", "model").agg(F.max("r2").alias("r2"), F.max("n").alias("n"), F.count("estimate").cast("bigint").alias("n_terms"))
 
 
 def d22_loglog_simple(spark, sf):
-    c = _elasticity(spark, sf)["coefficients"]
-    return c.where(F.col("model") == "m2").drop("model", "p_value")
+    c = R.elasticity_by_brand(_monthly(spark, sf))
+    return c.where(F.col("model") == "m2").drop("model", "p_value", "r2", "n")
 
 
 def d23_price_quantity_series(spark, sf):
-    return R.price_quantity_series(_wide(spark, sf), "own")
+    return R.brand_series(_monthly(spark, sf))
 
 
 def d23_price_quantity_tests(spark, sf):
-    return R.price_quantity_tests(R.price_quantity_series(_wide(spark, sf), "own")).drop("p")
+    return R.price_quantity_tests(R.brand_series(_monthly(spark, sf)), ["brand"]).drop("p")
 
 
 def _profit(spark, sf):
@@ -69,31 +63,29 @@ def d28_plan_report(spark, sf):
 
 QUERIES = {k: v for k, v in globals().items() if k[:1] == "d" and k[1:2].isdigit() and callable(v)}
 
-_WIDE = """w as (select y, m, max(price) filter (where brand = 'Brand#1') as price_own,
-  max(units) filter (where brand = 'Brand#1') as units_own from v_brand_month group by y, m),
-s as (select y, m, price_own as price, units_own as units, case when price_own > 0 then ln(price_own) end as ln_price,
-  case when units_own > 0 then ln(units_own) end as ln_units from w)"""
+_SERIES = """s as (select brand, y, m, price, units, case when price > 0 then ln(price) end as ln_price,
+  case when units > 0 then ln(units) end as ln_units from v_brand_month)"""
 
 
 def _test(x, y, scale):
-    return f"""select '{scale}' as scale, r, cast(n as bigint) as n, cast(n - 2 as bigint) as df, r * sqrt((n - 2) / (1 - r * r)) as t,
+    return f"""select brand, '{scale}' as scale, r, cast(n as bigint) as n, cast(n - 2 as bigint) as df, r * sqrt((n - 2) / (1 - r * r)) as t,
   case when n > 3 then tanh(atanh(r) - 1.959963984540054 / sqrt(n - 3)) end as ci_lo,
   case when n > 3 then tanh(atanh(r) + 1.959963984540054 / sqrt(n - 3)) end as ci_hi
-  from (select case when stddev_samp({x}) * stddev_samp({y}) <> 0 then covar_samp({x}, {y}) / (stddev_samp({x}) * stddev_samp({y})) end as r,
-  count(*) as n from s where {x} is not null and {y} is not null) c"""
+  from (select brand, case when stddev_samp({x}) * stddev_samp({y}) <> 0 then covar_samp({x}, {y}) / (stddev_samp({x}) * stddev_samp({y})) end as r,
+  count(*) as n from s where {x} is not null and {y} is not null group by brand) c"""
 
 
 ORACLE = {
-    "d22_loglog_simple": W(f"""with {_WIDE},
-g as (select regr_intercept(ln_units, ln_price) as b0, regr_slope(ln_units, ln_price) as b1, regr_count(ln_units, ln_price) as n,
+    "d22_loglog_simple": W(f"""with {_SERIES},
+g as (select brand, regr_intercept(ln_units, ln_price) as b0, regr_slope(ln_units, ln_price) as b1, regr_count(ln_units, ln_price) as n,
   regr_sxx(ln_units, ln_price) as sxx, regr_syy(ln_units, ln_price) as syy, regr_sxy(ln_units, ln_price) as sxy,
-  avg(ln_price) filter (where ln_units is not null) as mx from s),
+  avg(ln_price) filter (where ln_units is not null) as mx from s group by brand),
 e as (select *, (syy - sxy * sxy / sxx) / (n - 2) as s2 from g)
-select '(Intercept)' as term, b0 as estimate, sqrt(s2 * (1.0 / n + mx * mx / sxx)) as std_error,
+select brand, '(Intercept)' as term, b0 as estimate, sqrt(s2 * (1.0 / n + mx * mx / sxx)) as std_error,
   b0 / sqrt(s2 * (1.0 / n + mx * mx / sxx)) as t_value from e
-union all select 'ln_p_own', b1, sqrt(s2 / sxx), b1 / sqrt(s2 / sxx) from e""", "v_brand_month"),
-    "d23_price_quantity_series": W(f"with {_WIDE} select * from s", "v_brand_month"),
-    "d23_price_quantity_tests": W(f"with {_WIDE} {_test('price', 'units', 'level')} union all {_test('ln_price', 'ln_units', 'log')}",
+union all select brand, 'ln_p_own', b1, sqrt(s2 / sxx), b1 / sqrt(s2 / sxx) from e""", "v_brand_month"),
+    "d23_price_quantity_series": W(f"with {_SERIES} select * from s", "v_brand_month"),
+    "d23_price_quantity_tests": W(f"with {_SERIES} {_test('price', 'units', 'level')} union all {_test('ln_price', 'ln_units', 'log')}",
                                   "v_brand_month"),
     "d24_profit_matrix": W("select product, segment, n, cost, n * (8 - cost) as profit from v_cost", "v_cost"),
     "d25_evaluate_plan": W("""select cast(sum(c.n * 8) as double) as revenue, cast(sum(c.n * c.cost) as double) as cost,

@@ -5,11 +5,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.scalar import dummy, safe_ln
-from tessera.operators.stats import corr_test, ols_many
+from tessera.operators.stats import corr_test, ols_many, ols_multi_by
+from tessera.session import cut_lineage
+
+MEASURES = ["price", "units", "sale"]
 
 
 def brand_panel(long: DataFrame, labels: Mapping[str, str], keys: Sequence[str] = ("y", "m")) -> DataFrame:
@@ -56,15 +59,7 @@ def elasticity(wide: DataFrame, own: str, rivals: Sequence[str], years: Sequence
     if years is None:
         years = sorted(r[0] for r in wide.select(year_col).distinct().collect())
     d = add_model_terms(wide, [own, *rivals], year_col, years)
-    specs = {
-        "m1": (f"units_{own}", [f"price_{own}"]),
-        "m2": (f"ln_q_{own}", [f"ln_p_{own}"]),
-        "m3": (f"ln_q_{own}", [f"ln_p_{own}", f"prom_{own}_maj", f"prom_{own}_min"]),
-        "m4": (f"ln_q_{own}", [f"ln_p_{own}", f"prom_{own}_maj", f"prom_{own}_min"]
-               + [f"year_{y}" for y in years]
-               + [c for r in rivals for c in (f"ln_p_{r}", f"ln_q_{r}")]
-               + [c for r in rivals for c in (f"prom_{r}_maj", f"prom_{r}_min")]),
-    }
+    specs = _models(own, rivals, years)
     coefs, sums = None, None
     fits = ols_many(d, specs)          # all four models from one pass over the data
     for name in specs:
@@ -77,6 +72,57 @@ def elasticity(wide: DataFrame, own: str, rivals: Sequence[str], years: Sequence
     return {"coefficients": coefs, "summary": sums}
 
 
+def _models(own: str, rivals: Sequence[str], years: Sequence[int]) -> dict[str, tuple[str, list[str]]]:
+    """Dependent variable and terms of the four models."""
+    return {
+        "m1": (f"units_{own}", [f"price_{own}"]),
+        "m2": (f"ln_q_{own}", [f"ln_p_{own}"]),
+        "m3": (f"ln_q_{own}", [f"ln_p_{own}", f"prom_{own}_maj", f"prom_{own}_min"]),
+        "m4": (f"ln_q_{own}", [f"ln_p_{own}", f"prom_{own}_maj", f"prom_{own}_min"]
+               + [f"year_{y}" for y in years]
+               + [c for r in rivals for c in (f"ln_p_{r}", f"ln_q_{r}")]
+               + [c for r in rivals for c in (f"prom_{r}_maj", f"prom_{r}_min")]),
+    }
+
+
+def rival_panel(monthly: DataFrame, brand: str = "brand", keys: Sequence[str] = ("y", "m"), rivals: int = 2) -> DataFrame:
+    """Every brand as the own one, beside the next ``rivals`` brands in
+    alphabetical order (the last is followed by the first): columns
+    ``price_own``, ``units_own``, ``sale_own``, ``price_r2``, ... per brand and month."""
+    names = monthly.select(brand).where(F.col(brand).isNotNull()).distinct()
+    # one row per brand
+    numbered = names.select(brand, F.row_number().over(Window.orderBy(brand)).alias("_i"), F.count(F.lit(1)).over(Window.partitionBy()).alias("_n"))
+    m = monthly.join(numbered, brand)
+    out = m.select(brand, *keys, "_i", "_n", *[F.col(c).alias(f"{c}_own") for c in MEASURES])
+    for r in range(1, rivals + 1):
+        label = f"r{r + 1}"
+        other = m.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_i").alias("_j"), *[F.col(c).alias(f"{c}_{label}") for c in MEASURES])
+        on = F.col("_j") == F.pmod(F.col("_i") - 1 + r, F.col("_n")) + 1
+        for k in keys:
+            on = on & (F.col(k) == F.col(f"_{k}"))
+        out = out.join(other, on, "left").drop("_j", *[f"_{k}" for k in keys])
+    return out.drop("_i", "_n")
+
+
+def elasticity_by_brand(monthly: DataFrame, brand: str = "brand", year_col: str = "y") -> DataFrame:
+    """D22 for every brand: the four nested models of ``elasticity``, each one
+    grouped regression over all brands (moments by one aggregation, one
+    small system per brand). Brand, model, term, estimate and its statistics, r2, n."""
+    years = sorted(r[0] for r in monthly.select(year_col).distinct().collect())   # calendar years
+    # read by four models: one reliable checkpoint of the (small) panel
+    d = cut_lineage(add_model_terms(rival_panel(monthly, brand), ["own", "r2", "r3"], year_col, years))
+    out = None
+    for name, (y, xs) in _models("own", ["r2", "r3"], years).items():
+        fit = ols_multi_by(d, [brand], y, xs).withColumn("model", F.lit(name))
+        out = fit if out is None else out.unionByName(fit)
+    return out
+
+
+def brand_series(monthly: DataFrame, brand: str = "brand", keys: Sequence[str] = ("y", "m")) -> DataFrame:
+    """D23 for every brand: price and quantity series with their logs."""
+    return monthly.select(brand, *keys, "price", "units", safe_ln("price").alias("ln_price"), safe_ln("units").alias("ln_units"))
+
+
 def price_quantity_series(wide: DataFrame, own: str, keys: Sequence[str] = ("y", "m")) -> DataFrame:
     """The own brand's price and quantity series (data behind the
     two-axis plot and the pairs plots), with their logs."""
@@ -84,8 +130,8 @@ def price_quantity_series(wide: DataFrame, own: str, keys: Sequence[str] = ("y",
                        safe_ln(f"price_{own}").alias("ln_price"), safe_ln(f"units_{own}").alias("ln_units"))
 
 
-def price_quantity_tests(series: DataFrame) -> DataFrame:
+def price_quantity_tests(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Correlation tests of price with quantity, in levels and in logs."""
-    lv = corr_test(series, "price", "units").withColumn("scale", F.lit("level"))
-    lg = corr_test(series, "ln_price", "ln_units").withColumn("scale", F.lit("log"))
+    lv = corr_test(series, "price", "units", keys).withColumn("scale", F.lit("level"))
+    lg = corr_test(series, "ln_price", "ln_units", keys).withColumn("scale", F.lit("log"))
     return lv.unionByName(lg)
