@@ -17,7 +17,7 @@ MAX_ROUNDS = 60
 
 
 def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, component) for every node with an edge to another one; the
+    """(node_, component) for every node with an edge to another one; the
     component is its smallest node. Nodes are longs; nulls are ignored."""
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u > v").distinct()
     e = materialise(e, "edges")
@@ -38,5 +38,5 @@ def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         last = now
     else:
         raise RuntimeError("components did not settle")
-    stars = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return stars.unionAll(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    stars = e.select(F.col("u").alias("node_"), F.col("v").alias("component"))
+    return stars.unionAll(e.select(F.col("v").alias("node_"), F.col("v").alias("component")).distinct())

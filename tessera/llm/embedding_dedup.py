@@ -208,7 +208,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, key: str =
     found = materialise(found, "vector-links")
     degrees = found.groupBy("uid").agg(F.sum("linked").alias("linked"))
     joined = connected(found.select(F.col("uid").alias("a"), F.col("root").alias("b")))
-    ids = classes.select("uid", "vec", "n", "least").join(degrees, "uid", "left").join(joined, F.col("uid") == F.col("node"), "left")
+    ids = classes.select("uid", "vec", "n", "least").join(degrees, "uid", "left").join(joined, F.col("uid") == F.col("node_"), "left")
     ids = ids.withColumn("component", F.coalesce("component", "uid"))
     ends = ids.groupBy("component").agg(F.min("least").alias("component_id")).withColumnRenamed("component", "_component")
     ids = ids.join(ends, F.col("component") == F.col("_component")).select(

@@ -9,8 +9,10 @@ their common shingles lie within prefixes of n - least(n) + k. So
 1. equal sets are collapsed into classes;
 2. a class with fewer than k prefix shingles known to other classes links
    with nothing and is done (k is a small share of n);
-3. the others are brought together by shared prefix shingles (connected
-   components of star edges, which no linked pair leaves);
+3. the others are brought together: the shingles of a set fall into buckets
+   by hash, more buckets than a pair may have shingles that differ, so linked
+   sets have a bucket in common; components of these (star edges from the
+   smallest set of each bucket) are what no linked pair leaves;
 4. within a component, sets are stored in a prefix tree with edges of
    ``EDGE`` shingles; a set walks the tree level by level, all nodes of a
    level at once, nodes share the overlap of their path, and a subtree is left
@@ -54,6 +56,7 @@ FREQUENT = 6
 #: most frequent first; the rest are ordered like rare ones, which costs
 #: time and changes no result.
 FREQUENT_ROWS = 200_000
+FILTER_BITS = 1 << 27
 EDGE = 16
 BLOCK_SHINGLES = 1 << 19
 
@@ -139,6 +142,57 @@ def _ordered(texts: pa.Array, width: int, order: Order) -> tuple[np.ndarray, np.
     return keys[_by_text(keys, doc)], bounds, names
 
 
+def size_classes(largest: int, percent: int) -> np.ndarray:
+    """Upper bounds of size classes; partners are in the same or in
+    neighbouring ones."""
+    upper = [1]
+    while upper[-1] < largest:
+        upper.append(max(upper[-1] + 1, upper[-1] * 100 // percent))
+    return np.array(upper, np.int64)
+
+
+def differing(upper, percent: int):
+    """Shingles that are in one only of two linked sets, at most, if both have
+    at most ``upper``."""
+    return 2 * upper * (100 - percent) // (100 + percent)
+
+
+def signatures(keys: np.ndarray, bounds: np.ndarray, percent: int) -> list[np.ndarray]:
+    """Hashes of each set's buckets, for its size class and the next one.
+
+    With D shingles that may differ there are D + D // 8 + 2 buckets, so two
+    linked sets agree in more than D // 8 + 1 of them. A set with so many
+    empty buckets that all of these may be empty also gives its prefix shingles:
+    of a pair, either one has a full bucket in common or both do so."""
+    n = np.diff(bounds)
+    upper = size_classes(int(n.max()) if len(n) else 1, percent)
+    upper = np.append(upper, max(upper[-1] + 1, upper[-1] * 100 // percent))
+    own = np.searchsorted(upper, n)
+    parts: list[list[np.ndarray]] = [[] for _ in n]
+    doc = np.repeat(np.arange(len(n)), n)
+    value = keys.astype(np.uint64)
+    for step in (0, 1):
+        c = np.minimum(own + step, len(upper) - 1)
+        d = differing(upper[c], percent)
+        count = d + d // 8 + 2
+        first = np.cumsum(count) - count
+        with np.errstate(over="ignore"):
+            salt = W.mix64(c.astype(np.uint64) + np.uint64(1))[doc]
+            bucket = (W.mix64(value ^ salt) % count.astype(np.uint64)[doc]).astype(np.int64)
+            order = np.argsort(first[doc] + bucket, kind="stable")
+            at = (first[doc] + bucket)[order]
+            start = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(at) else np.zeros(0, np.int64)
+            total = np.add.reduceat(W.mix64(value + salt)[order], start) if len(start) else np.zeros(0, np.uint64)
+            of = doc[order][start]
+            name = W.mix64(total ^ W.mix64(bucket[order][start].astype(np.uint64) ^ salt[order][start])).view(np.int64)
+        cut = np.searchsorted(of, np.arange(len(n) + 1))
+        for i in range(len(n)):
+            parts[i].append(name[cut[i]:cut[i + 1]])
+            if count[i] - (cut[i + 1] - cut[i]) >= d[i] // 8 + 2 and n[i]:
+                parts[i].append(keys[bounds[i]:bounds[i] + n[i] - least(n[i], percent) + 1])
+    return [np.unique(np.concatenate(p)) for p in parts]
+
+
 class PrefixTree:
     """Sets (ascending arrays of small numbers) by levels of EDGE elements. A
     level has a row per node: its elements, where its parent is, the range
@@ -196,10 +250,11 @@ class PrefixTree:
                 m = self.sizes[done[ends]]
                 found.append(done[ends][overlap[ends] >= need(n, m, percent)])
             # what is left of x behind this node, and of the longest set below it
-            rest = np.minimum(n - np.searchsorted(x, level["last"][at], side="right"), level["high"][at] - (depth + 1) * EDGE)
+            below = level["high"][at] - (depth + 1) * EDGE
+            rest = np.minimum(n - np.searchsorted(x, level["last"][at], side="right"), below)
             # the least that any set below could need
             wanted = need(n, np.maximum(level["low"][at], least(n, percent)), percent)
-            go = (rest > 0) & (overlap + rest >= wanted)
+            go = (below > 0) & (overlap + rest >= wanted)
             at, overlap = at[go], overlap[go]
             a, b = level["children"][at], level["children"][at + 1]
             count = b - a
@@ -234,9 +289,28 @@ def join_sets(sets: list[np.ndarray], percent: int, sides: np.ndarray | None = N
     return root, out
 
 
+def _bits(hashes: DataFrame, column: str) -> np.ndarray:
+    """A bitmap of hashes modulo its size, which grows with their number up to
+    FILTER_BITS: what is not in it need not be looked at; beyond the bound it
+    lets more rows pass, which an exact join sorts out."""
+    n = hashes.count()
+    size = 1 << int(np.clip(int(max(n, 1) * 16).bit_length(), 15, FILTER_BITS.bit_length() - 1))
+    at = hashes.select(F.pmod(F.col(column), F.lit(size)).alias("at"))
+    parts = at.groupBy(F.floor(F.col("at") / 32768).alias("part")).agg(F.bitmap_construct_agg(F.pmod("at", F.lit(32768))).alias("bits"))
+    out = np.zeros(size // 8, np.uint8)
+    for row in parts.toLocalIterator():  # 4 KB each
+        out[row["part"] * 4096:row["part"] * 4096 + 4096] = np.frombuffer(row["bits"], np.uint8)
+    return out
+
+
+def _passing(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    at = np.mod(hashes, len(bits) * 8)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
 def _joined(docs: DataFrame, width: int, percent: int, key: str, text: str) -> DataFrame:
-    """Per row: id, hash (of the text), uid (a number of its own), n, class_id,
-    component (the node that names it; null without words), component_id, n_links."""
+    """Per row: id, hash (of id and text), n, class_id, component (the node
+    that names it; null without words), component_id, n_links."""
     spark: SparkSession = docs.sparkSession
     prepare(spark)
     prefix_share = PREFIX_SHARE
@@ -253,63 +327,63 @@ def _joined(docs: DataFrame, width: int, percent: int, key: str, text: str) -> D
                 cut = np.concatenate([[0], np.cumsum(p)])
                 prefix = keys[np.repeat(bounds[:-1] - cut[:-1], p) + np.arange(cut[-1])]
                 lists = pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(prefix))
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("hash"), pa.array(names, pa.binary()), pa.array(n), pa.array(k), lists],
-                                                 names=["id", "hash", "name", "n", "k", "prefix"])
+                short = np.frombuffer(b"".join(x[:8] for x in names), np.int64)
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("hash"), pa.array(names, pa.binary()), pa.array(short), pa.array(n), pa.array(k), lists],
+                                                 names=["id", "hash", "name", "short", "n", "k", "prefix"])
 
     id_type = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("hash"))
-    signed = rows.mapInArrow(sign, f"id {id_type}, hash long, name binary, n long, k long, prefix array<long>")
-    signed = materialise(signed.withColumn("uid", F.monotonically_increasing_id()), "ngram-sets")
+    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), F.xxhash64(key, text).alias("hash"))
+    signed = materialise(rows.mapInArrow(sign, f"id {id_type}, hash long, name binary, short long, n long, k long, prefix array<long>"), "ngram-sets")
 
     # 1. classes of equal sets; one row stands for each
-    real = signed.where("n > 0")
-    classes = real.groupBy("name").agg(F.min("id").alias("class_id"), F.min("uid").alias("node"))
-    classes = materialise(classes, "ngram-classes")
-    nodes = signed.join(classes.select("node"), F.col("uid") == F.col("node")).select("node", "n", "k", "prefix")
-
-    # 2. shared prefix shingles; ``first`` marks those that are enough to meet any partner
-    posted = nodes.select("node", "n", "k", F.posexplode("prefix").alias("at", "shingle"))
-    counts = posted.groupBy("shingle").count().where("count > 1").select(F.col("shingle").alias("shared"))
-    posted = posted.join(counts, F.col("shingle") == F.col("shared")).select(
-        "node", "k", "shingle", (F.col("at") <= F.col("n") - F.expr(f"(n * {percent} + 99) div 100")).alias("first"))
-    posted = materialise(posted, "ngram-postings")
-    open_ = posted.groupBy("node").agg(F.count("*").alias("shared"), F.max("k").alias("k")).where("shared >= k").select(F.col("node").alias("open"))
+    classes = signed.where("n > 0").groupBy("name").agg(F.min(F.struct("id", "hash")).alias("first"), F.min("id").alias("class_id"), F.min("short").alias("short"),
+                                                        F.min("n").alias("n"), F.min("k").alias("k"), F.count("*").alias("copies"))
+    classes = classes.select("name", "short", "class_id", F.col("first.hash").alias("hash"), "n", "k", "copies")
+    classes = materialise(classes.withColumn("node", F.monotonically_increasing_id()), "ngram-classes")
+
+    # 2. sets with enough prefix shingles that other sets share (here sets go
+    # by 64 bits of their name: two that met by chance would be looked at)
+    posted = signed.select("short", F.explode("prefix").alias("shingle"))
+    shared = posted.groupBy("shingle").agg(F.min("short").alias("a"), F.max("short").alias("b")).where("a < b").select(F.col("shingle").alias("shared"))
+    known = posted.join(shared, F.col("shingle") == F.col("shared")).groupBy("short").agg(F.count("*").alias("known")).withColumnRenamed("short", "of")
+    open_ = classes.join(known, F.col("short") == F.col("of")).where("known >= k * copies").select("name", "hash", "node")
     open_ = materialise(open_, "ngram-open")
 
-    # 3. components of sets that meet in a prefix shingle
-    meeting = posted.where("first").join(open_, F.col("node") == F.col("open"), "left_semi").select("node", "shingle")
-    meeting = materialise(meeting, "ngram-meeting")
-    stars = meeting.groupBy("shingle").agg(F.min("node").alias("centre"), F.count("*").alias("met")).where("met > 1").withColumnRenamed("shingle", "by")
-    groups = connected(meeting.join(stars, F.col("shingle") == F.col("by")).select(F.col("node").alias("a"), F.col("centre").alias("b")))
-    groups = materialise(groups.withColumnRenamed("component", "grp"), "ngram-groups")
-
-    # 4. whole sets of these, and their links by prefix trees
-    wanted = signed.join(groups, F.col("uid") == F.col("node")).select("node", "grp", F.col("id").alias("_id"), F.col("hash").alias("_hash"), F.col("name").alias("_name"))
-    texts = rows.join(wanted, (F.col("hash") == F.col("_hash")) & F.col("id").eqNullSafe(F.col("_id"))).select("node", "grp", "_name", "text")
+    # 3. whole sets of these, and components of those that meet in a bucket
+    bits = spark.sparkContext.broadcast(_bits(open_, "hash"))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            hashes = batch.column("hash").to_numpy(zero_copy_only=False)
+            batch = batch.take(pa.array(np.flatnonzero(_passing(hashes, bits.value))))
             for part in W.slices(batch, "text"):
                 keys, bounds, names = _ordered(W.texts_of(part.column("text")), width, order.value)
-                # rows may share an id and a hash: only those with the same set stand for the class
-                same = np.array([a == b for a, b in zip(names, part.column("_name").to_pylist())], bool)
-                at = pa.array(np.flatnonzero(same))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("node").take(at), part.column("grp").take(at), pa.array(np.diff(bounds)[same]),
-                     pa.array([keys[a:b].tobytes() for a, b, s in zip(bounds[:-1], bounds[1:], same) if s], pa.binary())], names=["node", "grp", "n", "keys"])
-
-    full = materialise(texts.mapInArrow(whole, "node long, grp long, n long, keys binary").dropDuplicates(["node"]), "ngram-whole")
-    weight = full.groupBy("grp").agg(F.sum("n").alias("weight")).withColumnRenamed("grp", "of")
-    shares = max(1, -(-(full.agg(F.sum("n")).first()[0] or 0) // BLOCK_SHINGLES))
-    dealt = full.join(weight, F.col("grp") == F.col("of")).withColumn("blocks", F.expr(f"cast((weight + {BLOCK_SHINGLES - 1}) div {BLOCK_SHINGLES} as int)"))
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                yield pa.RecordBatch.from_arrays([
+                    part.column("hash"), pa.array(names, pa.binary()), pa.array([keys[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary()),
+                    pa.array(signatures(keys, bounds, percent), pa.list_(pa.int64()))], names=["hash_", "name_", "keys", "buckets"])
+
+    full = rows.select("hash", "text").mapInArrow(whole, "hash_ long, name_ binary, keys binary, buckets array<long>")
+    full = full.join(open_, (F.col("name_") == F.col("name")) & (F.col("hash_") == F.col("hash"))).dropDuplicates(["name_", "hash_"])
+    full = materialise(full.select("node", "keys", "buckets", F.expr("octet_length(keys) div 8").alias("n")), "ngram-whole")
+    meeting = full.select("node", F.explode("buckets").alias("bucket"))
+    stars = meeting.groupBy("bucket").agg(F.min("node").alias("centre"), F.count("*").alias("met")).where("met > 1").withColumnRenamed("bucket", "by")
+    edges = meeting.join(stars, F.col("bucket") == F.col("by")).where("node != centre").select(F.col("node").alias("a"), F.col("centre").alias("b"))
+    groups = materialise(connected(edges).select("node_", F.col("component").alias("grp")), "ngram-groups")
+
+    # 4. links within each component, by prefix trees
+    sizes = full.select("node", "n").join(groups, F.col("node") == F.col("node_")).groupBy("grp").agg(F.sum("n").alias("weight"))
+    blocks = F.expr(f"cast((weight + {BLOCK_SHINGLES - 1}) div {BLOCK_SHINGLES} as int)")
+    sizes = materialise(sizes.select(F.col("grp").alias("of"), "weight", blocks.alias("blocks")), "ngram-sizes")
+    shares = max(1, -(-(sizes.agg(F.sum("weight")).first()[0] or 0) // BLOCK_SHINGLES))
+    dealt = groups.join(sizes, F.col("grp") == F.col("of")).withColumn("block", F.pmod(F.xxhash64("node_"), F.col("blocks")).cast("int"))
     # small groups share a tree; the blocks of a large one meet two by two
-    dealt = dealt.select("node", "keys", "block", F.when(F.col("blocks") > 1, F.col("grp")).otherwise(F.pmod(F.xxhash64("grp"), F.lit(shares)) - shares).alias("task"),
-                         F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    dealt = dealt.select("node_", "block", "blocks", F.when(F.col("blocks") > 1, F.col("grp")).otherwise(F.pmod(F.xxhash64("grp"), F.lit(shares))).alias("task"))
+    full = full.select("node", "keys").join(dealt, F.col("node") == F.col("node_"))
+    full = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    full = full.select("node", "keys", "block", "task", (F.col("blocks") > 1).alias("large"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
 
     def link(key, frame: pd.DataFrame) -> pd.DataFrame:
-        i, j = int(key[1]), int(key[2])
+        i, j = int(key[2]), int(key[3])
         frame = frame.sort_values("node", kind="stable")
         sets = [np.frombuffer(x, np.int64) for x in frame["keys"]]
         node = frame["node"].to_numpy(np.int64)
@@ -322,18 +396,18 @@ def _joined(docs: DataFrame, width: int, percent: int, key: str, text: str) -> D
         hit = links > 0
         return pd.DataFrame({"node": node[hit], "root": node[root[hit]], "links": links[hit]})
 
-    found = materialise(dealt.groupBy("task", "i", "j").applyInPandas(link, "node long, root long, links long"), "ngram-links")
+    found = materialise(full.groupBy("task", "large", "i", "j").applyInPandas(link, "node long, root long, links long"), "ngram-links")
 
     # 5. components of links, back to all rows
-    joined = connected(found.select(F.col("node").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "_node")
+    joined = connected(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     links = found.groupBy(F.col("node").alias("_of")).agg(F.sum("links").alias("links"))
-    ends = classes.join(joined, F.col("node") == F.col("_node"), "left").join(links, F.col("node") == F.col("_of"), "left")
+    ends = classes.join(joined, F.col("node") == F.col("node_"), "left").join(links, F.col("node") == F.col("_of"), "left")
     ends = ends.select("name", "class_id", F.coalesce("component", "node").alias("component"), F.coalesce("links", F.lit(0).cast("long")).alias("n_links"))
     least_ = ends.groupBy("component").agg(F.min("class_id").alias("component_id")).withColumnRenamed("component", "_component")
     ends = ends.join(least_, F.col("component") == F.col("_component")).select(F.col("name").alias("_name"), "class_id", "component", "component_id", "n_links")
-    out = signed.select("id", "hash", "uid", "name", "n").join(ends, (F.col("name") == F.col("_name")) & (F.col("n") > 0), "left")
+    out = signed.select("id", "hash", "name", "n").join(ends, (F.col("name") == F.col("_name")) & (F.col("n") > 0), "left")
     own = lambda c: F.when(F.col("n") > 0, F.col(c)).otherwise(F.col("id")).alias(c)
-    return out.select("id", "hash", "uid", "n", own("class_id"), "component", own("component_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+    return out.select("id", "hash", "n", own("class_id"), "component", own("component_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
 
 
 def similar(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -351,8 +425,8 @@ def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, key: s
     first = rows.groupBy("component").agg(F.min(F.struct("id", "hash")).alias("first"))
     first = first.select(F.col("first.id").alias("_id"), F.col("first.hash").alias("_hash"))
     wordless = F.coalesce(F.col(text), F.lit("")).rlike(r"^[\x20\x09-\x0D]*\z")
-    hashed = docs.where(~wordless).withColumn("_text_hash", F.xxhash64(text))
-    kept = hashed.join(first, (F.col("_text_hash") == F.col("_hash")) & F.col(key).eqNullSafe(F.col("_id")), "left_semi")
+    hashed = docs.where(~wordless).withColumn("_row_hash", F.xxhash64(key, text))
+    kept = hashed.join(first, (F.col("_row_hash") == F.col("_hash")) & F.col(key).eqNullSafe(F.col("_id")), "left_semi")
     # the same id and text may stand in several rows
-    kept = kept.dropDuplicates([key, "_text_hash"])
+    kept = kept.dropDuplicates([key, "_row_hash"])
     return kept.select(*docs.columns).unionAll(docs.where(wordless))
