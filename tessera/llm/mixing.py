@@ -33,6 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructType
@@ -93,54 +94,69 @@ def word_keys(words: W.Words) -> np.ndarray:
     return W.word_hashes(words.vocabulary)
 
 
-def fit_membership(texts: pa.Array, labels: np.ndarray, domains: list[str], steps: int = STEPS) -> Membership:
-    """Telling words are those that a domain's texts hold more often than
-    other texts by LEAST_Z standard errors, at most WORDS for each domain;
-    softmax regression on them by Adam, with a small penalty. Domains weigh
-    the same in the steps, and the bias restores their shares."""
-    words = W.split(texts, lower=True)
+def fit_membership(hashes: np.ndarray, bounds: np.ndarray, labels: np.ndarray, domains: list[str], steps: int = STEPS) -> Membership:
+    """``hashes[bounds[i]:bounds[i + 1]]`` are the distinct words of text i.
+    Telling words are those that a domain's texts hold more often than other
+    texts by LEAST_Z standard errors, at most WORDS for each domain; softmax
+    regression on them by Adam, with a small penalty. Domains weigh the same
+    in the steps, and the bias restores their shares."""
     n, k = len(labels), len(domains)
-    every, cell = np.unique(word_keys(words), return_inverse=True)
-    pair = np.unique(np.repeat(np.arange(n), words.counts) * max(1, len(every)) + cell[words.codes])
-    doc, cell = pair // max(1, len(every)), pair % max(1, len(every))
+    doc = np.repeat(np.arange(n), np.diff(bounds))
+    every, cell = np.unique(hashes, return_inverse=True)
     size = np.bincount(labels, minlength=k)
     held = np.stack([np.bincount(cell[labels[doc] == j], minlength=len(every)) for j in range(k)], axis=1)
     told = np.zeros(len(every), bool)
+    p = held.sum(1) / n
     for j in range(k):
         rest = max(1, n - size[j])
-        p = held.sum(1) / n
         z = (held[:, j] / size[j] - (held.sum(1) - held[:, j]) / rest) / np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / size[j] + 1 / rest))
         best = np.argsort(-z, kind="stable")[:WORDS]
         told[best[z[best] >= LEAST_Z]] = True
-    hashes = every[told]
-    doc, cell = present(words, hashes)
+    known = told[cell]
+    doc, cell = doc[known], (np.cumsum(told) - 1)[cell[known]]
     share = size / n
     y = np.eye(k)[labels]
     weight = (1.0 / (k * share))[labels][:, None] / n
-    w = np.zeros((len(hashes), k))
+    m_ = int(told.sum())
+    w = np.zeros((m_, k))
     m, v = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, steps + 1):
         s = np.stack([np.bincount(doc, weights=w[cell, j], minlength=n) for j in range(k)], axis=1)
         e = np.exp(s - s.max(1, keepdims=True))
         g = (e / e.sum(1, keepdims=True) - y) * weight
-        grad = np.stack([np.bincount(cell, weights=g[doc, j], minlength=len(hashes)) for j in range(k)], axis=1) + 1e-4 * w
+        grad = np.stack([np.bincount(cell, weights=g[doc, j], minlength=m_) for j in range(k)], axis=1) + 1e-4 * w
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         w -= 0.05 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
-    return Membership(domains, hashes, w, np.log(share))
+    return Membership(domains, every[told], w, np.log(share))
 
 
 def learn(docs: DataFrame, domains: DataFrame, names: list[str], key: str = "doc_id", text: str = "text", rows: int = SAMPLE_ROWS) -> Membership | None:
     """``domains``: (key, domain) rows. Learned from at most ``rows`` ids of the
-    smallest hash; None where no document has a label."""
+    smallest hash, whose word hashes are all that the driver gets; None where
+    no document has a label."""
+    prepare(docs.sparkSession)
     ids = domains.where(F.col(key).isNotNull() & F.col("domain").isin(names)).groupBy(F.col(key).alias("_id")).agg(F.min("domain").alias("_domain"))
     ids = ids.orderBy(F.xxhash64("_id"), "_id").limit(rows)
-    found = docs.join(F.broadcast(ids), F.col(key) == F.col("_id")).select("_id", "_domain", F.coalesce(F.col(text), F.lit("")).alias("text"))
-    found = found.limit(rows).toArrow().sort_by([("_id", "ascending"), ("text", "ascending")])
-    present = [d for d in names if d in set(found.column("_domain").to_pylist())]
-    if not present:
+    sample = docs.join(F.broadcast(ids), F.col(key) == F.col("_id")).select(F.xxhash64("_id", text).alias("id"), F.col("_domain").alias("domain"), F.col(text).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in W.slices(batch):
+                words = W.split(W.texts_of(part.column("text")), lower=True)
+                own = word_keys(words).view(np.int64)[words.codes]
+                lists = pa.array([np.unique(own[a:b]) for a, b in zip(words.bounds[:-1], words.bounds[1:])], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("domain"), lists], names=["id", "domain", "words"])
+
+    found = sample.mapInArrow(run, "id long, domain string, words array<long>").limit(rows).toArrow().combine_chunks()
+    found = found.take(pc.sort_indices(found, [("id", "ascending"), ("domain", "ascending")]))
+    seen = found.column("domain").to_pylist()
+    present_ = [d for d in names if d in set(seen)]
+    if not present_:
         return None
-    labels = np.array([present.index(d) for d in found.column("_domain").to_pylist()])
-    return fit_membership(W.texts_of(found.column("text")), labels, present)
+    lists = found.column("words").combine_chunks()
+    counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    hashes = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+    return fit_membership(hashes, np.concatenate([[0], np.cumsum(counts)]), np.array([present_.index(d) for d in seen]), present_)
 
 
 def members(docs: DataFrame, model: Membership | None, text: str = "text") -> DataFrame:

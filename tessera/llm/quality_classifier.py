@@ -91,12 +91,13 @@ def score(docs: DataFrame, forest: boosting.Forest, text: str = "text", keep: li
     prepare(docs.sparkSession)
     kept = [c for c in (docs.columns if keep is None else keep) if c not in ("score", "predicted")]
     schema = StructType([docs.schema[c] for c in kept]).add("score", "double").add("predicted", "integer")
-    rows = docs.select(*kept, F.col(text).alias("_text"))
+    body = text if text in kept else "_text"
+    rows = docs.select(*kept) if text in kept else docs.select(*kept, F.col(text).alias(body))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in W.slices(batch, "_text"):
-                s = forest.score(statistics(W.texts_of(part.column("_text"))))
+            for part in W.slices(batch, body):
+                s = forest.score(statistics(W.texts_of(part.column(body))))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array(s), pa.array((s >= THRESHOLD).astype(np.int32))],
                                                  names=[*kept, "score", "predicted"])
 

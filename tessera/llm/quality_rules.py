@@ -73,12 +73,13 @@ def judge(docs: DataFrame, forest: boosting.Forest, text: str = "text", keep: li
     for c in COUNTS:
         schema = schema.add(c, "long")
     schema = schema.add("base_failed", "boolean").add("score", "double").add("kept", "boolean")
-    rows = docs.select(*kept, F.col(text).alias("_text"))
+    body = text if text in kept else "_text"
+    rows = docs.select(*kept) if text in kept else docs.select(*kept, F.col(text).alias(body))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in W.slices(batch, "_text"):
-                counts, shares = measure(W.texts_of(part.column("_text")))
+            for part in W.slices(batch, body):
+                counts, shares = measure(W.texts_of(part.column(body)))
                 failed, s = base_failed(counts), forest.score(shares)
                 cols = [part.column(c) for c in kept] + [pa.array(counts[:, i]) for i in range(len(COUNTS))]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(failed), pa.array(s), pa.array(~failed & (s >= THRESHOLD))], names=[*kept, *own])

@@ -10,9 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import scratch_path, ship_package
 
 
+#: Rows that go to a Python worker at once, at most: texts are long.
+BATCH_ROWS = 1_000
+
+
 def prepare(spark: SparkSession) -> None:
-    """Make this package importable in Python workers."""
+    """Make this package importable in Python workers, and keep the batches
+    that they get small."""
     ship_package(spark)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

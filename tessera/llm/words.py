@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
