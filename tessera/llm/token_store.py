@@ -152,7 +152,8 @@ class Shard:
         slot = self.mph.values(h)
         known = slot >= 0
         known[known] = self.fingerprints[slot[known]] == _fingerprint(h[known])
-        out = np.where(known, self.ordinals[np.where(known, slot, 0)] if len(self.ordinals) else 0, -1).astype(np.int64)
+        out = np.full(len(h), -1, np.int64)
+        out[known] = self.ordinals[slot[known]]
         hit = out >= 0  # a fingerprint may also fit a key that is not there
         out[hit] = np.where((self.nulls[out[hit]] == nulls[hit]) & (nulls[hit] | (self.keys[out[hit]] == keys[hit])), out[hit], -1)
         return out
