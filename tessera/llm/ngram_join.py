@@ -58,7 +58,7 @@ FREQUENT = 6
 FREQUENT_ROWS = 200_000
 FILTER_BITS = 1 << 27
 EDGE = 16
-BLOCK_SHINGLES = 1 << 19
+BLOCK_SHINGLES = 1 << 17
 
 _HASH = np.uint64((1 << 56) - 1)
 

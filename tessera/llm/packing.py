@@ -30,7 +30,7 @@ from .store import materialise, prepare
 CAPACITY = 4096
 PATTERNS = 40_000
 NNLS_STEPS = 400
-RANK_ROWS = 100_000
+RANK_ROWS = 1_000
 
 
 def tokenise_pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPACITY, key: str = "doc_id",
@@ -188,8 +188,8 @@ def _entries(packed: list[tuple[tuple[int, ...], int]]) -> dict[str, np.ndarray]
 def pack(pieces: DataFrame, capacity: int = CAPACITY, length: str = "length") -> DataFrame:
     """``pieces`` (any columns; ``length`` from 1 to ``capacity``) and for each
     row its ``sequence_id`` and ``offset``. The input is read twice: give it
-    materialised. A length that holds a third of all rows is ranked in salted
-    buckets of about ``RANK_ROWS`` rows."""
+    materialised. A frequent length is ranked in salted buckets of about
+    ``RANK_ROWS`` rows."""
     spark = pieces.sparkSession
     prepare(spark)
     out_cols = [c for c in pieces.columns if c not in ("sequence_id", "offset")]  # replaced if there
@@ -198,9 +198,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length: str = "length") ->
     for row in pieces.groupBy(F.col(length).alias("length")).count().collect():  # at most ``capacity`` rows
         hist[row["length"]] = row["count"]
     entries = _entries(plan(hist, capacity))
-    buckets = max(1, -(-int(hist.sum()) // RANK_ROWS))
+    buckets = F.get(F.lit(np.maximum(1, -(-hist // RANK_ROWS))), F.col(length).cast("int"))
     shared = spark.sparkContext.broadcast(entries)  # a few numbers for each pattern of the plan; bounded by capacity and PATTERNS
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(*salt_from), F.lit(buckets)).cast("int"))
+    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(*salt_from), buckets).cast("int"))
     sizes = salted.groupBy(F.col(length).alias("_length"), F.col("_salt").alias("_bucket")).agg(F.count("*").alias("_n"))
     before = F.sum("_n").over(Window.partitionBy("_length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
     sizes = sizes.select("_length", "_bucket", F.coalesce(before, F.lit(0)).alias("_before"))

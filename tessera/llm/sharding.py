@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .store import materialise
 
 SEED = 20240607
-BUCKET_ROWS = 100_000
+BUCKET_ROWS = 2_000
 
 
 def _running(table: DataFrame, keys: list[str], bucket: str, order: list[str], value: str, out: str) -> DataFrame:
@@ -49,7 +49,8 @@ def interleave(docs: DataFrame, shards: int = 8, source: str = "source", identit
     in each shard). The order depends on the rows and the seed alone."""
     key = F.xxhash64(F.lit(seed), *[F.col(c) for c in identity])
     n = docs.count()
-    buckets = max(1, -(-n // BUCKET_ROWS))
+    # small buckets spread a hot source; their number stays at the root of the rows
+    buckets = max(1, min(-(-n // BUCKET_ROWS), int(n ** 0.5)))
     rows = docs.select(F.col(source).alias("_source"), key.alias("_key")).groupBy("_source", "_key").agg(F.count("*").alias("_copies"))
     rows = materialise(rows.withColumn("_bucket", F.pmod("_key", F.lit(buckets))), "interleave-keys")
     totals = rows.groupBy("_source").agg(F.sum("_copies").alias("_total")).withColumnRenamed("_source", "_source_of_total")
