@@ -9,9 +9,12 @@ from tessera.catalog.common import T, V, W
 from tessera.operators import ml as M
 from tessera.operators.frame import dedup
 from tessera.operators.reshape import dummies
+from tessera.session import cut_lineage
 
 SEED = 42
 NUM = ["n_chars", "spaces"]
+#: The languages of the table: levels are part of the schema, not fitted.
+LEVELS = {"lang": ["de", "en", "es", "fr"]}
 
 
 def m1_knn_impute(spark, sf):
@@ -68,22 +71,31 @@ def m8_accuracy(spark, sf):
     return M.accuracy(_rule(spark, sf), "label", "prediction")
 
 
-def _holdout(spark, d, cols):
-    """Balance the training split, fit, score the test split. ``d`` is read
-    by many jobs (split, SMOTE, the fit, the scoring), so it is kept in memory
-    for the evaluation and released before the one-row result is returned."""
-    d = d.persist()
+def _raw(spark, sf):
+    """One-hot the language, drop duplicate rows; nothing is fitted yet."""
+    return dedup(dummies(V(spark, sf, "v_labelled"), ["lang"], levels=LEVELS))
+
+
+def _holdout(spark, sf, components: int = 0):
+    """Split, scale (and find components) by the training rows, balance the
+    training split, fit, score the test split. The split rows are read by many
+    jobs: written once to the checkpoint folder."""
+    d = cut_lineage(M.split(_raw(spark, sf), "doc_id", 0.2, SEED))
+    cols = _features(d)
+    d = M.minmax(d, NUM, fit_on=d.where(F.col("is_test") == 0))
+    if components:
+        k = min(components, len(cols))
+        d = M.pca(d, cols, k, fit_on=d.where(F.col("is_test") == 0))
+        cols = [f"PCA_{i}" for i in range(1, k + 1)]
     train = M.smote(d.where(F.col("is_test") == 0).select("doc_id", "label", *cols), "doc_id", "label", cols,
                     k=5, seed=SEED)
-    model = M.fit_logistic(train, cols, "label")
+    model = M.fit_logistic(cut_lineage(train), cols, "label")
     r = M.accuracy(M.predict(model, d.where(F.col("is_test") == 1), cols), "label").first()
-    d.unpersist()
     return spark.createDataFrame([(r["accuracy"], r["n"])], "accuracy double, n long")
 
 
 def m8_holdout_accuracy(spark, sf):
-    d = M.split(_prepared(spark, sf), "doc_id", 0.2, SEED)
-    return _holdout(spark, d, _features(d))
+    return _holdout(spark, sf)
 
 
 def m9_pca(spark, sf):
@@ -91,27 +103,24 @@ def m9_pca(spark, sf):
     return M.pca(e, "embedding", 5).select("vec_id", *[f"PCA_{i}" for i in range(1, 6)])
 
 
-def _pca_split(spark, sf, n=5):
-    """Split first, then PCA fitted on the training rows only and applied to all."""
-    d = M.split(_prepared(spark, sf), "doc_id", 0.2, SEED).persist()
-    cols = _features(d)
-    k = min(n, len(cols))
-    return M.pca(d, cols, k, fit_on=d.where(F.col("is_test") == 0)), [f"PCA_{i}" for i in range(1, k + 1)], d
+def m9_pca_holdout_accuracy(spark, sf):
+    return _holdout(spark, sf, 5)
 
 
-def m9_pca_holdout_accuracy(spark, sf):
-    d, pcs, split_rows = _pca_split(spark, sf)
-    out = _holdout(spark, d, pcs)
-    split_rows.unpersist()
-    return out
+def _scaled(rows, train):
+    return M.minmax(rows, NUM, fit_on=train), _features(rows)
 
 
-def m11_cross_validate_pca(spark, sf):
-    d = _prepared(spark, sf)
-    cols = _features(d)
+def _components(rows, train):
+    rows, cols = _scaled(rows, train)
     k = min(5, len(cols))
-    p = M.pca(d, cols, k)
-    return M.cross_validate(p, "doc_id", [f"PCA_{i}" for i in range(1, k + 1)], "label", 5)
+    return M.pca(rows, cols, k, fit_on=rows.where(F.col("fold").isin([r[0] for r in train.select("fold").distinct().collect()]))), [
+        f"PCA_{i}" for i in range(1, k + 1)]
+
+
+def m11_cross_validate_pca(spark, sf):
+    d = _raw(spark, sf)
+    return M.cross_validate(d, "doc_id", _features(d), "label", 5, prepare=_components)
 
 
 def m10_stratified_folds(spark, sf):
@@ -119,8 +128,8 @@ def m10_stratified_folds(spark, sf):
 
 
 def m11_cross_validate(spark, sf):
-    d = _prepared(spark, sf)
-    return M.cross_validate(d, "doc_id", _features(d), "label", 5)
+    d = _raw(spark, sf)
+    return M.cross_validate(d, "doc_id", _features(d), "label", 5, prepare=_scaled)
 
 
 QUERIES = {k: v for k, v in globals().items() if k[:1] == "m" and k[1:2].isdigit() and callable(v)}

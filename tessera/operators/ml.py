@@ -18,7 +18,7 @@ Scale notes
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -177,13 +177,14 @@ def mode_impute(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), modes[c]) for c in cols})
 
 
-def minmax(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def minmax(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     """M3: (x - min) / (max - min) per column; a constant column gives 0.
-    Minima and maxima are scalar subqueries over one shared scan."""
-    out = {}
+    Minima and maxima are scalar subqueries over one shared scan of ``fit_on``
+    (e.g. the training split; ``df`` itself by default)."""
+    out, src = {}, df if fit_on is None else fit_on
     for c in cols:
-        lo = df.select(F.min(F.col(c).cast("double"))).scalar()
-        hi = df.select(F.max(F.col(c).cast("double"))).scalar()
+        lo = src.select(F.min(F.col(c).cast("double"))).scalar()
+        hi = src.select(F.max(F.col(c).cast("double"))).scalar()
         rng = hi - lo
         out[c] = F.when(rng > 0, (F.col(c).cast("double") - lo) / rng).when(F.col(c).isNotNull(), F.lit(0.0))
     return df.withColumns(out)
@@ -337,10 +338,12 @@ def pca(df: DataFrame, cols: Sequence[str] | str, n: int = 5, prefix: str = "PCA
 
 
 def cross_validate(df: DataFrame, id_col: str, cols: Sequence[str], label: str, k: int = 5,
-                   C: float = 1.0) -> DataFrame:
+                   C: float = 1.0, prepare: Callable | None = None) -> DataFrame:
     """K-fold cross-validated accuracy (stratified, unshuffled folds):
     one distributed fit per fold; output per-fold accuracy plus the mean and
-    the population std (as numpy's ``std``)."""
+    the population std (as numpy's ``std``). ``prepare(rows, train)`` returns
+    the rows made ready by what is fitted on the fold's training rows only
+    (scaling, components) and their feature columns."""
     from tessera.session import cut_lineage
 
     # read by k fits and k evaluations: a reliable checkpoint in the shared
@@ -348,8 +351,9 @@ def cross_validate(df: DataFrame, id_col: str, cols: Sequence[str], label: str,
     f = cut_lineage(stratified_folds(df, id_col, label, k))
     rows = []
     for i in range(k):
-        model = fit_logistic(f.where(F.col("fold") != i), cols, label, C)
-        acc = accuracy(predict(model, f.where(F.col("fold") == i), cols), label).first()
+        ready, own = (f, cols) if prepare is None else prepare(f, f.where(F.col("fold") != i))
+        model = fit_logistic(ready.where(F.col("fold") != i), own, label, C)
+        acc = accuracy(predict(model, ready.where(F.col("fold") == i), own), label).first()
         rows.append((i, float(acc["accuracy"]), int(acc["n"])))
     accs = np.array([r[1] for r in rows])
     per = df.sparkSession.createDataFrame(rows, "fold int, accuracy double, n long")
