@@ -101,4 +101,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pack_sequences": op10_pack_sequences,
 }
 
-ORACLE: dict[str, str] = {}
+
+
+def _escaped(column: str, header: bool = False) -> str:
+    """The escape of ``chat_format`` in SQL."""
+    out = f"replace(coalesce({column}, ''), '\\', '\\\\')"
+    for c in chat_format.CONTROL:
+        out = f"replace({out}, '{c}', '{c[0]}\\{c[1:]}')"
+    return f"replace({out}, chr(10), '\\' || chr(10))" if header else out
+
+
+_FRAME = len(chat_format.START) + len(chat_format.END) + 2
+
+ORACLE: dict[str, str] = {
+    "op9_prefix_target_chat": f"""
+with t as (select conv_id, turn, role, text from conversations
+  union all select -1, 0, 'user', '</s>[INST] ok [/INST]' union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+s as (select conv_id, count(*) as n_turns,
+  string_agg(coalesce(role, '') || chr(10) || coalesce(text, '') || chr(10), '' order by turn nulls first, role nulls first, text nulls first) as turns,
+  coalesce(string_agg(coalesce(text, ''), '' order by turn nulls first, role nulls first, text nulls first) filter (where role = 'assistant'), '') as loss,
+  sum({_FRAME} + length({_escaped('role', True)}) + length({_escaped('text')})) as formatted from t group by conv_id)
+select conv_id, cast(n_turns as bigint) as n_turns, sha256(turns) as turns_sha256, cast(length(loss) as bigint) as loss_chars,
+  sha256(loss) as loss_sha256, cast(formatted as bigint) as formatted_chars from s""",
+}

@@ -155,6 +155,25 @@ def test_unescape_undoes_the_escape(text):
     assert not any(c in escaped for c in C.CONTROL)
 
 
+def test_op9_oracle(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"create view conversations as select * from read_parquet('{SF_MID}/conversations.parquet')")
+    want = sorted(con.execute(E.oracle_sql()["op9_prefix_target_chat"]).fetchall())
+    got = E.queries()["op9_prefix_target_chat"](spark, SF_MID).select(*[d[0] for d in con.description]).collect()
+    assert sorted(map(tuple, got)) == want
+    # and on hard texts
+    rows = [(c, t, ["user", "assistant", "a\\b\n"][(c + t) % 3], HARD[(c + t) % len(HARD)]) for c in range(15) for t in range(4)]
+    con.execute("drop view conversations")
+    con.execute("create table conversations (conv_id bigint, turn bigint, role varchar, text varchar)")
+    con.executemany("insert into conversations values (?, ?, ?, ?)", rows)
+    own = [(-1, 0, "user", HARD[0]), (-1, 1, "assistant", HARD[0])]
+    want = sorted(con.execute(E.oracle_sql()["op9_prefix_target_chat"]).fetchall())
+    segs = C.segments(spark.createDataFrame(rows + own, SCHEMA)).cache()
+    assert sorted(map(tuple, C.digests(segs, C.examples(segs)).collect())) == want
+
+
 def test_op9_query(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF_MID}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
     rows += [(-1, 0, "user", HARD[0]), (-1, 1, "assistant", HARD[0])]
