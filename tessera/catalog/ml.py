@@ -156,6 +156,8 @@ from v_part_gaps v left join t1 on v.id = t1.qid left join t2 on v.id = t2.qid""
     else 0.0 end as p_size,
   case when max(p_retailprice) over () > min(p_retailprice) over () then (p_retailprice - min(p_retailprice) over ()) /
     (max(p_retailprice) over () - min(p_retailprice) over ()) else 0.0 end as p_retailprice from part""",
+    "m5_split": W("""select doc_id, cast(row_number() over (order by md5('42:' || cast(doc_id as varchar))) <= ceil(0.2 * count(*) over ()) as int)
+  as is_test from v_labelled""", "v_labelled"),
     "m7_confusion": W("""select label as truth, cast(count(*) filter (where n_chars <= 2000) as bigint) as pred_0,
   cast(count(*) filter (where n_chars > 2000) as bigint) as pred_1 from v_labelled group by label""", "v_labelled"),
     "m8_accuracy": W("""select avg(case when label = (case when n_chars > 2000 then 1 else 0 end) then 1.0 else 0.0 end) as accuracy,

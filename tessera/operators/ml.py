@@ -43,6 +43,13 @@ def hash_key(id_col: str, seed: int, *extra) -> F.Column:
     return F.xxhash64(F.col(id_col), F.lit(seed), *[F.lit(e) for e in extra])
 
 
+def md5_key(id_col: str, seed: int) -> F.Column:
+    """The first 52 bits of md5("seed:id"): a seeded draw that any SQL engine
+    can repeat."""
+    text = F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("bigint")
+
+
 # --------------------------------------------------------------------- k-NN
 
 
@@ -191,11 +198,11 @@ def minmax(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None)
 
 
 def split(df: DataFrame, id_col: str, test: float = 0.2, seed: int = 42, out: str = "is_test") -> DataFrame:
-    """M5: seeded exact train/test split: rows ranked by a seeded hash of the
-    id; the first ceil(test * n) are the test set. Stable under re-partitioning."""
+    """M5: seeded exact train/test split: rows ranked by ``md5_key`` of the id;
+    the first ceil(test * n) are the test set. Stable under re-partitioning."""
     n = df.count()
     n_test = math.ceil(test * n)
-    r = row_index(df.withColumn("_h", hash_key(id_col, seed)), "_h", out="_i")
+    r = row_index(df.withColumn("_h", md5_key(id_col, seed)), "_h", out="_i")
     return r.withColumn(out, (F.col("_i") < n_test).cast("int")).drop("_h", "_i")
 
 
