@@ -1,7 +1,7 @@
 """Tail probabilities of the t and F distributions (scipy is not available).
 
-The regularised incomplete beta function is evaluated with the continued
-fraction of Numerical Recipes (modified Lentz). These run only on result
+The regularised incomplete beta function is evaluated by its continued
+fraction (DLMF 8.17.22), from the inside out. These run only on result
 rows -- one per group or coefficient -- inside an Arrow-batched pandas UDF.
 """
 
@@ -15,30 +15,30 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 
-def _betacf(a: float, b: float, x: float) -> float:
-    tiny, eps = 1e-300, 1e-15
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, 400):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        de = d * c
-        h *= de
-        if abs(de - 1.0) < eps:
+def _fraction(a: float, b: float, x: float, terms: int) -> float:
+    """1 / (1 + d1 / (1 + d2 / (1 + ...))) cut after ``terms`` coefficients:
+    d(2m) = m (b - m) x / ((a + 2m - 1)(a + 2m)),
+    d(2m + 1) = -(a + m)(a + b + m) x / ((a + 2m)(a + 2m + 1))."""
+    value = 1.0
+    for n in range(terms, 0, -1):
+        m, odd = divmod(n, 2)
+        if odd:
+            d = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+        else:
+            d = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+        value = 1.0 + d / value
+    return 1.0 / value
+
+
+def _beta_fraction(a: float, b: float, x: float) -> float:
+    """The fraction to double precision: twice as many terms until it settles."""
+    terms, last = 32, math.nan
+    while terms <= 1 << 20:
+        value = _fraction(a, b, x, terms)
+        if abs(value - last) <= 1e-15 * abs(value):
             break
-    return h
+        terms, last = 2 * terms, value
+    return value
 
 
 def betainc(a: float, b: float, x: float) -> float:
@@ -49,8 +49,8 @@ def betainc(a: float, b: float, x: float) -> float:
         return 1.0
     lbt = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
     if x < (a + 1.0) / (a + b + 2.0):
-        return math.exp(lbt) * _betacf(a, b, x) / a
-    return 1.0 - math.exp(lbt) * _betacf(b, a, 1.0 - x) / b
+        return math.exp(lbt) * _beta_fraction(a, b, x) / a
+    return 1.0 - math.exp(lbt) * _beta_fraction(b, a, 1.0 - x) / b
 
 
 def t_two_sided(t: float, df: float) -> float:
@@ -71,30 +71,12 @@ def f_upper(f: float, d1: float, d2: float) -> float:
     return betainc(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))
 
 
-def t_quantile(p: float, df: float) -> float:
-    """Two-sided critical value: t with P(|T| >= t) = p (bisection)."""
-    lo, hi = 0.0, 1e3
-    for _ in range(200):
-        mid = (lo + hi) / 2
-        if t_two_sided(mid, df) > p:
-            lo = mid
-        else:
-            hi = mid
-    return (lo + hi) / 2
-
-
 @F.pandas_udf(DoubleType())
 def _t_p_udf(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([None if (pd.isna(a) or pd.isna(b)) else t_two_sided(float(a), float(b))
                       for a, b in zip(t, df)], dtype="float64")
 
 
-@F.pandas_udf(DoubleType())
-def _f_p_udf(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
-    return pd.Series([None if (pd.isna(a) or pd.isna(b) or pd.isna(c)) else f_upper(float(a), float(b), float(c))
-                      for a, b, c in zip(f, d1, d2)], dtype="float64")
-
-
 def _ship() -> None:
     from pyspark.sql import SparkSession
 
@@ -109,8 +91,3 @@ def t_pvalue(t: Column, df: Column) -> Column:
     """Two-sided p of a t statistic, for result rows (one per group)."""
     _ship()
     return _t_p_udf(t.cast("double"), df.cast("double"))
-
-
-def f_pvalue(f: Column, d1: Column, d2: Column) -> Column:
-    _ship()
-    return _f_p_udf(f.cast("double"), d1.cast("double"), d2.cast("double"))
