@@ -20,8 +20,9 @@ their common shingles lie within prefixes of n - least(n) + k. So
 5. links are joined up to components; pairs are never emitted: a task returns
    a root and a number of links for each of its sets.
 
-A component with many shingles is cut into hashed blocks which are walked
-pair by pair, so no task holds a whole one; small ones share a tree.
+A component with many shingles is cut into size classes and hashed blocks,
+which are walked pair by pair where their sizes can link, so no task holds a
+whole one; small ones share a tree.
 
 Shingles are told apart by 56-bit hashes within a pair of texts.
 
@@ -35,12 +36,13 @@ columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import words as W
@@ -57,8 +59,9 @@ FREQUENT = 6
 #: time and changes no result.
 FREQUENT_ROWS = 200_000
 FILTER_BITS = 1 << 27
+SLICE_BYTES = 2 << 20
 EDGE = 16
-BLOCK_SHINGLES = 1 << 17
+BLOCK_SHINGLES = 1 << 18
 
 _HASH = np.uint64((1 << 56) - 1)
 
@@ -100,7 +103,7 @@ def frequent_shingles(docs: DataFrame, width: int, text: str = "text") -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for batch in batches:
-            for part in W.slices(batch, "text"):
+            for part in W.slices(batch, "text", SLICE_BYTES):
                 h, _ = _sets(W.texts_of(part.column("text")), width)
                 h, n = np.unique(h, return_counts=True)
                 at = np.searchsorted(seen, h)
@@ -319,7 +322,7 @@ def _joined(docs: DataFrame, width: int, percent: int, key: str, text: str) -> D
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in W.slices(batch, "text"):
+            for part in W.slices(batch, "text", SLICE_BYTES):
                 keys, bounds, names = _ordered(W.texts_of(part.column("text")), width, order.value)
                 n = np.diff(bounds)
                 k = np.maximum(1, np.ceil(prefix_share * n).astype(np.int64))
@@ -356,7 +359,7 @@ def _joined(docs: DataFrame, width: int, percent: int, key: str, text: str) -> D
         for batch in batches:
             hashes = batch.column("hash").to_numpy(zero_copy_only=False)
             batch = batch.take(pa.array(np.flatnonzero(_passing(hashes, bits.value))))
-            for part in W.slices(batch, "text"):
+            for part in W.slices(batch, "text", SLICE_BYTES):
                 keys, bounds, names = _ordered(W.texts_of(part.column("text")), width, order.value)
                 yield pa.RecordBatch.from_arrays([
                     part.column("hash"), pa.array(names, pa.binary()), pa.array([keys[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary()),
@@ -370,33 +373,54 @@ def _joined(docs: DataFrame, width: int, percent: int, key: str, text: str) -> D
     edges = meeting.join(stars, F.col("bucket") == F.col("by")).where("node != centre").select(F.col("node").alias("a"), F.col("centre").alias("b"))
     groups = materialise(connected(edges).select("node_", F.col("component").alias("grp")), "ngram-groups")
 
-    # 4. links within each component, by prefix trees
-    sizes = full.select("node", "n").join(groups, F.col("node") == F.col("node_")).groupBy("grp").agg(F.sum("n").alias("weight"))
-    blocks = F.expr(f"cast((weight + {BLOCK_SHINGLES - 1}) div {BLOCK_SHINGLES} as int)")
-    sizes = materialise(sizes.select(F.col("grp").alias("of"), "weight", blocks.alias("blocks")), "ngram-sizes")
+    # 4. links within each component, by prefix trees: a small component is in
+    # one task with others; a large one is cut by size (partners are in the same
+    # or the next class) and then by hash, and the parts meet two by two
+    ratio = math.log(100.1 / percent) if percent < 100 else 1.0  # a little more than partners may differ by
+    members = full.select("node", "n").join(groups, F.col("node") == F.col("node_")).select(
+        "node_", "n", "grp", F.floor(F.log(F.col("n")) / ratio).cast("int").alias("class"))
+    members = materialise(members, "ngram-members")
+    weight = members.groupBy("grp", "class").agg(F.sum("n").alias("w"))
+    weight = weight.withColumn("blocks", F.expr(f"cast((w + {BLOCK_SHINGLES - 1}) div {BLOCK_SHINGLES} as int)"))
+    cells = F.map_from_entries(F.collect_list(F.struct("class", "blocks"))).alias("cells")  # a class for each factor of size: a few dozen
+    sizes = materialise(weight.groupBy(F.col("grp").alias("of")).agg(F.sum("w").alias("weight"), cells), "ngram-sizes")
     shares = max(1, -(-(sizes.agg(F.sum("weight")).first()[0] or 0) // BLOCK_SHINGLES))
-    dealt = groups.join(sizes, F.col("grp") == F.col("of")).withColumn("block", F.pmod(F.xxhash64("node_"), F.col("blocks")).cast("int"))
-    # small groups share a tree; the blocks of a large one meet two by two
-    dealt = dealt.select("node_", "block", "blocks", F.when(F.col("blocks") > 1, F.col("grp")).otherwise(F.pmod(F.xxhash64("grp"), F.lit(shares))).alias("task"))
-    full = full.select("node", "keys").join(dealt, F.col("node") == F.col("node_"))
-    full = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    full = full.select("node", "keys", "block", "task", (F.col("blocks") > 1).alias("large"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    dealt = members.join(sizes, F.col("grp") == F.col("of")).withColumn("large", F.col("weight") > BLOCK_SHINGLES)
+    blocks = lambda c: F.coalesce(F.try_element_at("cells", c), F.lit(0))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node_"), blocks(F.col("class"))).cast("int"))
+
+    def meets(kind: str, count: Column, i, j, class_: Column) -> Column:
+        others = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(others, lambda o: F.struct(F.lit(kind).alias("kind"), class_.alias("class"), i(o).alias("i"), j(o).alias("j")))
+
+    own = F.col("block")
+    pairs = F.concat(meets("same", blocks(F.col("class")), lambda o: F.least(own, o), lambda o: F.greatest(own, o), F.col("class")),
+                     meets("next", blocks(F.col("class") + 1), lambda o: own, lambda o: o, F.col("class")),
+                     meets("next", blocks(F.col("class") - 1), lambda o: o, lambda o: own, F.col("class") - 1))
+    together = F.array(F.struct(F.lit("all").alias("kind"), F.lit(0).alias("class"), F.lit(0).alias("i"), F.lit(0).alias("j")))
+    dealt = dealt.select("node_", F.col("class").alias("own_class"), "block", F.when(F.col("large"), F.col("grp")).otherwise(F.pmod(F.xxhash64("grp"), F.lit(shares))).alias("task"),
+                         F.explode(F.when(F.col("large"), pairs).otherwise(together)).alias("meet"))
+    # 1 for the second of two parts
+    second = F.when(F.col("meet.kind") == "next", F.col("own_class") != F.col("meet.class")).otherwise(F.col("block") != F.col("meet.i"))
+    dealt = dealt.select("node_", "task", "meet.*", second.cast("int").alias("side"))
+    full = full.select("node", "keys").join(dealt, F.col("node") == F.col("node_")).drop("node_")
 
     def link(key, frame: pd.DataFrame) -> pd.DataFrame:
-        i, j = int(key[2]), int(key[3])
+        kind, i, j = key[1], int(key[3]), int(key[4])
+        apart = kind == "next" or kind == "same" and i != j
         frame = frame.sort_values("node", kind="stable")
         sets = [np.frombuffer(x, np.int64) for x in frame["keys"]]
         node = frame["node"].to_numpy(np.int64)
-        root, pairs = join_sets(sets, percent, None if i == j else (frame["block"].to_numpy() == j).astype(int))
+        root, pairs = join_sets(sets, percent, frame["side"].to_numpy() if apart else None)
         links = np.zeros(len(node), np.int64)
         for a, with_ in pairs:
             links[a] += len(with_)
-            if i != j:
+            if apart:
                 links[with_] += 1
         hit = links > 0
         return pd.DataFrame({"node": node[hit], "root": node[root[hit]], "links": links[hit]})
 
-    found = materialise(full.groupBy("task", "large", "i", "j").applyInPandas(link, "node long, root long, links long"), "ngram-links")
+    found = materialise(full.groupBy("task", "kind", "class", "i", "j").applyInPandas(link, "node long, root long, links long"), "ngram-links")
 
     # 5. components of links, back to all rows
     joined = connected(found.select(F.col("node").alias("a"), F.col("root").alias("b")))

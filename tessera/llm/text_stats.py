@@ -42,8 +42,9 @@ def character_counts(texts: pa.Array) -> dict[str, np.ndarray]:
     cut = bounds - bounds[0]
     out = {}
     for i, name in enumerate(_CLASSES):
-        total = np.concatenate([[0], np.cumsum(kind == i)])
-        out[name] = total[cut[1:]] - total[cut[:-1]]
+        total = np.zeros(len(kind) + 1, np.int32)  # a slice has far fewer bytes than 2**31, or is a single text
+        np.cumsum(kind == i, out=total[1:])
+        out[name] = (total[cut[1:]] - total[cut[:-1]]).astype(np.int64)
     return out
 
 

@@ -54,6 +54,7 @@ def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES)
         to = max(at + 1, int(np.searchsorted(cum, done + limit, side="right")))
         yield batch.slice(at, to - at)
         at = to
+    pa.default_memory_pool().release_unused()  # workers live on, executors are small
 
 
 @dataclass
