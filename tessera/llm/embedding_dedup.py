@@ -8,14 +8,15 @@ whose centroid c is close to its best one b: x.(b - c) <= margin * |b - c|.
 If y's best centroid is c, x.(b - c) + y.(c - b) = (x - y).(b - c), so the
 smaller of the two terms is at most half of the right side, and either end
 may find the pair. |x - y| is at most s = sqrt(2 - 2t) for partners at cosine
-t; margin = s / 2 would find every pair. Since the direction of x - y is not
-that of b - c in many dimensions, PROBE_SIGMAS * s / sqrt(dimensions), at most
-s / 2, suffices; the tests and README measure recall. In a list, distances to the codes come from
+t, so margin = s / 2 finds every pair, whatever directions the vectors vary
+in; the price is many probes where they vary evenly in many directions. In a list, distances to the codes come from
 lookup tables (asymmetric); those that could reach the threshold, with the
 left-out norm as an exact bound, are ranked again by the exact cosine.
 
-Lists with many members or probes are cut into blocks and paired block by
-block, so no task holds a whole list. Tasks return a degree and a local root
+Lists that are near each other form groups of GROUP_LISTS; a vector is sent
+once to each group in which it probes a list, with one bit per list. Groups
+with many members or probes are cut into blocks and paired block by
+block, so no task holds a whole group. Tasks return a degree and a local root
 for each vector, never the pairs.
 
 Defined cases: null vectors, empty or zero ones and those with null or
@@ -43,8 +44,10 @@ LIST_ROWS = 128
 MAX_LISTS = 4096
 SUBSPACES = 8
 CODES = 256
-PROBE_SIGMAS = 1.25
-BLOCK_ROWS = 2048
+GROUP_LISTS = 64
+SLACK = 1e-7  # rounding of the probe test
+BLOCK_ROWS = 8192
+PAIRS_AT_ONCE = 1 << 15
 
 
 def _kmeans(x: np.ndarray, k: int, rounds: int, rng: np.random.Generator) -> np.ndarray:
@@ -63,6 +66,17 @@ def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.concatenate([(x[i:i + 4096] @ centres.T - half).argmax(1) for i in range(0, max(len(x), 1), 4096)])
 
 
+def _near_order(centres: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """``at`` in an order whose runs of GROUP_LISTS are near each other:
+    halved along the widest direction, at whole runs."""
+    if len(at) <= GROUP_LISTS:
+        return at
+    x = centres[at] - centres[at].mean(0)
+    at = at[np.argsort(x @ np.linalg.svd(x, full_matrices=False)[2][0], kind="stable")]
+    half = -(-len(at) // (2 * GROUP_LISTS)) * GROUP_LISTS
+    return np.concatenate([_near_order(centres, at[:half]), _near_order(centres, at[half:])])
+
+
 class Index:
     """Coarse centroids and residual codebooks, fitted on unit vectors."""
 
@@ -71,20 +85,24 @@ class Index:
         d = sample.shape[1]
         lists = int(np.clip(rows // LIST_ROWS, 1, min(MAX_LISTS, max(1, len(sample) // 8))))
         self.centres = _kmeans(sample, lists, 10, rng)
+        self.centres = self.centres[_near_order(self.centres, np.arange(lists))]
         residual = sample - self.centres[self.home(sample)]
         self.cuts = np.array_split(np.arange(d), min(SUBSPACES, d))
         self.books = [_kmeans(residual[:, c], min(CODES, len(sample)), 6, rng) for c in self.cuts]
-        reach = (2 - 2 * threshold) ** 0.5
-        self.margin = min(reach / 2, PROBE_SIGMAS * reach / d ** 0.5)
+        self.margin = (2 - 2 * threshold) ** 0.5 / 2
         self.apart = np.sqrt(np.maximum(0, ((self.centres ** 2).sum(1)[:, None] + (self.centres ** 2).sum(1) - 2 * self.centres @ self.centres.T)))
 
     def home(self, x: np.ndarray) -> np.ndarray:
         return np.concatenate([(x[i:i + 4096] @ self.centres.T).argmax(1) for i in range(0, max(len(x), 1), 4096)])
 
-    def probes(self, x: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    def near(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The home list of each vector, and for each list whether it is probed."""
         dot = x @ self.centres.T
         home = dot.argmax(1)
-        near = dot.max(1)[:, None] - dot <= self.margin * self.apart[home]
+        return home, dot.max(1)[:, None] - dot <= self.margin * self.apart[home] + SLACK
+
+    def probes(self, x: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        home, near = self.near(x)
         return home, [np.flatnonzero(r).astype(np.int32) for r in near]
 
     def encode(self, residual: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -93,12 +111,21 @@ class Index:
         left = sum(((residual[:, c] - b[codes[:, m]]) ** 2).sum(1) for m, (c, b) in enumerate(zip(self.cuts, self.books)))
         return codes, np.sqrt(left)
 
-    def approximate(self, queries: np.ndarray, at: int, codes: np.ndarray) -> np.ndarray:
+    def tables(self, queries: np.ndarray) -> list[np.ndarray]:
+        """Dot products of all code words and the queries, by subspace."""
+        return [book @ queries[:, c].T for c, book in zip(self.cuts, self.books)]
+
+    def approximate(self, queries: np.ndarray, at: int, codes: np.ndarray, tables: list[np.ndarray] | None = None) -> np.ndarray:
         """Dot products of queries and codes in list ``at`` by table lookup."""
-        out = np.repeat((queries @ self.centres[at])[:, None], len(codes), axis=1)
-        for m, (c, book) in enumerate(zip(self.cuts, self.books)):
-            out += (queries[:, c] @ book.T)[:, codes[:, m]]
-        return out
+        out = np.repeat((queries @ self.centres[at])[None, :], len(codes), axis=0)
+        for m, table in enumerate(tables or self.tables(queries)):
+            out += table[codes[:, m]]
+        return out.T
+
+
+def _bits(near: np.ndarray) -> np.ndarray:
+    """Rows of bits, 8 bytes for each group of lists."""
+    return np.packbits(np.pad(near, ((0, 0), (0, -near.shape[1] % GROUP_LISTS))), axis=1, bitorder="little")
 
 
 def _roots(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -130,56 +157,70 @@ def _links(classes: DataFrame, threshold: float, dtype: np.dtype) -> DataFrame:
         for frame in frames:
             for i in range(0, len(frame), 2000):
                 f = frame.iloc[i:i + 2000]
-                home, probes = index.probes(_unit(f["raw"].tolist(), dtype))
-                yield f.assign(home=home.astype("int32"), probes=probes)
-
-    placed = materialise(classes.select("uid", "n", "raw").mapInPandas(assign, "uid long, n long, raw binary, home int, probes array<int>"), "vector-lists")
-    # blocks of each list: a table with one row per list, at most MAX_LISTS
-    probes = placed.select(F.explode("probes").alias("probed")).groupBy("probed").agg(F.count("*").alias("asked"))
-    lists = placed.groupBy(F.col("home").alias("list")).agg(F.count("*").alias("members")).join(probes, F.col("list") == F.col("probed"))
+                home, near = index.near(_unit(f["raw"].tolist(), dtype))
+                bits = _bits(near)
+                asks = bits.reshape(len(f), -1, GROUP_LISTS // 8).any(2)
+                yield f.assign(home=home.astype("int32"), probes=[r.tobytes() for r in bits], asks=[np.flatnonzero(r).astype(np.int32) for r in asks])
+
+    placed = materialise(classes.select("uid", "n", "raw").mapInPandas(assign, "uid long, n long, raw binary, home int, probes binary, asks array<int>"), "vector-lists")
+    placed = placed.withColumn("own", F.expr(f"home div {GROUP_LISTS}").cast("int"))
+    # blocks of each group: a table with one row per group of at most MAX_LISTS lists
+    asked = placed.select(F.explode("asks").alias("asked")).groupBy("asked").agg(F.count("*").alias("queries"))
+    groups = placed.groupBy(F.col("own").alias("group")).agg(F.count("*").alias("members")).join(asked, F.col("group") == F.col("asked"))
     blocks = lambda n: F.expr(f"cast(({n} + {BLOCK_ROWS - 1}) div {BLOCK_ROWS} as int)")
-    lists = F.broadcast(materialise(lists.select("list", blocks("members").alias("at"), blocks("asked").alias("wide")), "vector-blocks"))
-    stored = placed.join(lists, F.col("home") == F.col("list")).select(
-        "list", F.pmod("uid", "at").cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("wide") - 1)).alias("j"), F.lit(True).alias("member"),
+    groups = F.broadcast(materialise(groups.select("group", blocks("members").alias("at"), blocks("queries").alias("wide")), "vector-blocks"))
+    stored = placed.join(groups, F.col("own") == F.col("group")).select(
+        "group", F.pmod("uid", "at").cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("wide") - 1)).alias("j"), F.lit(True).alias("member"),
         "uid", "n", "raw", "home", "probes")
-    asking = placed.select("uid", "n", "raw", "home", F.explode("probes").alias("probed")).join(lists, F.col("probed") == F.col("list")).select(
-        "list", F.explode(F.sequence(F.lit(0), F.col("at") - 1)).alias("i"), F.pmod("uid", "wide").cast("int").alias("j"), F.lit(False).alias("member"),
-        "uid", "n", "raw", "home", F.lit(None).cast("array<int>").alias("probes"))
+    asking = placed.select("uid", "n", "raw", "home", "probes", F.explode("asks").alias("asked")).join(groups, F.col("asked") == F.col("group")).select(
+        "group", F.explode(F.sequence(F.lit(0), F.col("at") - 1)).alias("i"), F.pmod("uid", "wide").cast("int").alias("j"), F.lit(False).alias("member"),
+        "uid", "n", "raw", "home", F.expr(f"substring(probes, asked * {GROUP_LISTS // 8} + 1, {GROUP_LISTS // 8})").alias("probes"))
 
     def search(key, frame: pd.DataFrame) -> pd.DataFrame:
         index = shared.value
-        m, q = frame[frame["member"]], frame[~frame["member"]]
+        m, q = frame[frame["member"]], frame[~frame["member"]].sort_values("home")  # vectors of one list probe much the same lists
         if m.empty or q.empty:
             return pd.DataFrame({"uid": pd.Series(dtype="int64"), "linked": pd.Series(dtype="int64"), "root": pd.Series(dtype="int64")})
-        at = int(key[0])
         x, y = _unit(q["raw"].tolist(), dtype), _unit(m["raw"].tolist(), dtype)
-        codes, left = index.encode(y - index.centres[at])
+        lists = m["home"].to_numpy()
+        codes, left = index.encode(y - index.centres[lists])
+        members = [(int(at), np.flatnonzero(lists == at)) for at in np.unique(lists)]
         uids = np.unique(np.concatenate([q["uid"].to_numpy(), m["uid"].to_numpy()]))
         qi, mi = np.searchsorted(uids, q["uid"].to_numpy()), np.searchsorted(uids, m["uid"].to_numpy())
         qn, mn = q["n"].to_numpy(), m["n"].to_numpy()
         homes = q["home"].to_numpy()
-        known = [set(map(int, p)) for p in m["probes"]]  # these lists the member asks by itself
+        asked = np.unpackbits(np.frombuffer(b"".join(q["probes"]), np.uint8).reshape(len(q), -1), axis=1, bitorder="little").astype(bool)
+        known = np.frombuffer(b"".join(m["probes"]), np.uint8).reshape(len(m), -1)  # these lists the member asks by itself
         linked = np.zeros(len(uids), np.int64)
 
         def pairs():
             for a in range(0, len(x), 256):
-                maybe = index.approximate(x[a:a + 256], at, codes) + left >= threshold - 1e-9
-                for r in np.flatnonzero(maybe.any(1)):
-                    cand = np.flatnonzero(maybe[r])
-                    near = cand[(y[cand] @ x[a + r] >= threshold) & (mi[cand] != qi[a + r])]
-                    if len(near):
-                        linked[qi[a + r]] += mn[near].sum()
-                        home = int(homes[a + r])
-                        for b in near:
-                            if home not in known[b]:  # the member will not find this query
-                                linked[mi[b]] += qn[a + r]
-                        yield qi[a + r], mi[near]
+                part = x[a:a + 256]
+                tables = index.tables(part)
+                for at, rows in members:
+                    asks = asked[a:a + 256, at % GROUP_LISTS]
+                    if not asks.any():
+                        continue
+                    maybe = (index.approximate(part, at, codes[rows], tables) + left[rows] >= threshold - 1e-9) & asks[:, None]
+                    r, c = np.nonzero(maybe)
+                    r, c = a + r, rows[c]
+                    for k in range(0, len(r), PAIRS_AT_ONCE):
+                        yield from exact(r[k:k + PAIRS_AT_ONCE], c[k:k + PAIRS_AT_ONCE])
+
+        def exact(r: np.ndarray, c: np.ndarray):
+            hit = (np.einsum("ij,ij->i", x[r], y[c]) >= threshold) & (qi[r] != mi[c])
+            r, c = r[hit], c[hit]
+            np.add.at(linked, qi[r], mn[c])
+            alone = (known[c, homes[r] >> 3] >> (homes[r] & 7)) & 1 == 0  # the member will not find this query
+            np.add.at(linked, mi[c[alone]], qn[r[alone]])
+            for one in np.split(np.arange(len(r)), np.flatnonzero(np.diff(r)) + 1) if len(r) else ():
+                yield qi[r[one[0]]], mi[c[one]]
 
         roots = uids[_roots(len(uids), pairs())]
         hit = (linked > 0) | (roots != uids)
         return pd.DataFrame({"uid": uids[hit], "linked": linked[hit], "root": roots[hit]})
 
-    return stored.unionAll(asking).groupBy("list", "i", "j").applyInPandas(search, "uid long, linked long, root long")
+    return stored.unionAll(asking).groupBy("group", "i", "j").applyInPandas(search, "uid long, linked long, root long")
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, key: str = "vec_id", vector: str = "embedding") -> DataFrame:

@@ -70,6 +70,45 @@ def test_recall_of_probes_at_the_threshold():
     assert np.mean([hy[i] in pq[i] or hq[i] in py[i] for i in range(1000)]) >= 0.95
 
 
+def few_directions(kind, n, seed):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, 64))
+    return x[:, :8] @ np.random.default_rng(1).normal(size=(8, 64)) if kind == "rank 8" else x / np.arange(1, 65)
+
+
+@pytest.mark.parametrize("kind", ["rank 8", "1 / i"])
+@pytest.mark.parametrize("rows", [51_000, 10_000_000])
+def test_probes_lose_no_pair_where_vectors_vary_in_few_directions(kind, rows):
+    x = few_directions(kind, 20_000, 2)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    index = D.Index(x, rows, 0.9)
+    assert len(index.centres) == min(rows // D.LIST_ROWS, 2500)  # the most that the sample allows
+    q = x[:1000]
+    u = few_directions(kind, 1000, 3)
+    u -= (u * q).sum(1)[:, None] * q
+    y = 0.9 * q + np.sqrt(1 - 0.81) * u / np.linalg.norm(u, axis=1)[:, None]
+    (hq, pq), (hy, py) = index.probes(q), index.probes(y)
+    assert all(hy[i] in pq[i] or hq[i] in py[i] for i in range(1000))
+
+
+@pytest.mark.parametrize("kind", ["rank 8", "1 / i"])
+def test_every_link_is_found_where_vectors_vary_in_few_directions(spark, monkeypatch, kind):
+    monkeypatch.setattr(D, "LIST_ROWS", 8)
+    monkeypatch.setattr(D, "BLOCK_ROWS", 300)
+    x = few_directions(kind, 2000, 4).astype(np.float32)
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    near = unit @ unit.T >= 0.9
+    assert near.sum() - len(x) > 500
+    want = components(np.argwhere(near).tolist(), range(len(x)))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {r.vec_id: r for r in D.near_duplicates(rows).collect()}
+    assert [got[i].n_links for i in range(len(x))] == (near.sum(1) - 1).tolist()
+    least = {}
+    for i, c in want.items():
+        least[c] = min(least.get(c, i), i)
+    assert all(got[i].component_id == least[c] for i, c in want.items())
+
+
 def test_the_table_distance_has_an_exact_bound():
     x = clustered().astype(float)
     x /= np.linalg.norm(x, axis=1)[:, None]
