@@ -142,6 +142,9 @@ class Shard:
         a = {k: np.frombuffer(self.f.read_at(m * np.dtype(t).itemsize, p), t) for k, (p, t, m) in foot["arrays"].items()}
         self.keys, self.nulls, self.offsets = a["keys"], a["nulls"].astype(bool), a["offsets"]
         self.ordinals, self.fingerprints = a["ordinals"], a["fingerprints"]
+        new = np.ones(len(self.keys), bool)
+        new[1:] = (self.keys[1:] != self.keys[:-1]) | (self.nulls[1:] != self.nulls[:-1])
+        self.firsts = np.flatnonzero(new)  # where another key begins
         bits = np.unpackbits(a["bits"])
         cuts = np.cumsum([0, *foot["levels"]])
         self.mph = PerfectHash([bits[i:j] for i, j in zip(cuts[:-1], cuts[1:])])
@@ -165,6 +168,17 @@ class Shard:
             to += 1
         return range(ordinal, to)
 
+    def documents(self, keys: np.ndarray, nulls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For keys that are stored, in their order: the ordinals that the
+        index gives, copies included, and which of the keys each answers."""
+        first = self.find(keys, nulls)
+        if (first < 0).any():
+            raise KeyError(f"the index misses {int((first < 0).sum())} keys")
+        ends = np.append(self.firsts, len(self.keys))
+        n = ends[np.searchsorted(ends, first, side="right")] - first
+        which = np.repeat(np.arange(len(keys)), n)
+        return first[which] + np.arange(len(which)) - (np.cumsum(n) - n)[which], which
+
     def ids(self, ordinal: int, to: int | None = None) -> np.ndarray:
         """The ids of a document, or of those from ``ordinal`` to before ``to``."""
         a, b = self.offsets[ordinal], self.offsets[ordinal + 1 if to is None else to]
@@ -221,6 +235,26 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int = 1, folder: str |
     return materialise(parts.select("key", "text").mapInArrow(write, MANIFEST), "token-manifest")
 
 
+def _read_back(shard: Shard, batch_ids: int = 4 << 20) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[int]]]:
+    """Batches of (keys, nulls, starts, lengths, checksums): each key of the
+    shard is asked for by the index, in key order, so that reads of the payload
+    are sequential. That the answers are all documents, once and in file order,
+    is checked by their offsets."""
+    keys, nulls = shard.keys[shard.firsts], shard.nulls[shard.firsts]
+    ordinals, which = shard.documents(keys, nulls)
+    starts, ends = shard.offsets[ordinals], shard.offsets[ordinals + 1]
+    if not (np.array_equal(starts, shard.offsets[:-1]) and np.array_equal(ends, shard.offsets[1:])):
+        raise ValueError("the index does not give each document once")
+    at = 0
+    while at < len(ordinals):
+        to = max(at + 1, int(np.searchsorted(ends, starts[at] + batch_ids, side="right")))
+        view = memoryview(shard.ids(int(ordinals[at]), int(ordinals[to - 1]) + 1).astype("<u4").tobytes())
+        a, b = starts[at:to], ends[at:to]
+        yield (keys[which[at:to]], nulls[which[at:to]], a, b - a,
+               [zlib.crc32(view[4 * i:4 * j]) for i, j in zip(a - a[0], b - a[0])])
+        at = to
+
+
 def read_shards(manifest: DataFrame) -> DataFrame:
     """Every document as the files have it, through the index: key, start (ids
     of all documents before it), n_tokens and ids_crc32 (of the ids as
@@ -236,21 +270,9 @@ def read_shards(manifest: DataFrame) -> DataFrame:
         for frame in frames:
             for file, base in zip(frame["file"], frame["base"]):
                 shard = Shard(file)
-                n, at = len(shard.keys), 0
-                while at < n:
-                    to = max(at + 1, int(np.searchsorted(shard.offsets, shard.offsets[at] + (4 << 20), side="right")) - 1)
-                    found = shard.find(shard.keys[at:to], shard.nulls[at:to])
-                    ordinal = np.arange(at, to)
-                    if not ((found <= ordinal) & (found >= 0)).all():
-                        raise ValueError(f"index of {file} misses a key")
-                    ids = shard.ids(at, to).astype("<u4")
-                    cut = shard.offsets[at:to + 1] - shard.offsets[at]
-                    view = memoryview(ids.tobytes())
-                    yield pd.DataFrame({
-                        "key": pd.Series(shard.keys[at:to]).astype("Int64").mask(shard.nulls[at:to]),
-                        "start": int(base) + shard.offsets[at:to], "n_tokens": np.diff(cut),
-                        "ids_crc32": [zlib.crc32(view[4 * a:4 * b]) for a, b in zip(cut[:-1], cut[1:])]})
-                    at = to
+                for keys, nulls, starts, lengths, checksums in _read_back(shard):
+                    yield pd.DataFrame({"key": pd.Series(keys).astype("Int64").mask(nulls), "start": int(base) + starts,
+                                        "n_tokens": lengths, "ids_crc32": checksums})
                 shard.close()
 
     return placed.select("file", "base").repartition(tasks, "file").mapInPandas(read, "key long, start long, n_tokens long, ids_crc32 long")

@@ -78,3 +78,22 @@ def test_a_shard_rejects_other_keys_by_fingerprint(spark):
     absent = np.setdiff1d(np.arange(-1000, 3000), there)
     assert (shard.find(absent, np.zeros(len(absent), bool)) == -1).all()
     shard.close()
+
+
+def test_rows_are_read_back_by_the_ordinals_of_the_index(spark, tok, monkeypatch):
+    rows = [(None, "null"), (7, "a b c"), (7, "d"), (7, "e f"), (9, ""), (12, None), (12, "long " * 50)]
+    shard = S.Shard(S.write_shards(spark.createDataFrame(rows, "doc_id long, text string"), PATH, END_ID).first()["file"])
+    ordinals, which = shard.documents(np.array([12, 0, 7]), np.array([False, True, False]))
+    assert ordinals.tolist() == [5, 6, 0, 1, 2, 3] and which.tolist() == [0, 0, 1, 2, 2, 2]
+    with pytest.raises(KeyError):
+        shard.documents(np.array([8]), np.array([False]))
+    asked, find = [], shard.find
+    monkeypatch.setattr(shard, "find", lambda k, null: asked.extend(zip(k.tolist(), null.tolist())) or find(k, null))
+    got = [row for batch in S._read_back(shard, batch_ids=4) for row in zip(*batch)]
+    assert asked == [(0, True), (7, False), (9, False), (12, False)]
+    assert collections.Counter((None if null else int(k), c) for k, null, _, _, c in got) == collections.Counter((k, crc(tok(t))) for k, t in rows)
+    assert [int(r[2]) for r in got] == np.cumsum([0, *(int(r[3]) for r in got)])[:-1].tolist()
+    monkeypatch.setattr(shard, "find", lambda k, null: np.roll(find(k, null), 1))  # a wrong answer is used, and noticed
+    with pytest.raises(ValueError):
+        list(S._read_back(shard))
+    shard.close()
