@@ -5,7 +5,8 @@ where the url's path starts with the rule's; the longest fitting one decides.
 For all other urls, rules are mined: labelled urls become sets of tokens
 (words of host and path, query keys, fragment, scheme) plus a class item;
 FP-growth finds frequent sets, and those whose rule "tokens => block" reaches
-the support and confidence wanted are kept. Each rule is indexed under its
+the support and confidence wanted are kept. The support wanted is a number of
+blocked urls, the same however many urls are labelled. Each rule is indexed under its
 rarest token; a url is blocked if a rule found under one of its tokens has
 all its tokens in the url. DataFrame functions only (FP-growth is Spark's).
 
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .store import materialise
 
-MIN_SUPPORT = 0.002
+MIN_URLS = 10  # blocked urls that a rule rests on, at least
 MIN_CONFIDENCE = 0.6
 BLOCK = "class=block"
 
@@ -67,18 +68,22 @@ def tokens_of(url: Column) -> Column:
     return F.when(has_host, F.array_distinct(all_)).otherwise(F.array().cast("array<string>"))
 
 
-def mine_rules(labelled: DataFrame, url: str = "url", block: str = "block", min_support: float = MIN_SUPPORT,
-               min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+def mine_rules(labelled: DataFrame, url: str = "url", block: str = "block", min_support: float | None = None,
+               min_confidence: float = MIN_CONFIDENCE, min_urls: int = MIN_URLS) -> DataFrame:
     """Rules (``key``: the rarest token, ``tokens``, ``support``, ``confidence``)
     from urls with a boolean label; rows without a label are left out. A rule
+    needs ``min_urls`` blocked urls, or ``min_support`` of all if that is given; one
     with one token more than another rule adds nothing and is pruned."""
     spark = labelled.sparkSession
     items = labelled.where(F.col(block).isNotNull()).select(tokens_of(F.col(url)).alias("tokens"), F.col(block).alias("block"))
     items = items.select(F.when(F.col("block"), F.array_append("tokens", F.lit(BLOCK))).otherwise(F.col("tokens")).alias("items"))
     items = materialise(items, "url-items")
     empty = spark.createDataFrame([], "key string, tokens array<string>, support double, confidence double")
-    if items.isEmpty():
+    rows = items.count()
+    if rows < (1 if min_support is not None else min_urls):
         return empty
+    if min_support is None:
+        min_support = (min_urls - 0.5) / rows  # FP-growth rounds the number of rows up
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
     found = model.associationRules.where(F.col("consequent")[0] == BLOCK)
     found = materialise(found.select(F.array_sort("antecedent").alias("tokens"), "support", "confidence"), "url-rules")

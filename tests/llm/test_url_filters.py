@@ -70,6 +70,15 @@ def test_mined_rules_equal_brute_force(spark):
     assert "block" in out.values() and "allow" in out.values()
 
 
+@pytest.mark.parametrize("others", [300, 30_000])
+def test_a_host_of_the_long_tail_gets_its_rule_at_every_size(spark, others):
+    rows = [(f"http://bad.example.net/a/{i}", True) for i in range(U.MIN_URLS)]
+    rows += [(f"http://few.example.net/a/{i}", True) for i in range(U.MIN_URLS - 1)]
+    rows += [(f"http://h{'abcdefghij'[i % 10]}.example.net/a/{i}", False) for i in range(others)]
+    rules = U.mine_rules(spark.createDataFrame(rows, "url string, block boolean"))
+    assert [r.tokens for r in rules.collect()] == [["host:bad"]]
+
+
 def test_no_labels_no_rules_and_empty_tables(spark):
     empty = spark.createDataFrame([], "url string, block boolean")
     assert U.mine_rules(empty).count() == 0
