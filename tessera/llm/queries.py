@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, embedding_dedup, mixing, ngram_join, packing, quality_classifier, quality_rules, sharding, token_store, url_filters
+from . import (alignment, chat_format, embedding_dedup, mixing, ngram_join, packing, quality_classifier, quality_rules, sharding, token_store,
+               url_filters, warc, whitening)
 from .store import materialise
 
 TOKENIZER = "word_bpe_49k.json"
@@ -88,6 +89,23 @@ def op10_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), END_ID)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                     public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_spectrum_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_read(spark, sf_dir, "embeddings"))
+
+
+def op13_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = materialise(warc.read_records(warc.write_archives(_read(spark, sf_dir, "pages"))), "warc-records")
+    own, first = F.col("response"), F.col("original")
+    return warc.assemble(records).select(
+        F.col("key").alias("page_id"), F.coalesce(own["payload_bytes"], first["payload_bytes"]).alias("payload_bytes"),
+        own["payload_digest"].alias("payload_digest"), "record_type", first["key"].alias("refers_to"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_quality_rules": op2_quality_rules,
@@ -99,6 +117,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pq_near_duplicates": op8_pq_near_duplicates,
     "op9_prefix_target_chat": op9_prefix_target_chat,
     "op10_pack_sequences": op10_pack_sequences,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_spectrum_whitening": op12_spectrum_whitening,
+    "op13_warc_captures": op13_warc_captures,
 }
 
 
