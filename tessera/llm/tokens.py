@@ -3,12 +3,19 @@
 Where the tokenizer drops white space and never joins two words (checked in
 its definition), texts are encoded word by word and each distinct word once:
 the ids of a text are the ids of its words in order. Other tokenizers get
-whole texts."""
+whole texts. Strings of special tokens inside a text become these tokens, as
+the library has it with ``add_special_tokens=False``."""
 
 from __future__ import annotations
 
+import gc
 import json
 import os
+import re
+import unicodedata
+from array import array
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +23,9 @@ import pyarrow as pa
 from . import words as W
 
 CACHED_WORDS = 400_000
+CACHED_LENGTH = 64  # longer strings are encoded each time
+CACHED_PIECES = 20_000
+LATIN_END = 0x250  # plain words have code points below it
 
 _OPEN: dict[str, "Encoder"] = {}
 
@@ -27,6 +37,60 @@ def encoder(path: str) -> "Encoder":
     return _OPEN[path]
 
 
+@contextmanager
+def many_objects() -> Iterator[None]:
+    """No search for cycles while many short-lived lists are made: the search
+    walks the caches each time and finds none."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
+class Recent:
+    """Values of the strings asked for lately, in two generations: what is
+    asked for again moves from the old one to the young one, and when the
+    young one is full the old one goes. Strings seen once so never fill it."""
+
+    def __init__(self, size: int = CACHED_WORDS):
+        self.young: dict[str, object] = {}
+        self.old: dict[str, object] = {}
+        self.size = size
+
+    def take(self, keys: list[str], make) -> list:
+        """The value of each key; ``make`` gives those of a list of new keys."""
+        out = list(map(self.young.get, keys))
+        gaps = [i for i, v in enumerate(out) if v is None]
+        if not gaps:
+            return out
+        found = {k: self.old.get(k) for k in {keys[i] for i in gaps}}
+        fresh = [k for k, v in found.items() if v is None]
+        found.update(zip(fresh, make(fresh)))
+        for i in gaps:
+            out[i] = found[keys[i]]
+        kept = {k: v for k, v in found.items() if len(k) <= CACHED_LENGTH}
+        if len(self.young) + len(kept) > self.size:
+            self.old, self.young = self.young, kept
+        else:
+            self.young.update(kept)
+        return out
+
+
+def spread(parts: list[bytes], codes: np.ndarray, dtype: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of ``parts[c]`` for each code c, one after the other, and the
+    bounds of each code's ids."""
+    pool = np.frombuffer(b"".join(parts), dtype)
+    length = np.fromiter(map(len, parts), np.int64, len(parts)) // dtype.itemsize
+    first = np.cumsum(length) - length
+    run = length[codes]
+    begin = np.concatenate([[0], np.cumsum(run)])
+    ids = pool[np.repeat(first[codes] - begin[:-1], run) + np.arange(begin[-1])] if len(codes) else pool[:0]
+    return ids, begin
+
+
 def _word_local(spec: dict) -> bool:
     """True if no token and no normalisation reaches across white space."""
     norm = spec.get("normalizer") or {}
@@ -38,8 +102,15 @@ def _word_local(spec: dict) -> bool:
     drops = first.get("type") == "Split" and first.get("behavior") == "Removed" and bool(first.get("invert"))
     pattern = (first.get("pattern") or {}).get("Regex", " ")
     no_space = "[^\\s" in pattern and " " not in pattern
-    special = [t["content"] for t in spec.get("added_tokens", [])]
-    return plain and drops and no_space and not any(c.isspace() for s in special for c in s)
+    added = spec.get("added_tokens", [])
+    inside = not any(c.isspace() for t in added for c in t["content"]) and not any(t["lstrip"] or t["rstrip"] for t in added)
+    return plain and drops and no_space and inside
+
+
+def _folds(spec: dict) -> bool:
+    """True if the normalisation lower-cases."""
+    norm = spec.get("normalizer") or {}
+    return any(s["type"] == "Lowercase" for s in norm.get("normalizers", [norm] if norm else []))
 
 
 class Encoder:
@@ -48,53 +119,82 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.by_word = _word_local(json.loads(self.tok.to_str()))
+        spec = json.loads(self.tok.to_str())
+        self.by_word, self.folds = _word_local(spec), _folds(spec)
+        self.marks = {t["content"][0].lower() for t in spec.get("added_tokens", [])}  # a word without them holds no special string
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
-        self.tails = self._plain_tails() if self.by_word else {}
-        self.cache: dict[str, bytes] = {}
+        self.plain, self.pieces, self.letters = self._plain(spec) if self.by_word else (None, None, {})
+        self.known: dict[str, list[int]] = {}  # ids of short pieces, mostly punctuation
+        self.cache = Recent()
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _plain_tails(self) -> dict[str, bytes]:
-        """Ids of the punctuation marks that are parted from a word of a-z
-        before them; none if words of a-z are not left as they are."""
-        letters = "abcdefghijklmnopqrstuvwxyz"
-        pieces = lambda w: [p for p, _ in self.tok.pre_tokenizer.pre_tokenize_str(self.tok.normalizer.normalize_str(w))]
-        if pieces(letters) != [letters] or any(pieces(c + letters + c) != [c + letters + c] for c in letters):
-            return {}
-        return {p: self._ids([p])[0] for p in ".,;:!?" if pieces(letters + p) == [letters, p]}
+    def _plain(self, spec: dict) -> tuple[re.Pattern | None, re.Pattern | None, dict[int, str]]:
+        """For a byte-level model behind NFC, lower case and a split by letters
+        and numbers: a pattern of words whose pieces can be cut here (Latin
+        letters, digits and marks, nothing that begins a special string), the
+        pattern of their pieces, and the model's letters for their bytes."""
+        pre, norm = spec.get("pre_tokenizer") or {}, spec.get("normalizer") or {}
+        steps = pre.get("pretokenizers") or []
+        known = [s["type"] for s in norm.get("normalizers", [])] == ["NFC", "Replace", "Lowercase"] and len(steps) == 2 and \
+            steps[1]["type"] == "ByteLevel" and not steps[1]["use_regex"] and not steps[1]["add_prefix_space"] and spec["model"]["type"] == "BPE"
+        if not known or spec["model"].get("dropout"):
+            return None, None, {}
+        end = range(0x21, LATIN_END)
+        kind = {c: unicodedata.category(chr(c)) for c in end}
+        # code points that normalisation leaves as they are, but for their case
+        usable = [c for c in end if kind[c][0] in "LNPS" and len(low := chr(c).lower()) == 1 and ord(low) < LATIN_END and low not in self.marks
+                  and self.tok.normalizer.normalize_str(chr(c)) == low]
+        chars = lambda codes: "".join(re.escape(chr(c)) for c in codes)
+        split = steps[0]["pattern"]["Regex"]
+        split = split.replace("\\p{L}", chars(c for c in end if kind[c][0] == "L")).replace("\\p{N}", chars(c for c in end if kind[c][0] == "N"))
+        if "\\p" in split or not usable:
+            return None, None, {}
+        byte_letters = {c: self.tok.pre_tokenizer.pre_tokenize_str(chr(c)) for c in usable}
+        letters = {c: made[0][0] for c, made in byte_letters.items() if len(made) == 1}
+        return re.compile(f"[{chars(letters)}]+"), re.compile(split), letters
+
+    def _piece(self, piece: str) -> list[int]:
+        ids = self.known.get(piece)
+        if ids is None:
+            ids = [t.id for t in self.tok.model.tokenize(piece if piece.isascii() else piece.translate(self.letters))]
+            if len(piece) <= 3 and len(self.known) < CACHED_PIECES:
+                self.known[piece] = ids
+        return ids
 
     def _ids_of_words(self, words: list[str]) -> list[bytes]:
-        """Ids of each word. A word of a-z, with or without one of ``tails``
-        after it, goes to the tokenizer's model at once, since normalisation
-        and pre-tokenisation leave it as it is (tested when opened)."""
-        model, dtype, tails = self.tok.model.tokenize, self.dtype, self.tails
+        """Ids of each word. A plain word is cut into its pieces here and each
+        goes to the tokenizer's model at once; the library does the others."""
+        kind = self.dtype.char
         out: list[bytes | None] = []
-        for w in words:
-            core = w[:-1] if w[-1:] in tails else w
-            if tails and core.isascii() and core.isalpha():
-                ids = np.array([t.id for t in model(core)], dtype).tobytes()
-                out.append(ids if core is w else ids + tails[w[-1]])
-            else:
-                out.append(None)
+        if self.plain:
+            plain, pieces, piece_ids = self.plain.fullmatch, self.pieces.findall, self._piece
+            for w in words:
+                if plain(w):
+                    parts = pieces(w.lower())
+                    ids = piece_ids(parts[0]) if len(parts) == 1 else [i for p in parts for i in piece_ids(p)]
+                    out.append(array(kind, ids).tobytes())
+                else:
+                    out.append(None)
+        else:
+            out = [None] * len(words)
         rest = [i for i, x in enumerate(out) if x is None]
         for i, ids in zip(rest, self._ids([words[i] for i in rest])):
             out[i] = ids
         return out
 
+    def _folded(self, word: str) -> str:
+        """A word with the same ids. Folding A-Z before the tokenizer does is the
+        same for a word that is all ASCII, but special strings are looked for
+        before it folds."""
+        folded = word.lower() if word.isascii() else word
+        return word if any(c in folded for c in self.marks) else folded
+
     def _word_ids(self, vocabulary: list[str]) -> list[bytes]:
-        cache = self.cache
-        # the tokenizer lower-cases; folding A-Z first is the same for a word that is all ASCII
-        keys = [w.lower() if w.isascii() else w for w in vocabulary]
-        fresh = list({k for k in keys if k not in cache})
-        new = dict(zip(fresh, self._ids_of_words(fresh)))
-        out = [cache[k] if k in cache else new[k] for k in keys]
-        room = CACHED_WORDS - len(cache)
-        if room > 0:
-            cache.update(zip(fresh[:room], map(new.__getitem__, fresh[:room])))
-        return out
+        keys = [w if w.islower() else self._folded(w) for w in vocabulary] if self.folds else vocabulary
+        with many_objects():
+            return self.cache.take(keys, self._ids_of_words)
 
     def encode(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, with ``end`` after each text
@@ -106,12 +206,7 @@ class Encoder:
         else:
             parts = self._ids(texts.to_pylist())
             codes, text_bounds = np.arange(len(parts)), np.arange(len(parts) + 1)
-        pool = np.frombuffer(b"".join(parts), self.dtype)
-        length = np.fromiter(map(len, parts), np.int64, len(parts)) // self.dtype.itemsize
-        first = np.concatenate([[0], np.cumsum(length)])[:-1]
-        run = length[codes]
-        begin = np.concatenate([[0], np.cumsum(run)])
-        ids = pool[np.repeat(first[codes] - begin[:-1], run) + np.arange(begin[-1])] if len(codes) else pool[:0]
+        ids, begin = spread(parts, codes, self.dtype)
         bounds = begin[text_bounds]
         if end is None:
             return ids, bounds

@@ -140,7 +140,6 @@ def test_nnls_against_normal_conditions():
 
 def check_packed(rows, texts, capacity=4096):
     tok = Tokenizer.from_file(PATH)
-    tok.encode_special_tokens = True
     want = collections.Counter()
     for i, t in texts:
         ids = tok.encode(t or "", add_special_tokens=False).ids + [END_ID]

@@ -19,7 +19,6 @@ PATH = public_tokenizers.path(TOKENIZER)
 @pytest.fixture(scope="module")
 def tok():
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids + [END_ID]
 
 

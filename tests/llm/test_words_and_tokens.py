@@ -53,7 +53,6 @@ def test_ids_are_those_of_the_library(name):
     enc = T.Encoder(path)
     assert enc.by_word == (name == "word_bpe_49k.json")
     own = Tokenizer.from_file(path)
-    own.encode_special_tokens = True
     texts = odd_texts(3000)
     for _ in range(2):  # the second time from the cache
         ids, bounds = enc.encode(W.texts_of(pa.array(texts)), 1)
@@ -61,10 +60,37 @@ def test_ids_are_those_of_the_library(name):
             assert ids[a:b].tolist() == own.encode(t or "", add_special_tokens=False).ids + [1]
 
 
-def test_the_cache_is_bounded(monkeypatch):
-    monkeypatch.setattr(T, "CACHED_WORDS", 10)
+def test_special_strings_are_what_the_library_makes_of_them():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["a <|endoftext|> b", "x<|endoftext|>y", "<|endoftext|>", "<|ENDOFTEXT|> <|EndOfText|>", "<|endof text|>", "Ab<|startoftext|>Cd<|endoftext|>.",
+             "<|endoftext|><|endoftext|>", "<| endoftext |>", "Ünï<|endoftext|>Ça", "a < b <3 <|", "K \u212b \u023a\u0130 \u01c5 ª²½ ß"]
+    own = Tokenizer.from_file(path)
+    enc = T.Encoder(path)
+    for _ in range(2):
+        ids, bounds = enc.encode(W.texts_of(pa.array(texts)), 1)
+        for t, a, b in zip(texts, bounds[:-1], bounds[1:]):
+            assert ids[a:b].tolist() == own.encode(t, add_special_tokens=False).ids + [1], t
+    assert 49407 in enc.encode(W.texts_of(pa.array(["a<|endoftext|>"])))[0].tolist()
+
+
+def test_plain_words_are_cut_like_the_library_cuts_them():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own, enc = Tokenizer.from_file(path), T.Encoder(path)
+    assert enc.plain is not None
+    every = [chr(c) for c in range(0x21, 0x2b0)]
+    rnd = random.Random(4)
+    words = every + ["a" + c + "b" for c in every] + ["".join(rnd.choice(every) for _ in range(rnd.randint(1, 9))) for _ in range(4000)]
+    got = enc._ids_of_words(words)
+    for w, ids in zip(words, got):
+        assert np.frombuffer(ids, enc.dtype).tolist() == own.encode(w, add_special_tokens=False).ids, w
+
+
+def test_the_cache_is_bounded():
     enc = T.Encoder(public_tokenizers.path("word_bpe_49k.json"))
-    texts = W.texts_of(pa.array([f"word{i} other{i}" for i in range(100)]))
-    first = enc.encode(texts)[0].tolist()
-    assert len(enc.cache) <= 10
-    assert enc.encode(texts)[0].tolist() == first
+    enc.cache = T.Recent(10)
+    texts = [f"word{i} other{i} often" for i in range(100)]
+    first = [enc.encode(W.texts_of(pa.array([t])))[0].tolist() for t in texts]
+    assert len(enc.cache.young) <= 10 and len(enc.cache.old) <= 10 and "often" in {*enc.cache.young, *enc.cache.old}
+    assert [enc.encode(W.texts_of(pa.array([t])))[0].tolist() for t in texts] == first
+    enc.encode(W.texts_of(pa.array(["x" * 1_000])))
+    assert "x" * 1_000 not in enc.cache.young
