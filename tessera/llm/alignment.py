@@ -7,6 +7,10 @@ the other side's token that covers it. Both directions together are all
 overlaps; the overlaps with equal ends are the links, and the offsets where
 they end cut the tokens into groups.
 
+Both tokenizers never join bytes across a space between two other characters
+(checked in their definitions), so texts are cut there and each distinct chunk
+is encoded once, with the space before it.
+
 Links are counted by id pair over the corpus: partial counts leave the pass
 over the texts with the documents, so texts are tokenised once. Pairs that hold
 more than one in ``SHARED_PAIRS`` of all links, hence fewer than that many, are
@@ -22,7 +26,9 @@ table gives no rows; other columns are ignored whatever their names.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import tokens as T
 from . import words as W
 from .store import materialise, prepare
 
@@ -41,6 +48,8 @@ PARTIAL_PAIRS = 500_000  # distinct pairs that a task counts before it passes th
 SHARED_PAIRS = 1 << 19
 _ID = 32  # bits of an id in a pair
 
+_CUT = re.compile(r"(?<=\S) (?=\S)")
+
 _OPEN: dict[tuple[str, str], "Pair"] = {}
 
 
@@ -80,11 +89,43 @@ class Pair:
         # a, then a|, then b, then b; : places of these strings are id, m + id, 2 m + id, 2 m + n + id
         self.marks = _large([f"{i}{mark}".encode() for size, mark in ((m, ","), (m, "|"), (n, ","), (n, ";")) for i in range(size)])
         self.sizes = m, n
+        self.by_chunk = self._chunk_local()
+        self.cache = T.Recent()
+
+    def _chunk_local(self) -> bool:
+        """True if no token of either side has a space after another character
+        and nothing is normalised, so that a space between two words always
+        begins a token."""
+        spec = json.loads(self.a.to_str())
+        split = spec.get("pre_tokenizer") or {}
+        a = spec.get("normalizer") is None and split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
+        try:
+            from sentencepiece import sentencepiece_model_pb2
+
+            model = sentencepiece_model_pb2.ModelProto()
+            model.ParseFromString(self.b.serialized_model_proto())
+        except ImportError:  # without protobuf the model can't be looked into
+            return False
+        norm = model.normalizer_spec
+        b = norm.name == "identity" and norm.add_dummy_prefix and norm.escape_whitespaces and not norm.remove_extra_whitespaces
+        return bool(a and b) and not any("▁" in p.piece.lstrip("▁") for p in model.pieces)
+
+    def _ids(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
+        a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+        b = self.b.encode(texts, num_threads=1) if texts else []
+        return [(np.array(x.ids, np.int32).tobytes(), np.array(y, np.int32).tobytes()) for x, y in zip(a, b)]
 
     def encode(self, texts: list[str]) -> tuple["Side", "Side"]:
-        a = [np.array(e.ids, np.int32) for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        b = [np.array(ids, np.int32) for ids in self.b.encode(texts, num_threads=1)] if texts else []
-        return Side.of(a, self.a_bytes), Side.of(b, self.b_bytes)
+        if not self.by_chunk:
+            parts, codes, bounds = self._ids(texts), np.arange(len(texts)), np.arange(len(texts) + 1)
+        else:
+            with T.many_objects():
+                code: dict[str, int] = {}
+                cut = [_CUT.split(t) for t in texts]
+                codes = np.array([code.setdefault(c, len(code)) for chunks in cut for c in chunks], np.int64)
+                bounds = np.concatenate([[0], np.cumsum([len(c) for c in cut], dtype=np.int64)]).astype(np.int64)
+                parts = self.cache.take(list(code), self._ids)
+        return Side.of([p[0] for p in parts], codes, bounds, self.a_bytes), Side.of([p[1] for p in parts], codes, bounds, self.b_bytes)
 
 
 def pair(byte_level: str, pieces: str) -> Pair:
@@ -100,11 +141,11 @@ class Side:
         self.ids, self.bounds, self.size = ids, bounds, size
 
     @classmethod
-    def of(cls, per_doc: list[np.ndarray], entries: pa.Array) -> "Side":
-        ids = np.concatenate([np.zeros(0, np.int32), *per_doc])
-        bounds = np.concatenate([[0], np.cumsum([len(x) for x in per_doc], dtype=np.int64)]).astype(np.int64)
+    def of(cls, parts: list[bytes], codes: np.ndarray, bounds: np.ndarray, entries: pa.Array) -> "Side":
+        """From the ids of each distinct chunk and the chunks of each document."""
+        ids, begin = T.spread(parts, codes, np.dtype(np.int32))
         length = pc.binary_length(entries).to_numpy(zero_copy_only=False).astype(np.int64)
-        return cls(ids, bounds, length[ids])
+        return cls(ids, begin[bounds], length[ids])
 
     @property
     def counts(self) -> np.ndarray:
@@ -119,10 +160,14 @@ class Side:
         keep = np.repeat(docs, self.counts)
         return Side(self.ids[keep], np.concatenate([[0], np.cumsum(self.counts * docs)]), self.size[keep])
 
+    @property
+    def ends(self) -> np.ndarray:
+        return np.cumsum(self.size)
+
     def frame(self, name: str) -> pd.DataFrame:
-        ends = np.cumsum(self.size)
-        return pd.DataFrame({"doc": np.repeat(np.arange(len(self.bounds) - 1), self.counts), "start": ends - self.size,
-                             f"{name}_start": ends - self.size, f"{name}_end": ends, name: np.arange(len(ends))})
+        """Token starts, ascending over all documents, and token numbers."""
+        return pd.DataFrame({"doc": np.repeat(np.arange(len(self.bounds) - 1), self.counts), "start": self.ends - self.size,
+                             name: np.arange(len(self.ids))}, copy=False)
 
 
 def _join(parts: pa.Array, bounds: np.ndarray) -> pa.Array:
@@ -130,21 +175,24 @@ def _join(parts: pa.Array, bounds: np.ndarray) -> pa.Array:
     return pc.binary_join(lists, pa.scalar(b"", parts.type))
 
 
-def overlaps(a: Side, b: Side) -> pd.DataFrame:
-    """All pairs of tokens that share a byte: their numbers and both ranges.
-    Documents lie one after the other in both sides, so starts ascend."""
+def overlaps(a: Side, b: Side) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of all pairs of tokens that share a byte. Documents lie one
+    after the other in both sides, so starts ascend."""
     left, right = a.frame("a"), b.frame("b")
-    by_a = pd.merge_asof(left, right, on="start", by="doc")
-    by_b = pd.merge_asof(right, left, on="start", by="doc")
-    by_b = by_b[by_b["a_start"] != by_b["b_start"]]  # equal starts were found from the other side
-    return pd.concat([by_a, by_b], ignore_index=True)
+    over_a = pd.merge_asof(left, right, on="start", by="doc")
+    over_b = pd.merge_asof(right, left, on="start", by="doc")
+    # pairs with equal starts are found from both sides
+    apart = (a.ends - a.size)[over_b["a"].to_numpy(np.int64)] != over_b["start"].to_numpy()
+    over_b = over_b[apart]
+    return (np.concatenate([over_a["a"].to_numpy(np.int64), over_b["a"].to_numpy(np.int64)]),
+            np.concatenate([over_a["b"].to_numpy(np.int64), over_b["b"].to_numpy(np.int64)]))
 
 
 def links(a: Side, b: Side) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of the tokens of both sides that end together, in order."""
-    found = overlaps(a, b)
-    found = found[found["a_end"] == found["b_end"]].sort_values("a")
-    return found["a"].to_numpy(np.int64), found["b"].to_numpy(np.int64)
+    over_a, over_b = overlaps(a, b)
+    together = a.ends[over_a] == b.ends[over_b]
+    return np.sort(over_a[together]), np.sort(over_b[together])
 
 
 def group_texts(a: Side, b: Side, link_a: np.ndarray, link_b: np.ndarray, names: Pair) -> pa.Array:

@@ -104,10 +104,26 @@ def test_overlaps_are_all_pairs_that_share_a_byte():
     from tessera.llm.alignment import _align, overlaps, pair
 
     a, b, _, _ = _align(["unusual tokenisations overlap", "twice  over"], pair(A, B))
-    fa, fb = a.frame("a"), b.frame("b")
-    want = {(x.a, y.b) for x in fa.itertuples() for y in fb.itertuples() if x.a_start < y.b_end and y.b_start < x.a_end}
-    found = overlaps(a, b)
-    assert len(found) == len(want) and set(zip(found["a"], found["b"])) == want
+    spans = lambda s: list(zip((s.ends - s.size).tolist(), s.ends.tolist()))
+    want = {(i, j) for i, (s, e) in enumerate(spans(a)) for j, (t, f) in enumerate(spans(b)) if s < f and t < e}
+    found = list(zip(*(x.tolist() for x in overlaps(a, b))))
+    assert len(found) == len(want) and set(found) == want
+
+
+def test_chunks_and_whole_texts_have_equal_ids(monkeypatch):
+    from tessera.llm import tokens
+    from tessera.llm.alignment import Pair
+
+    texts = [t for _, t in ODD] + ["a  b   c\n d\xa0e f\x1cg\u2003 h", " x ", "it's we'll 12 3a!? (b) -- c", "tail ", "one two one two"]
+    names = Pair(A, B)
+    assert names.by_chunk
+    names.cache = tokens.Recent(3)
+    parts = [names.encode(texts), names.encode(texts)]
+    names.by_chunk = False
+    for side in (0, 1):
+        want = names.encode(texts)[side]
+        for got in parts:
+            assert got[side].ids.tolist() == want.ids.tolist() and got[side].bounds.tolist() == want.bounds.tolist()
 
 
 def test_empty_table(spark):
