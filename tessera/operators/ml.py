@@ -6,11 +6,8 @@ Scale notes
   single-partition window (range buckets + per-bucket windows + bucket
   offsets). The split (M5), the stratified folds (M10) and SMOTE's copy
   counts (M4) are built on it.
-* k-nearest-neighbour search (M1, M4) deals queries (rows with gaps /
-  minority rows) and donors into blocks of bounded size; each pair of blocks
-  is one cogrouped task that computes its distances in numpy and emits only
-  its k best per query, so no pair table is shuffled and nothing passes
-  through the driver (no cap, no sampling).
+* k-nearest-neighbour search (M1, M4) is ``knn.knn_search``: an index of
+  blocks, so a query meets only blocks that can hold a nearer donor.
 * Model fitting uses ``pyspark.ml`` (distributed L-BFGS, PCA on a
   distributed covariance).
 """
@@ -21,7 +18,6 @@ import math
 from collections.abc import Callable, Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -29,11 +25,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.operators.knn import knn_search
 from tessera.operators.rank import row_index  # noqa: F401  (exact distributed row numbers)
 
-CHUNK_ROWS = 10_000   # rows of a block of queries or donors in the k-NN search
-DONOR_BLOCK = 256     # donor rows per distance array (CHUNK_ROWS x DONOR_BLOCK doubles)
-
 
 # ------------------------------------------------------------ row numbering
 
@@ -53,99 +47,6 @@ def md5_key(id_col: str, seed: int) -> F.Column:
 # --------------------------------------------------------------------- k-NN
 
 
-def _nan_dist(q: np.ndarray, d: np.ndarray) -> np.ndarray:
-    """nan-Euclidean distances (queries x donors): sqrt(p / present * sum of
-    squared differences over coordinates present in both); NaN if none."""
-    p = q.shape[1]
-    ssum = np.zeros((q.shape[0], d.shape[0]))
-    present = np.zeros((q.shape[0], d.shape[0]))
-    for j in range(p):
-        diff = q[:, j][:, None] - d[:, j][None, :]
-        ok = ~np.isnan(diff)
-        ssum += np.where(ok, diff * diff, 0.0)
-        present += ok
-    with np.errstate(divide="ignore", invalid="ignore"):
-        dist = np.sqrt((p / present) * ssum)
-    dist[present == 0] = np.nan
-    return dist
-
-
-def _top_k(qx: np.ndarray, qids: np.ndarray, qmiss: dict, dx: np.ndarray, dids: np.ndarray, dvals: dict, targets: list[str], k: int,
-           exclude_self: bool) -> list[pd.DataFrame]:
-    """The k nearest of some donors for each of some queries and each target."""
-    if exclude_self:
-        same = qids[:, None] == dids[None, :]
-    best = {t: [] for t in targets}
-    for lo in range(0, len(dids), DONOR_BLOCK):
-        blk = slice(lo, lo + DONOR_BLOCK)
-        dist = _nan_dist(qx, dx[blk])
-        if exclude_self:
-            dist[same[:, blk]] = np.nan
-        for t in targets:
-            dd = dist.copy()
-            if t != "_all":
-                dd[:, np.isnan(dvals[t][blk])] = np.nan       # donors must have the target feature
-                dd[~qmiss[t], :] = np.nan                     # only rows missing it are filled
-            dd = np.where(np.isnan(dd), np.inf, dd)
-            # ids are sorted, so a stable sort breaks ties by the donor id
-            pick = np.argsort(dd, axis=1, kind="stable")[:, :k]
-            best[t].append((np.take_along_axis(dd, pick, 1), pick + lo))
-    out = []
-    for t in targets:
-        dist = np.hstack([d for d, _ in best[t]])
-        at = np.hstack([i for _, i in best[t]])
-        pick = np.argsort(dist, axis=1, kind="stable")[:, :k]
-        dist, at = np.take_along_axis(dist, pick, 1), np.take_along_axis(at, pick, 1)
-        q, j = np.nonzero(np.isfinite(dist))
-        value = dvals[t][at[q, j]] if t != "_all" else np.full(len(q), np.nan)
-        out.append(pd.DataFrame({"qid": qids[q], "target": t, "did": dids[at[q, j]], "dist": dist[q, j], "value": value}))
-    return out
-
-
-def knn_search(queries: DataFrame, donors: DataFrame, id_col: str, cols: Sequence[str], k: int = 5,
-               targets: Sequence[str] | None = None, exclude_self: bool = False, by: str | None = None) -> DataFrame:
-    """k nearest donors per query row (and per target column when given),
-    ties by (distance, donor id). Exact: queries and donors are dealt into
-    blocks by a hash of the id, each pair of blocks is one cogrouped task that
-    returns its k best per query, and the final top-k per query runs over
-    those. Nothing passes through the driver. ``by``: only donors with the
-    query's value of this column count."""
-    from tessera.session import ship_package
-
-    ship_package(donors.sparkSession)
-    cols, tgt = list(cols), list(targets) if targets else ["_all"]
-    need = list(dict.fromkeys([*cols, *(targets or [])]))
-    group = [by] if by else []
-    nq, nd = (max(1, math.ceil(d.count() / CHUNK_ROWS)) for d in (queries, donors))
-    read = lambda d: d.select(id_col, *group, *[F.col(c).cast("double").alias(c) for c in need])
-
-    def dealt(d, own, n_own, other, n_other):
-        d = read(d).withColumn(own, F.pmod(F.xxhash64(id_col), F.lit(n_own)).cast("int"))
-        return d.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))))
-
-    keys = [*group, "_q", "_d"]
-    q = dealt(queries, "_q", nq, "_d", nd).groupBy(*keys)
-    # other names on the donor side: queries and donors may be the same table
-    donors = dealt(donors, "_d", nd, "_q", nq)
-    named = donors.columns
-    d = donors.select(*[F.col(c).alias(f"donor_{c}") for c in named]).groupBy(*[f"donor_{c}" for c in keys])
-    id_type = dict(queries.dtypes)[id_col]
-    schema = f"qid {id_type}, target string, did {id_type}, dist double, value double"
-
-    def run(qf: pd.DataFrame, df: pd.DataFrame) -> pd.DataFrame:
-        frames = []
-        if not qf.empty and not df.empty:
-            df = df.set_axis(named, axis=1).sort_values(id_col)
-            frames = _top_k(
-                qf[cols].to_numpy(float), qf[id_col].to_numpy(), {t: np.isnan(qf[t].to_numpy(float)) for t in tgt if t != "_all"},
-                df[cols].to_numpy(float), df[id_col].to_numpy(), {t: df[t].to_numpy(float) for t in tgt if t != "_all"}, tgt, k, exclude_self)
-        return pd.concat(frames, ignore_index=True) if frames else pd.DataFrame({"qid": [], "target": [], "did": [], "dist": [], "value": []})
-
-    cand = q.cogroup(d).applyInPandas(run, schema)
-    w = Window.partitionBy("qid", "target").orderBy("dist", "did")
-    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-
-
 def knn_impute(df: DataFrame, id_col: str, cols: Sequence[str], k: int = 5) -> DataFrame:
     """M1: k-NN imputation (uniform weights). For each missing cell, the mean
     of the target feature over the k nearest rows that have it, by

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import frame, joins, ml, ordered, rank, reshape, stats
+from tessera.operators import frame, joins, knn, ml, ordered, rank, reshape, stats
 from tessera.session import ensure_checkpoint_dir
 
 
@@ -126,7 +126,7 @@ def test_smote_raises_every_class(spark):
 
 
 def test_knn_impute_fills_nan_and_takes_text_ids(spark, monkeypatch):
-    monkeypatch.setattr(ml, "CHUNK_ROWS", 3)  # several blocks
+    monkeypatch.setattr(knn, "BLOCK_ROWS", 3)  # several blocks
     data = [("a", 1.0, 10.0), ("b", 1.1, None), ("c", float("nan"), 30.0), ("d", 3.0, 31.0), ("e", 0.9, 12.0), ("f", 9.0, 90.0), ("g", None, None)]
     df = spark.createDataFrame(data, "id string, x double, y double")
     got = {r.id: (r.x, r.y) for r in ml.knn_impute(df, "id", ["x", "y"], k=2).collect()}

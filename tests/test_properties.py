@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tessera.functions.tails import f_upper, t_two_sided
 from tessera.operators import ml as M
 from tessera.operators import stats as S
+from tessera.operators.knn import nan_dist
 
 from .conftest import SF_MID, SF_SMALL
 
@@ -96,7 +97,7 @@ def test_knn_search_equals_brute_force(spark):
                                "id long, a double, b double, c double")
     q = df.where("id < 20")
     got = M.knn_search(q, df.repartition(4), "id", ["a", "b", "c"], k=5, exclude_self=True).toPandas()
-    d = M._nan_dist(x[:20], x)
+    d = nan_dist(x[:20], x)
     for qi in range(20):
         row = d[qi].copy()
         row[qi] = np.nan
