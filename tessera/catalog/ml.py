@@ -89,8 +89,8 @@ def _holdout(spark, sf, components: int = 0):
         cols = [f"PCA_{i}" for i in range(1, k + 1)]
     train = M.smote(d.where(F.col("is_test") == 0).select("doc_id", "label", *cols), "doc_id", "label", cols,
                     k=5, seed=SEED)
-    model = M.fit_logistic(cut_lineage(train), cols, "label")
-    r = M.accuracy(M.predict(model, d.where(F.col("is_test") == 1), cols), "label").first()
+    intercept, weights = M.fit_newton(cut_lineage(train), cols, "label")
+    r = M.accuracy(M.predict_linear(d.where(F.col("is_test") == 1), cols, intercept, weights), "label").first()
     return spark.createDataFrame([(r["accuracy"], r["n"])], "accuracy double, n long")
 
 
@@ -107,20 +107,9 @@ def m9_pca_holdout_accuracy(spark, sf):
     return _holdout(spark, sf, 5)
 
 
-def _scaled(rows, train):
-    return M.minmax(rows, NUM, fit_on=train), _features(rows)
-
-
-def _components(rows, train):
-    rows, cols = _scaled(rows, train)
-    k = min(5, len(cols))
-    return M.pca(rows, cols, k, fit_on=rows.where(F.col("fold").isin([r[0] for r in train.select("fold").distinct().collect()]))), [
-        f"PCA_{i}" for i in range(1, k + 1)]
-
-
 def m11_cross_validate_pca(spark, sf):
     d = _raw(spark, sf)
-    return M.cross_validate(d, "doc_id", _features(d), "label", 5, prepare=_components)
+    return M.cross_validate(d, "doc_id", _features(d), "label", 5, scale=NUM, n_components=5)
 
 
 def m10_stratified_folds(spark, sf):
@@ -129,7 +118,7 @@ def m10_stratified_folds(spark, sf):
 
 def m11_cross_validate(spark, sf):
     d = _raw(spark, sf)
-    return M.cross_validate(d, "doc_id", _features(d), "label", 5, prepare=_scaled)
+    return M.cross_validate(d, "doc_id", _features(d), "label", 5, scale=NUM)
 
 
 QUERIES = {k: v for k, v in globals().items() if k[:1] == "m" and k[1:2].isdigit() and callable(v)}

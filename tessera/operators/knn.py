@@ -11,13 +11,14 @@ columns that both have, so a search takes two rounds:
    donors for every value it asks for; this gives its k-th best distance;
 2. it goes to every other cell whose box is not farther than that.
 
-With no more than ``DIRECT_CELLS`` cells all of them are asked at once. A pair
+No more donors than ``DIRECT_CELLS`` cells hold are not indexed: each query
+meets all of them. A pair
 of a cell and its queries is one or more cogrouped tasks of at most about
 ``BLOCK_ROWS`` donors and as many queries, which return the k best of each
 query; no pair table is shuffled and nothing passes through the driver but the
 sample, the tree and one box per cell.
 
-Equal donors differ in their id alone and the smaller ids win, so only the
+In the index, equal donors differ in their id alone and the smaller ids win, so only the
 k + 1 smallest ids of equal donors are kept, and equal queries are searched
 once: a value that a third of all rows share costs no more than another.
 """
@@ -218,23 +219,18 @@ def _group_key(group: list[str]):
     return F.coalesce(F.concat(F.lit("="), F.col(group[0]).cast("string")), F.lit("null"))
 
 
-def _search(pairs: DataFrame, donors: DataFrame, cells: Cells, asked: dict[int, int], cols: list[str], targets: list[str], k: int, id_col: str,
-            report: dict | None) -> DataFrame:
-    """The k best of each query (``_q``) of ``pairs`` in the cell that it is sent to."""
-    spark = pairs.sparkSession
-    plan = [(c, max(1, math.ceil(n / BLOCK_ROWS)), max(1, math.ceil(int(cells.rows[c]) / BLOCK_ROWS))) for c, n in asked.items()]
-    if report is not None:
-        report["distances"] = report.get("distances", 0) + sum(n * int(cells.rows[c]) for c, n in asked.items())
-        report["shuffled"] = report.get("shuffled", 0) + sum(asked[c] * nd + int(cells.rows[c]) * nq for c, nq, nd in plan)
-    parts = F.broadcast(spark.createDataFrame(plan, "_cell int, _nq int, _nd int"))   # one row per cell
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    mine = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
-    q = pairs.join(parts, "_cell").withColumn("_a", mine("_q", "_nq")).withColumn("_b", every("_nd")).drop("_nq", "_nd")
-    d = donors.join(parts, "_cell").withColumn("_b", mine(id_col, "_nd")).withColumn("_a", every("_nq")).drop("_nq", "_nd")
+def _dealt(rows: DataFrame, own: str, key: str, n_own, other: str, n_other) -> DataFrame:
+    """Rows dealt into ``n_own`` parts by a hash of ``key`` and copied to all
+    ``n_other`` parts of the other side."""
+    mine = F.pmod(F.xxhash64(key), n_own).cast("int")
+    return rows.withColumn(own, mine).withColumn(other, F.explode(F.sequence(F.lit(0), n_other - 1)))
+
+
+def _meet(q: DataFrame, d: DataFrame, keys: list[str], cols: list[str], targets: list[str], k: int, id_col: str) -> DataFrame:
+    """The k best donors of each query (``_q``) among those with its ``keys``."""
     named = d.columns
     d = d.select(*[F.col(c).alias(f"donor_{c}") for c in named])   # queries and donors may be the same table
-    keys = ["_cell", "_a", "_b"]
-    schema = f"_q long, target string, did {dict(donors.dtypes)[id_col]}, dist double, value double"
+    schema = f"_q {dict(q.dtypes)['_q']}, target string, did {dict(d.dtypes)[f'donor_{id_col}']}, dist double, value double"
 
     def run(qf: pd.DataFrame, df: pd.DataFrame) -> pd.DataFrame:
         frames = []
@@ -243,11 +239,25 @@ def _search(pairs: DataFrame, donors: DataFrame, cells: Cells, asked: dict[int,
             frames = _top_k(
                 qf[cols].to_numpy(float), qf["_q"].to_numpy(), {t: np.isnan(qf[t].to_numpy(float)) for t in targets if t != "_all"},
                 df[cols].to_numpy(float), df[id_col].to_numpy(), {t: df[t].to_numpy(float) for t in targets if t != "_all"}, targets, k)
-        return pd.concat(frames, ignore_index=True) if frames else pd.DataFrame({"_q": [], "target": [], "did": [], "dist": [], "value": []})
+        frames = [f for f in frames if len(f)]
+        return pd.concat(frames, ignore_index=True) if frames else pd.DataFrame(columns=["_q", "target", "did", "dist", "value"], dtype=object)
 
     return q.groupBy(*keys).cogroup(d.groupBy(*[f"donor_{c}" for c in keys])).applyInPandas(run, schema)
 
 
+def _search(pairs: DataFrame, donors: DataFrame, cells: Cells, asked: dict[int, int], cols: list[str], targets: list[str], k: int, id_col: str,
+            report: dict | None) -> DataFrame:
+    """The k best of each query (``_q``) of ``pairs`` in the cell that it is sent to."""
+    plan = [(c, max(1, math.ceil(n / BLOCK_ROWS)), max(1, math.ceil(int(cells.rows[c]) / BLOCK_ROWS))) for c, n in asked.items()]
+    if report is not None:
+        report["distances"] = report.get("distances", 0) + sum(n * int(cells.rows[c]) for c, n in asked.items())
+        report["shuffled"] = report.get("shuffled", 0) + sum(asked[c] * nd + int(cells.rows[c]) * nq for c, nq, nd in plan)
+    parts = F.broadcast(pairs.sparkSession.createDataFrame(plan, "_cell int, _nq int, _nd int"))   # one row per cell
+    q = _dealt(pairs.join(parts, "_cell"), "_a", "_q", F.col("_nq"), "_b", F.col("_nd")).drop("_nq", "_nd")
+    d = _dealt(donors.join(parts, "_cell"), "_b", id_col, F.col("_nd"), "_a", F.col("_nq")).drop("_nq", "_nd")
+    return _meet(q, d, ["_cell", "_a", "_b"], cols, targets, k, id_col)
+
+
 def knn_search(queries: DataFrame, donors: DataFrame, id_col: str, cols: Sequence[str], k: int = 5,
                targets: Sequence[str] | None = None, exclude_self: bool = False, by: str | None = None,
                report: dict | None = None) -> DataFrame:
@@ -270,46 +280,54 @@ def knn_search(queries: DataFrame, donors: DataFrame, id_col: str, cols: Sequenc
         return d.select(*more, *group, *[F.when(~F.isnan(v), v).alias(c) for c, v in num.items()]).where(
             F.coalesce(*cols).isNotNull())
 
+    def final(found: DataFrame) -> DataFrame:
+        if exclude_self:
+            found = found.where(F.col("qid") != F.col("did"))
+        w = Window.partitionBy("qid", "target").orderBy("dist", "did")
+        return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+    n_donors = donors.count()
+    if n_donors <= DIRECT_CELLS * BLOCK_ROWS:   # every query meets every block
+        n_queries = queries.count()
+        nq, nd = (F.lit(max(1, math.ceil(n / BLOCK_ROWS))) for n in (n_queries, n_donors))
+        if report is not None:
+            report.update(distances=n_queries * n_donors, shuffled=n_queries + n_donors)
+        q = _dealt(read(queries, id_col).withColumnRenamed(id_col, "_q"), "_a", "_q", nq, "_b", nd)
+        d = _dealt(read(donors, id_col), "_b", id_col, nd, "_a", nq)
+        return final(_meet(q, d, [*group, "_a", "_b"], cols, tgt, kk, id_col).withColumnRenamed("_q", "qid"))
+
     # ---- donors: of equal ones the smallest ids, each with its pattern
     same = Window.partitionBy(*group, *need).orderBy(id_col)
     d = read(donors, id_col).withColumn("_rn", F.row_number().over(same)).where(F.col("_rn") <= kk).drop("_rn")
     bits = sum((F.col(c).isNotNull().cast("long") * (1 << i) for i, c in enumerate(need)), F.lit(0))
     d = cut_lineage(d.withColumns({"_pattern": bits, "_group": _group_key(group)}))
     boxes = [F.count(F.lit(1)).alias("_n"), *[F.min(c).alias(f"_lo{i}") for i, c in enumerate(cols)], *[F.max(c).alias(f"_hi{i}") for i, c in enumerate(cols)]]
-    table = d.groupBy("_group", "_pattern").agg(*boxes).collect()   # one row per group and pattern
-    per_pattern: dict[int, int] = {}
-    for r in table:
-        per_pattern[r["_pattern"]] = per_pattern.get(r["_pattern"], 0) + r["_n"]
-    direct = sum(math.ceil(n / BLOCK_ROWS) for n in per_pattern.values()) <= DIRECT_CELLS
-    if not direct:
-        total = sum(per_pattern.values())
-        sample = d.select("_pattern", *cols).sample(min(1.0, SAMPLE_ROWS / total), seed=1).toPandas()
-        trees, first = {}, 0
-        for pattern, n in sorted(per_pattern.items()):
-            own = sample.loc[sample["_pattern"] == pattern, cols].to_numpy(float)
-            trees[pattern] = (grow(own, math.ceil(n / BLOCK_ROWS)), first)
-            first += trees[pattern][0].parts
-
-        def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for f in frames:
-                x, pattern, part = f[cols].to_numpy(float), f["_pattern"].to_numpy(), np.zeros(len(f), np.int64)
-                for p in np.unique(pattern):
-                    tree, at = trees[p]
-                    rows = np.flatnonzero(pattern == p)
-                    part[rows] = at + tree.part_of(x[rows])
-                yield f.assign(_part=part)
-
-        d = cut_lineage(d.mapInPandas(place, T.StructType([*d.schema.fields, T.StructField("_part", T.LongType())])))
-        table = d.groupBy("_group", "_pattern", "_part").agg(*boxes).collect()   # one row per cell
-        on = ["_group", "_part"]
-    else:
-        on = ["_group", "_pattern"]
+    per_pattern = {r["_pattern"]: r["count"] for r in d.groupBy("_pattern").count().collect()}   # one row per pattern
+    total = sum(per_pattern.values())
+    sample = d.select("_pattern", *cols).sample(min(1.0, SAMPLE_ROWS / max(total, 1)), seed=1).toPandas()
+    trees, first = {}, 0
+    for pattern, n in sorted(per_pattern.items()):
+        own = sample.loc[sample["_pattern"] == pattern, cols].to_numpy(float)
+        trees[pattern] = (grow(own, math.ceil(n / BLOCK_ROWS)), first)
+        first += trees[pattern][0].parts
+
+    def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            x, pattern, part = f[cols].to_numpy(float), f["_pattern"].to_numpy(), np.zeros(len(f), np.int64)
+            for p in np.unique(pattern):
+                tree, at = trees[p]
+                rows = np.flatnonzero(pattern == p)
+                part[rows] = at + tree.part_of(x[rows])
+            yield f.assign(_part=part)
+
+    d = cut_lineage(d.mapInPandas(place, T.StructType([*d.schema.fields, T.StructField("_part", T.LongType())])))
+    table = d.groupBy("_group", "_pattern", "_part").agg(*boxes).collect()   # one row per cell
     box = lambda side: np.array([[np.nan if r[f"_{side}{i}"] is None else r[f"_{side}{i}"] for i in range(len(cols))] for r in table]).reshape(-1, len(cols))
     pattern = np.array([r["_pattern"] for r in table], np.int64)
     cells = Cells(np.array([r["_group"] for r in table], object), np.array([r["_n"] for r in table], np.int64), box("lo"), box("hi"),
                   {t: np.ones(len(table), bool) if t == "_all" else (pattern >> need.index(t)) & 1 == 1 for t in tgt})
-    numbered = spark.createDataFrame([(*[r[c] for c in on], i) for i, r in enumerate(table)], f"_group string, {on[1]} long, _cell int")
-    d = d.join(F.broadcast(numbered), on).select("_cell", id_col, *need)
+    numbered = spark.createDataFrame([(r["_group"], r["_part"], i) for i, r in enumerate(table)], "_group string, _part long, _cell int")
+    d = d.join(F.broadcast(numbered), ["_group", "_part"]).select("_cell", id_col, *need)
 
     # ---- queries: equal ones once
     q = read(queries).distinct().withColumns({"_q": F.monotonically_increasing_id(), "_group": _group_key(group)})
@@ -321,7 +339,8 @@ def knn_search(queries: DataFrame, donors: DataFrame, id_col: str, cols: Sequenc
         for f in frames:
             far = {t: f[f"_u{i}"].fillna(np.inf).to_numpy(float) for i, t in enumerate(tgt)} if reaching else None
             for rows, cell in cells.routes(f[cols].to_numpy(float), f["_group"].to_numpy(object), wants(f), kk, far):
-                yield f.iloc[rows][["_q", *need]].assign(_cell=cell.astype(np.int32))[["_q", "_cell", *need]]
+                if len(rows):
+                    yield f.iloc[rows][["_q", *need]].assign(_cell=cell.astype(np.int32))[["_q", "_cell", *need]]
 
     def routed(rows: DataFrame, reaching: bool) -> tuple[DataFrame, dict[int, int]]:
         pairs = cut_lineage(rows.mapInPandas(lambda frames: sent(frames, reaching), send_schema))
@@ -329,23 +348,13 @@ def knn_search(queries: DataFrame, donors: DataFrame, id_col: str, cols: Sequenc
 
     order = Window.partitionBy("_q", "target").orderBy("dist", "did")
     best_of = lambda c: c.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= kk)
-    if direct:
-        per_group = {r["_group"]: r["count"] for r in q.groupBy("_group").count().collect()}   # one row per group
-        asked = {i: per_group[g] for i, g in enumerate(cells.group) if g in per_group}
-        pairs = q.join(F.broadcast(numbered.select("_group", "_cell")), "_group").select("_q", "_cell", *need)
-        best = best_of(_search(pairs, d, cells, asked, cols, tgt, kk, id_col, report))
-    else:
-        pairs, asked = routed(q, False)
-        best = cut_lineage(best_of(_search(pairs, d, cells, asked, cols, tgt, kk, id_col, report)))
-        reach = best.where(F.col("rank") == kk).groupBy("_q").agg(
-            *[F.max(F.when(F.col("target") == t, F.col("dist"))).alias(f"_u{i}") for i, t in enumerate(tgt)])
-        pairs, asked = routed(q.join(reach, "_q", "left"), True)
-        best = best_of(best.drop("rank").unionByName(_search(pairs, d, cells, asked, cols, tgt, kk, id_col, report)))
+    pairs, asked = routed(q, False)
+    best = cut_lineage(best_of(_search(pairs, d, cells, asked, cols, tgt, kk, id_col, report)))
+    reach = best.where(F.col("rank") == kk).groupBy("_q").agg(
+        *[F.max(F.when(F.col("target") == t, F.col("dist"))).alias(f"_u{i}") for i, t in enumerate(tgt)])
+    pairs, asked = routed(q.join(reach, "_q", "left"), True)
+    best = best_of(best.drop("rank").unionByName(_search(pairs, d, cells, asked, cols, tgt, kk, id_col, report)))
 
     # ---- every query row gets the neighbours of its values
     rows = null_safe_join(read(queries, id_col).withColumnRenamed(id_col, "qid"), q.select(*group, *need, "_q"), [*group, *need])
-    found = rows.select("qid", "_q").join(best.drop("rank"), "_q").drop("_q")
-    if exclude_self:
-        found = found.where(F.col("qid") != F.col("did"))
-    w = Window.partitionBy("qid", "target").orderBy("dist", "did")
-    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return final(rows.select("qid", "_q").join(best.drop("rank"), "_q").drop("_q"))

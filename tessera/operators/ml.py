@@ -8,14 +8,15 @@ Scale notes
   counts (M4) are built on it.
 * k-nearest-neighbour search (M1, M4) is ``knn.knn_search``: an index of
   blocks, so a query meets only blocks that can hold a nearer donor.
-* Model fitting uses ``pyspark.ml`` (distributed L-BFGS, PCA on a
-  distributed covariance).
+* Model fitting uses ``pyspark.ml`` (distributed L-BFGS, PCA on a distributed
+  covariance); folds and hold-out use ``folds``: moments of all folds from one
+  pass, Newton steps for all models at once.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 from pyspark.ml.classification import LogisticRegression
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.operators import folds
 from tessera.operators.knn import knn_search
 from tessera.operators.rank import row_index  # noqa: F401  (exact distributed row numbers)
 
@@ -222,17 +224,21 @@ def accuracy(pred: DataFrame, label: str = "label", prediction: str = "predictio
 def pca(df: DataFrame, cols: Sequence[str] | str, n: int = 5, prefix: str = "PCA_",
         fit_on: DataFrame | None = None) -> DataFrame:
     """M9: principal components appended as ``PCA_1..n``. Inputs are centred
-    first (``pyspark.ml`` PCA does not centre); each component's sign is
-    fixed so its largest-magnitude loading is positive. ``cols`` is a list of
-    numeric columns or the name of one array/vector column. ``fit_on`` (e.g.
+    first; each component's sign is fixed so its largest-magnitude loading is
+    positive. ``cols`` is a list of numeric columns (moments in one pass, see
+    ``folds``; applied as expressions) or the name of one array/vector column
+    (``pyspark.ml``). ``fit_on`` (e.g.
     the training split) gives the rows the centring and the components are
     fitted on; they are then applied to every row of ``df``."""
+    if not isinstance(cols, str):
+        m = folds.moments(fit_on if fit_on is not None else df, cols)
+        if not m:
+            return df.withColumns({f"{prefix}{j + 1}": F.lit(None).cast("double") for j in range(n)})
+        return folds.apply(df, cols, folds.prepared(m[-1], cols, n_components=n), [f"{prefix}{j + 1}" for j in range(n)])
+
     def vectors(d: DataFrame) -> DataFrame:
-        if isinstance(cols, str):
-            dtype = dict(d.dtypes)[cols]
-            vec = F.col(cols) if dtype == "vector" else array_to_vector(F.col(cols).cast("array<double>"))
-            return d.withColumn("_x", vec)
-        return VectorAssembler(inputCols=list(cols), outputCol="_x").transform(d)
+        dtype = dict(d.dtypes)[cols]
+        return d.withColumn("_x", F.col(cols) if dtype == "vector" else array_to_vector(F.col(cols).cast("array<double>")))
 
     d = vectors(df)
     fit_rows = vectors(fit_on) if fit_on is not None else d
@@ -246,23 +252,38 @@ def pca(df: DataFrame, cols: Sequence[str] | str, n: int = 5, prefix: str = "PCA
 
 
 def cross_validate(df: DataFrame, id_col: str, cols: Sequence[str], label: str, k: int = 5,
-                   C: float = 1.0, prepare: Callable | None = None) -> DataFrame:
+                   C: float = 1.0, scale: Sequence[str] = (), n_components: int = 0) -> DataFrame:
     """K-fold cross-validated accuracy (stratified, unshuffled folds):
-    one distributed fit per fold; output per-fold accuracy plus the mean and
-    the population std (as numpy's ``std``). ``prepare(rows, train)`` returns
-    the rows made ready by what is fitted on the fold's training rows only
-    (scaling, components) and their feature columns."""
+    per-fold accuracy plus the mean and the population std (as numpy's
+    ``std``). Columns of ``scale`` are min-max scaled and ``n_components``
+    components taken as the training rows of each fold have them. All folds
+    are fitted at once (see ``folds``): the number of jobs doesn't depend on
+    k. Labels are 0 and 1; rows without one are left out."""
     from tessera.session import cut_lineage
 
-    # read by k fits and k evaluations: a reliable checkpoint in the shared
-    # checkpoint folder, so a lost executor costs a re-read, not the whole prep lineage
-    f = cut_lineage(stratified_folds(df, id_col, label, k))
-    rows = []
-    for i in range(k):
-        ready, own = (f, cols) if prepare is None else prepare(f, f.where(F.col("fold") != i))
-        model = fit_logistic(ready.where(F.col("fold") != i), own, label, C)
-        acc = accuracy(predict(model, ready.where(F.col("fold") == i), own), label).first()
-        rows.append((i, float(acc["accuracy"]), int(acc["n"])))
+    # read by every pass: a reliable checkpoint in the shared checkpoint
+    # folder, so a lost executor costs a re-read, not the whole prep lineage
+    f = cut_lineage(stratified_folds(df.where(F.col(label).isNotNull()), id_col, label, k).select("fold", label, *cols))
+    seen = folds.moments(f, cols, "fold")
+    models = {i: folds.prepared(m, cols, scale, n_components) for i, m in seen.items() if i >= 0}
+    fits = folds.newton(f, cols, label, models, C, "fold")
+    right = folds.scores(f, cols, label, models, fits, "fold") if models else {}
+    rows = [(i, r / n, n) for i, (n, r) in sorted(right.items())]
     accs = np.array([r[1] for r in rows])
     per = df.sparkSession.createDataFrame(rows, "fold int, accuracy double, n long")
-    return per.withColumns({"mean_accuracy": F.lit(float(accs.mean())), "std_accuracy": F.lit(float(accs.std()))})
+    return per.withColumns({"mean_accuracy": F.lit(float(accs.mean()) if rows else None).cast("double"),
+                            "std_accuracy": F.lit(float(accs.std()) if rows else None).cast("double")})
+
+
+def fit_newton(train: DataFrame, cols: Sequence[str], label: str, C: float = 1.0) -> tuple[float, list[float]]:
+    """M6 by Newton steps: (intercept, weights), the same minimum as
+    ``fit_logistic``. The input is read once a step: give it materialised."""
+    plain = folds.Affine(np.eye(len(cols)), np.zeros(len(cols)))
+    intercept, w = folds.newton(train, cols, label, {-1: plain}, C)[-1]
+    return intercept, w.tolist()
+
+
+def predict_linear(df: DataFrame, cols: Sequence[str], intercept: float, weights: Sequence[float]) -> DataFrame:
+    """Threshold-0.5 predictions of a logistic regression as an expression."""
+    score = sum((F.col(c) * F.lit(float(w)) for c, w in zip(cols, weights)), F.lit(float(intercept)))
+    return df.withColumn("prediction", (score > 0).cast("int"))

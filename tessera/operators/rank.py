@@ -51,7 +51,8 @@ def range_splits(df: DataFrame, key: Column, rows_per_bucket: int, min_b: int,
         qs = [qs[round(i * GRID / b) - 1] for i in range(1, b)] if qs else []
     else:
         qs = df.agg(F.percentile_approx(key, _grid(b), max(10000, 20 * b)).alias("q")).first()["q"] or []
-    splits = [-math.inf] + sorted({float(q) for q in qs if q is not None and math.isfinite(q)}) + [math.inf]
+    inner = {float(q) for q in qs if q is not None and math.isfinite(q)} or {0.0}   # an empty table has none
+    splits = [-math.inf, *sorted(inner), math.inf]
     return splits, b, n, r["x"]
 
 

@@ -51,8 +51,7 @@ def _points(n, seed, gaps=0.15):
     return x[rng.permutation(n)]
 
 
-@pytest.mark.parametrize("direct", [0, 8])
-@pytest.mark.parametrize("text", [False, True])
+@pytest.mark.parametrize("direct, text", [(0, False), (0, True), (100, True)])
 def test_equal_to_brute_force_with_gaps_ties_and_a_hot_value(spark, monkeypatch, direct, text):
     monkeypatch.setattr(knn, "BLOCK_ROWS", 25)
     monkeypatch.setattr(knn, "DIRECT_CELLS", direct)
