@@ -1,15 +1,9 @@
 """Windows and ordered time series W1-W13.
 
-Every operator is one window partitioned by the entity: entities spread over
-the cluster, nothing orders the whole table in one partition, and planning
-reads no data. An entity that holds a large share of all rows can be spread
-as well: with ``ranges=k`` the table is range-partitioned by (entity, order)
-into k ranges (Spark's sampled range partitioner over the whole order tuple,
-any types), written once to the shared checkpoint folder so that the ranges
-are the same wherever they are read, each range of an entity gets its own
-window, and values are carried across range boundaries through small
-per-(entity, range) tables joined on positions. Both forms give the same rows;
-NULL entities are an entity like others.
+Lags, fills and status (W1-W9) are one segmented scan (``scan``) at every size:
+ranges of (entity, order), each of about the same number of rows, with small
+states carried from range to range, so an entity that holds a large share of
+all rows is spread like any other. ``ranges`` sets the number of parts.
 Where a per-entity result can be had from a hash aggregation instead of a
 sort (first-row flag, period numbers), that form is used.
 """
@@ -22,44 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.joins import null_safe_join
-
-
-def _ranged(df: DataFrame, entity: list, order: list, ranges: int | None) -> DataFrame | None:
-    """``df`` with ``_chunk``, the number of its range; None without ranges."""
-    if not ranges or ranges < 2:
-        return None
-    from tessera.session import cut_lineage
-
-    return cut_lineage(df.repartitionByRange(ranges, *entity, *order).withColumn("_chunk", F.spark_partition_id()))
-
-
-def _positions(d: DataFrame, entity: list, order: list) -> DataFrame:
-    """Row number in chunk (_rn), chunk size (_cnt) and the global 0-based
-    position of the row inside its entity (_g)."""
-    keys = entity + ["_chunk"]
-    w = Window.partitionBy(*keys).orderBy(*order)
-    d = d.withColumns({"_rn": F.row_number().over(w), "_cnt": F.count(F.lit(1)).over(Window.partitionBy(*keys))})
-    sizes = d.groupBy(*keys).agg(F.max("_cnt").alias("_size"))     # one row per (entity, chunk)
-    wo = Window.partitionBy(*entity).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    off = sizes.select(*keys, F.coalesce(F.sum("_size").over(wo), F.lit(0)).alias("_off"))
-    return null_safe_join(d, off, keys).withColumn("_g", F.col("_off") + F.col("_rn") - 1).drop("_off")
-
-
-def _lag_chunked(d: DataFrame, entity: list, order: list, c: str, n: int, out: str,
-                 drop_chunk: bool = True) -> DataFrame:
-    keys = entity + ["_chunk"]
-    w = Window.partitionBy(*keys).orderBy(*order)
-    d = _positions(d.withColumn(out, F.lag(F.col(c), n).over(w)), entity, order)
-    tails = d.where(F.col("_rn") > F.col("_cnt") - n).select(*entity, F.col("_g").alias("_tg"), F.col(c).alias("_tv"))
-    need = (F.col("_rn") <= n) & (F.col("_g") >= n)      # the lagged row lies in an earlier chunk
-    fixed = (null_safe_join(d.where(need).withColumn("_tg", F.col("_g") - n), tails, entity + ["_tg"], "left")
-             .withColumn(out, F.col("_tv")).drop("_tg", "_tv"))
-    res = d.where(~need).unionByName(fixed).drop("_rn", "_cnt", "_g")
-    return res.drop("_chunk") if drop_chunk else res
-
-
-def _w(entity: Sequence[str], order: Sequence[str]):
-    return Window.partitionBy(*entity).orderBy(*order)
+from tessera.operators.scan import Fill, Lag, segmented
 
 
 def _list(x) -> list:
@@ -67,18 +24,8 @@ def _list(x) -> list:
 
 
 def lags(df: DataFrame, entity, order, specs: Sequence[tuple[str, int, str]], ranges: int | None = None) -> DataFrame:
-    """Several lags ``(column, n, out)`` within entity in one pass (one window,
-    one sort; ``ranges``: see the module)."""
-    entity, order = _list(entity), _list(order)
-    ch = _ranged(df, entity, order, ranges)
-    if ch is None:
-        w = _w(entity, order)
-        return df.withColumns({out: F.lag(F.col(c), n).over(w) for c, n, out in specs})
-    # keep the range column across the lags, drop it at the end
-    keep = ch
-    for c, n, out in specs:
-        keep = _lag_chunked(keep, entity, order, c, n, out, drop_chunk=False)
-    return keep.drop("_chunk")
+    """Several lags ``(column, n, out)`` within entity in one scan."""
+    return segmented(df, _list(entity), _list(order), [Lag(c, n, out) for c, n, out in specs], ranges=ranges)
 
 
 def lag_by(df: DataFrame, entity, order, c: str, n: int = 1, out: str | None = None,
@@ -89,42 +36,13 @@ def lag_by(df: DataFrame, entity, order, c: str, n: int = 1, out: str | None = N
       equals ``n=2``).
     * ``reset=False`` (W3): dataset-order lag over the table sorted by
       (entity, order) with no reset at entity boundaries, so the first row of
-      an entity takes the previous entity's last value (n = 1 only). Built
-      from a one-row-per-entity table, never a single-partition sort of rows.
+      an entity takes the previous entity's last value.
     * ``where`` with ``when="before"`` filters first, then lags (SAS WHERE or a
       subsetting IF before LAG); ``when="after"`` lags on all rows, then filters.
     """
-    entity, order = _list(entity), _list(order)
-    out = out or f"{c}_lag{n}"
     src = df.where(where) if (where is not None and when == "before") else df
-    ch = _ranged(src, entity, order, ranges)
-    if ch is None:
-        res = src.withColumn(out, F.lag(F.col(c), n).over(_w(entity, order)))
-    else:
-        res = _lag_chunked(ch, entity, order, c, n, out)
-    if not reset:
-        if n != 1:
-            raise ValueError("reset=False supports n=1")
-        res = _carry_previous_entity(res, entity, order, c, out)
-    if where is not None and when == "after":
-        res = res.where(where)
-    return res
-
-
-def _carry_previous_entity(df: DataFrame, entity: list, order: list, c: str, out: str) -> DataFrame:
-    """Fill the first row of each entity with the last value of the entity
-    before it (in entity order)."""
-    ord_struct = F.struct(*[F.col(o) for o in order])
-    per = df.groupBy(*entity).agg(F.max_by(F.col(c), ord_struct).alias("_last"),
-                                  F.min(ord_struct).alias("_first"))
-    # the entity before, exactly and without one task for all entities: the
-    # one-row-per-entity table in ranges, the last value carried over
-    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranked = _ranged(per, entity, [], max(2, ranges))
-    prev = _lag_chunked(ranked, [], entity, "_last", 1, "_prev_last").select(*entity, "_first", "_prev_last")
-    j = null_safe_join(df.withColumn("_first", ord_struct), prev, entity + ["_first"], "left")
-    # only an entity's first row matches (and its in-entity lag is NULL)
-    return j.withColumn(out, F.coalesce(F.col(out), F.col("_prev_last"))).drop("_first", "_prev_last")
+    res = segmented(src, _list(entity), _list(order), [Lag(c, n, out or f"{c}_lag{n}", reset)], ranges=ranges)
+    return res.where(where) if where is not None and when == "after" else res
 
 
 def ffill(df: DataFrame, entity, order, c: str, first=None, out: str | None = None, ranges: int | None = None) -> DataFrame:
@@ -134,39 +52,7 @@ def ffill(df: DataFrame, entity, order, c: str, first=None, out: str | None = No
     value before filling, even when the row has its own value. Without it
     (W5) the first row keeps its own value, maybe missing.
     """
-    entity, order = _list(entity), _list(order)
-    out = out or f"{c}_filled"
-    ch = _ranged(df, entity, order, ranges)
-    if ch is None:
-        w = _w(entity, order)
-        v = F.col(c)
-        if first is not None:
-            v = F.when(F.row_number().over(w) == 1, F.lit(first)).otherwise(v)
-            df = df.withColumn("_v", v)
-            v = F.col("_v")
-        filled = F.last(v, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-        res = df.withColumn(out, filled)
-        return res.drop("_v") if first is not None else res
-    return _ffill_chunked(ch, entity, order, c, first, out)
-
-
-def _ffill_chunked(d: DataFrame, entity: list, order: list, c: str, first, out: str,
-                   drop_chunk: bool = True) -> DataFrame:
-    keys = entity + ["_chunk"]
-    w = Window.partitionBy(*keys).orderBy(*order)
-    if first is not None:
-        d = _positions(d, entity, order)
-        d = d.withColumn("_v", F.when(F.col("_g") == 0, F.lit(first)).otherwise(F.col(c))).drop("_rn", "_cnt", "_g")
-    else:
-        d = d.withColumn("_v", F.col(c))
-    d = d.withColumn("_local", F.last("_v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    ord_struct = F.struct(*[F.col(o) for o in order])
-    last_in_chunk = d.groupBy(*keys).agg(F.max_by(F.col("_v"), F.when(F.col("_v").isNotNull(), ord_struct)).alias("_cl"))
-    wc = Window.partitionBy(*entity).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = last_in_chunk.select(*keys, F.last("_cl", ignorenulls=True).over(wc).alias("_carry"))
-    res = (null_safe_join(d, carry, keys).withColumn(out, F.coalesce(F.col("_local"), F.col("_carry")))
-           .drop("_v", "_local", "_carry"))
-    return res.drop("_chunk") if drop_chunk else res
+    return segmented(df, _list(entity), _list(order), fills=[Fill(c, out or f"{c}_filled", first)], ranges=ranges)
 
 
 def status_effective(df: DataFrame, entity, order, c: str, default="in",
@@ -174,24 +60,12 @@ def status_effective(df: DataFrame, entity, order, c: str, default="in",
     """Status that takes effect the period after a notice: forward fill
     with the first row forced to ``default``, then the previous row's filled
     value; the first row gets ``default``."""
-    entity, order = _list(entity), _list(order)
-    ch = _ranged(df, entity, order, ranges)
-    if ch is None:
-        w = _w(entity, order)
-        v = F.when(F.row_number().over(w) == 1, F.lit(default)).otherwise(F.col(c))
-        f = df.withColumn("_v", v).withColumn(
-            "_filled", F.last("_v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_v")
-        f = f.withColumn("_prev_filled", F.lag("_filled").over(w))
-    else:
-        f = _ffill_chunked(ch, entity, order, c, default, "_filled", drop_chunk=False)
-        f = _lag_chunked(f, entity, order, "_filled", 1, "_prev_filled")
-    return (f.withColumn(out, F.coalesce(F.col("_prev_filled"), F.lit(default))).drop("_prev_filled")
-            .withColumnRenamed("_filled", f"{c}_filled"))
+    f = segmented(df, _list(entity), _list(order), fills=[Fill(c, f"{c}_filled", default, before=out)], ranges=ranges)
+    return f.withColumn(out, F.coalesce(F.col(out), F.lit(default)))
 
 
 def log_return(df: DataFrame, entity, order, c: str, out: str | None = None, ranges: int | None = None) -> DataFrame:
     """ln(c / previous c) within entity; non-positive ratio or missing -> NULL."""
-    entity, order = _list(entity), _list(order)
     d = lag_by(df, entity, order, c, out="_prev", ranges=ranges)
     ratio = F.try_divide(F.col(c).cast("double"), F.col("_prev").cast("double"))
     return d.withColumn(out or f"{c}_logret", F.when(ratio > 0, F.ln(ratio))).drop("_prev")
@@ -201,7 +75,6 @@ def lagged_growth(df: DataFrame, entity, order, c: str, base: str = "later",
                   out: str = "growth", ranges: int | None = None) -> DataFrame:
     """Growth from the two previous rows, ``(l1 - l2) / l1`` (as written,
     ``base="later"``) or ``(l1 - l2) / l2`` (``base="older"``)."""
-    entity, order = _list(entity), _list(order)
     df = lags(df, entity, order, [(c, 1, f"{c}_l1"), (c, 2, f"{c}_l2")], ranges)
     l1, l2 = F.col(f"{c}_l1").cast("double"), F.col(f"{c}_l2").cast("double")
     return df.withColumn(out, F.try_divide(l1 - l2, l1 if base == "later" else l2))

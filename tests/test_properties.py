@@ -187,34 +187,6 @@ def test_same_result_with_1_and_8_shuffle_partitions(spark, name):
                 assert x == y
 
 
-@pytest.mark.parametrize("case", ["lag1", "lag2", "lag_noreset", "ffill", "ffill_first", "status", "growth"])
-def test_ranged_windows_equal_plain_windows(spark, case):
-    """With ``ranges`` an entity's rows are split into ranges of the whole
-    order with carries across their boundaries; the result must not change.
-    One entity is hot (a third of the rows, all in one year of a year-first
-    order), one is NULL, and the order is partly text."""
-    from tessera.operators import ordered as O
-
-    e = spark.read.parquet(f"{SF_MID}/events.parquet").select("user_id", "ts", "event_id", "event_type", "value")
-    e = e.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(-1)).when(F.col("event_id") % 7 != 0, F.col("user_id")))
-    e = e.dropDuplicates(["user_id", "ts"])
-    e = e.withColumns({"y": F.lit(2020), "text_ts": F.date_format("ts", "yyyyMMddHHmmss.SSSSSS")})
-    e = e.withColumn("flag", F.when(F.col("event_type") == "purchase", "out").when(F.col("event_type") == "view", "in"))
-    o, keep = ["y", "text_ts"], ["user_id", "ts", "event_id"]
-    fns = {
-        "lag1": lambda r: O.lag_by(e, "user_id", o, "value", ranges=r).select(*keep, "value_lag1"),
-        "lag2": lambda r: O.lag_by(e, "user_id", o, "value", n=2, ranges=r).select(*keep, "value_lag2"),
-        "lag_noreset": lambda r: O.lag_by(e, "user_id", o, "value", reset=False, ranges=r).select(*keep, "value_lag1"),
-        "ffill": lambda r: O.ffill(e, "user_id", o, "flag", ranges=r).select(*keep, "flag_filled"),
-        "ffill_first": lambda r: O.ffill(e, "user_id", o, "flag", first="in", ranges=r).select(*keep, "flag_filled"),
-        "status": lambda r: O.status_effective(e, "user_id", o, "flag", ranges=r).select(*keep, "flag_filled", "decision"),
-        "growth": lambda r: O.lagged_growth(e, "user_id", o, "value", ranges=r).select(*keep, "growth"),
-    }
-    plain = sorted(map(tuple, fns[case](None).collect()), key=str)
-    assert len(plain) == e.count() and any(r[0] is None for r in plain)
-    assert sorted(map(tuple, fns[case](13).collect()), key=str) == plain
-
-
 @pytest.mark.parametrize("rows_per_bucket", [100, 10])
 def test_row_index_and_quantiles_with_many_buckets(spark, monkeypatch, rows_per_bucket):
     """Force many buckets: 50 (boundaries reused from the counting pass) and
