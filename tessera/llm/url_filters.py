@@ -6,9 +6,11 @@ For all other urls, rules are mined: labelled urls become sets of tokens
 (words of host and path, query keys, fragment, scheme) plus a class item;
 FP-growth finds frequent sets, and those whose rule "tokens => block" reaches
 the support and confidence wanted are kept. The support wanted is a number of
-blocked urls, the same however many urls are labelled. Each rule is indexed under its
-rarest token; a url is blocked if a rule found under one of its tokens has
-all its tokens in the url. DataFrame functions only (FP-growth is Spark's).
+blocked urls, the same however many urls are labelled. Tokens that occur in
+exactly the same labelled urls are one item: k words of a shared path are one
+frequent set then, not 2^k. A rule holds a class of such tokens per item; it is
+indexed under the tokens of its rarest class, and blocks a url that has a token
+of each of its classes. DataFrame functions only (FP-growth is Spark's).
 
 Defined cases: a null url or one without ``://`` has an empty host and path,
 no tokens, and is allowed; without labelled urls nothing is mined and all
@@ -68,22 +70,38 @@ def tokens_of(url: Column) -> Column:
     return F.when(has_host, F.array_distinct(all_)).otherwise(F.array().cast("array<string>"))
 
 
+def _classes(items: DataFrame, least: float) -> DataFrame:
+    """(token, class) of the tokens that ``least`` blocked urls have: tokens
+    with the same urls share a class, named by its first token. The sets of
+    urls are compared by their size and two hashes."""
+    tokens = items.select("row", "block", F.explode("tokens").alias("token"))
+    per = tokens.groupBy("token").agg(F.count("*").alias("n"), F.count_if("block").alias("blocked"), F.bit_xor(F.xxhash64("row")).alias("x"),
+                                      F.bit_xor(F.xxhash64("row", F.lit(1))).alias("y")).where(F.col("blocked") >= least)
+    names = per.groupBy("n", "blocked", "x", "y").agg(F.min("token").alias("class"))
+    return per.join(names, ["n", "blocked", "x", "y"]).select("token", "class")
+
+
 def mine_rules(labelled: DataFrame, url: str = "url", block: str = "block", min_support: float | None = None,
                min_confidence: float = MIN_CONFIDENCE, min_urls: int = MIN_URLS) -> DataFrame:
-    """Rules (``key``: the rarest token, ``tokens``, ``support``, ``confidence``)
-    from urls with a boolean label; rows without a label are left out. A rule
-    needs ``min_urls`` blocked urls, or ``min_support`` of all if that is given; one
-    with one token more than another rule adds nothing and is pruned."""
+    """Rules from urls with a boolean label (rows without one are left out):
+    ``key``, a token of the rarest class (a rule has a row for each of them),
+    ``tokens``, the first token of every class, ``classes``, all their tokens,
+    ``support`` and ``confidence``. A rule needs ``min_urls`` blocked urls, or
+    ``min_support`` of all if that is given; one with one class more than
+    another rule adds nothing and is pruned."""
     spark = labelled.sparkSession
     items = labelled.where(F.col(block).isNotNull()).select(tokens_of(F.col(url)).alias("tokens"), F.col(block).alias("block"))
-    items = items.select(F.when(F.col("block"), F.array_append("tokens", F.lit(BLOCK))).otherwise(F.col("tokens")).alias("items"))
-    items = materialise(items, "url-items")
-    empty = spark.createDataFrame([], "key string, tokens array<string>, support double, confidence double")
+    items = materialise(items.withColumn("row", F.monotonically_increasing_id()), "url-items")
+    empty = spark.createDataFrame([], "key string, tokens array<string>, classes array<array<string>>, support double, confidence double")
     rows = items.count()
     if rows < (1 if min_support is not None else min_urls):
         return empty
     if min_support is None:
         min_support = (min_urls - 0.5) / rows  # FP-growth rounds the number of rows up
+    classes = materialise(_classes(items, min_support * rows), "url-classes")
+    named = items.select("row", F.explode("tokens").alias("token")).join(classes, "token").groupBy("row").agg(F.collect_set("class").alias("own"))
+    items = items.join(named, "row", "left").select("block", F.coalesce("own", F.array().cast("array<string>")).alias("own"))
+    items = items.select(F.when(F.col("block"), F.array_append("own", F.lit(BLOCK))).otherwise(F.col("own")).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
     found = model.associationRules.where(F.col("consequent")[0] == BLOCK)
     found = materialise(found.select(F.array_sort("antecedent").alias("tokens"), "support", "confidence"), "url-rules")
@@ -93,10 +111,12 @@ def mine_rules(labelled: DataFrame, url: str = "url", block: str = "block", min_
     known = found.select(F.col("tokens").alias("known"))
     redundant = shorter.join(known, F.col("rest") == F.col("known"), "left_semi").select(F.col("tokens").alias("redundant")).distinct()
     rules = found.join(redundant, F.col("tokens") == F.col("redundant"), "left_anti")
-    single = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("item"), "freq")
-    keyed = rules.select("tokens", "support", "confidence", F.explode("tokens").alias("token")).join(single, F.col("token") == F.col("item"))
-    return keyed.groupBy("tokens").agg(F.min_by("token", F.struct("freq", "token")).alias("key"), F.first("support").alias("support"),
-                                       F.first("confidence").alias("confidence")).select("key", "tokens", "support", "confidence")
+    single = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("class"), "freq")
+    members = classes.groupBy("class").agg(F.array_sort(F.collect_list("token")).alias("members"))
+    parts = rules.select("tokens", "support", "confidence", F.explode("tokens").alias("class")).join(single, "class").join(members, "class")
+    whole = parts.groupBy("tokens").agg(F.min_by("members", F.struct("freq", "class")).alias("keys"), F.collect_list("members").alias("classes"),
+                                        F.first("support").alias("support"), F.first("confidence").alias("confidence"))
+    return whole.select(F.explode("keys").alias("key"), "tokens", "classes", "support", "confidence")
 
 
 def blocked_urls(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
@@ -104,8 +124,8 @@ def blocked_urls(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFra
     rows = urls.select(F.col(url).alias("blocked")).where(F.col("blocked").isNotNull()).distinct()
     rows = rows.withColumn("all", tokens_of(F.col("blocked")))
     listed = rows.select("blocked", "all", F.explode("all").alias("token"))
-    hit = listed.join(rules.select("key", "tokens"), F.col("token") == F.col("key"))
-    return hit.where(F.size(F.array_except("tokens", "all")) == 0).select("blocked").distinct()
+    hit = listed.join(rules.select("key", "classes"), F.col("token") == F.col("key"))
+    return hit.where(F.forall("classes", lambda c: F.arrays_overlap(c, F.col("all")))).select("blocked").distinct()
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]], mined: DataFrame, url: str = "url") -> DataFrame:

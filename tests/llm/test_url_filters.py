@@ -1,5 +1,6 @@
 import itertools
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ def brute(url):
 
 
 def no_rules(spark):
-    return spark.createDataFrame([], "key string, tokens array<string>, support double, confidence double")
+    return spark.createDataFrame([], "key string, tokens array<string>, classes array<array<string>>, support double, confidence double")
 
 
 def test_host_path_and_longest_rule(spark):
@@ -48,7 +49,9 @@ def _fixture():
 def test_mined_rules_equal_brute_force(spark):
     rows = _fixture()
     labelled = spark.createDataFrame(rows, "url string, block boolean")
-    got = {tuple(sorted(r.tokens)): (r.support, r.confidence) for r in U.mine_rules(labelled, min_support=0.05, min_confidence=0.8).collect()}
+    # a rule stands for all sets with one token of each of its classes
+    got = {tuple(sorted(c)): (r.support, r.confidence) for r in U.mine_rules(labelled, min_support=0.05, min_confidence=0.8).collect()
+           for c in itertools.product(*r.classes)}
     sets = [(set(r.t), b) for r, (_, b) in zip(spark.createDataFrame(rows, "url string, block boolean").select(U.tokens_of(F.col("url")).alias("t")).collect(), rows)]
     items = sorted(set().union(*(s for s, _ in sets)))
     good = {}
@@ -79,6 +82,23 @@ def test_a_host_of_the_long_tail_gets_its_rule_at_every_size(spark, others):
     assert [r.tokens for r in rules.collect()] == [["host:bad"]]
 
 
+def test_urls_that_share_many_words_are_mined_in_time(spark):
+    """Words with the same urls are one item: 40 of them, and 15 that stand in two thirds of the urls."""
+    shared = "/".join(f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(40))
+    some = "/".join(f"some{chr(97 + i)}" for i in range(15))
+    rows = [(f"http://x.example.net/{shared}/{i}", True) for i in range(12)]
+    rows += [(f"http://y.example.net/{some}/{i}", i % 3 > 0) for i in range(30)]
+    rows += [(f"http://z.example.net/a/{i}", False) for i in range(200)]
+    start = time.time()
+    rules = U.mine_rules(spark.createDataFrame(rows, "url string, block boolean"))
+    found = {tuple(r.tokens): r for r in rules.collect()}
+    assert set(found) == {("host:x",), ("host:y",)} and time.time() - start < 60
+    assert len(found["host:x",].classes[0]) == 41 and len(found["host:y",].classes[0]) == 16
+    urls = [u for u, _ in rows] + ["http://q.example.net/wordaq", "http://q.example.net/somec", "http://q.example.net/other"]
+    out = {r.url: r.verdict for r in U.judge(spark.createDataFrame([(u,) for u in urls], "url string"), [], rules).collect()}
+    assert all((out[u] == "block") == ("z.example" not in u and "other" not in u) for u in urls)
+
+
 def test_no_labels_no_rules_and_empty_tables(spark):
     empty = spark.createDataFrame([], "url string, block boolean")
     assert U.mine_rules(empty).count() == 0
