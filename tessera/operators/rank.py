@@ -20,6 +20,7 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.operators.joins import null_safe_join
 
@@ -93,8 +94,15 @@ def _prefix_sum(df: DataFrame, order: Sequence[str], weight: str | None = None,
 
 
 def row_index(df: DataFrame, order: Sequence[str] | str, by: Sequence[str] = (), out: str = "idx") -> DataFrame:
-    """Exact 0-based row number in ascending ``order`` (unique within ``by``)."""
+    """Exact 0-based row number in ascending ``order`` (unique within ``by``).
+    A first key that is not a number is ranked over ranges of the whole
+    (by, order) tuple instead (``scan``): any type, NULL first, and a value
+    that many rows share is spread by the keys after it."""
     order = [order] if isinstance(order, str) else list(order)
+    if not isinstance(df.schema[order[0]].dataType, (T.NumericType, T.BooleanType)):
+        from tessera.operators.scan import segmented
+
+        return segmented(df, list(by), order, number=out)
     return prefix_sum(df, order, None, by, out).withColumn(out, F.col(out).cast("bigint"))
 
 

@@ -84,6 +84,7 @@ class State:
 
     entity: list
     open: bool
+    n: int                      # rows of the last entity
     tails: dict[str, pa.Array] = field(default_factory=dict)
     ends: dict[str, pa.Array] = field(default_factory=dict)
     head: dict[str, pa.Array] = field(default_factory=dict)
@@ -94,16 +95,16 @@ class State:
         join = lambda a, b: {c: pa.concat_arrays([a[c], b[c]])[-rows:] for c in b} if rows else {c: b[c][:0] for c in b}
         ends = join(self.ends, later.ends)
         if not (later.open and _same(self.entity, later.entity)):
-            return State(later.entity, False, later.tails, ends, later.head, later.rest)
+            return State(later.entity, False, later.n, later.tails, ends, later.head, later.rest)
         rest = {c: next((v for v in (later.rest[c], later.head[c]) if v.null_count == 0), self.rest[c]) for c in later.rest}
-        return State(self.entity, self.open, join(self.tails, later.tails), ends, self.head, rest)
+        return State(self.entity, self.open, self.n + later.n, join(self.tails, later.tails), ends, self.head, rest)
 
 
 class Scan:
     """The work of one operator on the rows of a range; picklable."""
 
-    def __init__(self, entity: Sequence[str], lags: Sequence[Lag], fills: Sequence[Fill]):
-        self.entity, self.lags, self.fills = list(entity), list(lags), list(fills)
+    def __init__(self, entity: Sequence[str], lags: Sequence[Lag], fills: Sequence[Fill], number: str | None = None):
+        self.entity, self.lags, self.fills, self.number = list(entity), list(lags), list(fills), number
         self.rows = max((lag.n for lag in lags), default=0)
         self.lagged = list(dict.fromkeys(lag.column for lag in lags))
         self.filled = list(dict.fromkeys(f.column for f in fills))
@@ -119,7 +120,7 @@ class Scan:
         n = b.num_rows
         new = _starts([b.column(c) for c in self.entity], n)
         start = int(np.flatnonzero(new)[-1])
-        out = State([b.column(c)[n - 1].as_py() for c in self.entity], start == 0)
+        out = State([b.column(c)[n - 1].as_py() for c in self.entity], start == 0, n - start)
         for c in self.lagged:
             out.ends[c] = _copied(b.column(c), max(0, n - self.rows), n)
             out.tails[c] = _copied(b.column(c), max(start, n - self.rows), n)
@@ -164,25 +165,28 @@ class Scan:
             out.append(filled)
             if f.before:
                 out.append(pa.concat_arrays([carried, filled]).take(pa.array(row, mask=new & ~((row == 0) & goes_on))))
+        if self.number:
+            out.append(pa.array(row - start + np.where(start == 0, before.n if goes_on else 0, 0), pa.int64()))
         return out
 
-    def names(self) -> list[tuple[str, str]]:
-        """(new column, column whose type it has)."""
+    def names(self) -> list[tuple[str, str | None]]:
+        """(new column, column whose type it has; none: a long)."""
         out = [(lag.out, lag.column) for lag in self.lags]
         for f in self.fills:
             out += [(f.out, f.column)] + ([(f.before, f.column)] if f.before else [])
-        return out
+        return out + ([(self.number, None)] if self.number else [])
 
 
 def segmented(df: DataFrame, entity: Sequence[str], order: Sequence, lags: Sequence[Lag] = (), fills: Sequence[Fill] = (),
-              ranges: int | None = None) -> DataFrame:
-    """``df`` with the columns of all ``lags`` and ``fills``. ``ranges``: how
+              ranges: int | None = None, number: str | None = None) -> DataFrame:
+    """``df`` with the columns of all ``lags`` and ``fills``, and as ``number``
+    the 0-based place of a row in its entity (all rows are one without ``entity``). ``ranges``: how
     many parts the table is cut into (else ``spark.sql.shuffle.partitions``,
     merged by AQE where they are small)."""
     from tessera.session import cut_lineage, ship_package
 
     ship_package(df.sparkSession)
-    scan = Scan(entity, lags, fills)
+    scan = Scan(entity, lags, fills, number)
     made = scan.names()
     df = df.drop(*[n for n, _ in made])
     ties = F.xxhash64(*[F.col(c) for c, t in df.dtypes if "map<" not in t and t != "variant"])
@@ -208,7 +212,7 @@ def segmented(df: DataFrame, entity: Sequence[str], order: Sequence, lags: Seque
         so_far = own if so_far is None else so_far.merge(own, scan.rows)
     shared = df.sparkSession.sparkContext.broadcast(before)   # one small state per range
     types = {f.name: f.dataType for f in df.schema.fields}
-    schema = T.StructType([*[T.StructField(f.name, f.dataType) for f in df.schema.fields], *[T.StructField(n, types[c]) for n, c in made]])
+    schema = T.StructType([*[T.StructField(f.name, f.dataType) for f in df.schema.fields], *[T.StructField(n, types[c] if c else T.LongType()) for n, c in made]])
     kept = df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,7 +47,9 @@ class Library:
     def table(self, name: str) -> DataFrame:
         try:
             return self.spark.read.parquet(self.path(name))
-        except Exception:  # noqa: BLE001 - fall back to the .parquet file name
+        except AnalysisException as e:   # any other fault of a table that is there is the caller's to see
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.read.parquet(self.path(name) + ".parquet")
 
     def save(self, df: DataFrame, name: str, mode: str = "errorifexists",

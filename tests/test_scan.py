@@ -110,3 +110,29 @@ def test_no_rows_clashing_names_and_descending_order(spark):
     df = spark.createDataFrame([(1, 1, 10, 7), (1, 2, 20, 7), (1, 3, None, 7)], "e int, o int, v int, state int")
     out = segmented(df, ["e"], [F.col("o").desc()], [Lag("v", 1, "state")], [Fill("v", "f", 0)]).orderBy("o").collect()
     assert [(r.state, r.f) for r in out] == [(20, 10), (None, 20), (None, 0)]
+
+
+@pytest.mark.parametrize("key", ["t", "d"])
+def test_ranks_of_text_and_dates_with_a_hot_value_and_nulls(spark, key):
+    from tessera.operators.rank import row_index
+
+    df = spark.range(600).withColumns({
+        "g": F.when(F.col("id") % 5 > 0, F.col("id") % 2), "t": F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 7 > 0, F.concat(F.lit("é"), F.col("id"))),
+        "d": F.when(F.col("id") % 3 == 0, F.lit("2024-01-01").cast("date")).when(F.col("id") % 7 > 0, F.date_add(F.lit("2023-12-01").cast("date"), F.col("id").cast("int")))})
+    for by in ([], ["g"]):
+        want = df.withColumn("i", F.row_number().over(Window.partitionBy(*by).orderBy(key, "id")) - 1)
+        got = row_index(df.repartition(7), [key, "id"], by=by, out="i")
+        assert sorted((r.id, r.i) for r in got.collect()) == sorted((r.id, r.i) for r in want.collect())
+    assert row_index(df.limit(0), key, out="i").count() == 0
+
+
+def test_folds_and_split_take_text_ids(spark):
+    from tessera.operators import ml
+
+    df = spark.createDataFrame([(f"id{i:03d}", i % 3 == 0) for i in range(90)], "id string, y boolean").repartition(4)
+    f = {r.id: (r.y, r.fold) for r in ml.stratified_folds(df, "id", "y", 5).collect()}
+    assert len(f) == 90 and {sum(v == (y, k) for v in f.values()) for y in (True,) for k in range(5)} == {6}
+    for y in (True, False):   # contiguous blocks in id order
+        folds = [f[i][1] for i in sorted(f) if f[i][0] == y]
+        assert folds == sorted(folds)
+    assert sum(r.is_test for r in ml.split(df, "id", 0.2, 42).collect()) == 18

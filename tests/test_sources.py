@@ -38,3 +38,19 @@ def test_normalise_missing(spark):
     out = {r.id: (r.v, r.s) for r in S.normalise_missing(df).collect()}
     assert out[1] == (None, None) and out[2] == (2.0, "x") and out[3] == (None, None)
     assert not any(isinstance(v, float) and math.isnan(v) for v, _ in out.values())
+
+
+def test_a_table_that_cannot_be_read_is_not_taken_for_another(spark, tmp_path):
+    import pytest
+
+    from tessera.sources.files import Library
+
+    lib = Library(spark, str(tmp_path))
+    spark.range(3).write.parquet(str(tmp_path / "t.parquet"))
+    assert lib.table("t").count() == 3          # no folder "t": the .parquet name
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "part-0.parquet").write_text("not parquet")
+    with pytest.raises(Exception, match="(?i)parquet|footer|corrupt"):
+        lib.table("t").count()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        lib.table("nowhere")
