@@ -10,14 +10,17 @@ smaller of the two terms is at most half of the right side, and either end
 may find the pair. |x - y| is at most s = sqrt(2 - 2t) for partners at cosine
 t, so margin = s / 2 finds every pair, whatever directions the vectors vary
 in; the price is many probes where they vary evenly in many directions. In a list, distances to the codes come from
-lookup tables (asymmetric); those that could reach the threshold, with the
-left-out norm as an exact bound, are ranked again by the exact cosine.
+lookup tables (asymmetric); those that
+could reach the threshold are ranked again by the exact cosine. What a code
+leaves out adds at most the sum over subspaces of |x_m| times the left-out norm
+there, which is an exact bound and never above |x| times the whole left-out norm.
 
 Lists that are near each other form groups of GROUP_LISTS; a vector is sent
 once to each group in which it probes a list, with one bit per list. Groups
 with many members or probes are cut into blocks and paired block by
-block, so no task holds a whole group. Tasks return a degree and a local root
-for each vector, never the pairs.
+block, so no task holds a whole group. Tasks join links up as they find them, a
+bounded number at a time, and return a degree and a local root for each vector,
+never the pairs.
 
 Defined cases: null vectors, empty or zero ones and those with null or
 non-finite components link with nothing; vectors of different lengths don't
@@ -29,6 +32,7 @@ rows; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -46,7 +50,11 @@ SUBSPACES = 8
 CODES = 256
 GROUP_LISTS = 64
 SLACK = 1e-7  # rounding of the probe test
-BLOCK_ROWS = 8192
+TABLE_SLACK = 1e-5  # rounding of single-precision table sums of unit vectors
+BLOCK_ROWS = 1 << 15
+BLOCK_VALUES = 1 << 21  # components in a block: long vectors have blocks of fewer rows
+QUERIES_AT_ONCE = 1024
+FEW = 1 / 16  # up to this share of a part, the queries that ask a list are looked up one by one
 PAIRS_AT_ONCE = 1 << 15
 
 
@@ -84,13 +92,21 @@ class Index:
         rng = np.random.default_rng(seed)
         d = sample.shape[1]
         lists = int(np.clip(rows // LIST_ROWS, 1, min(MAX_LISTS, max(1, len(sample) // 8))))
-        self.centres = _kmeans(sample, lists, 10, rng)
+        self.centres = _kmeans(sample, lists, 6, rng)
         self.centres = self.centres[_near_order(self.centres, np.arange(lists))]
         residual = sample - self.centres[self.home(sample)]
         self.cuts = np.array_split(np.arange(d), min(SUBSPACES, d))
         self.books = [_kmeans(residual[:, c], min(CODES, len(sample)), 6, rng) for c in self.cuts]
         self.margin = (2 - 2 * threshold) ** 0.5 / 2
-        self.apart = np.sqrt(np.maximum(0, ((self.centres ** 2).sum(1)[:, None] + (self.centres ** 2).sum(1) - 2 * self.centres @ self.centres.T)))
+
+    @cached_property
+    def apart(self) -> np.ndarray:
+        """Distances of the centroids: made where they are needed, not sent."""
+        square = (self.centres ** 2).sum(1)
+        return np.sqrt(np.maximum(0, square[:, None] + square - 2 * self.centres @ self.centres.T))
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "apart"}
 
     def home(self, x: np.ndarray) -> np.ndarray:
         return np.concatenate([(x[i:i + 4096] @ self.centres.T).argmax(1) for i in range(0, max(len(x), 1), 4096)])
@@ -108,19 +124,29 @@ class Index:
     def encode(self, residual: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Residual codes and the norm of what they leave out."""
         codes = np.stack([_nearest(residual[:, c], b) for c, b in zip(self.cuts, self.books)], axis=1)
-        left = sum(((residual[:, c] - b[codes[:, m]]) ** 2).sum(1) for m, (c, b) in enumerate(zip(self.cuts, self.books)))
-        return codes, np.sqrt(left)
+        return codes, np.sqrt((self.left_out(residual, codes) ** 2).sum(1))
+
+    def left_out(self, residual: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Norms of what the codes leave out, by subspace."""
+        return self.norms(residual - np.concatenate([b[codes[:, m]] for m, b in enumerate(self.books)], axis=1))
+
+    def norms(self, x: np.ndarray) -> np.ndarray:
+        """Norms of the parts of each row in the subspaces."""
+        return np.stack([np.sqrt((x[:, c] ** 2).sum(1)) for c in self.cuts], axis=1)
 
     def tables(self, queries: np.ndarray) -> list[np.ndarray]:
         """Dot products of all code words and the queries, by subspace."""
-        return [book @ queries[:, c].T for c, book in zip(self.cuts, self.books)]
+        return [(book @ queries[:, c].T).astype(np.float32) for c, book in zip(self.cuts, self.books)]
 
-    def approximate(self, queries: np.ndarray, at: int, codes: np.ndarray, tables: list[np.ndarray] | None = None) -> np.ndarray:
-        """Dot products of queries and codes in list ``at`` by table lookup."""
-        out = np.repeat((queries @ self.centres[at])[None, :], len(codes), axis=0)
-        for m, table in enumerate(tables or self.tables(queries)):
-            out += table[codes[:, m]]
-        return out.T
+    def approximate(self, queries: np.ndarray, at: int, codes: np.ndarray, tables: list[np.ndarray] | None = None, rows: np.ndarray | None = None) -> np.ndarray:
+        """Dot products of codes in list ``at`` and queries (those at ``rows``,
+        or all) by table lookup."""
+        tables = tables or self.tables(queries)
+        x = queries if rows is None else queries[rows]
+        out = np.repeat((x @ self.centres[at]).astype(np.float32)[None, :], len(codes), axis=0)
+        for m, table in enumerate(tables):
+            out += table.take(codes[:, m], axis=0) if rows is None else table[codes[:, m, None], rows]
+        return out
 
 
 def _bits(near: np.ndarray) -> np.ndarray:
@@ -128,14 +154,18 @@ def _bits(near: np.ndarray) -> np.ndarray:
     return np.packbits(np.pad(near, ((0, 0), (0, -near.shape[1] % GROUP_LISTS))), axis=1, bitorder="little")
 
 
-def _roots(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """Local components: labels[i] is the smallest node linked with i."""
-    labels = np.arange(n)
-    for a, b in pairs:  # one row against several
-        found = np.unique(np.concatenate([labels[a:a + 1], labels[b]]))
-        if len(found) > 1:
-            labels[np.isin(labels, found[1:])] = found[0]
-    return labels
+def _join(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``root`` (of each node, the smallest one it is joined with) after the
+    links a-b too."""
+    while True:
+        a, b = root[a], root[b]
+        apart = a != b
+        a, b = a[apart], b[apart]
+        if not len(a):
+            return root
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while not np.array_equal(root, up := root[root]):
+            root = up
 
 
 def _unit(raw: list[bytes], dtype: np.dtype) -> np.ndarray:
@@ -150,7 +180,8 @@ def _links(classes: DataFrame, threshold: float, dtype: np.dtype) -> DataFrame:
     spark = classes.sparkSession
     rows = classes.count()
     sample = classes.orderBy(F.xxhash64("uid"), "uid").limit(SAMPLE_ROWS).select("raw").collect()
-    shared = spark.sparkContext.broadcast(Index(_unit([r.raw for r in sample], dtype), rows, threshold))  # bounded by the sample
+    index = Index(_unit([r.raw for r in sample], dtype), rows, threshold)
+    shared = spark.sparkContext.broadcast(index)  # bounded by the sample
 
     def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = shared.value
@@ -167,7 +198,8 @@ def _links(classes: DataFrame, threshold: float, dtype: np.dtype) -> DataFrame:
     # blocks of each group: a table with one row per group of at most MAX_LISTS lists
     asked = placed.select(F.explode("asks").alias("asked")).groupBy("asked").agg(F.count("*").alias("queries"))
     groups = placed.groupBy(F.col("own").alias("group")).agg(F.count("*").alias("members")).join(asked, F.col("group") == F.col("asked"))
-    blocks = lambda n: F.expr(f"cast(({n} + {BLOCK_ROWS - 1}) div {BLOCK_ROWS} as int)")
+    most = max(1, min(BLOCK_ROWS, BLOCK_VALUES // index.centres.shape[1]))
+    blocks = lambda n: F.expr(f"cast(({n} + {most - 1}) div {most} as int)")
     groups = F.broadcast(materialise(groups.select("group", blocks("members").alias("at"), blocks("queries").alias("wide")), "vector-blocks"))
     stored = placed.join(groups, F.col("own") == F.col("group")).select(
         "group", F.pmod("uid", "at").cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("wide") - 1)).alias("j"), F.lit(True).alias("member"),
@@ -183,7 +215,7 @@ def _links(classes: DataFrame, threshold: float, dtype: np.dtype) -> DataFrame:
             return pd.DataFrame({"uid": pd.Series(dtype="int64"), "linked": pd.Series(dtype="int64"), "root": pd.Series(dtype="int64")})
         x, y = _unit(q["raw"].tolist(), dtype), _unit(m["raw"].tolist(), dtype)
         lists = m["home"].to_numpy()
-        codes, left = index.encode(y - index.centres[lists])
+        codes, _ = index.encode(y - index.centres[lists])
         members = [(int(at), np.flatnonzero(lists == at)) for at in np.unique(lists)]
         uids = np.unique(np.concatenate([q["uid"].to_numpy(), m["uid"].to_numpy()]))
         qi, mi = np.searchsorted(uids, q["uid"].to_numpy()), np.searchsorted(uids, m["uid"].to_numpy())
@@ -191,32 +223,43 @@ def _links(classes: DataFrame, threshold: float, dtype: np.dtype) -> DataFrame:
         homes = q["home"].to_numpy()
         asked = np.unpackbits(np.frombuffer(b"".join(q["probes"]), np.uint8).reshape(len(q), -1), axis=1, bitorder="little").astype(bool)
         known = np.frombuffer(b"".join(m["probes"]), np.uint8).reshape(len(m), -1)  # these lists the member asks by itself
-        linked = np.zeros(len(uids), np.int64)
-
-        def pairs():
-            for a in range(0, len(x), 256):
-                part = x[a:a + 256]
-                tables = index.tables(part)
-                for at, rows in members:
-                    asks = asked[a:a + 256, at % GROUP_LISTS]
-                    if not asks.any():
-                        continue
-                    maybe = (index.approximate(part, at, codes[rows], tables) + left[rows] >= threshold - 1e-9) & asks[:, None]
-                    r, c = np.nonzero(maybe)
-                    r, c = a + r, rows[c]
-                    for k in range(0, len(r), PAIRS_AT_ONCE):
-                        yield from exact(r[k:k + PAIRS_AT_ONCE], c[k:k + PAIRS_AT_ONCE])
-
-        def exact(r: np.ndarray, c: np.ndarray):
+        left, bits = index.left_out(y - index.centres[lists], codes).astype(np.float32), asked.T.copy()
+        linked, root = np.zeros(len(uids), np.int64), np.arange(len(uids))
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def exact(r: np.ndarray, c: np.ndarray) -> None:
             hit = (np.einsum("ij,ij->i", x[r], y[c]) >= threshold) & (qi[r] != mi[c])
             r, c = r[hit], c[hit]
             np.add.at(linked, qi[r], mn[c])
             alone = (known[c, homes[r] >> 3] >> (homes[r] & 7)) & 1 == 0  # the member will not find this query
             np.add.at(linked, mi[c[alone]], qn[r[alone]])
-            for one in np.split(np.arange(len(r)), np.flatnonzero(np.diff(r)) + 1) if len(r) else ():
-                yield qi[r[one[0]]], mi[c[one]]
-
-        roots = uids[_roots(len(uids), pairs())]
+            if len(r):
+                waiting.append((qi[r], mi[c]))
+
+        for a in range(0, len(x), QUERIES_AT_ONCE):
+            part = x[a:a + QUERIES_AT_ONCE]
+            tables, norms = index.tables(part), index.norms(part).astype(np.float32)
+            for at, rows in members:
+                asks = bits[at % GROUP_LISTS, a:a + QUERIES_AT_ONCE]
+                some = np.flatnonzero(asks)
+                if not len(some):
+                    continue
+                some = some if len(some) <= FEW * len(part) else None
+                for k in range(0, len(rows), QUERIES_AT_ONCE):
+                    here = rows[k:k + QUERIES_AT_ONCE]
+                    most = index.approximate(part, at, codes[here], tables, some)
+                    most += left[here] @ (norms if some is None else norms[some]).T
+                    c, r = np.nonzero(most >= threshold - TABLE_SLACK)
+                    r = r if some is None else some[r]
+                    r, c = a + r[asks[r]], here[c[asks[r]]]
+                    for k2 in range(0, len(r), PAIRS_AT_ONCE):
+                        exact(r[k2:k2 + PAIRS_AT_ONCE], c[k2:k2 + PAIRS_AT_ONCE])
+                        if sum(len(w[0]) for w in waiting) >= PAIRS_AT_ONCE:
+                            root = _join(root, *map(np.concatenate, zip(*waiting)))
+                            waiting.clear()
+        if waiting:
+            root = _join(root, *map(np.concatenate, zip(*waiting)))
+        roots = uids[root]
         hit = (linked > 0) | (roots != uids)
         return pd.DataFrame({"uid": uids[hit], "linked": linked[hit], "root": roots[hit]})
 

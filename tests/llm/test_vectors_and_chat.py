@@ -49,11 +49,8 @@ def test_links_by_brute_force(spark, monkeypatch, block):
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
     want = brute_links([r[0] for r in rows], [r[1] for r in rows], 0.9)
     got = {r.vec_id: r for r in D.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
-    found, there = sum(r.n_links for r in got.values()), sum(n for n, _ in want.values())
-    assert there > 200 and found >= 0.98 * there  # measured recall
-    assert all(got[i].n_links <= n for i, (n, _) in want.items())
-    assert sum(got[i].component_id == c for i, (_, c) in want.items()) >= 0.98 * len(rows)
-    assert sum(r.n_links for r in got.values()) % 2 == 0  # every link counts at both ends
+    assert sum(n for n, _ in want.values()) > 200
+    assert {i: (r.n_links, r.component_id) for i, r in got.items()} == want
     assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
 
 
@@ -67,7 +64,7 @@ def test_recall_of_probes_at_the_threshold():
     u -= (u * q).sum(1)[:, None] * q
     y = 0.9 * q + np.sqrt(1 - 0.81) * u / np.linalg.norm(u, axis=1)[:, None]
     (hq, pq), (hy, py) = index.probes(q), index.probes(y)
-    assert np.mean([hy[i] in pq[i] or hq[i] in py[i] for i in range(1000)]) >= 0.95
+    assert np.mean([hy[i] in pq[i] or hq[i] in py[i] for i in range(1000)]) == 1
 
 
 def few_directions(kind, n, seed):
@@ -114,7 +111,11 @@ def test_the_table_distance_has_an_exact_bound():
     x /= np.linalg.norm(x, axis=1)[:, None]
     index = D.Index(x, len(x), 0.9)
     codes, left = index.encode(x - index.centres[0])
-    assert (x @ x.T <= index.approximate(x, 0, codes) + left + 1e-9).all()
+    parts = index.left_out(x - index.centres[0], codes)
+    loose, close = index.approximate(x, 0, codes) + left[:, None], index.approximate(x, 0, codes) + parts @ index.norms(x).T
+    assert (x @ x.T <= close + D.TABLE_SLACK).all() and (close <= loose + D.TABLE_SLACK).all()
+    some = np.array([3, 77, 400])
+    assert np.allclose(index.approximate(x, 0, codes, rows=some), index.approximate(x, 0, codes)[:, some], atol=1e-6)
 
 
 def test_odd_vectors(spark):
@@ -133,8 +134,15 @@ def test_odd_vectors(spark):
 
 
 def test_op8_query(spark):
-    out = E.queries()["op8_pq_near_duplicates"](spark, SF_MID)
-    assert out.count() == spark.read.parquet(f"{SF_MID}/embeddings.parquet").count()
+    rows = spark.read.parquet(f"{SF_MID}/embeddings.parquet").toPandas()
+    x = np.stack(rows["embedding"].to_numpy()).astype(float)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    near = x @ x.T >= 0.9
+    comp, least = components(np.argwhere(near).tolist(), range(len(x))), {}
+    for i, c in comp.items():
+        least[c] = min(least.get(c, rows["vec_id"].max()), rows["vec_id"][i])
+    got = {r.vec_id: (r.n_links, r.component_id) for r in E.queries()["op8_pq_near_duplicates"](spark, SF_MID).collect()}
+    assert got == {rows["vec_id"][i]: (near[i].sum() - 1, least[comp[i]]) for i in range(len(x))}
 
 
 def brute_digests(rows):
