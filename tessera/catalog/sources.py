@@ -16,6 +16,24 @@ def s1_read_csv(spark, sf):
     return n.groupBy("n_regionkey").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
+def s1_read_csv_checked(spark, sf):
+    """All orders as text files of two column orders, with lines that lack a
+    field, have one too many or a price that is no number."""
+    path = scratch_path(spark, "orders-csv")
+    o = T(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    key, status, price = F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_totalprice")
+    price = F.when(key % 11 == 0, F.lit("n/a")).otherwise(price.cast("string"))
+    line = F.when(key % 7 == 0, F.concat_ws(",", key, status)).when(key % 13 == 0, F.concat_ws(",", key, status, price, F.lit("x")))
+    o.select(F.coalesce(line, F.concat_ws(",", key, status, price)).alias("o_orderkey,o_orderstatus,o_totalprice")).where(key % 2 == 0).write.option(
+        "header", True).option("sep", "\t").csv(f"{path}/a")
+    o.select(F.concat_ws(",", price, key, F.lit("c"), status).alias("o_totalprice,o_orderkey,o_more,o_orderstatus")).where(key % 2 == 1).write.option(
+        "header", True).option("sep", "\t").csv(f"{path}/b")
+    good, bad = S.read_csv_checked(spark, f"{path}/*", "o_orderkey bigint, o_orderstatus string, o_totalprice double")
+    good = good.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").cast("bigint").alias("keys"))
+    bad = bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.lit(None).cast("bigint").alias("keys"))
+    return good.select(F.col("o_orderstatus").alias("what"), "n", "keys").unionAll(bad.select("reason", "n", "keys"))
+
+
 def s2_library(spark, sf):
     lib = S.Library(spark, sf)
     return lib.table("nation").join(lib.table("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(
@@ -30,6 +48,19 @@ def s3_library_save(spark, sf):
     return lib.save(monthly, "monthly_totals", partition_by=["y"]).select("y", "m", "total")
 
 
+BUCKETS = 16
+
+
+def s3_library_keyed(spark, sf):
+    """Orders and line items saved by order key, joined and summed without an
+    exchange of either."""
+    lib = S.Library(spark, scratch_path(spark, "library"))
+    orders = lib.save_keyed(T(spark, sf, "orders"), "orders", ["o_orderkey"], BUCKETS, parts=1)
+    items = lib.save_keyed(T(spark, sf, "lineitem"), "lineitem", ["l_orderkey"], BUCKETS, parts=1)
+    j = orders.join(items, F.col("o_orderkey") == F.col("l_orderkey"))
+    return j.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("items"), F.sum("l_quantity").cast("double").alias("quantity"), F.first("o_orderstatus").alias("status"))
+
+
 def s4_from_matrix(spark, sf):
     cost = V(spark, sf, "v_cost")
     segs = sorted(r[0] for r in V(spark, sf, "v_segments").select("segment").collect())  # 5-row dimension
@@ -50,6 +81,13 @@ QUERIES = {k: v for k, v in globals().items() if k[:1] == "s" and k[1:2].isdigit
 
 ORACLE = {
     "s1_read_csv": "select n_regionkey, cast(count(*) as bigint) as n from nation group by n_regionkey",
+    "s1_read_csv_checked": """with o as (select o_orderkey, o_orderstatus, case
+    when o_orderkey % 2 = 0 and (o_orderkey % 7 = 0 or o_orderkey % 13 = 0) then 'fields'
+    when o_orderkey % 11 = 0 then 'o_totalprice' end as reason from orders)
+  select o_orderstatus as what, count(*) as n, cast(sum(o_orderkey) as bigint) as keys from o where reason is null group by 1
+  union all select reason, count(*), cast(null as bigint) from o where reason is not null group by 1""",
+    "s3_library_keyed": """select o_orderkey, count(*) as items, cast(sum(l_quantity) as double) as quantity, first(o_orderstatus) as status
+  from orders join lineitem on o_orderkey = l_orderkey group by o_orderkey""",
     "s2_library": "select n_nationkey, n_name, r_name from nation join region on n_regionkey = r_regionkey",
     "s3_library_save": """select cast(year(o_orderdate) as int) as y, cast(month(o_orderdate) as int) as m, sum(o_totalprice) as total
   from orders group by all""",

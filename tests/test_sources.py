@@ -54,3 +54,66 @@ def test_a_table_that_cannot_be_read_is_not_taken_for_another(spark, tmp_path):
         lib.table("t").count()
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         lib.table("nowhere")
+
+
+def test_rows_that_do_not_fit_go_to_a_side_table(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('\nid,name,x\n1,a,1.5\n2,"b,c",2\n3,d\n4,e,5,6\n5,f,n/a\n,g,\nx,"h",1\n')
+    (tmp_path / "b.csv").write_text("x,more,id\n7.5,q,10\n8.5,q\noops,q,oops\n")
+    (tmp_path / "empty.csv").write_text("")
+    good, bad = S.read_csv_checked(spark, str(tmp_path), "id int, name string, x double")
+    assert sorted(good.collect(), key=str) == sorted([(1, "a", 1.5), (2, "b,c", 2.0), (None, "g", None), (10, None, 7.5)], key=str)
+    assert sorted((r.file.rsplit("/", 1)[1], r.reason) for r in bad.collect()) == [
+        ("a.csv", "fields"), ("a.csv", "fields"), ("a.csv", "id"), ("a.csv", "x"), ("b.csv", "fields"), ("b.csv", "id")]
+    assert {r.line for r in bad.where("reason = 'fields'").collect()} == {"3,d", "4,e,5,6", "8.5,q"}
+    # the same rows fit, whatever is read of them
+    assert good.select("name").count() == good.count() == 4 and bad.select("reason").count() == bad.count() == 6
+    one, other = S.read_csv_checked(spark, str(tmp_path / "a.csv"), "id int, name string, x double", by_name=False)
+    assert (one.count(), other.count()) == (3, 4)
+
+
+def test_a_header_that_names_a_column_twice_is_refused(spark, tmp_path):
+    import pytest
+
+    (tmp_path / "a.csv").write_text("id,id\n1,2\n")
+    with pytest.raises(ValueError, match="twice"):
+        S.read_csv_checked(spark, str(tmp_path), "id int")
+    (tmp_path / "a.csv").write_text("")
+    good, bad = S.read_csv_checked(spark, str(tmp_path), "id int")
+    assert good.columns == ["id"] and good.count() == bad.count() == 0
+
+
+def test_keyed_tables_join_without_an_exchange(spark, tmp_path):
+    import pytest
+
+    lib = S.Library(spark, str(tmp_path))
+    # one key holds a third of the rows; keys may be missing
+    rows = [(7 if i % 3 == 0 else None if i % 50 == 1 else i, i) for i in range(3000)]
+    facts = lib.save_keyed(spark.createDataFrame(rows, "k long, v long").repartition(6), "facts", ["k"], 8, parts=3)
+    names = lib.save_keyed(spark.createDataFrame([(i, f"n{i}") for i in range(3000)], "key long, name string"), "names", ["key"], 8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = facts.join(names, F.col("k") == F.col("key"))
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SortMergeJoin" in plan
+        assert j.count() == sum(k is not None for k, _ in rows)
+        by = facts.groupBy("k").agg(F.sum("v").alias("s"))
+        assert "Exchange" not in by._jdf.queryExecution().executedPlan().toString()
+        want = {}
+        for k, v in rows:
+            want[k] = want.get(k, 0) + v
+        assert {r.k: r.s for r in by.collect()} == want
+        # a library opened again, as another session would
+        spark.sql(f"drop table {lib._entry('names')}")
+        again = S.Library(spark, str(tmp_path))
+        back = again.attach_keyed("names", "key long, name string", ["key"], 8)
+        plan = again.table("facts").join(back, F.col("k") == F.col("key"))._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and back.count() == 3000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # no task has written the whole of the hot key
+    per_file = facts.where("k = 7").groupBy(F.col("_metadata.file_path")).count().collect()
+    assert len(per_file) > 1 and max(r["count"] for r in per_file) < 800
+    with pytest.raises(Exception, match="(?i)exist"):
+        lib.save_keyed(spark.range(3).withColumnRenamed("id", "k"), "facts", ["k"], 8)
+    lib.save_keyed(spark.range(3).withColumnRenamed("id", "k"), "facts", ["k"], 4, mode="overwrite")
+    assert lib.table("facts").count() == 3
