@@ -68,6 +68,17 @@ def d12_ff3_alpha(spark, sf):
     return E.ff3_alpha(_with_hl(spark, sf), V(spark, sf, "v_factors"), "vw")
 
 
+WINDOW = (199701, 200006)
+
+
+def d12_raw_returns_window(spark, sf):
+    return E.factor_alphas(_with_hl(spark, sf), V(spark, sf, "v_factors"), "vw", "raw", WINDOW)
+
+
+def d12_capm_alpha_window(spark, sf):
+    return E.factor_alphas(_with_hl(spark, sf), V(spark, sf, "v_factors"), "vw", "capm", WINDOW)
+
+
 QUERIES = {k: v for k, v in globals().items() if k[:1] == "d" and k[1:2].isdigit() and callable(v)}
 
 _OUT = ", ".join(f"'{c}'" for c in E.STATUS_CODES["out"])
@@ -123,6 +134,11 @@ select entity, y, m, status_filled, decision from h where rn = 1""", "v_notices"
     "d11_high_low": W(f"with {_PORT} select grp, y, m, ew, vw from hl", "v_returns", "v_statements"),
     "d12_raw_returns": W(f"""with {_PORT} select grp, avg(ew) as mean, stddev_samp(ew) as sd, cast(count(ew) as bigint) as n,
   avg(ew) / (stddev_samp(ew) / sqrt(count(ew))) as t from allp group by grp""", "v_returns", "v_statements"),
+    "d12_raw_returns_window": W(f"""with {_PORT} select grp, avg(vw) as mean, stddev_samp(vw) as sd, cast(count(vw) as bigint) as n,
+  avg(vw) / (stddev_samp(vw) / sqrt(count(vw))) as t from allp where y * 100 + m between {WINDOW[0]} and {WINDOW[1]} group by grp""",
+                                "v_returns", "v_statements"),
+    "d12_capm_alpha_window": W(f"with {_PORT}" + _CAPM.format(w="vw").replace("from allp a", f"from (select * from allp where y * 100 + m between {WINDOW[0]} and {WINDOW[1]}) a"),
+                               "v_returns", "v_statements", "v_factors"),
     "d12_capm_alpha_ew": W(f"with {_PORT}" + _CAPM.format(w="ew"), "v_returns", "v_statements", "v_factors"),
     "d12_capm_alpha_vw": W(f"with {_PORT}" + _CAPM.format(w="vw"), "v_returns", "v_statements", "v_factors"),
 }

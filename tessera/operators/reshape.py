@@ -36,20 +36,44 @@ def lengthen(df: DataFrame, ids: Sequence[str], cols: Sequence[str], var: str =
     return df.unpivot(list(ids), list(cols), var, value)
 
 
+def _ordinal(df: DataFrame, period: str):
+    """The period as a whole number, where its type has one of itself."""
+    kind = dict(df.dtypes)[period]
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return F.col(period).cast("bigint")
+    return F.unix_date(period).cast("bigint") if kind == "date" else None
+
+
+def _periods_seen(df: DataFrame, keys: Sequence[str], ordinal) -> DataFrame:
+    """(keys, _np): distinct periods of each entity. 64 periods are the bits of
+    one long, or-ed together where the rows are, so what is shuffled is a long
+    for each entity and stretch of periods, not its periods."""
+    word = F.shiftright(ordinal, 6)
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(ordinal, F.lit(64)).cast("int"))
+    words = df.groupBy(*keys, word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))   # a missing period has no bit
+    return words.groupBy(*keys).agg(F.coalesce(F.sum(F.bit_count("_bits")), F.lit(0)).cast("bigint").alias("_np"))
+
+
 def complete_entities(df: DataFrame, entity: Sequence[str], period: str,
                       n_periods: int | None = None, measure: str | None = None) -> DataFrame:
     """Keep only entities that have a row in every period (the number of
     periods is all distinct periods of the table unless given). With
     ``measure``, a period counts for an entity only where the measure is
-    present (neither NULL nor NaN)."""
+    present (neither NULL nor NaN). Periods that are dates or whole numbers are
+    counted as bits (``_periods_seen``), others as distinct values."""
     entity = list(entity)
     have = df
     if measure is not None:
         v = F.col(measure)
         have = df.where(v.isNotNull() & ~F.isnan(v) if dict(df.dtypes)[measure] in ("double", "float") else v.isNotNull())
-    need = n_periods if n_periods is not None else df.select(F.count_distinct(F.col(period))).scalar()
-    full = (have.groupBy(*entity).agg(F.count_distinct(F.col(period)).alias("_np"))
-            .where(F.col("_np") == need).select(*entity))
+    ordinal = _ordinal(df, period)
+    if ordinal is None:
+        need = n_periods if n_periods is not None else df.select(F.count_distinct(F.col(period))).scalar()
+        seen = have.groupBy(*entity).agg(F.count_distinct(F.col(period)).alias("_np"))
+    else:
+        need = n_periods if n_periods is not None else _periods_seen(df, [], ordinal).select("_np").scalar()
+        seen = _periods_seen(have, entity, ordinal)
+    full = seen.where(F.col("_np") == need).select(*entity)
     return null_safe_join(df, full, entity, "left_semi")
 
 

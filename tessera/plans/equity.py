@@ -109,19 +109,34 @@ def high_low(port: DataFrame, hi: str = "10", lo: str = "1", label: str = "H-L")
         (F.col("_hvw") - F.col("_lvw")).alias("vw"))
 
 
-def raw_returns(port: DataFrame, weight: str = "ew") -> DataFrame:
+def within(port: DataFrame, window: tuple[int | None, int | None] | None) -> DataFrame:
+    """Rows from a begin to an end month (``y * 100 + m``, both included);
+    None leaves that side open."""
+    begin, end = window or (None, None)
+    at = yyyymm("y", "m")
+    if begin is not None:
+        port = port.where(at >= begin)
+    return port if end is None else port.where(at <= end)
+
+
+Window = tuple[int | None, int | None] | None
+
+
+def raw_returns(port: DataFrame, weight: str = "ew", window: Window = None) -> DataFrame:
     """D12 (raw): mean portfolio return per group with its t statistic
-    t = mean / (sd / sqrt(n))."""
+    t = mean / (sd / sqrt(n)), over the months ``within`` the window."""
     r = F.col(weight)
-    g = port.groupBy("grp").agg(F.avg(r).alias("mean"), F.stddev_samp(r).alias("sd"),
+    g = within(port, window).groupBy("grp").agg(F.avg(r).alias("mean"), F.stddev_samp(r).alias("sd"),
                                 F.count(r).cast("bigint").alias("n"))
     return g.withColumn("t", F.try_divide(F.col("mean"), F.col("sd") / F.sqrt(F.col("n"))))
 
 
-def capm_alpha(port: DataFrame, factors: DataFrame, weight: str = "ew", spread_label: str = "H-L") -> DataFrame:
+def capm_alpha(port: DataFrame, factors: DataFrame, weight: str = "ew", spread_label: str = "H-L",
+               window: Window = None) -> DataFrame:
     """D12 (CAPM): per group regress excess return (ret - rf; not for the
-    spread portfolio) on ``mkt``: alpha, beta, t of alpha, R^2, n."""
-    j = port.join(factors, ["y", "m"])
+    spread portfolio) on ``mkt``: alpha, beta, t of alpha, R^2, n, over the
+    months ``within`` the window."""
+    j = within(port, window).join(factors, ["y", "m"])
     ex = F.when(F.col("grp") == spread_label, F.col(weight)).otherwise(F.col(weight) - F.col("rf"))
     d = j.select("grp", ex.alias("yv"), F.col("mkt").alias("xv")).where(F.col("yv").isNotNull() & F.col("xv").isNotNull())
     g = d.groupBy("grp").agg(
@@ -135,22 +150,26 @@ def capm_alpha(port: DataFrame, factors: DataFrame, weight: str = "ew", spread_l
         "_sxx", "_syy", "_sxy", "_mx")
 
 
-def ff3_alpha(port: DataFrame, factors: DataFrame, weight: str = "ew", spread_label: str = "H-L") -> DataFrame:
+def ff3_alpha(port: DataFrame, factors: DataFrame, weight: str = "ew", spread_label: str = "H-L",
+              window: Window = None) -> DataFrame:
     """D12 (three factors): per group regress excess return on mkt, smb, hml
-    (grouped sufficient statistics, solved per group)."""
-    j = port.join(factors, ["y", "m"])
+    (grouped sufficient statistics, solved per group), over the months
+    ``within`` the window."""
+    j = within(port, window).join(factors, ["y", "m"])
     ex = F.when(F.col("grp") == spread_label, F.col(weight)).otherwise(F.col(weight) - F.col("rf"))
     return ols_multi_by(j.withColumn("ex_ret", ex), ["grp"], "ex_ret", ["mkt", "smb", "hml"])
 
 
-def factor_alphas(port: DataFrame, factors: DataFrame, weight: str = "ew", model: str = "capm") -> DataFrame:
+def factor_alphas(port: DataFrame, factors: DataFrame, weight: str = "ew", model: str = "capm",
+                  window: Window = None) -> DataFrame:
     """Portfolio performance per group for ``weight`` in ("ew", "vw"):
     ``model="raw"`` mean return and t; ``"capm"`` alpha and beta on the market
-    excess return; ``"ff3"`` alpha and loadings on mkt, smb, hml."""
+    excess return; ``"ff3"`` alpha and loadings on mkt, smb, hml; ``window``
+    gives the begin and end month."""
     if model == "raw":
-        return raw_returns(port, weight)
+        return raw_returns(port, weight, window=window)
     if model == "capm":
-        return capm_alpha(port, factors, weight)
+        return capm_alpha(port, factors, weight, window=window)
     if model == "ff3":
-        return ff3_alpha(port, factors, weight)
+        return ff3_alpha(port, factors, weight, window=window)
     raise ValueError(f"model must be raw, capm or ff3, not {model!r}")

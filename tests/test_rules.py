@@ -260,3 +260,50 @@ def test_factor_alphas_dispatch(spark):
     assert capm["n"] == 12 and capm["beta"] is not None
     with pytest.raises(ValueError):
         equity.factor_alphas(port, fac, "ew", "nope")
+
+
+def test_complete_entities_counts_periods_as_bits(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from tessera.operators import reshape as R
+
+    # 150 days (three words of bits), some before 1970; entity 0 holds a third of the rows, with repeats
+    days = [dt.date(1969, 11, 20) + dt.timedelta(days=i) for i in range(150)]
+    rows = [(0, d, 1.0) for d in days for _ in range(4)] + [(1, d, 1.0) for d in days] + [(2, d, 1.0) for d in days[1:]]
+    rows += [(3, d, None if d == days[70] else float("nan") if d == days[71] else 1.0) for d in days] + [(None, d, 1.0) for d in days] + [(4, None, 1.0)]
+    df = spark.createDataFrame(rows, "e int, d date, v double")
+
+    def kept(*a, **k):
+        return {r[0] for r in R.complete_entities(*a, **k).select("e").distinct().collect()}
+
+    assert kept(df, ["e"], "d") == {0, 1, 3, None}
+    assert kept(df, ["e"], "d", measure="v") == {0, 1, None}
+    assert kept(df, ["e"], "d", n_periods=149) == {2}
+    by_number = df.withColumn("p", F.datediff("d", F.lit(dt.date(1970, 1, 1))).cast("bigint"))
+    assert kept(by_number, ["e"], "p") == kept(df.withColumn("p", F.col("d").cast("string")), ["e"], "p") == {0, 1, 3, None}
+    assert kept(df.where("false"), ["e"], "d") == set() and kept(df.where("d is null"), ["e"], "d") == {4}
+    plan = R.complete_entities(df, ["e"], "d")._jdf.queryExecution().optimizedPlan().toString()
+    assert "bit_or" in plan and "Expand" not in plan and "distinct" not in plan
+
+
+def test_alphas_over_a_window_of_months(spark):
+    from tessera.plans import equity as Q
+
+    months = [(y, m) for y in (2000, 2001) for m in range(1, 13)]
+    port = spark.createDataFrame([(g, y, m, 0.01 * ((y + m * k) % 7) + 0.002 * k, None) for k, g in enumerate(["1", "H-L"], 1) for y, m in months],
+                                 "grp string, y int, m int, ew double, vw double")
+    fac = spark.createDataFrame([(y, m, 0.01 * ((3 * m + y) % 5), 0.003 * (m % 4), 0.002 * (m % 3), 0.001) for y, m in months],
+                                "y int, m int, mkt double, smb double, hml double, rf double")
+    for model in ("raw", "capm", "ff3"):
+        part = port.where("y * 100 + m between 200003 and 200110")
+        keys = ["grp", "term"] if model == "ff3" else ["grp"]
+        got = Q.factor_alphas(port, fac, "ew", model, window=(200003, 200110)).toPandas().sort_values(keys)
+        want = Q.factor_alphas(part, fac, "ew", model).toPandas().sort_values(keys)
+        assert got[keys].values.tolist() == want[keys].values.tolist() and set(got["n"]) == {20}
+        rest = [c for c in want if c not in keys]
+        assert abs(got[rest].to_numpy(float) - want[rest].to_numpy(float)).max() < 1e-9
+    assert {r.n for r in Q.raw_returns(port, "ew", (200003, None)).collect()} == {22}
+    assert {r.n for r in Q.raw_returns(port, "ew", (None, 200002)).collect()} == {2}
+    assert {r.n for r in Q.raw_returns(port, "ew").collect()} == {24}
