@@ -3,7 +3,7 @@
 Correlations and simple regressions are single aggregations (``covar_samp``,
 ``regr_*``), so they are combined map-side and scale with the data. Multiple
 regression reduces the data to sufficient statistics (means, then centred
-cross-products X'X and X'y) in two distributed aggregations; only the p x p
+cross-products X'X and X'y) in one pass (``gram``) or one aggregation per group; only the p x p
 system (p = number of regressors) is solved with numpy -- on the driver for
 one model, or in ``mapInPandas`` over one row per group for grouped models.
 """
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.tails import f_upper, t_pvalue, t_two_sided
+from tessera.operators import gram
 
 
 def _r(x: Column, y: Column) -> Column:
@@ -47,28 +48,27 @@ def corr_matrix(df: DataFrame, vars_: Sequence[str], with_: Sequence[str] | None
     is None), pairwise-complete, as a long table (var, with_var, r, n) plus the
     simple statistics of ``var`` (mean, std, n_var over its non-missing values).
 
-    Each row is exploded into one (pair, x, y) record per unordered pair and
-    one per variable, and a single aggregation grouped by the pair computes
-    everything: four aggregate functions instead of one per pair, so the
-    aggregation stays in generated code, and partial aggregation leaves one row
-    per pair per task before the (tiny) shuffle."""
+    One pass adds up the cross-products of all variables with their presence
+    masks (``gram.moments``), so a row is one record whatever the number of
+    pairs, and one row per pair leaves a task. A variable with NaN or
+    infinite values has NaN statistics."""
+    from tessera.session import ship_package
+
     spark = df.sparkSession
     vars_ = list(vars_)
     with_ = list(with_ or vars_)
     names = list(dict.fromkeys(vars_ + with_))
     idx = {n: k for k, n in enumerate(names)}
-    pairs = sorted({tuple(sorted((idx[v], idx[w]))) for v in vars_ for w in with_})
-    recs = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(names[i]).cast("double").alias("x"),
-                     F.col(names[j]).cast("double").alias("y")) for i, j in pairs]
-    recs += [F.struct(F.lit(idx[v]).alias("i"), F.lit(-1).alias("j"), F.col(v).cast("double").alias("x"),
-                      F.col(v).cast("double").alias("y")) for v in vars_]
-    long = (df.select(F.explode(F.array(*recs)).alias("_p")).select("_p.*")
-            .where(F.col("x").isNotNull() & F.col("y").isNotNull()))
-    agg = long.groupBy("i", "j").agg(_r(F.col("x"), F.col("y")).alias("r"), F.count(F.lit(1)).cast("bigint").alias("n"),
-                                     F.avg("x").alias("_mean"), F.stddev_samp("x").alias("_std"))
-    pair_stats = agg.where(F.col("j") >= 0).select(F.col("i").alias("_a"), F.col("j").alias("_b"), "r", "n")
-    var_stats = agg.where(F.col("j") < 0).select(F.col("i").alias("_v"), F.col("_mean").alias("mean_var"),
-                                                 F.col("_std").alias("std_var"), F.col("n").alias("n_var"))
+    ship_package(spark)
+    # names may hold any character, and the pass is over doubles
+    d = df.select(*[F.col(n).cast("double").alias(f"_v{k}") for n, k in idx.items()])
+    got = gram.moments(d, [gram.Block("all", tuple(d.columns))])
+    pair_stats = got.where(F.col("n") > 0).select(
+        F.col("i").alias("_a"), F.col("j").alias("_b"),
+        F.try_divide("c", F.sqrt(F.col("ss_i")) * F.sqrt(F.col("ss_j"))).alias("r"), "n")
+    var_stats = got.where((F.col("i") == F.col("j")) & (F.col("n") > 0)).select(
+        F.col("i").alias("_v"), F.col("mean_i").alias("mean_var"),
+        F.when(F.col("n") > 1, F.sqrt(F.col("ss_i") / (F.col("n") - 1))).alias("std_var"), F.col("n").alias("n_var"))
     # the output grid (len(vars) x len(with) rows) joined to the per-pair results
     grid = spark.createDataFrame([(v, w, idx[v], min(idx[v], idx[w]), max(idx[v], idx[w])) for v in vars_ for w in with_],
                                  "var string, with_var string, _v int, _a int, _b int")
@@ -240,39 +240,23 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], residual_quantiles: bool = Tru
 RESID_NAMES = ["resid_min", "resid_q1", "resid_median", "resid_q3", "resid_max"]
 
 
-def _pair_moments(d: DataFrame, specs: Mapping[str, tuple[str, Sequence[str]]], masks: Mapping[str, Column]):
-    """n, means and centred cross-products of every model in one pass.
-
-    Each row becomes one record per (model, variable pair) over the model's
-    complete cases; one grouped aggregation with four functions (count, two
-    means, ``covar_pop``) replaces one wide aggregation with hundreds of
-    functions, so the plan stays small and in generated code; partial
-    aggregation leaves one row per (model, pair) per task."""
-    recs = []
-    for name, (y, xs) in specs.items():
-        cols = [y, *xs]
-        for a in range(len(cols)):
-            for b in range(a, len(cols)):
-                recs.append(F.struct(F.lit(name).alias("model"), F.lit(a).alias("a"), F.lit(b).alias("b"),
-                                     F.when(masks[name], F.col(cols[a])).alias("u"),
-                                     F.when(masks[name], F.col(cols[b])).alias("v")))
-    long = d.select(F.explode(F.array(*recs)).alias("_r")).select("_r.*").where(F.col("u").isNotNull())
-    got = long.groupBy("model", "a", "b").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("u").alias("mu"), F.avg("v").alias("mv"),
-        F.covar_pop("u", "v").alias("c")).collect()        # (p+1)(p+2)/2 rows per model
-    by_model: dict = {}
-    for r in got:
-        by_model.setdefault(r["model"], {})[(r["a"], r["b"])] = r
+def _model_moments(d: DataFrame, specs: Mapping[str, tuple[str, Sequence[str]]]):
+    """n, means and centred cross-products of every model over its complete
+    cases, all from one pass; (p + 1)(p + 2) / 2 rows per model come to the driver."""
+    blocks = [gram.Block(name, (y, *xs), complete=True) for name, (y, xs) in specs.items()]
+    cells: dict = {}
+    for r in gram.moments(d, blocks).collect():
+        cells.setdefault(r["block"], []).append(r)
     out = {}
-    for name, (y, xs) in specs.items():
-        k = len(xs) + 1
-        cells = by_model.get(name, {})
-        n = float(cells[(0, 0)]["n"]) if (0, 0) in cells else 0.0
-        means = np.array([cells[(a, a)]["mu"] if (a, a) in cells else 0.0 for a in range(k)], dtype=float)
-        cov = np.zeros((k, k))
-        for (a, b), r in cells.items():
-            cov[a, b] = cov[b, a] = (r["c"] or 0.0) * n
-        out[name] = (n, means, cov[1:, 1:], cov[1:, 0], float(cov[0, 0]))
+    for b in blocks:
+        k = len(b.columns)
+        n, means, cov = 0.0, np.zeros(k), np.zeros((k, k))
+        for r in cells.get(b.name, ()):
+            i, j, n = r["i"], r["j"], float(r["n"])
+            cov[i, j] = cov[j, i] = r["c"] or 0.0
+            if i == j:
+                means[i] = r["mean_i"] or 0.0
+        out[b.name] = (n, means, cov[1:, 1:], cov[1:, 0], float(cov[0, 0]))
     return out
 
 
@@ -280,30 +264,22 @@ def ols_many(df: DataFrame, specs: Mapping[str, tuple[str, Sequence[str]]],
              residual_quantiles: bool = True) -> dict[str, OlsResult]:
     """Several regressions on one table (e.g. nested models) in one pass.
 
-    Each model keeps its own complete cases through a row mask, so one
-    aggregation computes every model's moments; the residual quantiles of
+    Each model keeps its own complete cases (NaN is missing), and one pass
+    adds up every model's moments; the residual quantiles of
     all models come from one grouped run of the exact distributed quantiles.
+    Nothing is cached: the residual pass reads the table again.
     Returns one ``OlsResult`` per model name."""
     from tessera.operators.rank import quantiles
+    from tessera.session import ship_package
 
     spark = df.sparkSession
     specs = {k: (y, _dedupe(xs)) for k, (y, xs) in specs.items()}
     cols = list(dict.fromkeys(c for y, xs in specs.values() for c in [y, *xs]))
-    # one complete-case flag per model, computed once as a column
-    flags = {}
-    for i, (name, (y, xs)) in enumerate(specs.items()):
-        mask = None
-        for c in [y, *xs]:
-            e = F.col(c).isNotNull() & ~F.isnan(F.col(c))
-            mask = e if mask is None else mask & e
-        flags[f"_mk{i}"] = mask
-    # read by the moments and by the residual pass: keep it for both
-    d = (df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-         .withColumns(flags).persist())
-    masks = {name: F.col(f"_mk{i}") for i, name in enumerate(specs)}
-    moments = _pair_moments(d, specs, masks)
+    ship_package(spark)
+    d = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
+    moments = _model_moments(d, specs)
     fits = {}
-    for i, (name, (y, xs)) in enumerate(specs.items()):
+    for name, (y, xs) in specs.items():
         n, means, sxx, sxy, syy = moments[name]
         rows, summ = _solve(n, means, sxx, sxy, syy, xs)
         summ.update({k: None for k in RESID_NAMES} if residual_quantiles else {})
@@ -316,11 +292,13 @@ def ols_many(df: DataFrame, specs: Mapping[str, tuple[str, Sequence[str]]],
             for r in rows[1:]:
                 if r["estimate"] is not None:
                     fitted = fitted + F.lit(r["estimate"]) * F.col(r["term"])
-            parts.append(F.struct(F.lit(name).alias("_model"), F.when(masks[name], F.col(y) - fitted).alias("_e")))
+            complete = F.lit(True)
+            for c in [y, *xs]:
+                complete = complete & F.col(c).isNotNull()
+            parts.append(F.struct(F.lit(name).alias("_model"), F.when(complete, F.col(y) - fitted).alias("_e")))
         e = (d.select(F.explode(F.array(*parts)).alias("_r")).select("_r.*").where(F.col("_e").isNotNull()))
         for r in quantiles(e, "_e", [0.0, 0.25, 0.5, 0.75, 1.0], by=["_model"], names=RESID_NAMES).collect():
             fits[r["_model"]][1].update({k: r[k] for k in RESID_NAMES})
-    d.unpersist()
     coef_schema = "term string, estimate double, std_error double, t_value double, p_value double"
     out = {}
     for name, (rows, summ) in fits.items():
