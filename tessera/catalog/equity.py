@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.catalog.common import T, V, W
+from tessera.catalog.common import T, V, W, ols3_sql
 from tessera.operators import ordered as O
 from tessera.plans import equity as E
 
@@ -68,6 +68,11 @@ def d12_ff3_alpha(spark, sf):
     return E.ff3_alpha(_with_hl(spark, sf), V(spark, sf, "v_factors"), "vw")
 
 
+def d12_ff3_estimates(spark, sf):
+    """As ``d12_ff3_alpha``, without the p-value that SQL has no function for."""
+    return d12_ff3_alpha(spark, sf).drop("p_value")
+
+
 WINDOW = (199701, 200006)
 
 
@@ -134,6 +139,9 @@ select entity, y, m, status_filled, decision from h where rn = 1""", "v_notices"
     "d11_high_low": W(f"with {_PORT} select grp, y, m, ew, vw from hl", "v_returns", "v_statements"),
     "d12_raw_returns": W(f"""with {_PORT} select grp, avg(ew) as mean, stddev_samp(ew) as sd, cast(count(ew) as bigint) as n,
   avg(ew) / (stddev_samp(ew) / sqrt(count(ew))) as t from allp group by grp""", "v_returns", "v_statements"),
+    "d12_ff3_estimates": W(f"with {_PORT},\nfj as (select a.grp, f.mkt, f.smb, f.hml, case when a.grp = 'H-L' then a.vw else a.vw - f.rf end as ex_ret"
+                           " from allp a join v_factors f on a.y = f.y and a.m = f.m),\n"
+                           + ols3_sql("fj", "grp", "ex_ret", ("mkt", "smb", "hml")), "v_returns", "v_statements", "v_factors"),
     "d12_raw_returns_window": W(f"""with {_PORT} select grp, avg(vw) as mean, stddev_samp(vw) as sd, cast(count(vw) as bigint) as n,
   avg(vw) / (stddev_samp(vw) / sqrt(count(vw))) as t from allp where y * 100 + m between {WINDOW[0]} and {WINDOW[1]} group by grp""",
                                 "v_returns", "v_statements"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.catalog.common import V, W, T
+from tessera.catalog.common import V, W, T, ols3_sql
 from tessera.operators import stats as S
 
 LI_VARS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "net_price", "charge"]
@@ -67,6 +67,11 @@ def t7_ols_multi_by(spark, sf):
     return S.ols_multi_by(d, ["entity"], "ex_ret", ["mkt", "smb", "hml"])
 
 
+def t7_ols_multi_by_estimates(spark, sf):
+    """As ``t7_ols_multi_by``, without the p-value that SQL has no function for."""
+    return t7_ols_multi_by(spark, sf).drop("p_value")
+
+
 QUERIES = {k: v for k, v in globals().items() if k[:1] == "t" and k[1:2].isdigit() and callable(v)}
 
 
@@ -106,6 +111,8 @@ select brand, r, cast(n as bigint) as n, cast(n - 2 as bigint) as df, r * sqrt((
     "t4_ols_by_month": W(_OLS.format(keys="y, m"), "v_returns", "v_factors"),
     "t5_beta_gap": W("""with r as (select * from v_returns join v_factors using (y, m))
 select entity, abs(1 - regr_slope(ret, mkt)) as beta_gap from r group by entity""", "v_returns", "v_factors"),
+    "t7_ols_multi_by_estimates": W("with r as (select *, ret - rf as ex_ret from v_returns join v_factors using (y, m)),\n"
+                                   + ols3_sql("r", "entity", "ex_ret", ("mkt", "smb", "hml")), "v_returns", "v_factors"),
     "t6_ols_simple": W("""with g as (select regr_intercept(units, price) as b0, regr_slope(units, price) as b1, regr_count(units, price) as n,
   regr_sxx(units, price) as sxx, regr_syy(units, price) as syy, regr_sxy(units, price) as sxy, avg(price) as mx from v_brand_month),
 s as (select *, (syy - sxy * sxy / sxx) / (n - 2) as s2 from g)
