@@ -267,16 +267,18 @@ def ols_many(df: DataFrame, specs: Mapping[str, tuple[str, Sequence[str]]],
     Each model keeps its own complete cases (NaN is missing), and one pass
     adds up every model's moments; the residual quantiles of
     all models come from one grouped run of the exact distributed quantiles.
-    Nothing is cached: the residual pass reads the table again.
+    The models' columns are written once to the checkpoint folder, which
+    both read.
     Returns one ``OlsResult`` per model name."""
     from tessera.operators.rank import quantiles
-    from tessera.session import ship_package
+    from tessera.session import cut_lineage, ship_package
 
     spark = df.sparkSession
     specs = {k: (y, _dedupe(xs)) for k, (y, xs) in specs.items()}
     cols = list(dict.fromkeys(c for y, xs in specs.values() for c in [y, *xs]))
     ship_package(spark)
     d = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
+    d = cut_lineage(d)      # the moments and the residuals read it several times
     moments = _model_moments(d, specs)
     fits = {}
     for name, (y, xs) in specs.items():
