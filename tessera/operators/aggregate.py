@@ -2,8 +2,8 @@
 
 All grouped operators are single hash aggregations (partial aggregation on
 the map side, so a key holding a third of the rows is pre-reduced in every
-task before the shuffle). Exact quantiles use distributed prefix sums over (group, value, count)
-tables (``rank.quantiles``), so no task holds a whole group's values; pass
+task before the shuffle). Exact quantiles are selected between bounds of
+sketches by exact counts (``rank.quantiles``), so no task holds a whole group's values; pass
 ``accuracy=`` to use the ``percentile_approx`` sketch instead.
 """
 
@@ -194,8 +194,7 @@ def box_stats(df: DataFrame, keys: Sequence[str], value: str, accuracy: int | No
     """Box-plot numbers per group: quartiles, whiskers at the last data
     point inside 1.5 IQR of the box, and the count of points outside.
 
-    Two passes: exact quartiles per group (distributed prefix sums, one row
-    per group), joined back to the rows, then conditional min/max/count.
+    Exact quartiles per group (``rank.quantiles``, one row per group), joined back to the rows, then conditional min/max/count.
     """
     from tessera.operators.rank import quantiles
 

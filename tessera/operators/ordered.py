@@ -143,8 +143,8 @@ def quantile_groups(df: DataFrame, by, c: str, n: int = 10, method: str = "ntile
 
 def winsorize(df: DataFrame, by, c: str, p: float = 0.01, out: str | None = None,
               accuracy: int | None = None) -> DataFrame:
-    """Clip ``c`` per period to its p and 1-p quantiles (exact, from
-    distributed prefix sums; one row of bounds per period, joined back)."""
+    """Clip ``c`` per period to its p and 1-p quantiles (exact, by
+    selection; one row of bounds per period, joined back)."""
     from tessera.operators.rank import quantiles
 
     by = _list(by)
