@@ -106,16 +106,20 @@ def render(segs: DataFrame, chosen: DataFrame) -> DataFrame:
 def digests(segs: DataFrame, exs: DataFrame) -> DataFrame:
     """Per conversation, from the written segments and examples: n_turns,
     turns_sha256 (role, newline, text, newline of each turn), loss_chars and
-    loss_sha256 (the text under the masks), formatted_chars. A digest is
+    loss_sha256 (the text under the masks), formatted_chars. Examples are read
+    through their spans: the reply is what the mask covers behind the context,
+    and a context that isn't all segments before its reply, or an example that
+    doesn't end with it, raises ValueError. A digest is
     sequential, so a conversation's rows stream through one task; no more
     than a batch of them is held."""
     prepare(segs.sparkSession)
-    masked = exs.select(F.col("conv_id").alias("_conv"), F.col("target").alias("_target"), F.col("loss_start").alias("_from"), F.col("loss_end").alias("_to"))
-    rows = segs.select("conv_id", "position", "segment", "char_start").join(
+    masked = exs.select(F.col("conv_id").alias("_conv"), F.col("target").alias("_target"), F.col("loss_start").alias("_from"), F.col("loss_end").alias("_to"),
+                        "context_end", "example_end")
+    rows = segs.select("conv_id", "position", "segment").join(
         masked, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("position") == F.col("_target")), "left")
-    # the loss mask, read from the example and applied to the conversation's text
-    mask = F.expr("substring(segment, cast(_from - char_start + 1 as int), cast(_to - _from as int))")
-    rows = rows.select("conv_id", "position", "segment", mask.alias("masked")).repartition("conv_id").sortWithinPartitions("conv_id", "position")
+    # the loss mask, read from the example and applied to its own part behind the context
+    mask = F.expr("substring(segment, cast(_from - context_end + 1 as int), cast(_to - _from as int))")
+    rows = rows.select("conv_id", "position", "segment", mask.alias("masked"), "context_end", "example_end").repartition("conv_id").sortWithinPartitions("conv_id", "position")
     none = object()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -133,7 +137,7 @@ def digests(segs: DataFrame, exs: DataFrame) -> DataFrame:
 
         for f in frames:
             done = []
-            for conv, segment, masked in zip(f["conv_id"], f["segment"], f["masked"]):
+            for conv, segment, masked, start, end in zip(f["conv_id"], f["segment"], f["masked"], f["context_end"], f["example_end"]):
                 conv = None if pd.isna(conv) else int(conv)
                 if now is none or conv != now:
                     if now is not none:
@@ -142,8 +146,11 @@ def digests(segs: DataFrame, exs: DataFrame) -> DataFrame:
                 role, text = parse(segment)
                 state[0] += 1
                 state[1].update(f"{role}\n{text}\n".encode())
+                before = state[4]
                 state[4] += len(segment)
                 if masked is not None:
+                    if (start, end) != (before, state[4]):
+                        raise ValueError(f"conversation {conv}: example {start} to {end} instead of {before} to {state[4]}")
                     reply = unescape(masked)
                     state[2] += len(reply)
                     state[3].update(reply.encode())

@@ -61,12 +61,14 @@ def interleave(docs: DataFrame, shards: int = 8, source: str = "source", identit
     ranked = ranked.withColumn("_stretch", F.floor(F.col("_fraction") * buckets))
     ranked = materialise(ranked.select("_source", "_key", "_copies", "_fraction", "_stretch"), "interleave-ranks")
     placed = _running(ranked, [], "_stretch", ["_fraction", "_source", "_key"], "_copies", "_position")
-    placed = placed.select(F.col("_source").alias("_placed_source"), F.col("_key").alias("_placed_key"), "_position")
+    # a null-safe join key would not be the window's: one tag for both, and the texts move once
+    tag = F.coalesce(F.concat(F.lit("="), F.col("_source").cast("string")), F.lit(""))
+    placed = placed.select(F.col("_key").alias("_placed_key"), tag.alias("_placed_tag"), "_position")
     keep = [c for c in docs.columns if c not in ("shard", "slot")]
-    full = docs.withColumns({"_source": F.col(source), "_key": key})
-    full = full.join(placed, (F.col("_key") == F.col("_placed_key")) & F.col("_source").eqNullSafe(F.col("_placed_source")))
+    full = docs.withColumns({"_source": F.col(source), "_key": key}).withColumn("_tag", tag)
+    full = full.join(placed, (F.col("_key") == F.col("_placed_key")) & (F.col("_tag") == F.col("_placed_tag")))
     # rows with one key take its places one after the other
-    copy = F.row_number().over(Window.partitionBy("_key", "_source").orderBy("_position")) - 1
+    copy = F.row_number().over(Window.partitionBy("_key", "_tag").orderBy("_position")) - 1
     full = full.withColumn("_position", F.col("_position") + copy)
     full = full.withColumn("_shard", F.expr(f"(_position * {shards}L) div {max(n, 1)}L"))
     first = F.expr(f"(_shard * {max(n, 1)}L + {shards - 1}L) div {shards}L")

@@ -105,6 +105,17 @@ def test_shards_of_odd_rows(spark):
     check_shards(S.interleave(data.table(spark, rows[:3], 1), 8).collect(), 3)
 
 
+def test_texts_are_shuffled_once(spark):
+    """The join of rows and places and the numbering of copies share one exchange."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = S.interleave(data.table(spark, data.documents()), 5)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("Exchange hashpartitioning(_key#") == 1
+
+
 def test_op7_query(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_MID}/documents.parquet").collect()}
     out = E.queries()["op7_interleaved_shards"](spark, SF_MID).collect()

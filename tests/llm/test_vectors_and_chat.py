@@ -193,6 +193,20 @@ def test_digests_and_examples(spark, monkeypatch, chunk):
     assert C.digests(C.segments(spark.createDataFrame([], SCHEMA)), C.examples(C.segments(spark.createDataFrame([], SCHEMA)))).count() == 0
 
 
+@pytest.mark.parametrize("column", ["context_end", "example_end", "loss_start"])
+def test_wrong_spans_of_examples_show(spark, column):
+    rows = [(1, t, ["user", "assistant"][t % 2], f"text {t}") for t in range(6)]
+    segs = C.segments(spark.createDataFrame(rows, SCHEMA)).cache()
+    exs = C.examples(segs)
+    right = C.digests(segs, exs).first()
+    wrong = C.digests(segs, exs.withColumn(column, F.col(column) + (F.col("target") == 3).cast("int")))
+    if column == "loss_start":
+        assert wrong.first().loss_sha256 != right.loss_sha256
+    else:
+        with pytest.raises(Exception, match="instead of"):
+            wrong.collect()
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from([*C.CONTROL, "\\", "<", "[", "|", "s>", "\n", "a", "|im_end|>"]), max_size=12).map("".join))
 def test_unescape_undoes_the_escape(text):
