@@ -44,9 +44,11 @@ from . import words as W
 from .store import materialise, prepare
 
 SLICE_BYTES = 1 << 20  # text that is aligned at once (one document at least)
+ENCODED = 4_096  # texts or chunks that go to the tokenizers at once: their results are large objects
 PARTIAL_PAIRS = 500_000  # distinct pairs that a task counts before it passes the counts on
 SHARED_PAIRS = 1 << 19
 _ID = 32  # bits of an id in a pair
+_BOTH = np.dtype(np.int32)  # ids of both sides in one string
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
@@ -110,10 +112,26 @@ class Pair:
         b = norm.name == "identity" and norm.add_dummy_prefix and norm.escape_whitespaces and not norm.remove_extra_whitespaces
         return bool(a and b) and not any("▁" in p.piece.lstrip("▁") for p in model.pieces)
 
-    def _ids(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
-        a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        b = self.b.encode(texts, num_threads=1) if texts else []
-        return [(np.array(x.ids, np.int32).tobytes(), np.array(y, np.int32).tobytes()) for x, y in zip(a, b)]
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of both sides in one string for each text: all A ids, then all
+        B ids raised by the number of A ids. Caches hold one small object a text."""
+        m, out = self.sizes[0], []
+        for at in range(0, len(texts), ENCODED):
+            some = texts[at:at + ENCODED]
+            a = self.a.encode_batch_fast([" " + t for t in some], add_special_tokens=False)
+            b = self.b.encode(some, num_threads=1)
+            flat: list[int] = []
+            runs = []  # how many ids of A, of B, of A ... stand one after the other
+            for x, y in zip(a, b):
+                i = x.ids
+                flat += i
+                flat += y
+                runs += (len(i), len(y))
+            raised = np.repeat(np.arange(len(runs), dtype=_BOTH) % 2 * m, runs)
+            joined = (np.array(flat, _BOTH) + raised).tobytes()
+            ends = (np.cumsum(runs)[1::2] * _BOTH.itemsize).tolist()
+            out += [joined[i:j] for i, j in zip([0, *ends], ends)]
+        return out
 
     def encode(self, texts: list[str]) -> tuple["Side", "Side"]:
         if not self.by_chunk:
@@ -124,8 +142,13 @@ class Pair:
                 cut = [_CUT.split(t) for t in texts]
                 codes = np.array([code.setdefault(c, len(code)) for chunks in cut for c in chunks], np.int64)
                 bounds = np.concatenate([[0], np.cumsum([len(c) for c in cut], dtype=np.int64)]).astype(np.int64)
+                del cut
                 parts = self.cache.take(list(code), self._ids)
-        return Side.of([p[0] for p in parts], codes, bounds, self.a_bytes), Side.of([p[1] for p in parts], codes, bounds, self.b_bytes)
+        ids, begin = T.spread(parts, codes, _BOTH)
+        of_b = ids >= self.sizes[0]
+        begin = begin[bounds]
+        begin_b = np.concatenate([[0], np.cumsum(of_b)])[begin]
+        return Side.of(ids[~of_b], begin - begin_b, self.a_bytes), Side.of(ids[of_b] - self.sizes[0], begin_b, self.b_bytes)
 
 
 def pair(byte_level: str, pieces: str) -> Pair:
@@ -141,11 +164,9 @@ class Side:
         self.ids, self.bounds, self.size = ids, bounds, size
 
     @classmethod
-    def of(cls, parts: list[bytes], codes: np.ndarray, bounds: np.ndarray, entries: pa.Array) -> "Side":
-        """From the ids of each distinct chunk and the chunks of each document."""
-        ids, begin = T.spread(parts, codes, np.dtype(np.int32))
+    def of(cls, ids: np.ndarray, bounds: np.ndarray, entries: pa.Array) -> "Side":
         length = pc.binary_length(entries).to_numpy(zero_copy_only=False).astype(np.int64)
-        return cls(ids, begin[bounds], length[ids])
+        return cls(ids, bounds, length[ids])
 
     @property
     def counts(self) -> np.ndarray:

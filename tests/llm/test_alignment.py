@@ -135,3 +135,21 @@ def test_op11_query(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()
     got = queries.op11_token_alignment(spark, SF_SMALL).collect()
     assert sorted((tuple(r) for r in got), key=repr) == _brute([tuple(d) for d in docs])
+
+
+def test_a_cached_chunk_is_one_small_object(monkeypatch):
+    """Workers keep the ids of many chunks; in pairs of objects a chunk took
+    twice as much."""
+    import sys
+
+    monkeypatch.setattr(alignment, "ENCODED", 3)   # several calls of the tokenizers
+    names = alignment.Pair(A, B)
+    chunks = ["word", "tokenisation", "x", "", "日本語", "many", "more", "words"]
+    made = names._ids(chunks)
+    assert len(made) == len(chunks) and all(type(x) is bytes for x in made)
+    a, b = names.a.encode_batch([" " + c for c in chunks], add_special_tokens=False), names.b.encode(chunks)
+    for ids, x, y in zip(made, a, b):
+        assert sys.getsizeof(ids) == sys.getsizeof(b"") + 4 * (len(x.ids) + len(y))
+    one, other = names.encode(chunks)
+    assert one.ids.tolist() == [i for x in a for i in x.ids] and one.counts.tolist() == [len(x.ids) for x in a]
+    assert other.ids.tolist() == [i for y in b for i in y] and other.counts.tolist() == [len(y) for y in b]
