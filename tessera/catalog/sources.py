@@ -53,10 +53,12 @@ BUCKETS = 16
 
 def s3_library_keyed(spark, sf):
     """Orders and line items saved by order key, joined and summed without an
-    exchange of either."""
+    exchange of either, in as many buckets as their rows ask for."""
     lib = S.Library(spark, scratch_path(spark, "library"))
-    orders = lib.save_keyed(T(spark, sf, "orders"), "orders", ["o_orderkey"], BUCKETS, parts=1)
-    items = lib.save_keyed(T(spark, sf, "lineitem"), "lineitem", ["l_orderkey"], BUCKETS, parts=1)
+    orders, items = T(spark, sf, "orders"), T(spark, sf, "lineitem")
+    buckets = S.bucket_count(orders, items, least=BUCKETS)
+    orders = lib.save_keyed(orders, "orders", ["o_orderkey"], buckets, parts=1)
+    items = lib.save_keyed(items, "lineitem", ["l_orderkey"], buckets, parts=1)
     j = orders.join(items, F.col("o_orderkey") == F.col("l_orderkey"))
     return j.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("items"), F.sum("l_quantity").cast("double").alias("quantity"), F.first("o_orderstatus").alias("status"))
 

@@ -94,6 +94,21 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
     return path
 
 
+ROWS_PER_BUCKET = 500_000
+
+
+def bucket_count(*tables: DataFrame, least: int = 16) -> int:
+    """Buckets of tables that are saved by the same key: ``least``, doubled until
+    no table has more than ``ROWS_PER_BUCKET`` rows a bucket, so that what a task
+    sorts and joins does not follow the size of the tables. Of two such numbers
+    one is a multiple of the other, as Spark needs to join differing buckets."""
+    most = max(t.count() for t in tables)   # of Parquet files, from their footers
+    n = least
+    while n * ROWS_PER_BUCKET < most:
+        n *= 2
+    return n
+
+
 class Library:
     """A named library of permanent Parquet tables under ``base``
     (a SAS ``libname``): ``table(name)`` reads ``base/name`` (or
@@ -134,11 +149,13 @@ class Library:
     def save_keyed(self, df: DataFrame, name: str, keys: Sequence[str], buckets: int, parts: int = 4,
                    mode: str = "errorifexists") -> DataFrame:
         """A table in ``buckets`` buckets of ``keys``, sorted within files. Each
-        bucket is written by ``parts`` tasks, dealt by the whole row, so a
-        task holds 1 / ``parts`` of a hot key's different rows at most."""
+        bucket is written by ``parts`` tasks of its own, dealt by the whole row, so a
+        task holds 1 / ``parts`` of a hot key's different rows at most, and rows
+        of one bucket only. ``bucket_count`` gives a number of buckets."""
         keys = list(keys)
         bucket = F.pmod(F.hash(*keys), F.lit(buckets))     # as Spark names a row's bucket
-        dealt = df.repartition(buckets * parts, bucket, F.pmod(F.xxhash64(*df.columns), F.lit(parts)))
+        part = F.pmod(F.xxhash64(*df.columns), F.lit(parts)).cast("int")
+        dealt = df.repartitionById(buckets * parts, bucket * parts + part)     # by a hash, some tasks would get several buckets
         dealt.write.mode(mode).option("path", self.path(name)).bucketBy(buckets, *keys).sortBy(*keys).format("parquet").saveAsTable(self._entry(name))
         return self.table(name)
 

@@ -117,3 +117,32 @@ def test_keyed_tables_join_without_an_exchange(spark, tmp_path):
         lib.save_keyed(spark.range(3).withColumnRenamed("id", "k"), "facts", ["k"], 8)
     lib.save_keyed(spark.range(3).withColumnRenamed("id", "k"), "facts", ["k"], 4, mode="overwrite")
     assert lib.table("facts").count() == 3
+
+
+def test_each_bucket_is_written_by_tasks_of_its_own(spark, tmp_path):
+    lib = S.Library(spark, str(tmp_path))
+    rows = [(None if i % 50 == 1 else i, i) for i in range(4000)]
+    for parts in (1, 3):
+        saved = lib.save_keyed(spark.createDataFrame(rows, "k long, v long").repartition(5), f"t{parts}", ["k"], 16, parts=parts)
+        assert sorted(saved.collect(), key=str) == sorted(rows, key=str)
+        files = [r.p.rsplit("/", 1)[1] for r in saved.select(F.col("_metadata.file_path").alias("p")).distinct().collect()]
+        tasks = {}
+        for f in files:   # part-<task>-<uuid>_<bucket>.c000...
+            tasks.setdefault(f.split("-")[1], set()).add(f.split("_")[-1].split(".")[0])
+        assert len(tasks) == 16 * parts and all(len(b) == 1 for b in tasks.values())
+
+
+def test_buckets_follow_the_rows(spark, monkeypatch):
+    from tessera.catalog import sources
+
+    from .conftest import SF_SMALL
+
+    assert S.bucket_count(spark.range(10), spark.range(0), least=8) == 8
+    monkeypatch.setattr(S, "ROWS_PER_BUCKET", 100)
+    assert S.bucket_count(spark.range(800), least=8) == 8 and S.bucket_count(spark.range(5), spark.range(801), least=8) == 16
+    used, save = [], S.Library.save_keyed
+    monkeypatch.setattr(S.Library, "save_keyed", lambda self, df, name, keys, buckets, **more: used.append((df.count(), buckets)) or save(self, df, name, keys, buckets, **more))
+    out = sources.s3_library_keyed(spark, SF_SMALL)
+    assert len({b for _, b in used}) == 1 and all(n <= 100 * b for n, b in used) and used[0][1] > 16
+    items = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").groupBy("l_orderkey").count()
+    assert sorted((r.o_orderkey, r["items"]) for r in out.collect()) == sorted((r[0], r[1]) for r in items.collect())
