@@ -38,10 +38,11 @@ from pyspark.sql import types as T
 from tessera.operators.joins import null_safe_join
 
 BLOCK_ROWS = 10_000     # rows of a cell, and queries that meet a cell in one task
-DONOR_BLOCK = 256       # donor rows per distance array (BLOCK_ROWS x DONOR_BLOCK doubles)
+DONOR_BLOCK = 256       # donor rows per distance array
+QUERY_BLOCK = 1_000     # query rows per distance array (QUERY_BLOCK x DONOR_BLOCK doubles)
 SAMPLE_ROWS = 200_000   # rows that the tree is grown from, at most about
 DIRECT_CELLS = 8
-BOUND_CELLS = 4_000_000  # numbers of an array of bounds
+BOUND_CELLS = 250_000   # numbers of an array of bounds
 
 
 def nan_dist(q: np.ndarray, d: np.ndarray) -> np.ndarray:
@@ -63,7 +64,11 @@ def nan_dist(q: np.ndarray, d: np.ndarray) -> np.ndarray:
 
 def _top_k(qx: np.ndarray, qids: np.ndarray, qmiss: dict, dx: np.ndarray, dids: np.ndarray, dvals: dict, targets: list[str],
            k: int) -> list[pd.DataFrame]:
-    """The k nearest of some donors for each of some queries and each target."""
+    """The k nearest of some donors for each of some queries and each target.
+    Queries are taken in blocks, so that the arrays don't follow their number."""
+    if len(qids) > QUERY_BLOCK:
+        blocks = [slice(lo, lo + QUERY_BLOCK) for lo in range(0, len(qids), QUERY_BLOCK)]
+        return [f for b in blocks for f in _top_k(qx[b], qids[b], {t: m[b] for t, m in qmiss.items()}, dx, dids, dvals, targets, k)]
     best = {t: [] for t in targets}
     for lo in range(0, len(dids), DONOR_BLOCK):
         blk = slice(lo, lo + DONOR_BLOCK)

@@ -4,6 +4,7 @@ grows with the rows on clustered data."""
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from tessera.operators import knn
@@ -128,3 +129,29 @@ def test_imputed_values_with_nan_gaps_and_a_constant(spark):
     out = {r.id: r for r in M.knn_impute(_frame(spark, x), "id", ["a", "b", "c"], k=2).collect()}
     assert out[1].b == 2.0 and out[1].a == 1.0
     assert (out[4].a, out[4].b, out[4].c) == (7 / 4, 8 / 3, 5.0)   # no coordinate: the column means
+
+
+def test_arrays_of_a_search_do_not_follow_the_queries():
+    """The peak of memory of a task's search, at ten times the queries; the
+    neighbours are those of one block."""
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    d, peak = rng.integers(0, 40, (2_000, 2)).astype(float), []
+    vals = {"b": np.where(rng.random(2_000) < 0.2, np.nan, d[:, 1])}
+    for n in (1_000, 10_000):
+        q = rng.integers(0, 40, (n, 2)).astype(float)
+        q[rng.random(n) < 0.3, 1] = np.nan
+        miss = {"b": np.isnan(q[:, 1])}
+        tracemalloc.start()
+        found = pd.concat(knn._top_k(q, np.arange(n), miss, d, np.arange(2_000), vals, ["_all", "b"], 4), ignore_index=True)
+        peak.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peak[1] < 2 * peak[0], peak
+    dist = knn.nan_dist(q, d)
+    for t in ("_all", "b"):
+        mine = dist if t == "_all" else np.where(np.isnan(vals["b"])[None, :], np.nan, dist)
+        want = np.argsort(np.where(np.isnan(mine), np.inf, mine), axis=1, kind="stable")[:, :4]
+        rows = np.arange(10_000) if t == "_all" else np.flatnonzero(miss["b"])
+        got = found[found["target"] == t].groupby("_q")["did"].agg(list)
+        assert got.index.tolist() == rows.tolist() and got.tolist() == want[rows].tolist()
