@@ -12,15 +12,17 @@ from ..session import scratch_path, ship_package
 
 #: Rows that go to a Python worker at once, at most: texts are long.
 BATCH_ROWS = 1_000
+#: Rows that a Parquet scan holds in memory at once, at most: so are lists.
+SCAN_ROWS = 512
 
 
 def prepare(spark: SparkSession) -> None:
     """Make this package importable in Python workers, and keep the batches
-    that they get small."""
+    that they and the scans get small."""
     ship_package(spark)
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
-        spark.conf.set(name, BATCH_ROWS)
+    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.parquet.columnarReaderBatchSize", SCAN_ROWS)):
+        if not 0 < int(spark.conf.get(name)) <= most:
+            spark.conf.set(name, most)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

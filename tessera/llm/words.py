@@ -5,6 +5,7 @@ text, so a task's memory does not follow the number of rows in a batch."""
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -13,7 +14,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+
+#: What numpy and the tokenizers have freed stays with the C library until it is trimmed; None where it can't be (not glibc).
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
@@ -22,6 +26,13 @@ _M1 = np.uint64(0xBF58476D1CE4E5B9)
 _M2 = np.uint64(0x94D049BB133111EB)
 
 
+def give_back() -> None:
+    """Free memory goes back to the system: workers live on, executors are small."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective mixing of unsigned 64-bit values."""
     with np.errstate(over="ignore"):
@@ -54,7 +65,7 @@ def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES)
         to = max(at + 1, int(np.searchsorted(cum, done + limit, side="right")))
         yield batch.slice(at, to - at)
         at = to
-    pa.default_memory_pool().release_unused()  # workers live on, executors are small
+    give_back()
 
 
 @dataclass

@@ -94,3 +94,48 @@ def test_the_cache_is_bounded():
     assert [enc.encode(W.texts_of(pa.array([t])))[0].tolist() for t in texts] == first
     enc.encode(W.texts_of(pa.array(["x" * 1_000])))
     assert "x" * 1_000 not in enc.cache.young
+
+
+def _resident() -> float:
+    return sum(map(int, re.findall(r"\nPss_Anon:\s+(\d+)", open("/proc/self/smaps_rollup").read()))) / 1024
+
+
+def test_a_slice_gives_freed_memory_back():
+    """Workers live on; what their slices have freed stayed with the C library
+    below whatever was allocated last."""
+    if W._TRIM is None:
+        pytest.skip("not glibc")
+    batch = pa.RecordBatch.from_arrays([pa.array(["a b", "c"])], names=["text"])
+    list(W.slices(batch))
+    start = _resident()
+    blocks = [np.ones(12_000) for _ in range(2_000)]  # 96 kB each: below the size that gets pages of its own
+    last = blocks[-1]
+    del blocks
+    list(W.slices(batch))
+    assert last.sum() == 12_000 and _resident() - start < 60
+
+
+def test_full_caches_stay_small():
+    """Each worker of an executor keeps caches of two generations for as long as it lives."""
+    import tracemalloc
+
+    cache = T.Recent()
+    tracemalloc.start()
+    for at in range(0, 3 * cache.size, 20_000):
+        cache.take([f"w{i:09d}" for i in range(at, at + 20_000)], lambda keys: [bytes(12) + k[-4:].encode() for k in keys])
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 100e6
+
+
+def test_scans_hold_few_rows(spark):
+    from tessera.llm.store import SCAN_ROWS, prepare
+
+    name = "spark.sql.parquet.columnarReaderBatchSize"
+    spark.conf.set(name, 4096)
+    prepare(spark)
+    assert int(spark.conf.get(name)) == SCAN_ROWS
+    spark.conf.set(name, 100)  # smaller ones are left
+    prepare(spark)
+    assert int(spark.conf.get(name)) == 100
+    spark.conf.unset(name)
