@@ -30,6 +30,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -43,9 +44,11 @@ from . import tokens as T
 from . import words as W
 from .store import materialise, prepare
 
-SLICE_BYTES = 1 << 20  # text that is aligned at once (one document at least)
+SLICE_BYTES = 1 << 19  # text that is aligned at once (one document at least)
 ENCODED = 4_096  # texts or chunks that go to the tokenizers at once: their results are large objects
 PARTIAL_PAIRS = 500_000  # distinct pairs that a task counts before it passes the counts on
+ROW_PAIRS = 1 << 14  # of them in one row
+CACHED_CHUNKS = 400_000  # in each generation of a worker's cache
 SHARED_PAIRS = 1 << 19
 _ID = 32  # bits of an id in a pair
 _BOTH = np.dtype(np.int32)  # ids of both sides in one string
@@ -92,7 +95,7 @@ class Pair:
         self.marks = _large([f"{i}{mark}".encode() for size, mark in ((m, ","), (m, "|"), (n, ","), (n, ";")) for i in range(size)])
         self.sizes = m, n
         self.by_chunk = self._chunk_local()
-        self.cache = T.Recent()
+        self.cache = T.Recent(CACHED_CHUNKS)
 
     def _chunk_local(self) -> bool:
         """True if no token of either side has a space after another character
@@ -138,10 +141,11 @@ class Pair:
             parts, codes, bounds = self._ids(texts), np.arange(len(texts)), np.arange(len(texts) + 1)
         else:
             with T.many_objects():
-                code: dict[str, int] = {}
                 cut = [_CUT.split(t) for t in texts]
-                codes = np.array([code.setdefault(c, len(code)) for chunks in cut for c in chunks], np.int64)
                 bounds = np.concatenate([[0], np.cumsum([len(c) for c in cut], dtype=np.int64)]).astype(np.int64)
+                code = dict.fromkeys(chain.from_iterable(cut))
+                code = dict(zip(code, range(len(code))))
+                codes = np.fromiter(map(code.__getitem__, chain.from_iterable(cut)), np.int64, bounds[-1])
                 del cut
                 parts = self.cache.take(list(code), self._ids)
         ids, begin = T.spread(parts, codes, _BOTH)
@@ -249,11 +253,24 @@ _DOCS = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_a", pa.int64
                    ("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32())), ("groups_sha256", pa.string()), ("counts", pa.list_(_COUNTS))])
 
 
-def _counts_batch(total: pd.Series) -> pa.RecordBatch:
-    """Partial counts of pairs as a row without a document."""
-    cell = pa.StructArray.from_arrays([pa.array(total.index.to_numpy(np.int64)), pa.array(total.to_numpy(np.int64))], fields=list(_COUNTS))
-    counts = pa.ListArray.from_arrays(pa.array([0, len(cell)], pa.int32()), cell)
-    return pa.RecordBatch.from_arrays([*[pa.nulls(1, f.type) for f in _DOCS][:-1], counts], schema=_DOCS)
+def _added(pairs: np.ndarray, n: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs, ascending, and their counts with one more for each of ``more``."""
+    found, times = np.unique(more, return_counts=True)
+    at = np.searchsorted(pairs, found)
+    known = at < len(pairs)
+    known[known] = pairs[at[known]] == found[known]
+    n = n.copy()
+    n[at[known]] += times[known]
+    return np.insert(pairs, at[~known], found[~known]), np.insert(n, at[~known], times[~known])
+
+
+def _counts_batches(pairs: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Partial counts of pairs as rows without a document, each of ROW_PAIRS
+    pairs at most: Spark holds a row in one piece."""
+    for i in range(0, len(pairs), ROW_PAIRS):
+        cell = pa.StructArray.from_arrays([pa.array(pairs[i:i + ROW_PAIRS]), pa.array(n[i:i + ROW_PAIRS])], fields=list(_COUNTS))
+        counts = pa.ListArray.from_arrays(pa.array([0, len(cell)], pa.int32()), cell)
+        yield pa.RecordBatch.from_arrays([*[pa.nulls(1, f.type) for f in _DOCS][:-1], counts], schema=_DOCS)
 
 
 def align(docs: DataFrame, byte_level: str, pieces: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -266,7 +283,7 @@ def align(docs: DataFrame, byte_level: str, pieces: str, key: str = "doc_id", te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = pair(byte_level, pieces)
         row = TaskContext.get().partitionId() << 40
-        total = pd.Series(dtype=np.int64, index=pd.Index([], dtype=np.int64))
+        pairs, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
             for part in W.slices(batch, limit=SLICE_BYTES):
                 a, b, link_a, link_b = _align(part.column("text").to_pylist(), names)
@@ -280,13 +297,11 @@ def align(docs: DataFrame, byte_level: str, pieces: str, key: str = "doc_id", te
                     pa.array(np.diff(bounds.to_numpy()), pa.int64()), pa.ListArray.from_arrays(bounds, pa.array(ids_a)),
                     pa.ListArray.from_arrays(bounds, pa.array(ids_b)), pa.array(digests, pa.string()), pa.nulls(m, pa.list_(_COUNTS))], schema=_DOCS)
                 row += m
-                found, n = np.unique((ids_a.astype(np.int64) << _ID) | ids_b, return_counts=True)
-                total = total.add(pd.Series(n, index=found), fill_value=0).astype(np.int64)
-                if len(total) >= PARTIAL_PAIRS:
-                    yield _counts_batch(total)
-                    total = total.iloc[:0]
-        if len(total):
-            yield _counts_batch(total)
+                pairs, n = _added(pairs, n, (ids_a.astype(np.int64) << _ID) | ids_b)
+                if len(pairs) >= PARTIAL_PAIRS:
+                    yield from _counts_batches(pairs, n)
+                    pairs, n = pairs[:0], n[:0]
+        yield from _counts_batches(pairs, n)
 
     return docs.mapInArrow(run, DOCUMENTS + ", counts array<struct<pair: bigint, n: bigint>>")
 

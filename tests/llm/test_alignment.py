@@ -153,3 +153,23 @@ def test_a_cached_chunk_is_one_small_object(monkeypatch):
     one, other = names.encode(chunks)
     assert one.ids.tolist() == [i for x in a for i in x.ids] and one.counts.tolist() == [len(x.ids) for x in a]
     assert other.ids.tolist() == [i for y in b for i in y] and other.counts.tolist() == [len(y) for y in b]
+
+
+def test_partial_counts_are_exact_and_leave_in_short_rows(monkeypatch):
+    """A task's counts left as one row of up to 500,000 pairs, which Spark holds in one piece."""
+    import collections
+
+    import numpy as np
+
+    monkeypatch.setattr(alignment, "ROW_PAIRS", 7)
+    rng = np.random.default_rng(3)
+    pairs, n, want = np.zeros(0, np.int64), np.zeros(0, np.int64), collections.Counter()
+    for size in (0, 5, 40, 40, 1):
+        more = rng.integers(0, 30, size) << 32
+        want.update(more.tolist())
+        pairs, n = alignment._added(pairs, n, more)
+        assert pairs.tolist() == sorted(want) and n.tolist() == [want[p] for p in sorted(want)]
+    rows = [r for b in alignment._counts_batches(pairs, n) for r in b.to_pylist()]
+    assert all(r["row"] is None and 0 < len(r["counts"]) <= 7 for r in rows)
+    assert [(c["pair"], c["n"]) for r in rows for c in r["counts"]] == sorted(want.items())
+    assert not list(alignment._counts_batches(pairs[:0], n[:0]))
