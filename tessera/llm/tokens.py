@@ -22,7 +22,7 @@ import pyarrow as pa
 
 from . import words as W
 
-CACHED_WORDS = 200_000  # in each generation
+CACHED_WORDS = 300_000  # in each generation
 CACHED_LENGTH = 64  # longer strings are encoded each time
 CACHED_PIECES = 20_000
 LATIN_END = 0x250  # plain words have code points below it
