@@ -19,12 +19,12 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from . import words as W
 
 CACHED_WORDS = 300_000  # in each generation
 CACHED_LENGTH = 64  # longer strings are encoded each time
-CACHED_PIECES = 20_000
 LATIN_END = 0x250  # plain words have code points below it
 
 _OPEN: dict[str, "Encoder"] = {}
@@ -66,11 +66,12 @@ class Recent:
         gaps = [i for i, v in enumerate(out) if v is None]
         if not gaps:
             return out
-        found = {k: self.old.get(k) for k in {keys[i] for i in gaps}}
+        missing = [keys[i] for i in gaps]
+        found = dict(zip(missing, map(self.old.get, missing)))
         fresh = [k for k, v in found.items() if v is None]
         found.update(zip(fresh, make(fresh)))
-        for i in gaps:
-            out[i] = found[keys[i]]
+        for i, k in zip(gaps, missing):
+            out[i] = found[k]
         kept = {k: v for k, v in found.items() if len(k) <= CACHED_LENGTH}
         if len(self.young) + len(kept) > self.size:
             self.old, self.young = self.young, kept
@@ -124,17 +125,17 @@ class Encoder:
         self.marks = {t["content"][0].lower() for t in spec.get("added_tokens", [])}  # a word without them holds no special string
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
         self.plain, self.pieces, self.letters = self._plain(spec) if self.by_word else (None, None, {})
-        self.known: dict[str, list[int]] = {}  # ids of short pieces, mostly punctuation
-        self.cache = Recent()
+        self.cache = Recent()  # of pieces, and of the words that aren't cut here
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _plain(self, spec: dict) -> tuple[re.Pattern | None, re.Pattern | None, dict[int, str]]:
+    def _plain(self, spec: dict) -> tuple[str | None, str | None, dict[int, str]]:
         """For a byte-level model behind NFC, lower case and a split by letters
-        and numbers: a pattern of words whose pieces can be cut here (Latin
+        and numbers: the characters of words whose pieces can be cut here (Latin
         letters, digits and marks, nothing that begins a special string), the
-        pattern of their pieces, and the model's letters for their bytes."""
+        pattern of their pieces, both as Arrow reads them, and the model's
+        letters for their bytes."""
         pre, norm = spec.get("pre_tokenizer") or {}, spec.get("normalizer") or {}
         steps = pre.get("pretokenizers") or []
         known = [s["type"] for s in norm.get("normalizers", [])] == ["NFC", "Replace", "Lowercase"] and len(steps) == 2 and \
@@ -143,44 +144,58 @@ class Encoder:
             return None, None, {}
         end = range(0x21, LATIN_END)
         kind = {c: unicodedata.category(chr(c)) for c in end}
-        # code points that normalisation leaves as they are, but for their case
-        usable = [c for c in end if kind[c][0] in "LNPS" and len(low := chr(c).lower()) == 1 and ord(low) < LATIN_END and low not in self.marks
-                  and self.tok.normalizer.normalize_str(chr(c)) == low]
+        lower = dict(zip(end, pc.utf8_lower(pa.array(map(chr, end))).to_pylist()))
         chars = lambda codes: "".join(re.escape(chr(c)) for c in codes)
         split = steps[0]["pattern"]["Regex"]
         split = split.replace("\\p{L}", chars(c for c in end if kind[c][0] == "L")).replace("\\p{N}", chars(c for c in end if kind[c][0] == "N"))
-        if "\\p" in split or not usable:
+        if re.search(r"\\[^\W_s]", split):  # only white space means the same in Arrow's patterns
+            return None, None, {}
+        try:
+            pc.match_substring_regex(pa.array([""]), split)
+        except pa.ArrowInvalid:  # they look neither ahead nor back
+            return None, None, {}
+        # code points that normalisation leaves as they are, but for their case, and that may be a piece
+        usable = [c for c in end if kind[c][0] in "LNPS" and len(low := lower[c]) == 1 and ord(low) < LATIN_END and low not in self.marks
+                  and self.tok.normalizer.normalize_str(chr(c)) == low and re.fullmatch(split, low)]
+        if not usable:
             return None, None, {}
         byte_letters = {c: self.tok.pre_tokenizer.pre_tokenize_str(chr(c)) for c in usable}
         letters = {c: made[0][0] for c, made in byte_letters.items() if len(made) == 1}
-        return re.compile(f"[{chars(letters)}]+"), re.compile(split), letters
-
-    def _piece(self, piece: str) -> list[int]:
-        ids = self.known.get(piece)
-        if ids is None:
-            ids = [t.id for t in self.tok.model.tokenize(piece if piece.isascii() else piece.translate(self.letters))]
-            if len(piece) <= 3 and len(self.known) < CACHED_PIECES:
-                self.known[piece] = ids
-        return ids
+        return chars(letters), split, letters
+
+    def _ids_of_pieces(self, pieces: list[str]) -> list[bytes]:
+        kind, tokenize = self.dtype.char, self.tok.model.tokenize
+        return [array(kind, [t.id for t in tokenize(p if p.isascii() else p.translate(self.letters))]).tobytes() for p in pieces]
+
+    def _cut(self, words: pa.Array) -> list[bytes]:
+        """Ids of plain words: their pieces are cut all at once (a space follows
+        each, the empty piece behind the last has no ids) and each distinct
+        piece is looked up once."""
+        spaced = pc.replace_substring_regex(pc.utf8_lower(words), self.pieces, "\\0 ")
+        lists = pc.split_pattern(spaced, " ")
+        coded = lists.flatten().dictionary_encode()
+        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        parts = self.cache.take(pieces, self._ids_of_pieces)
+        ids, begin = spread(parts, coded.indices.to_numpy(zero_copy_only=False), self.dtype)
+        flat = ids.tobytes()
+        bounds = (begin[np.asarray(lists.offsets)] * self.dtype.itemsize).tolist()
+        return [flat[a:b] for a, b in zip(bounds, bounds[1:])]
 
     def _ids_of_words(self, words: list[str]) -> list[bytes]:
-        """Ids of each word. A plain word is cut into its pieces here and each
-        goes to the tokenizer's model at once; the library does the others."""
-        kind = self.dtype.char
-        out: list[bytes | None] = []
+        """Ids of each word. Plain words are cut into their pieces here and a
+        new piece goes to the tokenizer's model at once; the library does the
+        other words."""
+        out: list[bytes | None] = [None] * len(words)
+        others = range(len(words))
         if self.plain:
-            plain, pieces, piece_ids = self.plain.fullmatch, self.pieces.findall, self._piece
-            for w in words:
-                if plain(w):
-                    parts = pieces(w.lower())
-                    ids = piece_ids(parts[0]) if len(parts) == 1 else [i for p in parts for i in piece_ids(p)]
-                    out.append(array(kind, ids).tobytes())
-                else:
-                    out.append(None)
-        else:
-            out = [None] * len(words)
-        rest = [i for i, x in enumerate(out) if x is None]
-        for i, ids in zip(rest, self._ids([words[i] for i in rest])):
+            column = pa.array(words, pa.large_string())
+            other = pc.match_substring_regex(column, f"[^{self.plain}]")
+            others = np.flatnonzero(other.to_numpy(zero_copy_only=False)).tolist()
+            out = self._cut(pc.if_else(other, "", column) if others else column)
+        keys = [words[i] for i in others]
+        if self.folds:
+            keys = [w if w.islower() else self._folded(w) for w in keys]
+        for i, ids in zip(others, self.cache.take(keys, self._ids)):
             out[i] = ids
         return out
 
@@ -191,17 +206,13 @@ class Encoder:
         folded = word.lower() if word.isascii() else word
         return word if any(c in folded for c in self.marks) else folded
 
-    def _word_ids(self, vocabulary: list[str]) -> list[bytes]:
-        keys = [w if w.islower() else self._folded(w) for w in vocabulary] if self.folds else vocabulary
-        with many_objects():
-            return self.cache.take(keys, self._ids_of_words)
-
     def encode(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, with ``end`` after each text
         if given, and the bounds of each text's ids."""
         if self.by_word:
             words = W.split(texts)
-            parts = self._word_ids(words.vocabulary)
+            with many_objects():
+                parts = self._ids_of_words(words.vocabulary)
             codes, text_bounds = words.codes, words.bounds
         else:
             parts = self._ids(texts.to_pylist())

@@ -95,7 +95,7 @@ def split(texts: pa.Array, lower: bool = False) -> Words:
     flat = lists.flatten()
     bounds = bounds - bounds[0]
     coded = flat.dictionary_encode()
-    vocabulary = coded.dictionary.to_pylist()
+    vocabulary = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # to_pylist makes an Arrow scalar of each
     codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     if "" in vocabulary:  # white space at either end of a text, or an empty text
         empty = vocabulary.index("")

@@ -1,5 +1,6 @@
 import random
 import re
+import types
 
 import numpy as np
 import public_tokenizers
@@ -85,6 +86,19 @@ def test_plain_words_are_cut_like_the_library_cuts_them():
         assert np.frombuffer(ids, enc.dtype).tolist() == own.encode(w, add_special_tokens=False).ids, w
 
 
+def test_a_piece_goes_to_the_model_once_whatever_stands_beside_it():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own, enc = Tokenizer.from_file(path), T.Encoder(path)
+    asked, model, library = [], enc.tok.model, enc.tok.encode_batch_fast
+    enc.tok = types.SimpleNamespace(model=types.SimpleNamespace(tokenize=lambda p: asked.append(p) or model.tokenize(p)), encode_batch_fast=library)
+    texts = ["house house, House. (house) HOUSE's", "", "\u4e2d house!<b>\u4e2d house?", "house\u00df7house", "\u4e2d", "  ", "wouldn't've,,"]
+    for _ in range(2):
+        ids, bounds = enc.encode(W.texts_of(pa.array(texts)), 1)
+        for t, a, b in zip(texts, bounds[:-1], bounds[1:]):
+            assert ids[a:b].tolist() == own.encode(t, add_special_tokens=False).ids + [1], t
+    assert asked.count("house") == 1 and len(asked) == len(set(asked))
+
+
 def test_the_cache_is_bounded():
     enc = T.Encoder(public_tokenizers.path("word_bpe_49k.json"))
     enc.cache = T.Recent(10)
