@@ -1,8 +1,9 @@
 """Token ids of whole texts by a public tokenizer file of the ``tokenizers`` library.
 
 Where the tokenizer drops white space and never joins two words (checked in
-its definition), texts are encoded word by word and each distinct word once:
-the ids of a text are the ids of its words in order. Other tokenizers get
+its definition), texts are encoded word by word, each distinct word of a slice
+once, Latin ones by their pieces: the ids of a text are the ids of its words
+in order. Other tokenizers get
 whole texts. Strings of special tokens inside a text become these tokens, as
 the library has it with ``add_special_tokens=False``."""
 
@@ -23,7 +24,7 @@ import pyarrow.compute as pc
 
 from . import words as W
 
-CACHED_WORDS = 300_000  # in each generation
+CACHED_WORDS = 300_000  # and pieces, in each generation
 CACHED_LENGTH = 64  # longer strings are encoded each time
 LATIN_END = 0x250  # plain words have code points below it
 
